@@ -86,8 +86,9 @@ def credit_html_rows(spark, sf):
 
 
 def user_html_rows(spark, sf):
-    credits = user_credits(spark, sf)
-    return credits.select("user_name", "warehouse_name", reports.user_credit_html(credits).alias("html"))
+    shares = user_credits(spark, sf)
+    html = reports.user_credit_html(shares).alias("html")
+    return shares.select("user_name", "warehouse_name", html)
 
 
 def report_fragment(spark, sf):
@@ -95,7 +96,10 @@ def report_fragment(spark, sf):
 
 
 def report_page(spark, sf):
-    return reports.report_lines(user_credits(spark, sf), query_shapes(spark, sf))
+    shares = reports.user_shares(
+        views.usage_history(spark, sf), views.metering(spark, sf), CREDITS_AS_OF
+    )
+    return reports.report_lines(shares, query_shapes(spark, sf))
 
 
 # --- sales ----------------------------------------------------------------------------------------
@@ -392,6 +396,8 @@ USER_HTML = r"""concat('<tr><td>', user_name, '</td><td>', warehouse_name, '</td
                  '(\.\d+?)0+$', '\1'),
   '</td></tr>')"""
 
+ITEMS = """regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a></li>', {group})"""
+
 # The days of the matrix: the month before 2024-02-10 has credits on these.
 MATRIX_DAYS = [f"2024-01-{day:02d}" for day in range(11, 31) if day % 7 != 0]
 
@@ -419,6 +425,11 @@ def _fixed_lines() -> str:
     return ", ".join(rows)
 
 
+def _decoded(text: str) -> str:
+    """Character references in titles, items and links; the last ``;`` may be missing."""
+    return f"""regexp_replace(replace({text}, '&quot;', '"'), '&amp;?', '&', 'g')"""
+
+
 def oracle_sql() -> dict[str, str]:
     user_credits_sql = f"WITH {USER_CREDITS} SELECT * FROM user_credits"
     daily_columns = (
@@ -534,40 +545,37 @@ def oracle_sql() -> dict[str, str]:
               CASE WHEN p_partkey % 4 IN (1, 3) THEN NULL
                    ELSE CAST(p_size AS VARCHAR) END AS password
             FROM part""",
-        "page_elements_by_tag_attr": """
+        "page_elements_by_tag_attr": f"""
             SELECT page_id,
                    CAST(len(regexp_extract_all(html, '<div class="ad">')) AS INTEGER) AS ads,
                    CASE WHEN contains(html, '<div class="ad">')
-                        THEN replace(regexp_extract(html, '<div class="ad">([^<]*)', 1),
-                                     '&amp;', '&') END AS first_ad
+                        THEN {_decoded("regexp_extract(html, '<div class=\"ad\">([^<]*)', 1)")}
+                        END AS first_ad
             FROM pages""",
         "page_attr": """
             SELECT page_id, nullif(regexp_extract(html, '<html lang="([^"]*)"', 1), '') AS lang,
                    nullif(regexp_extract(html, '<([a-z0-9]+) class="ad"', 1), '') AS ad_tag,
                    nullif(regexp_extract(html, '<a href="([^"]*)"', 1), '') AS first_href
             FROM pages""",
-        "page_first_tag_text": """
+        "page_first_tag_text": f"""
             SELECT page_id,
-                   replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;', '&') AS title
+                   {_decoded("regexp_extract(html, '<title>([^<]*)</title>', 1)")} AS title
             FROM pages""",
         "page_exact_text": """
             SELECT page_id,
                    CASE WHEN contains(html, '>The<') THEN 'The' END AS first_match,
                    CAST(len(regexp_extract_all(html, '>The<')) AS INTEGER) AS matches
             FROM pages""",
-        "page_text_contains": """
+        "page_text_contains": f"""
             SELECT page_id, text FROM (
-              SELECT page_id, replace(
-                unnest(regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a></li>', 1)),
-                '&amp;', '&') AS text
-              FROM pages) AS items
+              SELECT page_id, {_decoded("unnest(" + ITEMS.format(group=1) + ")")} AS text FROM pages
+            ) AS items
             WHERE contains(text, 'an')""",
-        "page_first_inside": """
+        "page_first_inside": f"""
             SELECT page_id, text, href FROM (
-              SELECT page_id, replace(regexp_extract(item, '>([^<]*)</a>', 1), '&amp;', '&') AS text,
-                     replace(regexp_extract(item, 'href="([^"]*)"', 1), '&amp;', '&') AS href
-              FROM (SELECT page_id, unnest(regexp_extract_all(
-                      html, '<li><a href="[^"]*">[^<]*</a></li>')) AS item FROM pages) AS t
+              SELECT page_id, {_decoded("regexp_extract(item, '>([^<]*)</a>', 1)")} AS text,
+                     {_decoded("regexp_extract(item, 'href=\"([^\"]*)\"', 1)")} AS href
+              FROM (SELECT page_id, unnest({ITEMS.format(group=0)}) AS item FROM pages) AS t
             ) AS items
             WHERE contains(text, 'an')""",
         "page_tag_census": r"""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from creditloom.functions.dates import moment, month_before
 from creditloom.functions.text import float_text, html_row
 from creditloom.operators.aggregates import pivot_mean
+from creditloom.operators.joins import BROADCAST_BYTES, join_hot_keys, measured_bytes
 
 
 def daily_credits(metering: DataFrame, as_of: datetime) -> DataFrame:
@@ -34,18 +35,29 @@ def daily_credits(metering: DataFrame, as_of: datetime) -> DataFrame:
 
 
 def user_credits(usage: DataFrame, metering: DataFrame, as_of: datetime) -> DataFrame:
-    """Each pool's hourly credits, shared out by the time its users ran queries in that hour.
+    """Each pool's hourly credits, shared out by the time its users ran queries in that hour."""
+    return user_shares(usage, metering, as_of).orderBy(
+        F.desc("approximate_credits_used"), "user_name", "warehouse_name"
+    )
+
+
+def user_shares(
+    usage: DataFrame, metering: DataFrame, as_of: datetime, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """``user_credits`` without its order.
 
     The first aggregate shrinks the history to (user, pool, hour) before anything else moves. The
-    hour totals are joined to the credits first: both have one row per pool and hour, so what meets
-    the user rows is small enough to broadcast, or else lets Spark split a busy hour.
+    hour totals meet the credits first, both with one row per pool and hour. The result has no more
+    rows than the period's credits, so their size, measured here, decides whether it is broadcast
+    to the user rows; a busy hour with a large part of them is salted by user otherwise.
     """
     since = month_before(as_of, usage, "start_time")
     pool_hour = ["warehouse_name", "start_hour"]
+    hour = F.date_trunc("hour", "start_time").alias("start_hour")
     user_hour = (
         usage.filter(F.col("warehouse_name").isNotNull())
         .filter((F.col("execution_time") > 0) & (F.col("start_time") > since))
-        .groupBy("user_name", "warehouse_name", F.date_trunc("hour", "start_time").alias("start_hour"))
+        .groupBy("user_name", "warehouse_name", hour)
         .agg(F.sum("execution_time").alias("user_time"))
         .filter(F.col("start_hour").isNotNull())
     )
@@ -55,15 +67,16 @@ def user_credits(usage: DataFrame, metering: DataFrame, as_of: datetime) -> Data
         "warehouse_name", F.col("start_time").alias("start_hour"), "credits_used"
     )
     hours = (
-        user_hour.groupBy(*pool_hour).agg(F.sum("user_time").alias("hour_time"))
+        user_hour.groupBy(*pool_hour)
+        .agg(F.sum("user_time").alias("hour_time"))
         .join(credits, pool_hour)
     )
+    small = measured_bytes(credits) <= broadcast_bytes
     used = (F.col("user_time") / F.col("hour_time")) * F.col("credits_used")
     return (
-        user_hour.join(hours, pool_hour)
+        join_hot_keys(user_hour, hours, pool_hour, ["user_name"], small)
         .groupBy("user_name", "warehouse_name")
         .agg(F.round(F.sum(used), 2).alias("approximate_credits_used"))
-        .orderBy(F.desc("approximate_credits_used"), "user_name", "warehouse_name")
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from creditloom.operators.aggregates import by_name
 from creditloom.operators.numbering import global_row_number
+from creditloom.operators.ordering import directed, sort_spread
 
 ORDER_COLUMNS = ["cs_order_number", "cs_quantity", "cs_wholesale_cost", "cs_list_price"]
 
@@ -53,20 +54,14 @@ def _priced(sales: DataFrame) -> DataFrame:
 
 def by_quantity_then_cost(sales: DataFrame) -> DataFrame:
     """Quantity up, cost down; the sort keys need not be among the result columns."""
-    return (
-        _priced(sales)
-        .orderBy(F.col("cs_quantity").asc(), F.col("cs_wholesale_cost").desc())
-        .select(*ORDER_COLUMNS)
-    )
+    order = [F.col("cs_quantity").asc(), F.col("cs_wholesale_cost").desc()]
+    return sort_spread(_priced(sales), *order).select(*ORDER_COLUMNS)
 
 
 def by_quantity_and_cost(sales: DataFrame) -> DataFrame:
     """Both up: where a list of flags is given, it decides the directions."""
-    return (
-        _priced(sales)
-        .orderBy(["cs_quantity", "cs_wholesale_cost"], ascending=[1, 1])
-        .select(*ORDER_COLUMNS)
-    )
+    order = directed({"cs_quantity": 1, "cs_wholesale_cost": 1})
+    return sort_spread(_priced(sales), *order).select(*ORDER_COLUMNS)
 
 
 def quantity_totals(sales: DataFrame) -> DataFrame:

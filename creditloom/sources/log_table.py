@@ -42,7 +42,9 @@ def append_query(name: str, rows: DataFrame) -> None:
 
 def append_values(spark: SparkSession, name: str, rows: Iterable[tuple[date, str, int]]) -> None:
     """Append literal rows. Each is cast: Spark refuses to store a plain string as a DATE."""
-    args = [value for row in rows for value in row]
-    row = "(CAST(? AS DATE), CAST(? AS STRING), CAST(? AS DECIMAL(38,0)))"
-    values = ", ".join([row] * (len(args) // 3))
-    spark.sql(f"INSERT INTO {name} VALUES {values}", args=args)
+    # Named markers: Spark 4.1 binds positional ones out of order in a list of VALUES.
+    args, values = {}, []
+    for i, (day, pool, credits) in enumerate(rows):
+        args |= {f"d{i}": day, f"p{i}": pool, f"c{i}": credits}
+        values.append(f"(CAST(:d{i} AS DATE), CAST(:p{i} AS STRING), CAST(:c{i} AS DECIMAL(38,0)))")
+    spark.sql(f"INSERT INTO {name} VALUES {', '.join(values)}", args=args)

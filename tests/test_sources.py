@@ -1,0 +1,77 @@
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import types as T
+
+from creditloom.sources import log_table
+from creditloom.sources.shared import shared_folder
+
+FIELDS = T.StructType([T.StructField(n, T.StringType()) for n in ("name", "url", "username", "code")])
+
+
+def test_csv_with_schema(spark, tmp_path):
+    """No header option: a header line is data, short rows are filled, extra fields dropped."""
+    (tmp_path / "in.csv").write_text('name,url,username,code\na,b,c,d\nx,y\np,,"q,r",s,extra\n')
+    rows = [tuple(r) for r in spark.read.schema(FIELDS).csv(str(tmp_path / "in.csv")).collect()]
+    assert rows == [
+        ("name", "url", "username", "code"),
+        ("a", "b", "c", "d"),
+        ("x", "y", None, None),
+        ("p", None, "q,r", "s"),
+    ]
+
+
+def test_local_rows_infer_types(spark):
+    df = spark.createDataFrame([(1, "one"), (2, "two")], schema=["col_1", "col_2"])
+    assert df.schema.simpleString() == "struct<col_1:bigint,col_2:string>"
+    assert [tuple(r) for r in df.collect()] == [(1, "one"), (2, "two")]
+
+
+def test_range_excludes_its_end(spark):
+    values = [r["col_a"] for r in spark.range(1, 100, 3).toDF("col_a").collect()]
+    assert len(values) == 33 and max(values) == 97
+
+
+def test_log_table(spark):
+    name = log_table.create_log_table(spark)
+    log_table.append_values(spark, name, log_table.SAMPLE_ROWS)
+    more = spark.createDataFrame([(date(2024, 1, 1), "A_WH", Decimal(7))],
+                                 "d date, w string, c decimal(38,0)")
+    log_table.append_query(name, more)
+    table = spark.table(name)
+    assert [f.dataType.simpleString() for f in table.schema] == ["date", "string", "decimal(38,0)"]
+    rows = {tuple(r) for r in table.collect()}
+    assert len(rows) == 6
+    assert (date(2022, 11, 8), "ML_LOAD_WH", Decimal(1398)) in rows
+    assert (date(2024, 1, 1), "A_WH", Decimal(7)) in rows
+    assert spark.table(name.removeprefix("spark_catalog.")).count() == 6
+
+
+def test_log_table_refuses(spark):
+    name = log_table.create_log_table(spark)
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        log_table.append_values(spark, name, [(date(2024, 1, 1), "x" * 10001, 1)])
+    with pytest.raises(Exception, match="CANNOT_SAFELY_CAST"):
+        spark.sql(f"INSERT INTO {name} VALUES ('2022-11-08', 'A_WH', 1)")
+    assert spark.table(name).count() == 0
+
+
+def test_shared_folder(spark, conf):
+    base = spark.conf.get("spark.checkpoint.dir")
+    first, second = shared_folder(spark, "x"), shared_folder(spark, "x")
+    assert first.startswith(f"{base}/creditloom-x-") and first != second
+
+
+class ClusterSession:
+    """Stands in for a session on a cluster that names no shared folder."""
+
+    class conf:
+        @staticmethod
+        def get(key, default=None):
+            return {"spark.master": "yarn"}.get(key, default)
+
+
+def test_no_local_folder_on_a_cluster():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(ClusterSession(), "x")
