@@ -4,17 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-# What a broadcast side may hold, as text and per-row overhead measured before the join.
+# What a broadcast side may hold, by the measure below.
 BROADCAST_BYTES = 64 << 20
 ROW_BYTES = 64
+# A power of two.
 SALTS = 16
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """The size of ``df`` as text plus a fixed part per row; one aggregate over it."""
-    texts = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns]
-    row = sum(texts, F.lit(ROW_BYTES)).cast("bigint")
+    """The size of ``df``: its strings, and a fixed part per row for all else. One aggregate."""
+    names = [field.name for field in df.schema if isinstance(field.dataType, StringType)]
+    texts = [F.coalesce(F.octet_length(name).cast("bigint"), F.lit(0)) for name in names]
+    row = sum(texts, F.lit(ROW_BYTES).cast("bigint"))
     return df.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
 
 
@@ -29,6 +32,10 @@ def join_hot_keys(
     if broadcast:
         return rows.join(F.broadcast(side), keys)
     salt = "_salt"
-    salted = rows.withColumn(salt, F.pmod(F.xxhash64(*salt_by), F.lit(SALTS)).cast("int"))
-    repeated = side.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(repeated, [*keys, salt]).drop(salt)
+    # Never null, so the join adds no filter to ``rows`` and can share their shuffle with others.
+    low_bits = F.xxhash64(*salt_by).bitwiseAND(F.lit(SALTS - 1).cast("bigint"))
+    salted = rows.withColumn(salt, low_bits)
+    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
+    repeated = side.withColumn(salt, F.explode(salts))
+    # Hashing the side's share of each partition spares sorting the rows, which are many more.
+    return salted.join(repeated.hint("shuffle_hash"), [*keys, salt]).drop(salt)

@@ -20,7 +20,7 @@ NODES = (
     "array<struct<pos:int,parent_pos:int,end_pos:int,tag:string,"
     "attrs:map<string,string>,text:string>>"
 )
-# A record batch is sent once its pages hold this much markup, however few pages that is.
+# A record batch is sent once its markup and texts reach this size, however few pages that is.
 BATCH_CHARS = 8 << 20
 
 # Attributes that hold a list of names.
@@ -66,8 +66,9 @@ def parse_pages(
             found: list = []
             for at, text in enumerate(batch.column(1)):
                 markup = text.as_py()
-                found.append(read_nodes(markup, wanted, with_text))
-                chars += len(markup or "")
+                nodes = read_nodes(markup, wanted, with_text)
+                found.append(nodes)
+                chars += len(markup or "") + sum(len(node.text or "") for node in nodes or ())
                 if chars >= BATCH_CHARS:
                     yield _to_batch(key, batch.column(0)[start : at + 1], found)
                     start, chars, found = at + 1, 0, []
