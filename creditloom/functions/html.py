@@ -119,6 +119,10 @@ class PageReader(HTMLParser):
             self._close_last()
         self._close_last()
 
+    def updatepos(self, i, j):
+        """Line numbers are not needed."""
+        return j
+
     def handle_data(self, data):
         self.pending.append(data)
 

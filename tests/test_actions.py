@@ -6,6 +6,7 @@ import pandas
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from creditloom.functions.versions import register_versions
 from creditloom.operators.concurrent import collect_nowait, start_all
 
@@ -54,6 +55,16 @@ def test_tags_are_per_action(spark):
     assert spark.getTags() == set()
 
 
+def test_results_as_rows_pandas_and_text(spark, sf_dir, capsys):
+    """A bounded result may come to the driver: as rows, as a pandas frame, or printed."""
+    shapes = queries()["query_shapes"](spark, sf_dir)
+    frame = shapes.toPandas()
+    assert len(frame) == len(shapes.collect()) == 20
+    assert list(frame.columns) == shapes.columns
+    shapes.show(5)
+    assert "only showing top 5 rows" in capsys.readouterr().out
+
+
 def test_lazy_until_an_action(spark):
     """A bad row fails when collected, not when the frame is built."""
     df = spark.range(3).select((F.lit(1) / (F.col("id") - 1)).alias("x"))

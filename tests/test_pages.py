@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from creditloom.functions.html import read_nodes
@@ -82,6 +84,36 @@ def test_scraps_do_not_fail(html):
     read_nodes(html, None, True)
 
 
+PIECES = ["<a>", "</a>", "<b c='1'>", "</b>", "<br>", "<br/>", "<p>", "</p>", "x", " ", "&amp;",
+          "<!-- c -->", "<script>", "</script>", "<b", ">", "<ul><li>", "</ul>", "\n"]
+
+
+@given(st.lists(st.sampled_from(PIECES), max_size=40).map("".join))
+def test_nodes_form_a_tree(html):
+    nodes = read_nodes(html, None, True)
+    assert [n.pos for n in nodes] == list(range(len(nodes)))
+    for node in nodes:
+        below = nodes[node.pos + 1 : node.end_pos + 1]
+        assert all(n.parent_pos is not None and n.parent_pos >= node.pos for n in below)
+        if node.parent_pos is not None:
+            parent = nodes[node.parent_pos]
+            assert parent.pos < node.pos <= node.end_pos <= parent.end_pos
+            assert parent.tag not in (P.TEXT, "br")
+        if node.tag not in (P.TEXT, "script"):
+            own = [n for n in below if n.tag == P.TEXT and nodes[n.parent_pos].tag != "script"]
+            assert node.text == "".join(n.text for n in own)
+
+
+@given(st.lists(st.sampled_from(PIECES), max_size=40).map("".join))
+def test_kept_tags_are_a_selection(html):
+    everything = read_nodes(html, None, True)
+    chosen = read_nodes(html, frozenset(["b", "li"]), True)
+    key = [(n.pos, n.parent_pos, n.end_pos, n.tag, n.attrs, n.text) for n in everything]
+    assert [(n.pos, n.parent_pos, n.end_pos, n.tag, n.attrs, n.text) for n in chosen] == [
+        k for k in key if k[3] in ("b", "li")
+    ]
+
+
 def test_deep_nesting():
     assert len(read_nodes("<i>" * 20_000 + "x", None, False)) == 20_001
 

@@ -4,7 +4,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import types as T
 
-from creditloom.sources import log_table
+from creditloom.plans import sales as S
+from creditloom.sources import log_table, views
 from creditloom.sources.shared import shared_folder
 
 FIELDS = T.StructType([T.StructField(n, T.StringType()) for n in ("name", "url", "username", "code")])
@@ -57,6 +58,16 @@ def test_log_table_refuses(spark):
     assert spark.table(name).count() == 0
 
 
+def test_tables_by_name(spark, sf_dir):
+    """Two- and three-part names; plans work on them as on files."""
+    spark.sql("CREATE SCHEMA IF NOT EXISTS edw")
+    views.sales(spark, sf_dir).write.mode("overwrite").saveAsTable("edw.sales")
+    table, full = spark.table("edw.sales"), spark.table("spark_catalog.edw.sales")
+    assert S.quantity_totals(table).collect() == S.quantity_totals(full).collect()
+    first = spark.sql("select * from edw.sales limit 10")
+    assert first.count() == 10 and first.columns == table.columns
+
+
 def test_shared_folder(spark, conf):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_folder(spark, "x"), shared_folder(spark, "x")
