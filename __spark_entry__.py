@@ -169,7 +169,7 @@ def csv_scan(spark, sf):
 
 def parsed(spark, sf, tags=None, with_text=True):
     pages = views.read_table(spark, sf, "pages")
-    return P.parse_pages(P.spread(pages, "page_id"), tags=tags, with_text=with_text)
+    return P.parse_pages(P.spread(pages), tags=tags, with_text=with_text)
 
 
 def page_elements_by_tag_attr(spark, sf):
@@ -212,9 +212,9 @@ def page_text_contains(spark, sf):
 
 def page_first_inside(spark, sf):
     """The link inside each list item whose text contains the word."""
-    rows = P.node_rows(parsed(spark, sf, ["li", "a"]))
-    items = P.first_inside(rows, P.where(tag="li", contains="an"), P.where(tag="a"))
-    return items.select("page_id", "text", F.col("found.attrs")["href"].alias("href"))
+    items = P.first_inside("nodes", P.where(tag="li", contains="an"), P.where(tag="a"))
+    found = parsed(spark, sf, ["li", "a"]).select("page_id", F.inline(items))
+    return found.select("page_id", "node.text", F.col("found.attrs")["href"].alias("href"))
 
 
 def page_tag_census(spark, sf):
@@ -476,9 +476,9 @@ def oracle_sql() -> dict[str, str]:
         "report_page": f"""WITH {USER_CREDITS}, {QUERY_SHAPES.removeprefix(USAGE + ",")}
             SELECT section, place, line FROM (VALUES {_fixed_lines()}) AS v(section, place, line)
             UNION ALL
-            SELECT 1, -approximate_credits_used, {USER_HTML} FROM user_credits
+            SELECT 1, 0 - approximate_credits_used, {USER_HTML} FROM user_credits
             UNION ALL
-            SELECT 3, CAST(-number_of_queries AS DOUBLE), {SHAPE_HTML} FROM shapes""",
+            SELECT 3, CAST(0 - number_of_queries AS DOUBLE), {SHAPE_HTML} FROM shapes""",
         "sales_select": f"WITH {SALES} SELECT cs_sold_time_sk FROM sales",
         "sales_rename": f"""WITH {SALES}
             SELECT cs_sold_time_sk AS column1, cs_bill_cdemo_sk FROM sales""",

@@ -22,13 +22,17 @@ TEXT = "#text"
 
 
 class Node:
-    """An element or a text node; ``end_pos`` is the position of its last descendant."""
+    """An element or a text node; ``below`` counts the kept nodes among its descendants.
 
-    __slots__ = ("pos", "parent_pos", "end_pos", "tag", "attrs", "text", "start")
+    Nodes are in document order, so its descendants are the ``below`` nodes that follow it.
+    """
+
+    __slots__ = ("pos", "parent_pos", "below", "tag", "attrs", "text", "start")
 
     def __init__(self, pos, parent_pos, tag, attrs, text=None, start=0):
-        self.pos = self.end_pos = pos
+        self.pos = pos
         self.parent_pos = parent_pos
+        self.below = 0
         self.tag = tag
         self.attrs = attrs
         self.text = text
@@ -56,7 +60,6 @@ class PageReader(HTMLParser):
         self._end_string()
         while self.open:
             self._close_last()
-        self.nodes.sort(key=lambda node: node.pos)
         return self.nodes
 
     def _keeps(self, tag: str) -> bool:
@@ -66,6 +69,10 @@ class PageReader(HTMLParser):
         parent = self.open[-1].pos if self.open else None
         node = Node(self.next_pos, parent, tag, attrs or {}, text, start)
         self.next_pos += 1
+        if self._keeps(tag):
+            self.nodes.append(node)
+        # Until the element closes: the number of nodes up to and including itself.
+        node.below = len(self.nodes)
         return node
 
     def _end_string(self) -> None:
@@ -78,9 +85,7 @@ class PageReader(HTMLParser):
         if self.with_text:
             kind = self.apart[-1] if self.apart else None
             self.strings.setdefault(kind, []).append(text)
-        node = self._add(TEXT, text=text)
-        if self._keeps(TEXT):
-            self.nodes.append(node)
+        self._add(TEXT, text=text).below = 0
 
     def _close_last(self) -> None:
         node = self.open.pop()
@@ -89,11 +94,9 @@ class PageReader(HTMLParser):
         kind = None
         if tag in APART_TAGS:
             kind = self.apart.pop()
-        if self._keeps(tag):
-            node.end_pos = self.next_pos - 1
-            if self.with_text:
-                node.text = "".join(self.strings.get(kind, [])[node.start :])
-            self.nodes.append(node)
+        node.below = len(self.nodes) - node.below
+        if self.with_text and self._keeps(tag):
+            node.text = "".join(self.strings.get(kind, [])[node.start :])
 
     def handle_starttag(self, tag, attrs):
         self._end_string()

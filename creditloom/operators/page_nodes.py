@@ -10,14 +10,14 @@ from collections.abc import Callable, Collection, Iterable, Iterator, Mapping
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.functions import html as html_reader
 from creditloom.functions.html import TEXT, read_nodes
 
 NODES = (
-    "array<struct<pos:int,parent_pos:int,end_pos:int,tag:string,"
+    "array<struct<pos:int,parent_pos:int,below:int,tag:string,"
     "attrs:map<string,string>,text:string>>"
 )
 # A record batch is sent once its markup and texts reach this size, however few pages that is.
@@ -31,7 +31,7 @@ cloudpickle.register_pickle_by_value(html_reader)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def spread(pages: DataFrame, key: str) -> DataFrame:
+def spread(pages: DataFrame) -> DataFrame:
     """Cut a scan with fewer splits than cores into more; leave a larger one as it is.
 
     Parsing is CPU work in Python, and a small file is one split. Only for plans without a shuffle:
@@ -40,7 +40,7 @@ def spread(pages: DataFrame, key: str) -> DataFrame:
     cores = pages.sparkSession.sparkContext.defaultParallelism
     if pages.rdd.getNumPartitions() >= cores:
         return pages
-    return pages.repartition(cores, key)
+    return pages.repartition(cores)
 
 
 def parse_pages(
@@ -55,7 +55,7 @@ def parse_pages(
     ``tags`` names the tags to keep (``TEXT`` for text nodes) and ``with_text=False`` leaves the
     texts out: both keep what no later step reads out of the transfer from Python. The text of an
     element is that of all its descendants, so nested elements repeat it; name the tags you need.
-    Nodes are null for a null page and for one the tokenizer rejects.
+    Nodes are null for a null page and for one the tokenizer rejects. ``key`` need not be unique.
     """
     wanted = None if tags is None else frozenset(tags)
     source = pages.select(key, html)
@@ -96,7 +96,7 @@ def _to_batch(key: str, keys: pa.Array, found: list) -> pa.RecordBatch:
     columns = {
         "pos": pa.array([n.pos for n in nodes], pa.int32()),
         "parent_pos": pa.array([n.parent_pos for n in nodes], pa.int32()),
-        "end_pos": pa.array([n.end_pos for n in nodes], pa.int32()),
+        "below": pa.array([n.below for n in nodes], pa.int32()),
         "tag": pa.array([n.tag for n in nodes], pa.string()),
         "attrs": attrs,
         "text": pa.array([n.text for n in nodes], pa.string()),
@@ -110,7 +110,7 @@ def _to_batch(key: str, keys: pa.Array, found: list) -> pa.RecordBatch:
 
 
 def node_rows(parsed: DataFrame, key: str = "page_id") -> DataFrame:
-    """One row per node: ``(key, pos, parent_pos, end_pos, tag, attrs, text)``."""
+    """One row per node: ``(key, pos, parent_pos, below, tag, attrs, text)``."""
     return parsed.select(key, F.inline("nodes"))
 
 
@@ -159,24 +159,18 @@ def first_node(nodes: Column | str, matches: Callable[[Column], Column]) -> Colu
 
 
 def first_inside(
-    rows: DataFrame,
-    outer: Callable[[Column], Column],
-    inner: Callable[[Column], Column],
-    key: str = "page_id",
-) -> DataFrame:
-    """Every ``outer`` node of ``node_rows`` with ``found``, the first ``inner`` node below it.
+    nodes: Column | str, outer: Callable[[Column], Column], inner: Callable[[Column], Column]
+) -> Column:
+    """For every ``outer`` node of a page a ``(node, found)``, the first ``inner`` node below it.
 
-    Read backwards through the page, the last inner node seen is the first that follows, so one
-    running value per row is enough and no pairs are formed. It is below when it starts no later
-    than the outer node's last descendant.
+    The descendants of a node are the ``below`` entries after it, so each search reads only that
+    slice. ``found`` is null when there is none.
     """
-    node = F.struct("pos", "parent_pos", "end_pos", "tag", "attrs", "text")
-    from_end = Window.partitionBy(key).orderBy(F.col("pos").desc())
-    following = F.last(F.when(inner(node), node), ignorenulls=True).over(
-        from_end.rowsBetween(Window.unboundedPreceding, -1)
-    )
-    paired = rows.filter(outer(node) | inner(node)).withColumn("following", following)
-    below = F.col("following.pos") <= F.col("end_pos")
-    return paired.filter(outer(node)).select(
-        key, *[c for c in rows.columns if c != key], F.when(below, F.col("following")).alias("found")
-    )
+    nodes = F.col(nodes) if isinstance(nodes, str) else nodes
+    placed = F.transform(nodes, lambda node, i: F.struct(node.alias("node"), i.alias("place")))
+
+    def search(at: Column) -> Column:
+        below = F.slice(nodes, at["place"] + 2, at["node"]["below"])
+        return F.struct(at["node"].alias("node"), first_node(below, inner).alias("found"))
+
+    return F.transform(F.filter(placed, lambda at: outer(at["node"])), search)

@@ -182,14 +182,14 @@ def report_lines(
     names = "section int, place double, tie1 string, tie2 string, line string"
     users = user_credits.select(
         F.lit(1).alias("section"),
-        (-F.col("approximate_credits_used")).alias("place"),
+        (F.lit(0) - F.col("approximate_credits_used")).alias("place"),
         F.col("user_name").alias("tie1"),
         F.col("warehouse_name").alias("tie2"),
         user_credit_html(user_credits).alias("line"),
     )
     queries = shapes.select(
         F.lit(3).alias("section"),
-        (-F.col("number_of_queries")).cast("double").alias("place"),
+        (F.lit(0) - F.col("number_of_queries")).cast("double").alias("place"),
         F.col("partial_query_text").alias("tie1"),
         F.lit("").alias("tie2"),
         query_shape_html(shapes).alias("line"),

@@ -67,10 +67,11 @@ def test_self_closed_and_void():
 
 def test_positions():
     nodes = read_nodes("<a>x<b><c></c></b></a><d></d>", None, False)
-    found = [(n.tag, n.pos, n.parent_pos, n.end_pos) for n in nodes]
+    found = [(n.tag, n.pos, n.parent_pos, n.below) for n in nodes]
     assert found == [
-        ("a", 0, None, 3), (P.TEXT, 1, 0, 1), ("b", 2, 0, 3), ("c", 3, 2, 3), ("d", 4, None, 4),
+        ("a", 0, None, 3), (P.TEXT, 1, 0, 0), ("b", 2, 0, 1), ("c", 3, 2, 0), ("d", 4, None, 0),
     ]
+    assert [n.below for n in read_nodes("<a>x<b><c></c></b></a>", frozenset("ac"), False)] == [1, 0]
 
 
 def test_kept_tags_do_not_move_positions():
@@ -93,11 +94,12 @@ def test_nodes_form_a_tree(html):
     nodes = read_nodes(html, None, True)
     assert [n.pos for n in nodes] == list(range(len(nodes)))
     for node in nodes:
-        below = nodes[node.pos + 1 : node.end_pos + 1]
+        below = nodes[node.pos + 1 : node.pos + 1 + node.below]
+        end = node.pos + node.below
         assert all(n.parent_pos is not None and n.parent_pos >= node.pos for n in below)
         if node.parent_pos is not None:
             parent = nodes[node.parent_pos]
-            assert parent.pos < node.pos <= node.end_pos <= parent.end_pos
+            assert parent.pos < node.pos <= end <= parent.pos + parent.below
             assert parent.tag not in (P.TEXT, "br")
         if node.tag not in (P.TEXT, "script"):
             own = [n for n in below if n.tag == P.TEXT and nodes[n.parent_pos].tag != "script"]
@@ -108,10 +110,13 @@ def test_nodes_form_a_tree(html):
 def test_kept_tags_are_a_selection(html):
     everything = read_nodes(html, None, True)
     chosen = read_nodes(html, frozenset(["b", "li"]), True)
-    key = [(n.pos, n.parent_pos, n.end_pos, n.tag, n.attrs, n.text) for n in everything]
-    assert [(n.pos, n.parent_pos, n.end_pos, n.tag, n.attrs, n.text) for n in chosen] == [
-        k for k in key if k[3] in ("b", "li")
+    key = [(n.pos, n.parent_pos, n.tag, n.attrs, n.text) for n in everything]
+    assert [(n.pos, n.parent_pos, n.tag, n.attrs, n.text) for n in chosen] == [
+        k for k in key if k[2] in ("b", "li")
     ]
+    for node in chosen:
+        below = everything[node.pos + 1 : node.pos + 1 + everything[node.pos].below]
+        assert node.below == sum(n.tag in ("b", "li") for n in below)
 
 
 def test_deep_nesting():
@@ -154,22 +159,31 @@ def test_exact_string(status):
     assert tuple(row) == ("East", P.TEXT)
 
 
+def inside(pages, tags, outer, inner):
+    found = P.first_inside("nodes", outer, inner)
+    rows = P.parse_pages(pages, tags=tags).select("page_id", F.inline(found)).collect()
+    ordered = sorted(rows, key=lambda r: (r["page_id"], r["node"]["pos"]))
+    return [r["found"] and r["found"]["text"].strip() for r in ordered]
+
+
 def test_cell_of_the_row_that_names_a_region(status):
-    rows = P.node_rows(P.parse_pages(status, tags=["tr", "td"]))
     cell = P.where(tag="td", attrs={"class": "col-status"})
-    found = P.first_inside(rows, P.where(tag="tr"), cell).orderBy("pos")
-    assert [r["found"] and r["found"]["text"].strip() for r in found.collect()] == [
-        None, "Operational", "Degraded", None,
-    ]
-    west = P.first_inside(rows, P.where(tag="tr", contains="West US"), cell)
-    assert [r["found"]["text"] for r in west.collect()] == ["Degraded"]
+    every = [None, "Operational", "Degraded", None]
+    assert inside(status, ["tr", "td"], P.where(tag="tr"), cell) == every
+    assert inside(status, None, P.where(tag="tr"), cell) == every
+    assert inside(status, ["tr", "td"], P.where(tag="tr", contains="West US"), cell) == ["Degraded"]
 
 
 def test_inside_is_strictly_below(spark):
-    pages = spark.createDataFrame([(1, "<ul><li>a<ul><li>b</li></ul></li></ul>")], "page_id int, html string")
-    rows = P.node_rows(P.parse_pages(pages, tags=["li"]))
-    found = P.first_inside(rows, P.where(tag="li"), P.where(tag="li")).orderBy("pos").collect()
-    assert [r["found"] and r["found"]["text"] for r in found] == ["b", None]
+    html = "<ul><li>a<ul><li>b</li></ul></li></ul><li>c</li>"
+    pages = spark.createDataFrame([(1, html)], "page_id int, html string")
+    assert inside(pages, ["li"], P.where(tag="li"), P.where(tag="li")) == ["b", None, None]
+
+
+def test_copies_of_a_page_do_not_mix(spark):
+    pages = spark.createDataFrame([(1, "<p>a<b>x</b></p>")] * 5 + [(1, "<p>c</p>")], "page_id int, html string")
+    found = inside(pages, ["p", "b"], P.where(tag="p"), P.where(tag="b"))
+    assert sorted(map(str, found)) == ["None"] + ["x"] * 5
 
 
 def test_pages_survive_batches(spark, conf, monkeypatch):
@@ -194,7 +208,6 @@ def test_text_keys_and_null_pages(spark):
 
 
 def test_spread_only_what_is_small(spark):
-    small = spark.range(0, 10, 1, 2).withColumnRenamed("id", "page_id")
-    large = spark.range(0, 10, 1, 64).withColumnRenamed("id", "page_id")
-    assert P.spread(small, "page_id").rdd.getNumPartitions() == 8
-    assert P.spread(large, "page_id") is large
+    small, large = spark.range(0, 10, 1, 2), spark.range(0, 10, 1, 64)
+    assert P.spread(small).rdd.getNumPartitions() == 8
+    assert P.spread(large) is large
