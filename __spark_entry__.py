@@ -143,11 +143,12 @@ def local_rows(spark, sf):
     words = "one two three four five six seven".split()
     names = spark.createDataFrame(list(enumerate(words, start=1)), schema=["col_1", "col_2"])
     lines = views.sales(spark, sf).groupBy("cs_line_number").agg(F.count("*").alias("n"))
-    return lines.join(names, lines["cs_line_number"] == names["col_1"]).select("col_1", "col_2", "n")
+    named = lines.join(names, lines["cs_line_number"] == names["col_1"])
+    return named.select("col_1", "col_2", "n")
 
 
 def csv_scan(spark, sf):
-    """Parts written as delimited text, some rows short, long or with empty fields, and read back."""
+    """Parts written as text, some rows short, long or with empty fields, and read as CSV."""
     kind = F.col("p_partkey") % 4
     name, url, user = F.col("p_name"), F.col("p_brand"), F.col("p_type")
     size, empty = F.col("p_size").cast("string"), F.lit("")

@@ -14,8 +14,10 @@ def by_name(*pairs: tuple[str, str] | Mapping[str, str]) -> list[Column]:
     ``DataFrame.agg`` takes the dict but not the pairs, and a dict names each column once only.
     The results are called ``min_a``, ``max_b``.
     """
-    flat = [p for group in pairs for p in (group.items() if isinstance(group, Mapping) else [group])]
-    return [getattr(F, fn)(column).alias(f"{fn}_{column}") for column, fn in flat]
+    named = []
+    for pair in pairs:
+        named += pair.items() if isinstance(pair, Mapping) else [pair]
+    return [getattr(F, fn)(column).alias(f"{fn}_{column}") for column, fn in named]
 
 
 def pivot_mean(

@@ -130,7 +130,8 @@ def daily_credit_html(daily: DataFrame, escaped: bool = False) -> Column:
 def shape_fragment(shapes: DataFrame) -> DataFrame:
     """The rows of ``query_shapes`` as one string; its limit bounds the list."""
     row = F.struct(
-        (-F.col("number_of_queries")).alias("rank"), "partial_query_text",
+        (-F.col("number_of_queries")).alias("rank"),
+        "partial_query_text",
         query_shape_html(shapes).alias("html"),
     )
     rows = F.array_sort(F.collect_list(row))
@@ -149,7 +150,8 @@ USER_HEAD = [
     "<tr><th>USER NAME</th><th>WAREHOUSE NAME</th><th>APPROX. CREDITS USED</th></tr>",
 ]
 SHAPE_HEAD = [
-    "</table>", "<br>", "<h3>Queries by # Executed and their Execution Time</h3>", "<br>", "<table>",
+    "</table>", "<br>", "<h3>Queries by # Executed and their Execution Time</h3>", "<br>",
+    "<table>",
     "<tr><th>PARTIAL QUERY TEXT</th><th>NUMBER OF QUERIES</th><th>EXECUTION TIME IN MINS</th></tr>",
 ]
 REPORT_END = ["<br>", "<br>", "<hr/>", "</body>", "</html>"]

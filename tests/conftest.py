@@ -6,6 +6,7 @@ from datetime import datetime
 from pathlib import Path
 
 import pytest
+from pyspark import TaskContext
 
 ROOT = Path(__file__).resolve().parent.parent
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
@@ -17,8 +18,9 @@ from creditloom.session import local_session  # noqa: E402
 def spark(tmp_path_factory):
     shared = tmp_path_factory.mktemp("shared")
     warehouse = tmp_path_factory.mktemp("warehouse")
+    # Two attempts per task, for the tests that make one fail.
     session = local_session(
-        8, spark__checkpoint__dir=str(shared), spark__sql__warehouse__dir=str(warehouse)
+        "8,2", spark__checkpoint__dir=str(shared), spark__sql__warehouse__dir=str(warehouse)
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
@@ -61,3 +63,15 @@ def executed_plan(df) -> str:
     """The final plan, after the adaptive re-planning of a run."""
     df.collect()
     return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def failing_once(df, partition: int):
+    """``df``, whose task ``partition`` fails at its first attempt after reading all its rows."""
+
+    def read(batches):
+        yield from batches
+        context = TaskContext.get()
+        if context.partitionId() == partition and context.attemptNumber() == 0:
+            raise RuntimeError("lost on purpose")
+
+    return df.mapInArrow(read, df.schema)

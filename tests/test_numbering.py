@@ -3,7 +3,7 @@ from random import Random
 from urllib.parse import urlparse
 
 import pytest
-from conftest import executed_plan
+from conftest import executed_plan, failing_once
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -56,10 +56,23 @@ def test_one_key_and_copies_are_spread(spark, tmp_path, conf):
     )
     assert out_of_order.count() == 0
     folder = Path(urlparse(numbered.inputFiles()[0]).path).parent
-    sizes = [r["count"] for r in spark.read.parquet(str(folder)).groupBy("_n_part").count().collect()]
+    parts = spark.read.parquet(str(folder)).groupBy("_n_part").count()
+    sizes = [r["count"] for r in parts.collect()]
     assert len(sizes) > 4 and max(sizes) < n / 3
 
 
+def test_a_lost_task_changes_nothing(spark, tmp_path):
+    spark.range(0, 40_000, 1, 8).selectExpr("id % 5 AS k", "0 AS t", "id").write.parquet(
+        str(tmp_path / "rows")
+    )
+    stored = spark.read.parquet(str(tmp_path / "rows"))
+    numbered = global_row_number(failing_once(stored, 3), order(), "n").collect()
+    assert sorted(r["n"] for r in numbered) == list(range(1, 40_001))
+    assert sorted(r["id"] for r in numbered) == list(range(40_000))
+    in_order = sorted(numbered, key=lambda r: r["n"])
+    assert [r["k"] for r in in_order] == sorted((r["k"] for r in numbered), reverse=True)
+
+
 def test_no_row_passes_through_one_task(spark, sf_dir):
     """Only the partition sizes meet in a single task."""
     plan = executed_plan(S.numbered(views.sales(spark, sf_dir)))

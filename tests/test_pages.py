@@ -1,4 +1,5 @@
 import pytest
+from conftest import failing_once
 from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -20,7 +21,8 @@ STATUS_PAGE = """<html><body>
 
 def nodes_of(html, tags=None, with_text=True):
     wanted = None if tags is None else frozenset(tags)
-    return [(n.tag, n.text, n.parent_pos) for n in read_nodes(html, wanted, with_text)]
+    nodes = read_nodes(html, wanted, with_text)
+    return [(n.tag, n.text, n.parent_pos) for n in nodes]
 
 
 def elements(html):
@@ -134,7 +136,9 @@ def test_first_by_tag_and_attributes(status):
     both = P.where(tag="div", attrs={"class": "status-green", "data-id": "a2"})
     first = P.first_node("nodes", both)
     rows = parsed.select("page_id", first["text"], first["attrs"]["data-status"]).orderBy("page_id")
-    assert [tuple(r) for r in rows.collect()] == [(1, "East", "degraded"), (2, None, None), (3, None, None)]
+    assert [tuple(r) for r in rows.collect()] == [
+        (1, "East", "degraded"), (2, None, None), (3, None, None),
+    ]
 
 
 def test_first_by_attribute_alone(status):
@@ -181,17 +185,18 @@ def test_inside_is_strictly_below(spark):
 
 
 def test_copies_of_a_page_do_not_mix(spark):
-    pages = spark.createDataFrame([(1, "<p>a<b>x</b></p>")] * 5 + [(1, "<p>c</p>")], "page_id int, html string")
+    rows = [(1, "<p>a<b>x</b></p>")] * 5 + [(1, "<p>c</p>")]
+    pages = spark.createDataFrame(rows, "page_id int, html string")
     found = inside(pages, ["p", "b"], P.where(tag="p"), P.where(tag="b"))
     assert sorted(map(str, found)) == ["None"] + ["x"] * 5
 
 
 def test_pages_survive_batches(spark, conf, monkeypatch):
     """Pages larger than a batch's share and batches of a few pages give the same rows."""
+    text = F.repeat(F.lit("x"), (F.col("id") * 7).cast("int"))
     pages = spark.range(0, 500, 1, 3).select(
-        F.col("id").alias("page_id"),
-        F.concat(F.lit("<p>"), F.repeat(F.lit("x"), (F.col("id") * 7).cast("int")), F.lit("</p>")).alias("html"),
-    )
+        F.col("id").alias("page_id"), F.concat(F.lit("<p>"), text, F.lit("</p>")).alias("html")
+    )
     monkeypatch.setattr(P, "BATCH_CHARS", 1000)
     conf(spark__sql__execution__arrow__maxRecordsPerBatch="7")
     rows = P.node_rows(P.parse_pages(pages, tags=["p"]))
@@ -199,8 +204,17 @@ def test_pages_survive_batches(spark, conf, monkeypatch):
     assert sizes == {i: i * 7 for i in range(500)}
 
 
+def test_a_lost_task_repeats_no_page(spark):
+    pages = spark.range(0, 200, 1, 8).select(
+        F.col("id").alias("page_id"), F.concat(F.lit("<p>"), "id", F.lit("</p>")).alias("html")
+    )
+    rows = P.node_rows(failing_once(P.parse_pages(pages, tags=["p"]), 2)).collect()
+    assert sorted((r["page_id"], r["text"]) for r in rows) == [(i, str(i)) for i in range(200)]
+
+
 def test_text_keys_and_null_pages(spark):
-    pages = spark.createDataFrame([("u1", "<p>a</p>"), ("u2", None), ("u3", "")], "url string, body string")
+    rows = [("u1", "<p>a</p>"), ("u2", None), ("u3", "")]
+    pages = spark.createDataFrame(rows, "url string, body string")
     parsed = P.parse_pages(pages, key="url", html="body").orderBy("url").collect()
     assert [(r["url"], None if r["nodes"] is None else len(r["nodes"])) for r in parsed] == [
         ("u1", 2), ("u2", None), ("u3", 0),

@@ -11,7 +11,9 @@ from creditloom.functions.text import float_text, html_row
 from creditloom.plans import report_sql, reports
 
 
-def usage_row(user="ann", pool="A_WH", start="2024-01-15 10:30:00", time=100, elapsed=100, text="q"):
+def usage_row(
+    user="ann", pool="A_WH", start="2024-01-15 10:30:00", time=100, elapsed=100, text="q"
+):
     return (user, pool, at(start), time, elapsed, text)
 
 
@@ -100,7 +102,8 @@ def test_credits_against_brute_force(spark, broadcast_bytes):
 def test_user_credits_are_in_order(spark):
     usage = [usage_row("b"), usage_row("a"), usage_row("c", time=300)]
     frames = spark.createDataFrame(usage, USAGE), spark.createDataFrame([meter_row()], METERING)
-    assert [r[0] for r in reports.user_credits(*frames, at("2024-02-10")).collect()] == ["c", "a", "b"]
+    rows = reports.user_credits(*frames, at("2024-02-10")).collect()
+    assert [r["user_name"] for r in rows] == ["c", "a", "b"]
 
 
 def daily(spark, metering, as_of):
@@ -133,7 +136,8 @@ def test_month_end_is_clamped(spark):
 
 
 def shapes(spark, rows, **options):
-    df = reports.query_shapes(spark.createDataFrame(rows, USAGE), at("2024-02-01 12:00:00"), **options)
+    usage = spark.createDataFrame(rows, USAGE)
+    df = reports.query_shapes(usage, at("2024-02-01 12:00:00"), **options)
     return [tuple(r) for r in df.collect()]
 
 
@@ -154,7 +158,10 @@ def test_sql_text_gives_the_same(spark):
     now, views = at("2024-02-10"), {"usage": usage, "metering": metering}
     run = report_sql.run_report
     pairs = [
-        (run(spark, report_sql.USER_CREDITS, now, views), reports.user_credits(usage, metering, now)),
+        (
+            run(spark, report_sql.USER_CREDITS, now, views),
+            reports.user_credits(usage, metering, now),
+        ),
         (run(spark, report_sql.DAILY_CREDITS, now, views), reports.daily_credits(metering, now)),
         (
             run(spark, report_sql.QUERY_SHAPES, now, views, at_least=10, top=20),
@@ -178,7 +185,8 @@ def test_zoned_timestamps_work_too(spark):
 def test_matrix_equals_pandas(spark):
     rows = [
         ("2024-01-02", "A", 4), ("2024-01-02", "A", 7), ("2024-01-01", "B", 1),
-        ("2024-01-03", "B", None), (None, "A", 5), ("2024-01-01", None, 9), ("2024-01-02", "C", None),
+        ("2024-01-03", "B", None), (None, "A", 5), ("2024-01-01", None, 9),
+        ("2024-01-02", "C", None),
     ]
     names = ["start_date", "warehouse_name", "credits_used_date_wh"]
     log = spark.createDataFrame(rows, "start_date string, warehouse_name string,"

@@ -34,8 +34,8 @@ def test_prefix_of_a_number(spark):
 
 
 def test_filters(spark):
-    rows = [sale(time=510, cdemo=3), sale(time=510, cdemo=4), sale(time=9, cdemo=3), sale(time=None)]
-    df = frame(spark, *rows, sale(time=None, cdemo=9))
+    keys = [(510, 3), (510, 4), (9, 3), (None, 3), (None, 9)]
+    df = frame(spark, *[sale(time=time, cdemo=cdemo) for time, cdemo in keys])
     assert S.cost_at(df, 510, 3).count() == 1
     assert S.cost_at_either(df, 510, 3).count() == 4
 
@@ -99,7 +99,8 @@ def test_group_of_one_has_no_deviation(spark):
 
 
 def test_fill_leaves_other_columns(spark):
-    df = S.filled(frame(spark, sale(quantity=None, cost=None), sale(quantity=None), sale(cost=None)))
+    missing = [sale(quantity=None, cost=None), sale(quantity=None), sale(cost=None)]
+    df = S.filled(frame(spark, *missing))
     assert [tuple(r)[1:3] for r in df.collect()] == [(111, None)]
 
 

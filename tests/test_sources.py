@@ -8,7 +8,8 @@ from creditloom.plans import sales as S
 from creditloom.sources import log_table, views
 from creditloom.sources.shared import shared_folder
 
-FIELDS = T.StructType([T.StructField(n, T.StringType()) for n in ("name", "url", "username", "code")])
+NAMES = ("name", "url", "username", "code")
+FIELDS = T.StructType([T.StructField(name, T.StringType()) for name in NAMES])
 
 
 def test_csv_with_schema(spark, tmp_path):
