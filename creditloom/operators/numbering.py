@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditloom.sources.shared import shared_folder
+from creditloom.sources.shared import written
 
 # monotonically_increasing_id() keeps the row's place within its partition in the low 33 bits.
 PLACE_BITS = (1 << 33) - 1
@@ -21,7 +21,7 @@ def global_row_number(df: DataFrame, order: list[Column], name: str) -> DataFram
 
     A key that holds many rows is cut by the later ``order`` columns, and rows equal in all of them
     by their position in the scan. ``df`` should therefore read tables; after a shuffle positions
-    may change when a task is retried, so write such a frame out first.
+    may change when a task is retried, so pass ``written(df)`` for such a frame.
     """
     position, part, place = f"_{name}_position", f"_{name}_part", f"_{name}_place"
     ordered = (
@@ -34,9 +34,7 @@ def global_row_number(df: DataFrame, order: list[Column], name: str) -> DataFram
             F.monotonically_increasing_id().bitwiseAND(F.lit(PLACE_BITS)).alias(place),
         )
     )
-    folder = shared_folder(df.sparkSession, "numbering")
-    ordered.write.parquet(folder)
-    placed = df.sparkSession.read.schema(ordered.schema).parquet(folder)
+    placed = written(ordered, "numbering")
 
     # One row per written partition, at most spark.sql.shuffle.partitions of them: this bounds both
     # the single-task window and the broadcast.

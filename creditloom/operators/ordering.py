@@ -13,7 +13,7 @@ def sort_spread(df: DataFrame, *order: Column) -> DataFrame:
 
     A range partitioned sort keeps equal keys in one task. With the position as the last key the
     range bounds can also fall within a run of ties, however long. ``df`` should read tables: after
-    a shuffle a retried task may see its rows in another order, so write such a frame out first.
+    a shuffle a retried task may see its rows in another order, so pass ``written(df)`` then.
     """
     position = "_position"
     return (

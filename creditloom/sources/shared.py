@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
@@ -20,3 +20,15 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.gettempdir()
     return f"{base.rstrip('/')}/creditloom-{purpose}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str = "rows") -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, then only read.
+
+    Every reader and every retried task sees the same rows in the same places, whichever executors
+    are lost, and a reader loads only the columns it needs.
+    """
+    spark = df.sparkSession
+    folder = shared_folder(spark, purpose)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)

@@ -2,11 +2,12 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creditloom.plans import sales as S
 from creditloom.sources import log_table, views
-from creditloom.sources.shared import shared_folder
+from creditloom.sources.shared import shared_folder, written
 
 NAMES = ("name", "url", "username", "code")
 FIELDS = T.StructType([T.StructField(name, T.StringType()) for name in NAMES])
@@ -75,6 +76,12 @@ def test_shared_folder(spark, conf):
     assert first.startswith(f"{base}/creditloom-x-") and first != second
 
 
+def test_written_rows_are_computed_once(spark):
+    stored = written(spark.range(100).select("id", F.rand().alias("x")))
+    assert stored.collect() == stored.collect()
+    assert stored.columns == ["id", "x"] and stored.count() == 100
+
+
 class ClusterSession:
     """Stands in for a session on a cluster that names no shared folder."""
 
