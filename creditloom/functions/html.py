@@ -100,7 +100,9 @@ class PageReader(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         self._end_string()
-        values = {name: "" if value is None else value for name, value in attrs}
+        values = None
+        if attrs and self._keeps(tag):
+            values = {name: "" if value is None else value for name, value in attrs}
         kind = tag if tag in APART_TAGS else None
         node = self._add(tag, values, start=len(self.strings.get(kind, ())))
         self.open.append(node)
@@ -151,5 +153,6 @@ def read_nodes(html: str | None, tags: frozenset[str] | None, with_text: bool) -
         return None
     try:
         return PageReader(tags, with_text).read(html)
-    except AssertionError:
+    except (AssertionError, ValueError):
+        # A declaration it cannot read, or a character reference of thousands of digits.
         return None

@@ -13,7 +13,8 @@ from pyspark.util import inheritable_thread_target
 def start_all(spark: SparkSession, actions: Mapping[str, Callable[[], Any]]) -> dict[str, Future]:
     """Start each action on its own driver thread and return at once.
 
-    The jobs of an action carry its name as tag, so ``spark.interruptTag(name)`` stops them.
+    The jobs of an action carry its name as tag, so ``spark.interruptTag(name)`` stops them. Set
+    ``spark.scheduler.mode=FAIR`` to let them share a busy cluster evenly.
     """
     pool = ThreadPoolExecutor(max_workers=max(1, len(actions)))
 

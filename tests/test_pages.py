@@ -121,6 +121,13 @@ def test_kept_tags_are_a_selection(html):
         assert node.below == sum(n.tag in ("b", "li") for n in below)
 
 
+def test_a_rejected_page_does_not_fail_the_others(spark):
+    rows = [(1, "<p>&#" + "9" * 5000 + ";</p>"), (2, "<p>a</p>")]
+    parsed = P.parse_pages(spark.createDataFrame(rows, "page_id int, html string"), tags=["p"])
+    sizes = {r["page_id"]: r["nodes"] and len(r["nodes"]) for r in parsed.collect()}
+    assert sizes == {1: None, 2: 1}
+
+
 def test_deep_nesting():
     assert len(read_nodes("<i>" * 20_000 + "x", None, False)) == 20_001
 
