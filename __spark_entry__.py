@@ -332,9 +332,9 @@ SALES = """sales AS (
   FROM lineitem)"""
 
 SALES_LOGS = """sales_logs AS (
-  SELECT p_partkey AS cs_item_sk, p_brand AS log_tag FROM part WHERE p_partkey % 3 <> 0
+  SELECT p_partkey AS cs_item_sk, p_brand AS log_tag FROM part WHERE p_size > 15
   UNION ALL
-  SELECT p_partkey, p_type FROM part WHERE p_partkey % 10 = 1)"""
+  SELECT p_partkey, concat(p_type, ' ', p_name) FROM part WHERE p_type = 'ECONOMY')"""
 
 USAGE = """usage_history AS (
   SELECT concat('user_', CAST(user_id AS VARCHAR)) AS user_name,

@@ -50,11 +50,13 @@ def sales(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sales_logs(spark: SparkSession, folder: str) -> DataFrame:
-    """Items with a log entry: a third have none, some have two."""
+    """Log entries of items: one for a larger item, one for an economy item, so also none or two."""
     part = read_table(spark, folder, "part")
     item = F.col("p_partkey").alias("cs_item_sk")
-    by_brand = part.filter("p_partkey % 3 <> 0").select(item, F.col("p_brand").alias("log_tag"))
-    by_type = part.filter("p_partkey % 10 = 1").select(item, F.col("p_type").alias("log_tag"))
+    by_brand = part.filter(F.col("p_size") > 15).select(item, F.col("p_brand").alias("log_tag"))
+    by_type = part.filter(F.col("p_type") == "ECONOMY").select(
+        item, F.concat(F.col("p_type"), F.lit(" "), F.col("p_name")).alias("log_tag")
+    )
     return by_brand.unionAll(by_type)
 
 
