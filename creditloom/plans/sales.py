@@ -78,8 +78,14 @@ def extremes(sales: DataFrame) -> DataFrame:
 
 
 def extremes_by_dict(sales: DataFrame) -> DataFrame:
-    return sales.agg({"cs_quantity": "min", "cs_wholesale_cost": "max"}).toDF(
-        "min_cs_quantity", "max_cs_wholesale_cost"
+    names = {
+        "min(cs_quantity)": "min_cs_quantity",
+        "max(cs_wholesale_cost)": "max_cs_wholesale_cost",
+    }
+    return (
+        sales.agg({"cs_quantity": "min", "cs_wholesale_cost": "max"})
+        .withColumnsRenamed(names)
+        .select(*names.values())
     )
 
 
