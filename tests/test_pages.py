@@ -1,9 +1,13 @@
+import re
+from unittest import mock
+
 import pytest
 from conftest import failing_once
 from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from creditloom.functions import html as html_reader
 from creditloom.functions.html import read_nodes
 from creditloom.operators import page_nodes as P
 
@@ -128,6 +132,29 @@ def test_a_rejected_page_does_not_fail_the_others(spark):
     assert sizes == {1: None, 2: 1}
 
 
+TAGS = st.builds(
+    "<{}{}{}>{}".format,
+    st.sampled_from(["p", "DIV", "a1", "br", "title", "script", "b-c", "1", "é"]),
+    st.lists(
+        st.sampled_from([' a="1"', '\n B="x y"', " c", " d='2'", ' e="&amp;"', 'f="3"', ' a="4"',
+                         "\u00a0g=\"5\"", ' h="<"', ' i-j=""', " k=v", "/"])
+    ).map("".join),
+    st.sampled_from(["", " ", "/", " /", "\t", "<"]),
+    st.sampled_from(["", "text", "</p>", "</title>", "</script>"]),
+)
+
+
+@given(st.lists(TAGS, max_size=6).map("".join))
+def test_plain_tags_read_the_same(html):
+    def read():
+        nodes = read_nodes(html, None, True)
+        return [(n.pos, n.parent_pos, n.below, n.tag, n.attrs, n.text) for n in nodes]
+
+    plain = read()
+    with mock.patch.object(html_reader, "PLAIN_TAG", re.compile("(?!)")):
+        assert read() == plain
+
+
 def test_deep_nesting():
     assert len(read_nodes("<i>" * 20_000 + "x", None, False)) == 20_001
 
