@@ -21,6 +21,19 @@ from creditloom.plans import sales as S  # noqa: E402
 from creditloom.sources import log_table, views  # noqa: E402
 from creditloom.sources.shared import shared_folder  # noqa: E402
 
+# The operators for training data are a part that can be taken away.
+LLM_MODULES = {"corpus_pipeline", "creditloom.llm", "creditloom.llm.queries"}
+try:
+    from creditloom.llm import queries as llm  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in LLM_MODULES:
+        raise
+    llm = None
+except ImportError as missing:
+    if missing.name != "creditloom.llm":
+        raise
+    llm = None
+
 # The "current time" of the reports.
 CREDITS_AS_OF = datetime(2024, 2, 10)
 SHAPES_AS_OF = datetime(2024, 2, 1)
@@ -315,7 +328,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
         return run
 
-    return {name: in_utc(plan) for name, plan in found.items()}
+    return {name: in_utc(plan) for name, plan in found.items()} | (llm.queries() if llm else {})
 
 
 SALES = """sales AS (
@@ -444,9 +457,10 @@ def oracle_sql() -> dict[str, str]:
         for day in MATRIX_DAYS
     )
     priced = "cs_quantity IS NOT NULL AND cs_wholesale_cost IS NOT NULL"
+    corpus_sql = llm.oracle_sql() if llm else {}
     minmax = f"""WITH {SALES} SELECT min(cs_quantity) AS min_cs_quantity,
         CAST(max(cs_wholesale_cost) AS DOUBLE) AS max_cs_wholesale_cost FROM sales"""
-    return {
+    return corpus_sql | {
         "user_credits": user_credits_sql,
         "user_credits_sql": user_credits_sql,
         "daily_credits": daily_credits_sql,

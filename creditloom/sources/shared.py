@@ -1,33 +1,37 @@
-"""Folders that every executor can reach."""
+"""Tables in the folder that every executor can reach."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """Path of a new folder under ``spark.checkpoint.dir``.
+    """Path of a new folder under ``spark.checkpoint.dir``, or else under the warehouse.
 
-    Only a local master may fall back to a temporary folder of the machine. Nothing here deletes
-    the folder: as with Spark's reliable checkpoints, its lifetime is the operator's to decide.
+    Both are shared on a cluster. Whoever writes there owns the folder; what the package writes for
+    its own use it checkpoints or keeps in a table that it drops.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.gettempdir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/creditloom-{purpose}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, purpose: str = "rows") -> DataFrame:
-    """``df`` as a table in the shared folder: computed once, then only read.
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df``, computed once and kept in the checkpoint folder.
 
     Every reader and every retried task sees the same rows in the same places, whichever executors
-    are lost, and a reader loads only the columns it needs.
+    are lost. With ``spark.cleaner.referenceTracking.cleanCheckpoints`` Spark deletes the files once
+    the frame is out of use. A session without a checkpoint folder gets one in the warehouse.
     """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession, "checkpoints"))
+    return df.checkpoint()
+
+
+def written(df: DataFrame, purpose: str = "rows") -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, for rows of which readers need few columns."""
     spark = df.sparkSession
     folder = shared_folder(spark, purpose)
     df.write.parquet(folder)
