@@ -41,12 +41,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BANDS, ROWS = 25, 5
 # Classes of one band that are compared in one task, squared.
 BLOCK = 2048
-EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def sketch(place: np.ndarray, shingles: np.ndarray, n: int, size: int) -> np.ndarray:
     """An (n, size) matrix: the sketch of each of n sets, given as pairs (set, element)."""
-    filled = np.full(n * size, EMPTY, np.uint64)
+    filled = np.full(n * size, words.EMPTY, np.uint64)
     open_sets = np.zeros(n, bool)
     open_sets[place] = True
     base = place * size
@@ -60,7 +59,7 @@ def sketch(place: np.ndarray, shingles: np.ndarray, n: int, size: int) -> np.nda
             bins = np.full(len(place), turn - size)
         values = (hashed & np.uint64(0xFFFFFFFF)) | np.uint64(turn << 32)
         np.minimum.at(filled, base + bins, values)
-        done = (filled.reshape(n, size) != EMPTY).all(axis=1) & open_sets
+        done = (filled.reshape(n, size) != words.EMPTY).all(axis=1) & open_sets
         if done.any():
             open_sets &= ~done
             keep = open_sets[place]

@@ -5,23 +5,88 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from creditloom.llm import minhash
+from creditloom.llm import embed_dedup, minhash, neighbours, warc
+from creditloom.sources.shared import shared_folder
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def embedding_near_dedup(spark, sf):
+    return embed_dedup.near_duplicates(table(spark, sf, "embeddings"), least_cosine=0.98)
+
+
+def nearest_neighbours(spark, sf):
+    return neighbours.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def warc_round_trip(spark, sf):
+    """Every page written to archives and read back; the archives stay in the shared folder."""
+    folder = shared_folder(spark, "warc")
+    warc.write_archive(table(spark, sf, "pages"), folder)
+    return warc.read_archive(spark, folder, with_payload=False).select(
+        "page_id",
+        "payload_bytes",
+        F.col("digest").alias("payload_digest"),
+        F.col("type").alias("record_type"),
+        "refers_to",
+        "error",
+    )
+
+
 def minhash_dedup(spark, sf):
     return minhash.near_duplicates(table(spark, sf, "documents"), k=2, percent=80)
 
 
+# Every pair of a label is compared; the smallest id spreads along the links until none changes.
+EMBEDDING_SQL = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM vectors a JOIN vectors b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.98),
+reached AS (
+  SELECT vec_id, vec_id AS other FROM embeddings
+  UNION
+  SELECT r.vec_id, l.b FROM reached r JOIN links l ON r.other = l.a),
+smallest AS (SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id)
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE a = e.vec_id) AS n_links, component_id,
+       e.vec_id = component_id AS kept
+FROM embeddings e JOIN smallest s ON e.vec_id = s.vec_id"""
+
+WARC_SQL = """
+WITH payloads AS (
+  SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+digests AS (
+  SELECT page_id, octet_length(body) AS payload_bytes, sha256(body) AS payload_digest FROM payloads),
+first AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS f FROM digests)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND f < page_id THEN 'revisit' ELSE 'response' END
+         AS record_type,
+       CASE WHEN payload_bytes >= 100 AND f < page_id THEN f END AS refers_to,
+       CAST(NULL AS VARCHAR) AS error
+FROM first"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_embedding_near_dedup": embedding_near_dedup,
+        "op5_nearest_neighbours": nearest_neighbours,
         "op9_minhash_near_dedup": minhash_dedup,
+        "op10_warc_round_trip": warc_round_trip,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_embedding_near_dedup": EMBEDDING_SQL,
+        "op10_warc_round_trip": WARC_SQL,
+    }

@@ -20,6 +20,8 @@ PART_BYTES = 2 << 20
 # Odd, so it has an inverse.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
+# No hash: what a place holds before it gets one.
+EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
