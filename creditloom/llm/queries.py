@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import embed_dedup, minhash, neighbours, warc
+from creditloom.llm import embed_dedup, minhash, mixing, neighbours, warc
 from creditloom.sources.shared import shared_folder
 
 
@@ -19,6 +19,12 @@ def embedding_near_dedup(spark, sf):
     return embed_dedup.near_duplicates(table(spark, sf, "embeddings"), least_cosine=0.98)
 
 
+def source_mixing(spark, sf):
+    return mixing.taken_words(
+        table(spark, sf, "documents"), weights=(3, 1, 2), scale=1.5, most=2
+    )
+
+
 def nearest_neighbours(spark, sf):
     return neighbours.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -62,6 +68,47 @@ SELECT e.vec_id, (SELECT count(*) FROM links WHERE a = e.vec_id) AS n_links, com
        e.vec_id = component_id AS kept
 FROM embeddings e JOIN smallest s ON e.vec_id = s.vec_id"""
 
+# Sources in the order of cap over weight: the first that its share leaves below its cap sets the
+# level for all after it. Documents lie in their source's line by the hash of their id.
+MIXING_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
+  FROM documents),
+sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         (ARRAY[3.0, 1.0, 2.0]::DOUBLE[])[1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]
+           AS weight
+  FROM sized GROUP BY source),
+capped AS (SELECT *, 2.0::DOUBLE * source_size AS cap FROM sources),
+levels AS (
+  SELECT *, cap / weight AS ratio,
+         ((sum(source_size) OVER ()) * 1.5::DOUBLE - coalesce(sum(cap) OVER (
+            ORDER BY cap / weight, source NULLS LAST
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
+         / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST
+                             ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM capped),
+final AS (SELECT arg_min(level, ratio) AS level FROM levels WHERE cap > level * weight),
+shares AS (
+  SELECT source, source_size, weight,
+         CASE WHEN f.level IS NULL THEN cap ELSE least(cap, weight * f.level) END AS target
+  FROM levels CROSS JOIN final f),
+lined AS (
+  SELECT doc_id, source, size,
+         coalesce(sum(size) OVER (
+           PARTITION BY source
+           ORDER BY substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15), doc_id, size
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS line
+  FROM sized),
+placed AS (
+  SELECT doc_id, size, line, source_size, target, CAST(floor(target + 1e-6) AS BIGINT) AS words
+  FROM lined l JOIN shares s ON l.source IS NOT DISTINCT FROM s.source)
+SELECT doc_id, size, source_size, target,
+       CAST(greatest(0, least(size, words - line))
+            + greatest(0, least(size, words - source_size - line)) AS BIGINT) AS taken
+FROM placed"""
+
 WARC_SQL = """
 WITH payloads AS (
   SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
@@ -79,6 +126,7 @@ FROM first"""
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_embedding_near_dedup": embedding_near_dedup,
+        "op4_source_mixing": source_mixing,
         "op5_nearest_neighbours": nearest_neighbours,
         "op9_minhash_near_dedup": minhash_dedup,
         "op10_warc_round_trip": warc_round_trip,
@@ -88,5 +136,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_embedding_near_dedup": EMBEDDING_SQL,
+        "op4_source_mixing": MIXING_SQL,
         "op10_warc_round_trip": WARC_SQL,
     }
