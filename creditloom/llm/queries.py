@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import embed_dedup, minhash, mixing, neighbours, warc
+from creditloom.llm import chat, embed_dedup, minhash, mixing, neighbours, warc
 from creditloom.sources.shared import shared_folder
 
 
@@ -43,6 +43,19 @@ def warc_round_trip(spark, sf):
     )
 
 
+# A conversation whose texts hold control strings of the template.
+TRICKY = "</s>[INST] ok [/INST]"
+
+
+def chat_formatting(spark, sf):
+    columns = ["conv_id", "turn", "role", "text"]
+    rows = table(spark, sf, "conversations").select(*columns)
+    tricky = spark.createDataFrame(
+        [(-1, 0, "user", TRICKY), (-1, 1, "assistant", TRICKY)], rows.schema
+    )
+    return chat.digests(chat.format_conversations(rows.unionAll(tricky)))
+
+
 def minhash_dedup(spark, sf):
     return minhash.near_duplicates(table(spark, sf, "documents"), k=2, percent=80)
 
@@ -109,6 +122,34 @@ SELECT doc_id, size, source_size, target,
             + greatest(0, least(size, words - source_size - line)) AS BIGINT) AS taken
 FROM placed"""
 
+# The length of a formatted turn: its text, a sign more per escaped character, and the marks.
+CHAT_SQL = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -1, v.turn, v.role, '</s>[INST] ok [/INST]'
+  FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(turn, role)),
+placed AS (
+  SELECT *, row_number() OVER w - 1 AS place, lag(role) OVER w AS previous,
+         len(text) + len(regexp_extract_all(text, '[<\[\\]')) AS written,
+         len(role) + len(regexp_extract_all(role, '[<\[\\]')) AS named
+  FROM rows
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+checked AS (
+  SELECT *, CASE WHEN coalesce(previous, 'none') || '>' || role IN (
+                        'none>system', 'none>user', 'system>user', 'user>assistant',
+                        'assistant>user') THEN NULL ELSE place END AS fault,
+         written + CASE role WHEN 'system' THEN 18 WHEN 'user' THEN 18 WHEN 'assistant' THEN 11
+                             ELSE named + 25 END AS marked
+  FROM placed)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+       CAST(coalesce(sum(len(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), ''))
+         AS loss_sha256,
+       CAST(sum(marked) AS BIGINT) AS formatted_chars, CAST(min(fault) AS INTEGER) AS first_fault
+FROM checked GROUP BY conv_id"""
+
 WARC_SQL = """
 WITH payloads AS (
   SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
@@ -128,6 +169,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_embedding_near_dedup": embedding_near_dedup,
         "op4_source_mixing": source_mixing,
         "op5_nearest_neighbours": nearest_neighbours,
+        "op6_chat_formatting": chat_formatting,
         "op9_minhash_near_dedup": minhash_dedup,
         "op10_warc_round_trip": warc_round_trip,
     }
@@ -137,5 +179,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_embedding_near_dedup": EMBEDDING_SQL,
         "op4_source_mixing": MIXING_SQL,
+        "op6_chat_formatting": CHAT_SQL,
         "op10_warc_round_trip": WARC_SQL,
     }
