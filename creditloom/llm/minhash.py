@@ -6,13 +6,13 @@
    each further round fills one given bin, so all get filled. Equal coordinates of two sketches
    estimate the Jaccard similarity with the concentration of independent samples.
 2. Texts with equal sets form a class and go on as one row.
-3. Classes that agree in all coordinates of a band are candidates. They are compared in three
-   rounds, on full sets each time: with the smallest class of their band; then, where a band still
-   holds several components, with the most similar class of each other component; last with
-   all classes of other components. Pairs that are linked already through others need no test, so a
-   large group of near copies costs a comparison per member and not per pair. In the later rounds
-   large bands are cut into blocks, and a pair is passed on only if its sketches agree in at least
-   ``least_agreement`` coordinates, five standard deviations below the threshold.
+3. Classes that agree in all coordinates of a band are candidates. Each is first compared with the
+   smallest class of its band, on full sets. That joins most of a group of near copies at a
+   comparison per member. Where a band still holds several components, its classes are compared
+   across them: sketches first, which must agree in ``least_agreement`` coordinates, five standard
+   deviations below the threshold, and then on full sets. This happens inside tasks, in pairs of
+   blocks of bounded size and each pair in its first common band; pairs are never emitted, only
+   the links found.
 4. Links make components; the document with the smallest id stays.
 
 Nulls and empty texts have an empty set and link with nothing. Documents without an id link with
@@ -28,7 +28,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.llm import words
@@ -39,8 +39,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # 25 bands of 5: two texts of similarity 0.8 miss each other with a probability of 5e-5.
 BANDS, ROWS = 25, 5
-# Classes of one band that are compared in one task, squared.
-BLOCK = 2048
+# What a block of a band holds on average: classes, and shingles of all of them together.
+BLOCK, BLOCK_SHINGLES = 2048, 1 << 20
+# Rows of a block that are compared at a time.
+STRIP = 64
 
 
 def sketch(place: np.ndarray, shingles: np.ndarray, n: int, size: int) -> np.ndarray:
@@ -190,38 +192,33 @@ def class_links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> Da
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     sets = written(shingle_rows(texts.join(asked, "doc_id", "left_semi"), k), "sets")
     links = checkpointed(confirmed(stars, sets, percent))
-    tested = stars.select("a", "b")
-    open_bands = pivots.where("members > 2").select("band", "members")
-    for best_only in (True, False):
-        grouped = components(links, "a", "b")
-        members = banded.join(open_bands, "band").join(
-            grouped, F.col("rep") == F.col("node"), "left"
-        )
-        members = members.select(
-            "band", "members", "rep", F.coalesce("component", "rep").alias("component")
-        )
-        # A band of one component has nothing left to compare.
-        open_bands = checkpointed(
-            members.groupBy("band")
-            .agg(
-                F.count("*").alias("members"),
-                F.min("component").alias("c1"),
-                F.max("component").alias("c2"),
-            )
-            .where("c1 != c2")
-            .select("band", "members")
+    grouped = components(links, "a", "b")
+    wide = banded.join(pivots.where("members > 2").select("band"), "band")
+    members = wide.join(classes.select("rep", "n_shingles"), "rep").join(
+        grouped, F.col("rep") == F.col("node"), "left"
+    )
+    members = members.select(
+        "band", "rep", "n_shingles", F.coalesce("component", "rep").alias("component")
+    )
+    blocks = F.greatest(
+        F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)
+    )
+    # A band of one component has nothing left to compare.
+    open_bands = checkpointed(
+        members.groupBy("band")
+        .agg(
+            blocks.cast("int").alias("blocks"),
+            F.min("component").alias("c1"),
+            F.max("component").alias("c2"),
         )
-        if not open_bands.head(1):
-            break
-        members = members.drop("members").join(open_bands, "band")
-        described = members.join(classes.select("rep", "n_shingles", "marks"), "rep")
-        pairs = across(described, percent, best_only)
-        new = checkpointed(pairs.distinct().join(tested, ["a", "b"], "left_anti"))
-        if not new.head(1):
-            continue
-        tested = checkpointed(tested.union(new))
-        links = checkpointed(links.union(confirmed(new, sets, percent)))
-    return links
+        .where("c1 != c2")
+        .select("band", "blocks")
+    )
+    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    placed = members.join(open_bands, "band").withColumn("block", block)
+    sketches = classes.select("rep", "marks", "bands")
+    asked = checkpointed(promising(placed.join(sketches, "rep"), percent))
+    return links.union(linked(asked.join(sets, F.col("rep") == F.col("doc_id")), percent))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -238,56 +235,106 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def across(members: DataFrame, percent: int, best_only: bool) -> DataFrame:
-    """Candidate pairs ``(a, b)``, a > b, of one band and different components.
+def promising(members: DataFrame, percent: int) -> DataFrame:
+    """The members of each pair of blocks of a band that have a pair to verify there.
 
-    ``best_only``: for each class only the pair with the best estimate per other component. Bands
-    over ``BLOCK`` classes are cut into blocks, and every two blocks meet in a task of their own.
+    ``(band, i, j, block, rep, component)``. A pair is verified if it is of two components, its
+    sizes and the agreement of its sketches allow for a link, and this is its first common band.
     """
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    placed = members.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
-    met = placed.select("*", other).select(
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    met = members.withColumn("other", other).select(
         "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        "block", "rep", "component", "n_shingles", "marks",
+        "block", "rep", "component", "n_shingles", "marks", "bands",
     )
     least = least_agreement(percent, BANDS * ROWS)
 
-    def compare(group: pa.Table) -> pa.Table:
-        i, j = group["i"][0].as_py(), group["j"][0].as_py()
-        block = group["block"].to_numpy()
-        rep, component = group["rep"].to_numpy(), group["component"].to_numpy()
-        size = group["n_shingles"].to_numpy()
+    def sift(group: pa.Table) -> pa.Table:
+        i, j, band = (group[name][0].as_py() for name in ("i", "j", "band"))
+        block, size = group["block"].to_numpy(), group["n_shingles"].to_numpy()
+        component = group["component"].to_numpy()
         marks = np.frombuffer(b"".join(group["marks"].to_pylist()), np.uint8)
-        marks = marks.reshape(len(rep), -1)
+        marks = marks.reshape(len(block), -1).T.copy()
+        bands = group["bands"].combine_chunks().flatten().to_numpy().reshape(len(block), -1)
+        turn = int(np.flatnonzero((bands == band).all(axis=0))[0])
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        found = []
-        for start in range(0, len(left), 64):
-            rows = left[start : start + 64]
-            agree = np.zeros((len(rows), len(right)), np.int16)
-            for c in range(marks.shape[1]):
-                agree += marks[rows, c][:, None] == marks[right, c][None, :]
+        wanted = np.zeros(len(block), bool)
+        for start in range(0, len(left), STRIP):
+            rows = left[start : start + STRIP]
             small = np.minimum(size[rows][:, None], size[right][None, :])
             large = np.maximum(size[rows][:, None], size[right][None, :])
-            ok = (agree >= least) & (100 * small >= percent * large)
-            ok &= component[rows][:, None] != component[right][None, :]
-            x, y = np.nonzero(ok)
-            found.append(np.stack([rows[x], right[y], agree[x, y]]))
-        x, y, agree = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
-        if best_only and len(x):
-            keep = np.zeros(len(x), bool)
-            for one, two in ((x, y), (y, x)):
-                order = np.lexsort((rep[two], -agree, component[two], one))
-                first = np.ones(len(order), bool)
-                first[1:] = (one[order][1:] != one[order][:-1]) | (
-                    component[two][order][1:] != component[two][order][:-1]
-                )
-                keep[order[first]] = True
-            x, y = x[keep], y[keep]
-        a, b = np.maximum(rep[x], rep[y]), np.minimum(rep[x], rep[y])
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            ok = (100 * small >= percent * large) & (
+                component[rows][:, None] != component[right][None, :]
+            )
+            if not ok.any():
+                continue
+            agree = np.zeros(ok.shape, np.int16)
+            for mark in marks:
+                agree += mark[rows][:, None] == mark[right][None, :]
+            ok &= agree >= least
+            for earlier in bands.T[:turn]:
+                ok &= earlier[rows][:, None] != earlier[right][None, :]
+            wanted[rows[ok.any(axis=1)]] = True
+            wanted[right[ok.any(axis=0)]] = True
+        return group.select(["band", "i", "j", "block", "rep", "component"]).filter(
+            pa.array(wanted)
+        )
+
+    return met.groupBy("band", "i", "j").applyInArrow(
+        sift, "band bigint, i int, j int, block int, rep bigint, component bigint"
+    )
+
 
-    return met.groupBy("band", "i", "j").applyInArrow(compare, "a bigint, b bigint")
+def linked(asked: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` confirmed on the full sets of ``asked``; per task a forest of them.
+
+    The members' shingles are numbered; each set in turn is marked in a table, and the marks under
+    the sets of another component are counted.
+    """
+
+    def compare(group: pa.Table) -> pa.Table:
+        i, j = group["i"][0].as_py(), group["j"][0].as_py()
+        group = group.sort_by("rep")
+        block, rep = group["block"].to_numpy(), group["rep"].to_numpy()
+        component = group["component"].to_numpy()
+        lists = group["shingles"].combine_chunks()
+        sizes = pa.compute.list_value_length(lists).to_numpy()
+        _, numbers = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        marked = np.zeros(int(numbers.max()) + 1, np.int64)
+        right = np.flatnonzero(block == j)
+        root = np.arange(len(rep))
+        _, names = np.unique(component, return_inverse=True)
+        # One tree per known component, so that only links between trees count.
+        first = np.full(int(names.max()) + 1, len(rep))
+        np.minimum.at(first, names, root)
+        root = first[names]
+        found_a, found_b = [], []
+        for x in np.flatnonzero(block == i):
+            own = numbers[ends[x] : ends[x + 1]]
+            others = right[root[right] != root[x]]
+            if i == j:
+                others = others[others > x]
+            small, large = np.minimum(sizes[others], sizes[x]), np.maximum(sizes[others], sizes[x])
+            others = others[100 * small >= percent * large]
+            if not len(others):
+                continue
+            marked[own] = 1
+            each = np.repeat(ends[others] - np.cumsum(sizes[others]) + sizes[others], sizes[others])
+            under = marked[numbers[each + np.arange(len(each))]]
+            starts = np.cumsum(sizes[others]) - sizes[others]
+            shared = np.add.reduceat(under, starts)
+            marked[own] = 0
+            hit = others[100 * shared >= percent * (sizes[others] + sizes[x] - shared)]
+            # One link per tree is enough.
+            _, one = np.unique(root[hit], return_index=True)
+            for y in hit[one]:
+                found_a.append(max(rep[x], rep[y]))
+                found_b.append(min(rep[x], rep[y]))
+                low, high = sorted((root[x], root[y]))
+                root[root == high] = low
+        return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
+
+    return asked.groupBy("band", "i", "j").applyInArrow(compare, "a bigint, b bigint")
 
 
 def without_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:

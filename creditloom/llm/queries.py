@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import chat, embed_dedup, minhash, mixing, neighbours, warc
+from creditloom.llm import chat, embed_dedup, minhash, mixing, neighbours, packing, quality, warc
 from creditloom.sources.shared import shared_folder
 
 
@@ -56,6 +56,24 @@ def chat_formatting(spark, sf):
     return chat.digests(chat.format_conversations(rows.unionAll(tricky)))
 
 
+def quality_classifier(spark, sf):
+    return quality.classified(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def vocabulary() -> dict[str, str]:
+    """The file of ranks and the splitting pattern of the 50k byte vocabulary."""
+    import public_tokenizers
+
+    return {
+        "ranks_path": str(public_tokenizers.path("byte_bpe_50k.tiktoken")),
+        "pattern": public_tokenizers.PATTERN,
+    }
+
+
+def mixture_packing(spark, sf):
+    return packing.pack(table(spark, sf, "documents"), **vocabulary())
+
+
 def minhash_dedup(spark, sf):
     return minhash.near_duplicates(table(spark, sf, "documents"), k=2, percent=80)
 
@@ -170,6 +188,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_source_mixing": source_mixing,
         "op5_nearest_neighbours": nearest_neighbours,
         "op6_chat_formatting": chat_formatting,
+        "op7_quality_classifier": quality_classifier,
+        "op8_mixture_packing": mixture_packing,
         "op9_minhash_near_dedup": minhash_dedup,
         "op10_warc_round_trip": warc_round_trip,
     }
