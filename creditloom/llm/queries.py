@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import chat, embed_dedup, minhash, mixing, neighbours, packing, quality, warc
+from creditloom.llm import (
+    chat,
+    embed_dedup,
+    minhash,
+    mixing,
+    neighbours,
+    packing,
+    page_text,
+    quality,
+    warc,
+)
 from creditloom.sources.shared import shared_folder
 
 
@@ -19,6 +29,10 @@ def embedding_near_dedup(spark, sf):
     return embed_dedup.near_duplicates(table(spark, sf, "embeddings"), least_cosine=0.98)
 
 
+def html_extraction(spark, sf):
+    return page_text.extract(table(spark, sf, "pages"))
+
+
 def source_mixing(spark, sf):
     return mixing.taken_words(
         table(spark, sf, "documents"), weights=(3, 1, 2), scale=1.5, most=2
@@ -185,6 +199,7 @@ FROM first"""
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_embedding_near_dedup": embedding_near_dedup,
+        "op3_html_extraction": html_extraction,
         "op4_source_mixing": source_mixing,
         "op5_nearest_neighbours": nearest_neighbours,
         "op6_chat_formatting": chat_formatting,
