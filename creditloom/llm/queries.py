@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from creditloom.llm import (
     chat,
     embed_dedup,
+    licenses,
     minhash,
     mixing,
     neighbours,
@@ -25,6 +26,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def license_scan(spark, sf):
+    return licenses.scan(table(spark, sf, "documents"))
+
+
 def embedding_near_dedup(spark, sf):
     return embed_dedup.near_duplicates(table(spark, sf, "embeddings"), least_cosine=0.98)
 
@@ -92,6 +97,46 @@ def minhash_dedup(spark, sf):
     return minhash.near_duplicates(table(spark, sf, "documents"), k=2, percent=80)
 
 
+# The notices that the tables hold, in canonical form; none of the tables' documents is a licence.
+LICENSE_SQL = r"""
+WITH known AS (
+  SELECT * FROM (VALUES
+    ('licensed under cc by nc 4 0', 'CC-BY-NC-4.0'),
+    ('this work is licensed under the gnu general public license version 3', 'GPL-3.0'),
+    ('licensed under the apache license version 2 0', 'Apache-2.0'),
+    ('released under the mit license', 'MIT')) AS v(form, license_id)),
+plain AS (
+  SELECT doc_id, regexp_replace(regexp_replace(lower(coalesce(text, '')),
+           '(?m)^[^\p{L}\p{N}\n©(]*(copyright\W*(\(c\)|©|[0-9])|\(c\)|©|all rights reserved)[^\n]*$',
+           '', 'g'), '[^\p{L}\p{N}\n]+', ' ', 'g') AS form
+  FROM documents),
+spelled AS (
+  SELECT doc_id,
+         regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+         regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+         regexp_replace(form,
+           'licenc(e|es|ed|ing|ee|or)\b', 'licens\1', 'g'),
+           '\bsub licens', 'sublicens', 'g'),
+           '\bnon (commercial|infring)', 'non\1', 'g'),
+           '\b(author|organ|recogn|util|real|maxim|minim|optim|initial|emphas)is(e|ation|ing)',
+           '\1iz\2', 'g'),
+           '\b(fav|lab|behavi|hon)our', '\1or', 'g'),
+           '\backnowledgement', 'acknowledgment', 'g'),
+           '\b(judg)ement', '\1ment', 'g'),
+           '\bfulfil\b', 'fulfill', 'g'),
+           '\bwhilst\b', 'while', 'g'),
+           '\bcopyright owner', 'copyright holder', 'g'),
+           '\bhttps\b', 'http', 'g') AS form
+  FROM plain),
+whole AS (
+  SELECT doc_id, trim(regexp_replace(form, '[ \n]+', ' ', 'g')) AS one, form FROM spelled)
+SELECT doc_id, sha256(one) AS digest,
+       (SELECT license_id FROM known k WHERE k.form = one) AS license_id,
+       (SELECT string_agg(DISTINCT license_id, ',' ORDER BY license_id) FROM known k
+        WHERE list_contains(list_transform(string_split(whole.form, chr(10)), lambda l: trim(l)),
+                            k.form)) AS notices
+FROM whole"""
+
 # Every pair of a label is compared; the smallest id spreads along the links until none changes.
 EMBEDDING_SQL = """
 WITH RECURSIVE vectors AS (
@@ -198,6 +243,7 @@ FROM first"""
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_license_scan": license_scan,
         "op2_embedding_near_dedup": embedding_near_dedup,
         "op3_html_extraction": html_extraction,
         "op4_source_mixing": source_mixing,
@@ -212,6 +258,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_license_scan": LICENSE_SQL,
         "op2_embedding_near_dedup": EMBEDDING_SQL,
         "op4_source_mixing": MIXING_SQL,
         "op6_chat_formatting": CHAT_SQL,
