@@ -243,20 +243,18 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     then joined by single spaces, and ``n_chars`` is counted anew. Rows that are equal in doc_id,
     source and text are told apart by nothing, so one of them stands for all.
     """
-    mark, row = F.xxhash64("text").alias("_mark"), ["doc_id", "source", "_mark"]
+    mark, row = F.xxhash64("text").alias("mark"), ["doc_id", "source", "mark"]
     takes = mix(docs, [mark], **options).where("slot IS NOT NULL")
-    takes = takes.groupBy(*row, "line", "pass", F.col("size").alias("_size")).agg(
-        F.sum("taken").alias("_taken")
-    )
-    once = docs.withColumn("_mark", mark).dropDuplicates(row)
-    met = _same(once, takes.select(*row, "_size", "_taken"), row).where("_taken > 0")
-    all_words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
-    words = F.slice(all_words, 1, F.col("_taken").cast("int"))
-    cut = F.col("_taken") < F.col("_size")
-    text = F.when(cut, F.array_join(words, " ")).otherwise(F.col("text"))
-    changed = met.withColumn("text", text)
+    takes = takes.groupBy(*row, "line", "pass", "size").agg(F.sum("taken").alias("taken"))
+    # The row as a struct: its columns may have the names of those added here.
+    once = docs.select("doc_id", "source", mark, F.struct("*").alias("row")).dropDuplicates(row)
+    met = _same(once, takes.select(*row, "size", "taken"), row).where("taken > 0")
+    all_words = F.regexp_extract_all("row.text", F.lit(WORD), F.lit(0))
+    words = F.slice(all_words, 1, F.col("taken").cast("int"))
+    cut = F.col("taken") < F.col("size")
+    text = F.when(cut, F.array_join(words, " ")).otherwise(F.col("row.text"))
+    changed = met.withColumn("row", F.col("row").withField("text", text))
     if "n_chars" in docs.columns:
-        changed = changed.withColumn(
-            "n_chars", F.when(cut, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
-        )
-    return changed.select(*docs.columns)
+        chars = F.when(cut, F.length("row.text").cast("bigint")).otherwise(F.col("row.n_chars"))
+        changed = changed.withColumn("row", F.col("row").withField("n_chars", chars))
+    return changed.select("row.*")

@@ -244,6 +244,16 @@ def scored(docs: DataFrame, model: RuleModel, keep: Sequence[str] = ("doc_id",))
     return with_statistics(docs, *keep).select(*keep, model.column().alias("score"))
 
 
+def accepted(docs: DataFrame, model: RuleModel, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` whose score reaches the threshold, in one pass over them."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    # The row as a struct: its columns may have the names of statistics.
+    counted = docs.select(
+        F.struct("*").alias("row"), *[c.alias(f"s_{name}") for name, c in statistics(text).items()]
+    )
+    return counted.where(model.column() >= threshold).select("row.*")
+
+
 def classified(
     docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample: int = SAMPLE
 ) -> DataFrame:
