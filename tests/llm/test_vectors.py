@@ -1,0 +1,144 @@
+import math
+
+import numpy as np
+import pytest
+from plain import components as plain_components
+from pyspark.sql import functions as F
+
+from creditloom.llm import embed_dedup, neighbours
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int"
+
+
+def vectors_of(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def near_groups(rng, groups=12, members=8, width=64, noise=0.0165):
+    rows = []
+    for g in range(groups):
+        centre = rng.normal(size=width)
+        centre /= np.linalg.norm(centre)
+        for _ in range(members):
+            x = centre + noise * rng.normal(size=width)
+            rows.append((len(rows), [float(v) for v in x], g % 3))
+    return rows
+
+
+def plain_links(rows, least):
+    good = {}
+    for i, x, label in rows:
+        if i is not None and label is not None and x and all(
+            v is not None and math.isfinite(v) for v in x
+        ) and any(x):
+            good[i] = (np.array(x, np.float32).astype(float), label)
+    links = []
+    for a, (x, one) in good.items():
+        for b, (y, two) in good.items():
+            if a < b and one == two and len(x) == len(y):
+                if x @ y / math.sqrt(x @ x) / math.sqrt(y @ y) >= least:
+                    links.append((a, b))
+    return links
+
+
+@pytest.mark.parametrize("block", [4, 8192])
+def test_links_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(embed_dedup, "BLOCK", block)
+    rng = np.random.default_rng(3)
+    rows = near_groups(rng)
+    rows += [(1000 + i, x, label) for i, x, label in rows[:10]]
+    rows += [(2000, [2 * v for v in rows[0][1]], rows[0][2])]
+    links = plain_links(rows, 0.98)
+    assert 100 < len(links)
+    found = embed_dedup.near_duplicates(vectors_of(spark, rows)).collect()
+    count = {i: 0 for i, *_ in rows}
+    for a, b in links:
+        count[a] += 1
+        count[b] += 1
+    assert {r["vec_id"]: r["n_links"] for r in found} == count
+    expected = plain_components(count, links)
+    assert {r["vec_id"]: r["component_id"] for r in found} == expected
+    assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in found)
+
+
+def odd_rows():
+    nan, inf = float("nan"), float("inf")
+    return [
+        (1, [1.0, 0.0], 0), (2, [1.0, 0.0], 0), (3, [1.0, 0.0], 1), (4, [1.0, 0.0], None),
+        (5, [0.0, 0.0], 0), (6, [nan, 1.0], 0), (7, [inf, 1.0], 0), (8, [None, 1.0], 0),
+        (9, None, 0), (10, [], 0), (11, [1.0, 0.0, 0.0], 0), (None, [1.0, 0.0], 0),
+        (12, [-1.0, 0.0], 0), (13, [3.0], 0), (14, [2.0], 0), (2, [1.0, 0.0], 0),
+    ]
+
+
+def test_edges_of_links(spark):
+    frame = vectors_of(spark, odd_rows()).withColumn("rep", F.lit("x")).withColumn("l", F.lit(0))
+    found = embed_dedup.near_duplicates(frame).collect()
+    linked = sorted(tuple(r) for r in found if r["n_links"])
+    assert linked == [(1, 2, 1, True), (2, 2, 1, False), (2, 2, 1, False), (13, 1, 13, True), (14, 1, 13, False)]
+    alone = [tuple(r) for r in found if not r["n_links"]]
+    assert (None, 0, None, False) in alone
+    assert all(r[0] == r[2] and r[3] for r in alone if r[0] is not None)
+    assert len(found) == len(odd_rows())
+    assert embed_dedup.near_duplicates(vectors_of(spark, [])).count() == 0
+
+
+def best(rows, query, k):
+    found = []
+    _, q, *_ = next(row for row in rows if row[0] == query)
+    q = np.array(q, np.float32).astype(float)
+    for i, x, *_ in rows:
+        x = np.array(x, np.float32).astype(float)
+        if i != query and len(x) == len(q):
+            found.append((-(x * q).sum(), i))
+    return [(i, -s) for s, i in sorted(found)[:k]]
+
+
+def test_recall_at_scale(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = [tuple(r) for r in frame.select("vec_id", "embedding").collect()]
+    found = neighbours.nearest(frame, F.col("vec_id") % 20 == 0, 20).toPandas()
+    hits = total = 0
+    for query, part in found.groupby("query_id"):
+        expected = best(rows, query, 20)
+        scores = dict(expected)
+        total += len(expected)
+        for vec_id, score in zip(part["vec_id"], part["score"]):
+            if vec_id in scores:
+                hits += 1
+                assert score == pytest.approx(scores[vec_id], rel=1e-12)
+        assert list(part.sort_values("rank")["score"]) == sorted(part["score"], reverse=True)
+        assert sorted(part["rank"]) == list(range(1, 21))
+    assert found["query_id"].nunique() == 100
+    assert hits / total >= 0.9
+
+
+def test_edges_of_search(spark):
+    rows = [(i, x, 0) for i, x, _ in odd_rows()] + [(20, [5.0, 0.1], 0), (40, [5.0, 0.1], 0)]
+    frame = vectors_of(spark, rows).withColumn("shard", F.lit("x")).withColumn("width", F.lit(0))
+    found = neighbours.nearest(frame, F.col("vec_id") % 20 == 0, 3).collect()
+    by_query = {}
+    for r in sorted(found, key=lambda r: (r["query_id"], r["rank"])):
+        by_query.setdefault(r["query_id"], []).append((r["vec_id"], round(r["score"], 3)))
+    assert by_query == {
+        20: [(40, 25.01), (1, 5.0), (2, 5.0)],
+        40: [(20, 25.01), (1, 5.0), (2, 5.0)],
+    }
+    assert neighbours.nearest(vectors_of(spark, []), F.col("vec_id") % 20 == 0).count() == 0
+    alone = vectors_of(spark, [(20, [1.0], 0)])
+    assert neighbours.nearest(alone, F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_lengths_decide_with_inner_products(spark):
+    """Not the direction but the product counts: long vectors win."""
+    rng = np.random.default_rng(0)
+    rows = []
+    for i in range(400):
+        x = rng.normal(size=16) * rng.uniform(0.1, 5)
+        rows.append((i, [float(v) for v in x], 0))
+    found = neighbours.nearest(vectors_of(spark, rows), F.col("vec_id") % 20 == 0, 10).collect()
+    got = {}
+    for r in found:
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = sum(len(got[q] & {i for i, _ in best(rows, q, 10)}) for q in got)
+    assert hits >= 0.9 * 200
