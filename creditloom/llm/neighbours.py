@@ -1,11 +1,11 @@
 """Nearest vectors by inner product: collision-counting hashing.
 
-A hash is one random projection, kept as a sorted array. For a query each array gives the vectors
-in a window around the query's own value. The windows grow with a search radius (virtual rehashing:
-a wider window stands for a coarser bucket), and what a wider window adds is counted on top. A
-vector that collides with the query in enough arrays is verified: its exact inner product is taken.
-For a radius R the threshold lies so low that a vector at distance R exceeds it with a probability
-of 95 %, a nearer one more often; the search ends once the k-th verified vector is within R.
+A hash is one random projection, kept as a sorted array. For a query each array gives the vectors in
+a window around the query's own value. The windows grow with a search radius (virtual rehashing: a
+wider window stands for a coarser bucket), beginning at the distance of the nearest few of a sample.
+A vector that collides with the query in enough arrays is verified: its exact inner product is taken.
+At a radius R the threshold lies so low that a vector at distance R exceeds it with a probability of
+90 %, a nearer one more often; the search ends once the k-th verified vector is within R.
 
 Inner products become distances by one more coordinate: with M the largest norm, a vector gets
 sqrt(M**2 - |x|**2) and a query 0, so the largest inner product is the smallest distance.
@@ -39,85 +39,90 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 cloudpickle.register_pickle_by_value(embed_dedup)
 
 PROJECTIONS = 96
-SHARD, ASKED = 8192, 512
-# The first radius, as a part of the largest norm, and the factor to the next.
-FIRST_RADIUS, GROWTH = 0.5, 1.15
+SHARD, ASKED = 32768, 512
+# Queries that are counted at a time.
+STRIP = 16
+# One in so many vectors is looked at for the first radius; the factor to the next radius.
+SAMPLED, GROWTH = 16, 1.1
 # Half a window, in radii.
 HALF_WINDOW = 1.0
 # Standard deviations that the threshold lies below the expected collisions at the radius.
-SLACK = NormalDist().inv_cdf(0.88)
+SLACK = NormalDist().inv_cdf(0.9)
 
 
 class SortedProjections:
-    """The sorted arrays of one shard."""
+    """The sorted arrays of one shard.
+
+    ``sorted`` holds the values of each projection in order and ``ranks`` the place of each vector in
+    them, so a window of an array is a range of ranks.
+    """
 
     def __init__(self, x: np.ndarray, m: int):
         self.x = x
-        self.norm = float(np.sqrt((x * x).sum(axis=1)).max())
-        rest = np.sqrt(np.maximum(0, self.norm**2 - (x * x).sum(axis=1)))
+        squares = (x * x).sum(axis=1)
+        self.norm = float(np.sqrt(squares.max()))
+        rest = np.sqrt(np.maximum(0, self.norm**2 - squares))
         self.axes = np.random.default_rng(x.shape[1]).normal(size=(x.shape[1] + 1, m))
-        values = np.concatenate([x, rest[:, None]], axis=1) @ self.axes
-        self.order = np.argsort(values, axis=0, kind="stable").T.copy()
-        self.values = np.take_along_axis(values.T, self.order, axis=1)
-        # All arrays in a row, far enough apart for one search in all of them.
-        self.apart = 4 * float(np.abs(values).max()) + 1
-        self.line = (self.values + self.apart * np.arange(m)[:, None]).ravel()
-        self.m = m
-
-    def windows(self, centre: np.ndarray, half: float) -> tuple[list[int], list[int]]:
-        n = self.values.shape[1]
-        half = min(half, self.apart / 4)
-        centre = np.clip(centre, -self.apart / 4, self.apart / 4)
-        centre = centre + self.apart * np.arange(self.m)
-        at = np.arange(self.m) * n
-        low = np.searchsorted(self.line, centre - half, "left") - at
-        high = np.searchsorted(self.line, centre + half, "right") - at
-        return np.clip(low, 0, n).tolist(), np.clip(high, 0, n).tolist()
-
-    def nearest(self, query: np.ndarray, k: int, allowed: np.ndarray):
-        """Places and exact inner products of the best k found, and how many were verified."""
-        n = len(self.x)
-        counts = np.zeros(n, np.int64)
-        open_rows = allowed.copy()
-        centre = np.append(query, 0) @ self.axes
-        scale = max(self.norm, 1e-300)
-        length = float(np.sqrt((query * query).sum()))
-        # The query in units of the shard's largest norm: its length does not change the order.
-        centre = centre * (scale / length)
-        place, score = np.zeros(0, np.int64), np.zeros(0)
-        low = high = None
-        radius = FIRST_RADIUS * scale
+        values = (np.concatenate([x, rest[:, None]], axis=1) @ self.axes).T
+        order = np.argsort(values, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(values, order, axis=1)
+        places = np.arange(len(x), dtype=np.uint16 if len(x) < 1 << 16 else np.uint32)
+        self.ranks = np.empty(values.shape, places.dtype)
+        np.put_along_axis(self.ranks, order, places[None, :], axis=1)
+        self.sample = np.random.default_rng(len(x)).permutation(len(x))[: -(-len(x) // SAMPLED)]
+
+    def collisions(self, centres: np.ndarray, halves: np.ndarray) -> np.ndarray:
+        """(queries, vectors): in how many arrays a vector is in the window of a query."""
+        counts = np.zeros((len(centres), len(self.x)), np.uint8)
+        for values, ranks, centre in zip(self.sorted, self.ranks, centres.T):
+            low = np.searchsorted(values, centre - halves, "left")
+            high = np.searchsorted(values, centre + halves, "right")
+            # Below the window the difference wraps around to a large number.
+            shifted = ranks[None, :] - low.astype(ranks.dtype)[:, None]
+            counts += shifted < (high - low).astype(ranks.dtype)[:, None]
+        return counts
+
+    def nearest(self, queries: np.ndarray, k: int, skip: list[np.ndarray]):
+        """Per query the places and exact inner products of what was verified, at least the best k
+        found. ``skip`` has the places that are no candidates."""
+        n, m = len(self.x), len(self.axes.T)
+        scale = self.norm
+        lengths = np.sqrt((queries * queries).sum(axis=1))
+        # A query in units of the shard's largest norm: its length does not change the order.
+        units = queries * (scale / lengths)[:, None]
+        centres = np.concatenate([units, np.zeros((len(units), 1))], axis=1) @ self.axes
+        # The first radius: as far as some of a sample, about the k-th of all.
+        some = min(len(self.sample), max(1, round(k / SAMPLED)) + 1)
+        products = np.partition(units @ self.x[self.sample].T, len(self.sample) - some, axis=1)
+        radius = np.sqrt(np.maximum(0, 2 * scale**2 - 2 * products[:, len(self.sample) - some]))
+        radius = np.maximum(radius, 1e-6 * scale)
         chance = 2 * NormalDist().cdf(HALF_WINDOW) - 1
-        least = self.m * chance - SLACK * math.sqrt(self.m * chance * (1 - chance))
-        while True:
-            new_low, new_high = self.windows(centre, HALF_WINDOW * radius)
-            if low is None:
-                added = [o[a:b] for o, a, b in zip(self.order, new_low, new_high)]
-            else:
-                added = [
-                    o[a:b]
-                    for o, *ends in zip(self.order, new_low, low, high, new_high)
-                    for a, b in (ends[:2], ends[2:])
-                    if a < b
-                ]
-            low, high = new_low, new_high
-            if added:
-                counts += np.bincount(np.concatenate(added), minlength=n)
-            whole = radius >= 2 * scale
-            new = np.flatnonzero(open_rows & ((counts >= least) | whole))
-            if len(new):
-                open_rows[new] = False
-                place = np.concatenate([place, new])
-                score = np.concatenate([score, (self.x[new] * query).sum(axis=1)])
-            if whole:
-                return place, score
-            if len(place) >= k:
-                kth = np.partition(score, len(score) - k)[len(score) - k]
-                # |q'|**2 + |x'|**2 - 2 q'x', with both of the largest norm.
-                far = 2 * scale**2 - 2 * kth * scale / length
-                if far <= radius**2:
-                    return place, score
-            radius *= GROWTH
+        least = m * chance - SLACK * math.sqrt(m * chance * (1 - chance))
+        allowed = np.ones((len(queries), n), bool)
+        for at, places in enumerate(skip):
+            allowed[at, places] = False
+        found = [np.zeros(0, np.int64)] * len(queries)
+        scores = [np.zeros(0)] * len(queries)
+        open_queries = np.arange(len(queries))
+        while len(open_queries):
+            counts = self.collisions(centres[open_queries], HALF_WINDOW * radius[open_queries])
+            still = []
+            for at, count in zip(open_queries, counts):
+                whole = radius[at] >= 2 * scale
+                new = np.flatnonzero(allowed[at] & ((count >= least) | whole))
+                allowed[at, new] = False
+                found[at] = np.concatenate([found[at], new])
+                products = (self.x[new] * queries[at]).sum(axis=1)
+                scores[at] = np.concatenate([scores[at], products])
+                if len(found[at]) >= k and not whole:
+                    kth = np.partition(scores[at], len(scores[at]) - k)[len(scores[at]) - k]
+                    # |q'|**2 + |x'|**2 - 2 q'x', with both of the largest norm.
+                    whole = 2 * scale**2 - 2 * kth * scale / lengths[at] <= radius[at] ** 2
+                if not whole:
+                    still.append(at)
+            open_queries = np.array(still, np.int64)
+            radius[open_queries] *= GROWTH
+        return found, scores
 
 
 def nearest(
@@ -155,12 +160,14 @@ def nearest(
         if len(queries) and len(rows):
             index = SortedProjections(x[rows], projections)
             row_ids = ids[rows]
-            for at in queries:
-                place, score = index.nearest(x[at], k, row_ids != ids[at])
-                best = np.lexsort((row_ids[place], -score))[:k]
-                found_query.append(np.full(len(best), ids[at]))
-                found_id.append(row_ids[place[best]])
-                found_score.append(score[best])
+            for start in range(0, len(queries), STRIP):
+                strip = queries[start : start + STRIP]
+                own = [np.flatnonzero(row_ids == ids[at]) for at in strip]
+                for at, place, score in zip(strip, *index.nearest(x[strip], k, own)):
+                    best = np.lexsort((row_ids[place], -score))[:k]
+                    found_query.append(np.full(len(best), ids[at]))
+                    found_id.append(row_ids[place[best]])
+                    found_score.append(score[best])
         empty = [np.zeros(0, np.int64)]
         return pa.table(
             {
