@@ -14,7 +14,7 @@ stated total. Then the chunked body is decoded and its digest compared with the
 whose parts are missing or contradict the headers keeps its row, with an ``error`` and no payload.
 
 Nulls: a null html is an empty payload. A null url becomes an empty target. A null page_id is written
-without one and reads back as null; it is never what others refer to. Pages that repeat a page_id are
+without one and reads back as null; its payload is stored and never referred to. Pages that repeat a page_id are
 records of their own; if they repeat the payload as well, one is stored and the others refer to it.
 """
 
@@ -73,14 +73,14 @@ def with_originals(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
         .where("copies > 1")
         .select(F.col("digest").alias("d"), "first", F.explode(salts).alias("s"))
     )
-    same = (rows["digest"] == repeated["d"]) & (rows["salt"] == repeated["s"]) & long
+    same = (rows["digest"] == repeated["d"]) & (rows["salt"] == repeated["s"]) & long & known
     found = rows.join(repeated, same, "left")
     is_first = F.col("first").isNull() | (
         (F.col("page_id") == F.col("first.page_id")) & F.col("url").eqNullSafe(F.col("first.url"))
     )
     return found.select(
         "page_id", "url", "html", "digest", "bytes",
-        F.when(~is_first | ~known, F.col("first.page_id")).alias("original"),
+        F.when(~is_first, F.col("first.page_id")).alias("original"),
     )
 
 
