@@ -1,0 +1,78 @@
+import textwrap
+
+import pytest
+from pyspark.sql import functions as F
+
+from creditloom.llm import licenses
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def scanned(spark, texts):
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in texts], DOCS)
+    return {r["doc_id"]: r for r in licenses.scan(docs).collect()}
+
+
+def disguised(text):
+    lines = textwrap.wrap(text.upper().replace('"', "“").replace("LICENSE", "LICENCE"), 37)
+    return "Copyright (c) 2020 Someone\n© 2021 Other\n\n * " + "\n * ".join(lines) + "\n"
+
+
+def test_whole_licences(spark):
+    texts = []
+    for at, (title, body) in enumerate(licenses.LICENCES.values()):
+        texts += [(3 * at, body), (3 * at + 1, disguised(f"{title}. {body}")), (3 * at + 2, body + " x")]
+    found = scanned(spark, texts)
+    for at, name in enumerate(licenses.LICENCES):
+        assert found[3 * at]["license_id"] == name
+        assert found[3 * at + 1]["license_id"] == name
+        assert found[3 * at + 2]["license_id"] is None
+    assert found[0]["digest"] != found[2]["digest"]
+
+
+@pytest.mark.parametrize(
+    "line, name",
+    [
+        ("Licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+        ("  # LICENCED under the APACHE licence version 2.0!", "Apache-2.0"),
+        ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0"),
+        ("Released under the MIT License.", "MIT"),
+        ("SPDX-License-Identifier: BSD-3-Clause", "BSD-3-Clause"),
+        ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"),
+        ("Not licensed under the MIT License.", None),
+        ("the MIT License is mentioned", None),
+    ],
+)
+def test_notices(spark, line, name):
+    r = scanned(spark, [(1, f"Some words.\n{line}\nMore words."), (2, line)])
+    assert r[1]["notices"] == name and r[1]["license_id"] is None
+    assert r[2]["license_id"] == name
+
+
+def test_notices_of_the_table(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    expected = {
+        r["doc_id"] for r in docs.collect() if "Released under the MIT License." in r["text"].split("\n")
+    }
+    found = licenses.scan(docs).where("notices = 'MIT'").collect()
+    assert expected and {r["doc_id"] for r in found} == expected
+
+
+def test_edges(spark):
+    notice = "Released under the MIT License."
+    long = "word " * 200_000
+    rows = [
+        (1, None), (2, ""), (3, long + "\n" + notice), (None, notice), (4, notice), (4, notice),
+        (5, f"{notice}\nLicensed under CC BY 4.0\n{notice}"),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    docs = docs.withColumn("digest", F.lit("x")).withColumn("lines", F.lit(1)).withColumn("d", F.lit(1))
+    found = sorted(
+        ((r["doc_id"] or 0, r["license_id"], r["notices"]) for r in licenses.scan(docs).collect()),
+        key=str,
+    )
+    assert found == [
+        (0, "MIT", "MIT"), (1, None, None), (2, None, None), (3, None, "MIT"), (4, "MIT", "MIT"),
+        (4, "MIT", "MIT"), (5, None, "CC-BY-4.0,MIT"),
+    ]
+    assert licenses.scan(docs.limit(0)).count() == 0

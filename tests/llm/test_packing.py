@@ -1,0 +1,111 @@
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from creditloom.llm import packing
+from creditloom.llm.queries import vocabulary
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def docs_of(spark, rows):
+    return spark.createDataFrame([(i, t, "en", s, 0) for i, t, s in rows], DOCS)
+
+
+def ids_of(texts):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
+    encoded = tokenizer.encode_batch(texts, add_special_tokens=False)
+    return [np.array([*e.ids, 0], "<u4") for e in encoded]
+
+
+def check(pieces, docs, length=1024):
+    """Every id in one piece, sequences gapless; the number of sequences that are not full."""
+    by_doc = defaultdict(list)
+    by_sequence = defaultdict(list)
+    for r in pieces:
+        by_doc[r["doc_id"]].append(r)
+        by_sequence[r["sequence_id"]].append((r["offset"], r["length"]))
+    for doc_id, text in docs:
+        (ids,) = ids_of([text or ""])
+        at = 0
+        for r in sorted(by_doc[doc_id], key=lambda r: r["start"]):
+            assert r["start"] == at and r["doc_tokens"] == len(ids)
+            part = ids[at : at + r["length"]]
+            assert zlib.crc32(part.tobytes()) == r["ids_crc32"]
+            at += r["length"]
+        assert at == len(ids)
+    short = 0
+    for parts in by_sequence.values():
+        at = 0
+        for offset, size in sorted(parts):
+            assert offset == at
+            at += size
+        assert at <= length and at & (at - 1) == 0
+        short += at < length
+    return short
+
+
+def test_all_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    pieces = packing.pack(docs, **vocabulary()).collect()
+    short = check(pieces, [(r["doc_id"], r["text"]) for r in docs.collect()])
+    assert short <= 10 * len({r["window"] for r in pieces})
+
+
+def test_windows_hold_the_target_proportions(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    pieces = packing.pack(docs, **vocabulary(), length=256, window=64).collect()
+    windows, totals = defaultdict(lambda: defaultdict(int)), defaultdict(int)
+    for r in pieces:
+        windows[r["window"]][r["source"]] += r["length"]
+        totals[r["source"]] += r["length"]
+    everything = sum(totals.values())
+    size = 256 * 64
+    assert len(windows) == -(-everything // size)
+    carried = defaultdict(float)
+    for w in sorted(windows):
+        for source, total in totals.items():
+            carried[source] += total / len(windows) - windows[w][source]
+            # Never more is owed or overdrawn than a piece.
+            assert abs(carried[source]) <= 256
+
+
+def test_same_ids_as_the_tokenizer_file():
+    import public_tokenizers
+
+    encoder = packing.load_vocabulary(**vocabulary())
+    texts = [
+        "", " ", "  two  spaces\n\n\tand tabs ", "don't WE'LL", "naïve 東京 🙂🙂", "x" * 5000,
+        "1234567 3.14", "<|endoftext", "\r\n\x0b\x0c  end", "Ünïcödé ß", "a" + " " * 300,
+    ]
+    assert public_tokenizers.PATTERN == vocabulary()["pattern"]
+    for text, ids in zip(texts, ids_of(texts)):
+        assert encoder.encode_to_numpy(text, disallowed_special=()).tolist() == ids[:-1].tolist()
+
+
+@pytest.mark.parametrize("tokens", [1, 2, 3, 1023, 1024, 1025, 5000])
+def test_cuts(tokens):
+    parts = list(packing.cuts(tokens, 1024))
+    assert sum(size for _, size in parts) == tokens
+    assert all(size & (size - 1) == 0 for _, size in parts)
+    assert [start for start, _ in parts] == [sum(s for _, s in parts[:i]) for i in range(len(parts))]
+
+
+def test_edges(spark):
+    rows = [(1, None, "a"), (2, "", None), (3, "long text " * 30_000, "a"), (4, "x", None), (5, "y", "b")]
+    docs = docs_of(spark, rows)
+    for name in ("window", "length", "size", "at", "line", "spread", "stock"):
+        docs = docs.withColumn(name, F.lit("x"))
+    check(packing.pack(docs, **vocabulary()).collect(), [(i, t) for i, t, _ in rows])
+    repeated = docs_of(spark, [(1, "same words", "a"), (1, "same words", "a"), (None, "z", "a")])
+    pieces = packing.pack(repeated, **vocabulary()).collect()
+    assert sum(r["length"] for r in pieces) == 3 + 3 + 2
+    places = [(r["sequence_id"], r["offset"]) for r in pieces]
+    assert len(set(places)) == len(places)
+    assert packing.pack(docs_of(spark, []), **vocabulary()).count() == 0
