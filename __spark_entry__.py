@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +18,8 @@ from creditloom.operators import page_nodes as P  # noqa: E402
 from creditloom.operators.concurrent import start_all  # noqa: E402
 from creditloom.plans import report_sql, reports  # noqa: E402
 from creditloom.plans import sales as S  # noqa: E402
-from creditloom.sources import log_table, views  # noqa: E402
-from creditloom.sources.shared import shared_folder  # noqa: E402
+from creditloom.sources import csv_text, log_table, views  # noqa: E402
+from creditloom.sources.shared import checkpointed  # noqa: E402
 
 # The operators for training data are a part that can be taken away.
 LLM_MODULES = {"corpus_pipeline", "creditloom.llm", "creditloom.llm.queries"}
@@ -53,8 +53,10 @@ def user_credits(spark, sf):
 
 
 def user_credits_sql(spark, sf):
+    """With the place of each row, which shows the order of the report."""
     tables = {"usage": views.usage_history(spark, sf), "metering": views.metering(spark, sf)}
-    return report_sql.run_report(spark, report_sql.USER_CREDITS, CREDITS_AS_OF, tables)
+    report = report_sql.run_report(spark, report_sql.USER_CREDITS, CREDITS_AS_OF, tables)
+    return S.with_place(report)
 
 
 def daily_credits(spark, sf):
@@ -79,18 +81,21 @@ def query_shapes_sql(spark, sf):
 
 def credit_matrix(spark, sf):
     """Logs the daily credits, then once more at three times the amount, and pivots the log."""
-    name = log_table.create_log_table(spark)
-    log_table.append_query(name, daily_credits(spark, sf))
-    again = (F.col("credits_used_date_wh") * 3).cast("decimal(38,0)")
-    log_table.append_query(name, spark.table(name).withColumn("credits_used_date_wh", again))
-    return reports.credit_matrix(spark.table(name))
+    with log_table.passing_log_table(spark) as name:
+        log_table.append_query(name, daily_credits(spark, sf))
+        again = (F.col("credits_used_date_wh") * 3).cast("decimal(38,0)")
+        log_table.append_query(name, spark.table(name).withColumn("credits_used_date_wh", again))
+        first_day = CREDITS_AS_OF.date() - timedelta(days=31)
+        days = [first_day + timedelta(days=i + 1) for i in range(31)]
+        found = reports.credit_matrix(spark.table(name), days)
+        return checkpointed(found)
 
 
 def log_table_append(spark, sf):
-    name = log_table.create_log_table(spark)
-    log_table.append_query(name, daily_credits(spark, sf))
-    log_table.append_values(spark, name, log_table.SAMPLE_ROWS)
-    return spark.table(name)
+    with log_table.passing_log_table(spark) as name:
+        log_table.append_query(name, daily_credits(spark, sf))
+        log_table.append_values(spark, name, log_table.SAMPLE_ROWS)
+        return checkpointed(spark.table(name))
 
 
 def credit_html_rows(spark, sf):
@@ -137,7 +142,9 @@ def sales_by_week(spark, sf):
     sales = views.sales(spark, sf)
     day = F.col("cs_sold_date_sk")
     first, last = sales.agg(F.min(day), F.max(day)).first()
-    weeks = spark.range(first, last + 1, 7).toDF("week_start")
+    # Without dates there are no weeks.
+    first, end = (0, 0) if first is None else (first, last + 1)
+    weeks = spark.range(first, end, 7).toDF("week_start")
     start = F.lit(first) + F.floor((day - first) / 7) * 7
     sold = sales.groupBy(start.alias("week")).agg(
         F.count("*").alias("n"), F.sum("cs_quantity").alias("qty_sum")
@@ -145,12 +152,6 @@ def sales_by_week(spark, sf):
     return weeks.join(sold, weeks["week_start"] == sold["week"]).drop("week")
 
 
-def range_count(spark, sf):
-    """As many generated rows as there are sales."""
-    n = views.sales(spark, sf).count()
-    return spark.sql("SELECT count(*) AS n FROM range(:n)", args={"n": n})
-
-
 def local_rows(spark, sf):
     """Sales per line number, named by a small frame of local rows."""
     words = "one two three four five six seven".split()
@@ -163,27 +164,32 @@ def local_rows(spark, sf):
 def csv_scan(spark, sf):
     """Parts written as text, some rows short, long or with empty fields, and read as CSV."""
     kind = F.col("p_partkey") % 4
-    name, url, user = F.col("p_name"), F.col("p_brand"), F.col("p_type")
-    size, empty = F.col("p_size").cast("string"), F.lit("")
+    name, url, user, size = (F.col(c) for c in ("p_name", "p_brand", "p_type", "p_size"))
+    null = F.lit(None).cast("string")
     line = (
-        F.when(kind == 1, F.concat_ws(",", name, url))
-        .when(kind == 2, F.concat_ws(",", name, url, user, size, F.lit("more"), F.lit("fields")))
-        .when(kind == 3, F.concat_ws(",", name, empty, user, empty))
-        .otherwise(F.concat_ws(",", name, url, user, size))
+        F.when(kind == 1, csv_text.csv_line(name, url))
+        .when(kind == 2, csv_text.csv_line(name, url, user, size, F.lit("more"), F.lit("fields")))
+        .when(kind == 3, csv_text.csv_line(name, null, user, null))
+        .otherwise(csv_text.csv_line(name, url, user, size))
     )
-    folder = shared_folder(spark, "csv")
-    views.read_table(spark, sf, "part").select(line.alias("value")).write.text(folder)
+    lines = views.read_table(spark, sf, "part").select(line.alias("value"))
     fields = ["name", "url", "username", "password"]
     schema = T.StructType([T.StructField(field, T.StringType()) for field in fields])
-    return spark.read.schema(schema).csv(folder)
+    with csv_text.passing_text(lines) as folder:
+        return checkpointed(csv_text.read_csv(spark, folder, schema))
 
 
 # --- pages ----------------------------------------------------------------------------------------
 
 
+# The test tables are a file each, so one split.
+PAGE_SPLITS = 8
+
+
 def parsed(spark, sf, tags=None, with_text=True):
     pages = views.read_table(spark, sf, "pages")
-    return P.parse_pages(P.spread(pages), tags=tags, with_text=with_text)
+    return P.parse_pages(pages, tags=tags, with_text=with_text, splits=PAGE_SPLITS)
+
 
 
 def page_elements_by_tag_attr(spark, sf):
@@ -191,7 +197,7 @@ def page_elements_by_tag_attr(spark, sf):
     return parsed(spark, sf, ["div"]).select(
         "page_id",
         F.size(P.all_nodes("nodes", ad)).alias("ads"),
-        P.first_node("nodes", ad)["text"].alias("first_ad"),
+        P.node_text(P.first_node("nodes", ad)).alias("first_ad"),
     )
 
 
@@ -205,7 +211,7 @@ def page_attr(spark, sf):
 
 
 def page_first_tag_text(spark, sf):
-    title = P.first_node("nodes", P.where(tag="title"))["text"]
+    title = P.node_text(P.first_node("nodes", P.where(tag="title")))
     return parsed(spark, sf, ["title"]).select("page_id", title.alias("title"))
 
 
@@ -213,22 +219,37 @@ def page_exact_text(spark, sf):
     named = P.where(string="The")
     return parsed(spark, sf, [P.TEXT]).select(
         "page_id",
-        P.first_node("nodes", named)["text"].alias("first_match"),
+        P.node_text(P.first_node("nodes", named)).alias("first_match"),
         F.size(P.all_nodes("nodes", named)).alias("matches"),
     )
 
 
 def page_text_contains(spark, sf):
     items = P.all_nodes("nodes", P.where(tag="li", contains="an"))
-    found = parsed(spark, sf, ["li"]).select("page_id", F.explode(items).alias("item"))
-    return found.select("page_id", F.col("item.text").alias("text"))
+    found = parsed(spark, sf, ["li"]).select("page_id", "strings", F.explode(items).alias("item"))
+    return found.select("page_id", P.node_text(F.col("item")).alias("text"))
 
 
 def page_first_inside(spark, sf):
     """The link inside each list item whose text contains the word."""
     items = P.first_inside("nodes", P.where(tag="li", contains="an"), P.where(tag="a"))
-    found = parsed(spark, sf, ["li", "a"]).select("page_id", F.inline(items))
-    return found.select("page_id", "node.text", F.col("found.attrs")["href"].alias("href"))
+    found = parsed(spark, sf, ["li", "a"]).select("page_id", "strings", F.inline(items))
+    text = P.node_text(F.col("node")).alias("text")
+    return found.select("page_id", text, F.col("found.attrs")["href"].alias("href"))
+
+
+def page_all_inside(spark, sf):
+    """All list items of the first menu, and of each the stripped text of the link inside."""
+    items = P.all_inside("nodes", P.where(tag="nav"), P.where(tag="li"))
+    cells = P.first_inside("nodes", P.where(tag="li"), P.where(tag="a"), among=items)
+    found = parsed(spark, sf, ["nav", "li", "a"]).select("page_id", "strings", F.posexplode(cells))
+    link = F.col("col.found")
+    return found.select(
+        "page_id",
+        "pos",
+        P.stripped(P.node_text(link)).alias("text"),
+        link["attrs"]["href"].alias("href"),
+    )
 
 
 def page_tag_census(spark, sf):
@@ -238,6 +259,13 @@ def page_tag_census(spark, sf):
     )
 
 
+def page_errors(spark, sf):
+    """How many pages were read whole, broke off, or are null."""
+    state = F.when(F.col("nodes").isNull(), "null").when(F.col("error").isNull(), "whole")
+    pages = parsed(spark, sf, tags=[], with_text=False)
+    return pages.groupBy(state.otherwise("broken off").alias("state")).agg(F.count("*").alias("n"))
+
+
 # --- Python functions and concurrent actions ------------------------------------------------------
 
 
@@ -245,8 +273,10 @@ def udf_list(spark, sf):
     """The Python function is evaluated once per pool, after the aggregate."""
     register_versions(spark, "compute")
     return spark.sql(
-        "SELECT warehouse_name, count(*) AS n, size(compute()) AS versions"
-        " FROM {usage} GROUP BY warehouse_name",
+        "SELECT warehouse_name, n, size(versions) AS versions,"
+        " forall(versions, v -> v RLIKE '^[0-9]+[.][0-9]+') AS look_right"
+        " FROM (SELECT warehouse_name, count(*) AS n, compute() AS versions"
+        " FROM {usage} GROUP BY warehouse_name)",
         usage=views.usage_history(spark, sf),
     )
 
@@ -266,12 +296,6 @@ def concurrent_counts(spark, sf):
 # --- the driver's dictionaries --------------------------------------------------------------------
 
 
-def _decimals_as_doubles(df: DataFrame) -> DataFrame:
-    """The SQL results are compared as doubles; decimal scales differ between the engines."""
-    names = [f.name for f in df.schema if isinstance(f.dataType, T.DecimalType)]
-    return df.withColumns({name: F.col(name).cast("double") for name in names}) if names else df
-
-
 def _rounded(name: str, digits: int, plan):
     return lambda spark, sf: plan(spark, sf).withColumn(name, F.round(name, digits))
 
@@ -296,8 +320,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sales_filter": on_sales(lambda sales: S.cost_at(sales, 510, 3)),
         "sales_filter_or": on_sales(lambda sales: S.cost_at_either(sales, 510, 3)),
         "sales_join_logs": sales_join_logs,
-        "sales_sort": on_sales(S.by_quantity_then_cost),
-        "sales_sort_override": on_sales(S.by_quantity_and_cost),
+        "sales_sort": on_sales(lambda s: S.with_place(S.by_quantity_then_cost(s, S.TIES))),
+        "sales_sort_override": on_sales(lambda s: S.with_place(S.by_quantity_and_cost(s, S.TIES))),
         "sales_totals": _rounded("qty_stddev", 6, on_sales(S.quantity_totals)),
         "sales_minmax": on_sales(S.extremes),
         "sales_minmax_dict": on_sales(S.extremes_by_dict),
@@ -306,7 +330,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sales_fill_null": on_sales(S.filled),
         "sales_limit_count": sales_limit_count,
         "sales_by_week": sales_by_week,
-        "range_count": range_count,
         "local_rows": local_rows,
         "csv_scan": csv_scan,
         "page_elements_by_tag_attr": page_elements_by_tag_attr,
@@ -315,6 +338,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "page_exact_text": page_exact_text,
         "page_text_contains": page_text_contains,
         "page_first_inside": page_first_inside,
+        "page_all_inside": page_all_inside,
+        "page_errors": page_errors,
         "page_tag_census": page_tag_census,
         "udf_list": udf_list,
         "concurrent_counts": concurrent_counts,
@@ -322,9 +347,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
     def in_utc(plan):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            # The test timestamps have no zone; hours and days are cut in the session's.
+            # The test timestamps have no zone; hours and days are cut in the session's, which a
+            # plan fixes when it is made.
+            zone = spark.conf.get("spark.sql.session.timeZone")
             spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return _decimals_as_doubles(plan(spark, sf_dir))
+            try:
+                return plan(spark, sf_dir)
+            finally:
+                spark.conf.set("spark.sql.session.timeZone", zone)
 
         return run
 
@@ -378,7 +408,8 @@ user_hour AS (
 pool_hour AS (SELECT warehouse_name, h, sum(t) AS t FROM user_hour GROUP BY 1, 2),
 user_credits AS (
   SELECT user_name, a.warehouse_name,
-         round(sum(CAST(a.t AS DOUBLE) / CAST(b.t AS DOUBLE) * CAST(credits_used AS DOUBLE)), 2)
+         CAST(round(round(sum(CAST(a.t AS DOUBLE) * CAST(credits_used AS DOUBLE)
+                              / CAST(b.t AS DOUBLE)), 9), 2) AS DECIMAL(18,2))
            AS approximate_credits_used
   FROM user_hour a
   JOIN pool_hour b ON a.h = b.h AND a.warehouse_name = b.warehouse_name
@@ -412,28 +443,52 @@ USER_HTML = r"""concat('<tr><td>', user_name, '</td><td>', warehouse_name, '</td
 
 ITEMS = """regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a></li>', {group})"""
 
-# The days of the matrix: the month before 2024-02-10 has credits on these.
-MATRIX_DAYS = [f"2024-01-{day:02d}" for day in range(11, 31) if day % 7 != 0]
+# The days of the matrix: the month up to 2024-02-10.
+MATRIX_DAYS = [f"2024-01-{day:02d}" for day in range(11, 32)]
+MATRIX_DAYS += [f"2024-02-{day:02d}" for day in range(1, 11)]
 
 ORDER_COLUMNS = (
-    "cs_order_number, cs_quantity, CAST(cs_wholesale_cost AS DOUBLE) AS cs_wholesale_cost,"
-    " CAST(cs_list_price AS DOUBLE) AS cs_list_price"
+    "cs_order_number, cs_quantity, CAST(cs_wholesale_cost AS DECIMAL(12,2)) AS cs_wholesale_cost,"
+    " CAST(cs_list_price AS DECIMAL(12,2)) AS cs_list_price"
 )
 
 
+# The fixed lines of the report by section, in order.
+REPORT_LINES = {
+    0: """<!DOCTYPE html>
+<html>
+<head>
+<meta charset='utf-8'>
+<style>td, th { padding: 0.3em; border-bottom: thin solid gray; }</style>
+</head>
+<body>
+<h2>Utilization Report</h2>
+<hr>
+<br>
+<h3>Approx. Users Credit Consumption Report</h3>
+<br>
+<table>
+<tr><th>USER NAME</th><th>WAREHOUSE NAME</th><th>APPROX. CREDITS USED</th></tr>""",
+    2: """</table>
+<br>
+<h3>Queries by # Executed and their Execution Time</h3>
+<br>
+<table>
+<tr><th>PARTIAL QUERY TEXT</th><th>NUMBER OF QUERIES</th><th>EXECUTION TIME IN MINS</th></tr>""",
+    4: """</table>
+<br>
+<h3>Utilization Report</h3>
+<img height=auto width=100% src='cid:img.jpg'></img>
+</body>
+</html>""",
+}
+
+
 def _fixed_lines() -> str:
-    """The fixed parts of the report, as rows of (section, place, line)."""
-    heading = "Utilization Report"
-    image = ["</table>", "<br>", f"<h3>{heading}</h3>"]
-    image.append("<img height=auto width=100% src='cid:img.jpg'></img>")
-    parts = {
-        0: [*reports.REPORT_HEAD, f"<h2>{heading}</h2>", *reports.USER_HEAD],
-        2: reports.SHAPE_HEAD,
-        4: [*image, *reports.REPORT_END],
-    }
+    """The fixed lines as rows of (section, place, line)."""
     rows = []
-    for section, lines in parts.items():
-        for place, line in enumerate(lines):
+    for section, lines in REPORT_LINES.items():
+        for place, line in enumerate(lines.split("\n")):
             text = line.replace("'", "''")
             rows.append(f"({section}, CAST({place} AS DOUBLE), '{text}')")
     return ", ".join(rows)
@@ -447,7 +502,8 @@ def _decoded(text: str) -> str:
 def oracle_sql() -> dict[str, str]:
     user_credits_sql = f"WITH {USER_CREDITS} SELECT * FROM user_credits"
     daily_columns = (
-        "start_date, warehouse_name, CAST(credits_used_date_wh AS DOUBLE) AS credits_used_date_wh"
+        "start_date, warehouse_name, CAST(credits_used_date_wh AS DECIMAL(38,0))"
+        " AS credits_used_date_wh"
     )
     daily_credits_sql = f"WITH {DAILY_CREDITS} SELECT {daily_columns} FROM daily"
     query_shapes_sql = f"WITH {QUERY_SHAPES} SELECT * FROM shapes"
@@ -459,10 +515,13 @@ def oracle_sql() -> dict[str, str]:
     priced = "cs_quantity IS NOT NULL AND cs_wholesale_cost IS NOT NULL"
     corpus_sql = llm.oracle_sql() if llm else {}
     minmax = f"""WITH {SALES} SELECT min(cs_quantity) AS min_cs_quantity,
-        CAST(max(cs_wholesale_cost) AS DOUBLE) AS max_cs_wholesale_cost FROM sales"""
+        CAST(max(cs_wholesale_cost) AS DECIMAL(12,2)) AS max_cs_wholesale_cost FROM sales"""
     return corpus_sql | {
         "user_credits": user_credits_sql,
-        "user_credits_sql": user_credits_sql,
+        "user_credits_sql": f"""WITH {USER_CREDITS}
+            SELECT *, row_number() OVER (ORDER BY approximate_credits_used DESC,
+                                         user_name NULLS FIRST, warehouse_name) AS place
+            FROM user_credits""",
         "daily_credits": daily_credits_sql,
         "daily_credits_sql": daily_credits_sql,
         "query_shapes": query_shapes_sql,
@@ -475,7 +534,7 @@ def oracle_sql() -> dict[str, str]:
         "log_table_append": f"""WITH {DAILY_CREDITS}
             SELECT {daily_columns} FROM daily
             UNION ALL
-            SELECT DATE '2022-11-08', name, CAST(credits AS DOUBLE)
+            SELECT DATE '2022-11-08', name, CAST(credits AS DECIMAL(38,0))
             FROM (VALUES ('ETL_WH', 433), ('ML_LOAD_WH', 1398), ('ADHOC_WH', 466),
                          ('USER_WH', 245), ('ANALYTICS_WH', 683)) AS v(name, credits)""",
         "credit_html_rows": f"""WITH {DAILY_CREDITS}
@@ -491,7 +550,7 @@ def oracle_sql() -> dict[str, str]:
         "report_page": f"""WITH {USER_CREDITS}, {QUERY_SHAPES.removeprefix(USAGE + ",")}
             SELECT section, place, line FROM (VALUES {_fixed_lines()}) AS v(section, place, line)
             UNION ALL
-            SELECT 1, 0 - approximate_credits_used, {USER_HTML} FROM user_credits
+            SELECT 1, 0 - CAST(approximate_credits_used AS DOUBLE), {USER_HTML} FROM user_credits
             UNION ALL
             SELECT 3, CAST(0 - number_of_queries AS DOUBLE), {SHAPE_HTML} FROM shapes""",
         "sales_select": f"WITH {SALES} SELECT cs_sold_time_sk FROM sales",
@@ -500,20 +559,24 @@ def oracle_sql() -> dict[str, str]:
         "sales_substr": f"""WITH {SALES}
             SELECT left(CAST(cs_sold_time_sk AS VARCHAR), 3) AS column1 FROM sales""",
         "sales_filter": f"""WITH {SALES}
-            SELECT CAST(cs_ext_wholesale_cost AS DOUBLE) AS cs_ext_wholesale_cost
+            SELECT CAST(cs_ext_wholesale_cost AS DECIMAL(17,2)) AS cs_ext_wholesale_cost
             FROM sales WHERE cs_sold_time_sk = 510 AND cs_bill_cdemo_sk = 3""",
         "sales_filter_or": f"""WITH {SALES}
             SELECT cs_order_number, cs_line_number,
-                   CAST(cs_ext_wholesale_cost AS DOUBLE) AS cs_ext_wholesale_cost
+                   CAST(cs_ext_wholesale_cost AS DECIMAL(17,2)) AS cs_ext_wholesale_cost
             FROM sales WHERE cs_sold_time_sk = 510 OR cs_bill_cdemo_sk = 3""",
         "sales_join_logs": f"""WITH {SALES}, {SALES_LOGS}
             SELECT s.cs_item_sk, cs_order_number, cs_line_number,
-                   CAST(cs_list_price AS DOUBLE) AS cs_list_price, log_tag
+                   CAST(cs_list_price AS DECIMAL(12,2)) AS cs_list_price, log_tag
             FROM sales s JOIN sales_logs l ON s.cs_item_sk = l.cs_item_sk""",
-        "sales_sort": f"""WITH {SALES} SELECT {ORDER_COLUMNS} FROM sales WHERE {priced}
-            ORDER BY sales.cs_quantity ASC, sales.cs_wholesale_cost DESC""",
-        "sales_sort_override": f"""WITH {SALES} SELECT {ORDER_COLUMNS} FROM sales WHERE {priced}
-            ORDER BY sales.cs_quantity ASC, sales.cs_wholesale_cost ASC""",
+        "sales_sort": f"""WITH {SALES} SELECT {ORDER_COLUMNS}, row_number() OVER (
+              ORDER BY sales.cs_quantity ASC, sales.cs_wholesale_cost DESC, cs_order_number,
+                       sales.cs_list_price) AS place
+            FROM sales WHERE {priced}""",
+        "sales_sort_override": f"""WITH {SALES} SELECT {ORDER_COLUMNS}, row_number() OVER (
+              ORDER BY sales.cs_quantity ASC, sales.cs_wholesale_cost ASC, cs_order_number,
+                       sales.cs_list_price) AS place
+            FROM sales WHERE {priced}""",
         "sales_totals": f"""WITH {SALES}
             SELECT CAST(sum(cs_quantity) AS BIGINT) AS qty_sum,
                    round(stddev_samp(cs_quantity), 6) AS qty_stddev,
@@ -533,8 +596,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT rank, {ORDER_COLUMNS} FROM numbered""",
         "sales_fill_null": f"""WITH {SALES}
             SELECT cs_order_number, coalesce(cs_quantity, 111) AS cs_quantity,
-                   CAST(cs_wholesale_cost AS DOUBLE) AS cs_wholesale_cost,
-                   CAST(cs_list_price AS DOUBLE) AS cs_list_price
+                   CAST(cs_wholesale_cost AS DECIMAL(12,2)) AS cs_wholesale_cost,
+                   CAST(cs_list_price AS DECIMAL(12,2)) AS cs_list_price
             FROM sales WHERE cs_quantity IS NULL AND cs_wholesale_cost IS NULL""",
         "sales_limit_count": f"""WITH {SALES}
             SELECT count(*) AS n FROM (SELECT * FROM sales LIMIT 20) AS t""",
@@ -545,9 +608,6 @@ def oracle_sql() -> dict[str, str]:
             FROM weeks JOIN sales
               ON cs_sold_date_sk >= week_start AND cs_sold_date_sk < week_start + 7
             GROUP BY week_start""",
-        "range_count": """SELECT count(*) AS n FROM (
-            SELECT unnest(range(total)) AS i FROM (SELECT count(*) AS total FROM lineitem) AS c
-            ) AS r""",
         "local_rows": f"""WITH {SALES}
             SELECT CAST(col_1 AS BIGINT) AS col_1, col_2, count(*) AS n
             FROM sales JOIN (VALUES (1, 'one'), (2, 'two'), (3, 'three'), (4, 'four'),
@@ -593,6 +653,17 @@ def oracle_sql() -> dict[str, str]:
               FROM (SELECT page_id, unnest({ITEMS.format(group=0)}) AS item FROM pages) AS t
             ) AS items
             WHERE contains(text, 'an')""",
+        "page_all_inside": f"""
+            SELECT page_id, CAST(pos AS INTEGER) AS pos,
+                   trim({_decoded("regexp_extract(item, '>([^<]*)</a>', 1)")}) AS text,
+                   {_decoded("regexp_extract(item, 'href=\"([^\"]*)\"', 1)")} AS href
+            FROM (SELECT page_id, unnest(items) AS item, generate_subscripts(items, 1) - 1 AS pos
+                  FROM (SELECT page_id, regexp_extract_all(
+                          regexp_extract(html, '<nav>(.*?)</nav>', 1, 's'),
+                          '<li><a href="[^"]*">[^<]*</a></li>') AS items FROM pages) AS n) AS t""",
+        "page_errors": """
+            SELECT CASE WHEN html IS NULL THEN 'null' ELSE 'whole' END AS state, count(*) AS n
+            FROM pages GROUP BY 1""",
         "page_tag_census": r"""
             SELECT regexp_extract(tag, '<([a-z][a-z0-9]*)', 1) AS tag, count(*) AS n,
                    count(*) FILTER (WHERE contains(tag, '="')) AS with_attrs
@@ -601,7 +672,7 @@ def oracle_sql() -> dict[str, str]:
                     '<[a-z][a-z0-9]*[^>]*>')) AS tag FROM pages) AS t
             GROUP BY 1""",
         "udf_list": f"""WITH {USAGE}
-            SELECT warehouse_name, count(*) AS n, 2 AS versions
+            SELECT warehouse_name, count(*) AS n, 2 AS versions, TRUE AS look_right
             FROM usage_history GROUP BY warehouse_name""",
         "concurrent_counts": f"""WITH {USAGE}
             SELECT 'all' AS label, count(*) AS n FROM usage_history

@@ -7,6 +7,7 @@ element of its name, and is ignored when none is open; nothing else is closed im
 from __future__ import annotations
 
 import re
+import sys
 from html.parser import HTMLParser
 
 # Elements without content.
@@ -30,24 +31,30 @@ PLAIN_TAG = re.compile(
 PLAIN_ATTRIBUTE = re.compile(ATTRIBUTE)
 # The tag of a text node.
 TEXT = "#text"
+# The short cut below steps into the standard parser, so it is taken only where it was tested.
+KNOWN_PARSER = sys.version_info[:2] in {(3, 12), (3, 13)}
+ERROR_CHARS = 200
 
 
 class Node:
     """An element or a text node; ``below`` counts the kept nodes among its descendants.
 
-    Nodes are in document order, so its descendants are the ``below`` nodes that follow it.
+    Nodes are in document order, so its descendants are the ``below`` nodes that follow it. Its text
+    is ``count`` strings from ``start`` on in the page's strings of its ``kind``: nested elements
+    share strings, so a page takes memory in proportion to its length however deep it is nested.
     """
 
-    __slots__ = ("pos", "parent_pos", "below", "tag", "attrs", "text", "start")
+    __slots__ = ("pos", "parent_pos", "below", "tag", "attrs", "kind", "start", "count")
 
-    def __init__(self, pos, parent_pos, tag, attrs, text=None, start=0):
+    def __init__(self, pos, parent_pos, tag, attrs, kind, start):
         self.pos = pos
         self.parent_pos = parent_pos
         self.below = 0
         self.tag = tag
         self.attrs = attrs
-        self.text = text
+        self.kind = kind
         self.start = start
+        self.count = 0
 
 
 class PageReader(HTMLParser):
@@ -61,24 +68,49 @@ class PageReader(HTMLParser):
         self.open: list[Node] = []
         self.open_count: dict[str, int] = {}
         self.apart: list[str] = []
-        self.strings: dict[str | None, list[str]] = {None: []}
+        # By kind: the strings of the page itself ("") and of elements that stand apart.
+        self.strings: dict[str, list[str]] = {"": []}
         self.pending: list[str] = []
         self.next_pos = 0
 
-    def read(self, html: str) -> list[Node]:
-        self.feed(html)
-        self.close()
+    def read(self, html: str) -> str | None:
+        """Reads the page; what the tokenizer rejects ends it, and the reason is returned."""
+        error = None
+        try:
+            self.feed(html)
+            self.close()
+        except (AssertionError, ValueError) as rejected:
+            # A declaration it cannot read, or a character reference of thousands of digits.
+            error = str(rejected)[:ERROR_CHARS] or type(rejected).__name__
         self._end_string()
         while self.open:
             self._close_last()
-        return self.nodes
+        return error
+
+    def drop_other_strings(self) -> None:
+        """Keep only strings that are part of a kept node's text."""
+        for kind, strings in self.strings.items():
+            steps = [0] * (len(strings) + 1)
+            own = [node for node in self.nodes if node.kind == kind and node.count]
+            for node in own:
+                steps[node.start] += 1
+                steps[node.start + node.count] -= 1
+            kept, moved, depth = [], [], 0
+            for string, step in zip(strings, steps):
+                depth += step
+                moved.append(len(kept))
+                if depth:
+                    kept.append(string)
+            for node in own:
+                node.start = moved[node.start]
+            self.strings[kind] = kept
 
     def _keeps(self, tag: str) -> bool:
         return self.wanted is None or tag in self.wanted
 
-    def _add(self, tag, attrs=None, text=None, start=0) -> Node:
+    def _add(self, tag, attrs, kind) -> Node:
         parent = self.open[-1].pos if self.open else None
-        node = Node(self.next_pos, parent, tag, attrs or {}, text, start)
+        node = Node(self.next_pos, parent, tag, attrs or {}, kind, len(self.strings.get(kind, ())))
         self.next_pos += 1
         if self._keeps(tag):
             self.nodes.append(node)
@@ -93,27 +125,27 @@ class PageReader(HTMLParser):
         self.pending = []
         if not text.strip(" \t\n\r\f") and not any(self.open_count.get(t) for t in PRE_TAGS):
             text = "\n" if "\n" in text else " "
+        kind = self.apart[-1] if self.apart else ""
+        node = self._add(TEXT, None, kind)
+        node.below = 0
         if self.with_text:
-            kind = self.apart[-1] if self.apart else None
+            node.count = 1
             self.strings.setdefault(kind, []).append(text)
-        self._add(TEXT, text=text).below = 0
 
     def _close_last(self) -> None:
         node = self.open.pop()
         tag = node.tag
         self.open_count[tag] -= 1
-        kind = None
         if tag in APART_TAGS:
-            kind = self.apart.pop()
+            self.apart.pop()
         node.below = len(self.nodes) - node.below
-        if self.with_text and self._keeps(tag):
-            node.text = "".join(self.strings.get(kind, [])[node.start :])
+        node.count = len(self.strings.get(node.kind, ())) - node.start
 
     def parse_starttag(self, i):
         """Most start tags are plain; reading those here saves a third of the time per page."""
         plain = PLAIN_TAG.match(self.rawdata, i)
         tag = plain and plain[1].lower()
-        if plain is None or tag in RAW_TAGS:
+        if plain is None or tag in RAW_TAGS or not KNOWN_PARSER:
             return super().parse_starttag(i)
         self.handle_starttag(
             tag, [(name.lower(), value) for name, value in PLAIN_ATTRIBUTE.findall(plain[2])]
@@ -125,8 +157,8 @@ class PageReader(HTMLParser):
         values = None
         if attrs and self._keeps(tag):
             values = {name: "" if value is None else value for name, value in attrs}
-        kind = tag if tag in APART_TAGS else None
-        node = self._add(tag, values, start=len(self.strings.get(kind, ())))
+        kind = tag if tag in APART_TAGS else ""
+        node = self._add(tag, values, kind)
         self.open.append(node)
         self.open_count[tag] = self.open_count.get(tag, 0) + 1
         if kind:
@@ -169,12 +201,12 @@ class PageReader(HTMLParser):
         self._end_string()
 
 
-def read_nodes(html: str | None, tags: frozenset[str] | None, with_text: bool) -> list[Node] | None:
-    """The nodes of a page, or None for a page the tokenizer rejects."""
-    if html is None:
-        return None
-    try:
-        return PageReader(tags, with_text).read(html)
-    except (AssertionError, ValueError):
-        # A declaration it cannot read, or a character reference of thousands of digits.
-        return None
+def read_page(html: str, tags: frozenset[str] | None, with_text: bool) -> tuple:
+    """``(nodes, strings by kind, error)`` of a page; what was read before an error stays."""
+    reader = PageReader(tags, with_text)
+    error = reader.read(html)
+    if not with_text:
+        return reader.nodes, {}, error
+    if tags is not None:
+        reader.drop_other_strings()
+    return reader.nodes, reader.strings, error

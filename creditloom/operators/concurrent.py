@@ -31,6 +31,16 @@ def start_all(spark: SparkSession, actions: Mapping[str, Callable[[], Any]]) ->
     return futures
 
 
-def collect_nowait(df: DataFrame, tag: str) -> Future[list[Row]]:
-    """Start ``df.collect()``; ``.result()`` waits for the rows. Only for bounded results."""
-    return start_all(df.sparkSession, {tag: df.collect})[tag]
+def collect_nowait(df: DataFrame, tag: str, at_most: int = 100_000) -> Future[list[Row]]:
+    """Start collecting ``df``; ``.result()`` waits for the rows.
+
+    A result of more than ``at_most`` rows raises ValueError and is not brought to the driver whole.
+    """
+
+    def collect() -> list[Row]:
+        rows = df.limit(at_most + 1).collect()
+        if len(rows) > at_most:
+            raise ValueError(f"more than {at_most} rows")
+        return rows
+
+    return start_all(df.sparkSession, {tag: collect})[tag]

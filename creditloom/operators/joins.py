@@ -1,41 +1,25 @@
-"""An inner join of rows with hot keys to a side that is small, if its size says so."""
+"""An inner join of rows with hot keys."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-# What a broadcast side may hold, by the measure below.
-BROADCAST_BYTES = 64 << 20
-ROW_BYTES = 64
-# A power of two.
 SALTS = 16
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """The size of ``df``: its strings, and a fixed part per row for all else. One aggregate."""
-    names = [field.name for field in df.schema if isinstance(field.dataType, StringType)]
-    texts = [F.coalesce(F.octet_length(name).cast("bigint"), F.lit(0)) for name in names]
-    row = sum(texts, F.lit(ROW_BYTES).cast("bigint"))
-    return df.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
-
-
 def join_hot_keys(
-    rows: DataFrame, side: DataFrame, keys: list[str], salt_by: list[str], broadcast: bool
+    rows: DataFrame, side: DataFrame, keys: list[str], salt_by: list[str], salts: int = SALTS
 ) -> DataFrame:
     """Inner join on ``keys``, where one key may hold a large part of ``rows``.
 
-    ``broadcast`` is for a side whose size was checked; then ``rows`` do not move at all. Otherwise
-    each key is cut into ``SALTS`` by a hash of ``salt_by``, and the side is repeated for each.
+    Each key is cut into ``salts`` parts by a hash of ``salt_by``, and the side is repeated for
+    each. There is no hint: once the side's shuffle has a size, Spark may broadcast it and leave the
+    rows where they are. ``salts`` changes the plan only, never the result.
     """
-    if broadcast:
-        return rows.join(F.broadcast(side), keys)
     salt = "_salt"
     # Never null, so the join adds no filter to ``rows`` and can share their shuffle with others.
-    low_bits = F.xxhash64(*salt_by).bitwiseAND(F.lit(SALTS - 1).cast("bigint"))
-    salted = rows.withColumn(salt, low_bits)
-    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
-    repeated = side.withColumn(salt, F.explode(salts))
-    # Hashing the side's share of each partition spares sorting the rows, which are many more.
-    return salted.join(repeated.hint("shuffle_hash"), [*keys, salt]).drop(salt)
+    part = F.coalesce(F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"), F.lit(0))
+    salted = rows.withColumn(salt, part)
+    repeated = side.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(repeated, [*keys, salt]).drop(salt)

@@ -14,13 +14,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.functions import html as html_reader
-from creditloom.functions.html import TEXT, read_nodes
+from creditloom.functions.html import TEXT, read_page
 
+# ``place`` is the node's index in the array.
 NODES = (
-    "array<struct<pos:int,parent_pos:int,below:int,tag:string,"
-    "attrs:map<string,string>,text:string>>"
+    "array<struct<place:int,pos:int,parent_pos:int,below:int,tag:string,"
+    "attrs:map<string,string>,kind:string,start:int,count:int>>"
 )
-# A record batch is sent once its markup and texts reach this size, however few pages that is.
+STRINGS = "map<string,array<string>>"
+# A record batch is sent once its markup reaches this size, however few pages that is.
 BATCH_CHARS = 8 << 20
 
 # Attributes that hold a list of names.
@@ -31,34 +33,27 @@ cloudpickle.register_pickle_by_value(html_reader)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def spread(pages: DataFrame) -> DataFrame:
-    """Cut a scan with fewer splits than cores into more; leave a larger one as it is.
-
-    Parsing is CPU work in Python, and a small file is one split. Only for plans without a shuffle:
-    asking others for their partitions would run them.
-    """
-    cores = pages.sparkSession.sparkContext.defaultParallelism
-    if pages.rdd.getNumPartitions() >= cores:
-        return pages
-    return pages.repartition(cores)
-
-
 def parse_pages(
     pages: DataFrame,
     key: str = "page_id",
     html: str = "html",
     tags: Collection[str] | None = None,
     with_text: bool = True,
+    splits: int | None = None,
 ) -> DataFrame:
-    """``(key, nodes)``, one row per page, nodes in document order.
-
-    ``tags`` names the tags to keep (``TEXT`` for text nodes) and ``with_text=False`` leaves the
-    texts out: both keep what no later step reads out of the transfer from Python. The text of an
-    element is that of all its descendants, so nested elements repeat it; name the tags you need.
-    Nodes are null for a null page and for one the tokenizer rejects. ``key`` need not be unique.
+    """``(key, nodes, strings, error)``, one row per page, nodes in document order.
+
+    ``strings`` are the page's texts, of which ``node_text`` makes that of a node. ``tags`` names the
+    tags to keep (``TEXT`` for text nodes) and ``with_text=False`` leaves the texts out: both keep
+    what no later step reads out of the transfer from Python. A page that the tokenizer rejects
+    keeps the nodes before that place and has an ``error``; a null page has null nodes. ``key`` need
+    not be unique. ``splits`` deals the pages into that many partitions first, for tables of few
+    files: parsing is work for many cores, and a small file is one split.
     """
     wanted = None if tags is None else frozenset(tags)
     source = pages.select(key, html)
+    if splits is not None:
+        source = source.repartition(splits)
 
     def parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -66,9 +61,8 @@ def parse_pages(
             found: list = []
             for at, text in enumerate(batch.column(1)):
                 markup = text.as_py()
-                nodes = read_nodes(markup, wanted, with_text)
-                found.append(nodes)
-                chars += len(markup or "") + sum(len(node.text or "") for node in nodes or ())
+                found.append(read_page(markup, wanted, with_text) if markup is not None else None)
+                chars += len(markup or "")
                 if chars >= BATCH_CHARS:
                     yield _to_batch(key, batch.column(0)[start : at + 1], found)
                     start, chars, found = at + 1, 0, []
@@ -76,15 +70,18 @@ def parse_pages(
                 yield _to_batch(key, batch.column(0)[start:], found)
 
     key_type = source.schema[key].dataType.simpleString()
-    return source.mapInArrow(parse, f"`{key}` {key_type}, nodes {NODES}")
+    return source.mapInArrow(
+        parse, f"`{key}` {key_type}, nodes {NODES}, strings {STRINGS}, error string"
+    )
 
 
 def _to_batch(key: str, keys: pa.Array, found: list) -> pa.RecordBatch:
-    nodes = [node for page in found if page is not None for node in page]
-    ends, total = [0], 0
+    nodes, places, ends = [], [], [0]
     for page in found:
-        total += len(page or ())
-        ends.append(total)
+        if page is not None:
+            nodes.extend(page[0])
+            places.extend(range(len(page[0])))
+        ends.append(len(nodes))
     attr_ends, names, values = [0], [], []
     for node in nodes:
         names.extend(node.attrs.keys())
@@ -94,24 +91,49 @@ def _to_batch(key: str, keys: pa.Array, found: list) -> pa.RecordBatch:
         pa.array(attr_ends, pa.int32()), pa.array(names, pa.string()), pa.array(values, pa.string())
     )
     columns = {
+        "place": pa.array(places, pa.int32()),
         "pos": pa.array([n.pos for n in nodes], pa.int32()),
         "parent_pos": pa.array([n.parent_pos for n in nodes], pa.int32()),
         "below": pa.array([n.below for n in nodes], pa.int32()),
         "tag": pa.array([n.tag for n in nodes], pa.string()),
         "attrs": attrs,
-        "text": pa.array([n.text for n in nodes], pa.string()),
+        "kind": pa.array([n.kind for n in nodes], pa.string()),
+        "start": pa.array([n.start for n in nodes], pa.int32()),
+        "count": pa.array([n.count for n in nodes], pa.int32()),
     }
     lists = pa.ListArray.from_arrays(
         pa.array(ends, pa.int32()),
         pa.StructArray.from_arrays(list(columns.values()), list(columns)),
         mask=pa.array([page is None for page in found]),
     )
-    return pa.RecordBatch.from_arrays([keys, lists], [key, "nodes"])
+    strings = pa.array(
+        [None if page is None else list(page[1].items()) for page in found],
+        pa.map_(pa.string(), pa.list_(pa.string())),
+    )
+    errors = pa.array([page and page[2] for page in found], pa.string())
+    return pa.RecordBatch.from_arrays(
+        [keys, lists, strings, errors], [key, "nodes", "strings", "error"]
+    )
 
 
 def node_rows(parsed: DataFrame, key: str = "page_id") -> DataFrame:
     """One row per node: ``(key, pos, parent_pos, below, tag, attrs, text)``."""
-    return parsed.select(key, F.inline("nodes"))
+    rows = parsed.select(key, "strings", F.explode("nodes").alias("node"))
+    fields = [F.col(f"node.{name}") for name in ("pos", "parent_pos", "below", "tag", "attrs")]
+    return rows.select(key, *fields, node_text(F.col("node")).alias("text"))
+
+
+def node_text(node: Column, strings: str = "strings") -> Column:
+    """The text of a node, a column of a frame with the page's ``strings``; null without texts."""
+    own = F.try_element_at(F.col(strings), node["kind"])
+    # A kind without any string has no entry.
+    empty = F.when(node.isNotNull() & (F.size(strings) > 0), "")
+    return F.coalesce(F.array_join(F.slice(own, node["start"] + 1, node["count"]), ""), empty)
+
+
+def stripped(text: Column) -> Column:
+    """Without white space at both ends."""
+    return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
 
 
 def where(
@@ -120,7 +142,7 @@ def where(
     string: str | None = None,
     contains: str | None = None,
 ) -> Callable[[Column], Column]:
-    """A condition on one node (a struct column).
+    """A condition on one node (a struct column) of a frame with the page's ``strings``.
 
     ``string`` asks for a text node with exactly this text, ``contains`` for any node whose text
     contains it. Without ``string`` and without ``tag`` every element matches.
@@ -128,7 +150,7 @@ def where(
 
     def matches(node: Column) -> Column:
         if string is not None:
-            found = (node["tag"] == TEXT) & (node["text"] == string)
+            found = (node["tag"] == TEXT) & (node_text(node) == string)
         elif tag is not None:
             found = node["tag"] == tag
         else:
@@ -136,7 +158,7 @@ def where(
         for name, value in (attrs or {}).items():
             found = found & _attr_equals(node["attrs"][name], name, value)
         if contains is not None:
-            found = found & node["text"].contains(contains)
+            found = found & node_text(node).contains(contains)
         return found
 
     return matches
@@ -158,19 +180,38 @@ def first_node(nodes: Column | str, matches: Callable[[Column], Column]) -> Colu
     return F.get(F.filter(nodes, matches), 0)
 
 
-def first_inside(
+def below(nodes: Column | str, node: Column) -> Column:
+    """The nodes inside a node, null for a null node.
+
+    They are the ``below`` entries after it, so a search in them reads only that slice, and searches
+    can be nested: the cells of the rows of a table.
+    """
+    nodes = F.col(nodes) if isinstance(nodes, str) else nodes
+    return F.slice(nodes, node["place"] + 2, node["below"])
+
+
+def all_inside(
     nodes: Column | str, outer: Callable[[Column], Column], inner: Callable[[Column], Column]
 ) -> Column:
-    """For every ``outer`` node of a page a ``(node, found)``, the first ``inner`` node below it.
+    """All ``inner`` nodes inside the first ``outer`` node of a page; null when there is none."""
+    return F.filter(below(nodes, first_node(nodes, outer)), inner)
 
-    The descendants of a node are the ``below`` entries after it, so each search reads only that
-    slice. ``found`` is null when there is none.
+
+def first_inside(
+    nodes: Column | str,
+    outer: Callable[[Column], Column],
+    inner: Callable[[Column], Column],
+    among: Column | None = None,
+) -> Column:
+    """For every ``outer`` node of a page a ``(node, found)``, the first ``inner`` node inside it.
+
+    ``found`` is null when there is none. ``among`` looks for outer nodes in a part of the page only,
+    such as ``all_inside``.
     """
-    nodes = F.col(nodes) if isinstance(nodes, str) else nodes
-    placed = F.transform(nodes, lambda node, i: F.struct(node.alias("node"), i.alias("place")))
+    outer_nodes = F.filter(nodes if among is None else among, outer)
 
-    def search(at: Column) -> Column:
-        below = F.slice(nodes, at["place"] + 2, at["node"]["below"])
-        return F.struct(at["node"].alias("node"), first_node(below, inner).alias("found"))
+    def search(node: Column) -> Column:
+        found = first_node(below(nodes, node), inner)
+        return F.struct(node.alias("node"), found.alias("found"))
 
-    return F.transform(F.filter(placed, lambda at: outer(at["node"])), search)
+    return F.transform(outer_nodes, search)

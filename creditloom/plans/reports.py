@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from creditloom.functions.dates import moment, month_before
 from creditloom.functions.text import float_text, html_row
 from creditloom.operators.aggregates import pivot_mean
-from creditloom.operators.joins import BROADCAST_BYTES, join_hot_keys, measured_bytes
+from creditloom.operators.joins import SALTS, join_hot_keys
 
 
 def daily_credits(metering: DataFrame, as_of: datetime) -> DataFrame:
@@ -41,15 +41,28 @@ def user_credits(usage: DataFrame, metering: DataFrame, as_of: datetime) -> Data
     )
 
 
+def share_of(part: Column, whole: Column, amount: Column) -> Column:
+    """``part / whole * amount`` as a decimal of 12 places.
+
+    Sums of it do not depend on the order of the rows, as sums of doubles do.
+    """
+    counts = "decimal(16,0)"
+    return part.cast(counts) * amount.cast("decimal(18,9)") / whole.cast(counts)
+
+
+def cents(total: Column) -> Column:
+    """A sum of shares in cents. Nine places first: what makes three thirds is a whole again."""
+    return F.round(F.round(total, 9), 2).cast("decimal(18,2)")
+
+
 def user_shares(
-    usage: DataFrame, metering: DataFrame, as_of: datetime, broadcast_bytes: int = BROADCAST_BYTES
+    usage: DataFrame, metering: DataFrame, as_of: datetime, salts: int = SALTS
 ) -> DataFrame:
     """``user_credits`` without its order.
 
     The first aggregate shrinks the history to (user, pool, hour) before anything else moves. The
-    hour totals meet the credits first, both with one row per pool and hour. The result has no more
-    rows than the period's credits, so their size, measured here, decides whether it is broadcast
-    to the user rows; a busy hour with a large part of them is salted by user otherwise.
+    hour totals meet the credits first, both with one row per pool and hour, and then the user rows,
+    where a busy hour with a large part of them is salted by user.
     """
     since = month_before(as_of, usage, "start_time")
     pool_hour = ["warehouse_name", "start_hour"]
@@ -71,12 +84,11 @@ def user_shares(
         .agg(F.sum("user_time").alias("hour_time"))
         .join(credits, pool_hour)
     )
-    small = measured_bytes(credits) <= broadcast_bytes
-    used = (F.col("user_time") / F.col("hour_time")) * F.col("credits_used")
+    used = share_of(F.col("user_time"), F.col("hour_time"), F.col("credits_used"))
     return (
-        join_hot_keys(user_hour, hours, pool_hour, ["user_name"], small)
+        join_hot_keys(user_hour, hours, pool_hour, ["user_name"], salts)
         .groupBy("user_name", "warehouse_name")
-        .agg(F.round(F.sum(used), 2).alias("approximate_credits_used"))
+        .agg(cents(F.sum(used)).alias("approximate_credits_used"))
     )
 
 
@@ -107,7 +119,7 @@ def user_credit_html(user_credits: DataFrame, escaped: bool = False) -> Column:
     cells = ["user_name", "warehouse_name"]
     return html_row(
         *[user_credits[c] for c in cells],
-        float_text(user_credits["approximate_credits_used"], 2),
+        float_text(user_credits["approximate_credits_used"].cast("double"), 2),
         escaped=escaped,
     )
 
@@ -138,13 +150,11 @@ def shape_fragment(shapes: DataFrame) -> DataFrame:
     return shapes.agg(F.array_join(F.transform(rows, lambda r: r["html"]), "").alias("fragment"))
 
 
-# The parts of the report around its two tables.
 REPORT_HEAD = [
-    "<html>", "<head>", "<style>",
-    "table { border-collapse: collapse; }",
-    "th, td { border: 1px solid black; padding: 5px; text-align: left; }",
-    "</style>", "</head>", "<body>",
+    "<!DOCTYPE html>", "<html>", "<head>", "<meta charset='utf-8'>",
+    "<style>td, th { padding: 0.3em; border-bottom: thin solid gray; }</style>", "</head>", "<body>",
 ]
+# The headings and column titles of the two tables.
 USER_HEAD = [
     "<hr>", "<br>", "<h3>Approx. Users Credit Consumption Report</h3>", "<br>", "<table>",
     "<tr><th>USER NAME</th><th>WAREHOUSE NAME</th><th>APPROX. CREDITS USED</th></tr>",
@@ -154,7 +164,7 @@ SHAPE_HEAD = [
     "<table>",
     "<tr><th>PARTIAL QUERY TEXT</th><th>NUMBER OF QUERIES</th><th>EXECUTION TIME IN MINS</th></tr>",
 ]
-REPORT_END = ["<br>", "<br>", "<hr/>", "</body>", "</html>"]
+REPORT_END = ["</body>", "</html>"]
 
 
 def report_lines(
@@ -184,7 +194,7 @@ def report_lines(
     names = "section int, place double, tie1 string, tie2 string, line string"
     users = user_credits.select(
         F.lit(1).alias("section"),
-        (F.lit(0) - F.col("approximate_credits_used")).alias("place"),
+        (F.lit(0) - F.col("approximate_credits_used").cast("double")).alias("place"),
         F.col("user_name").alias("tie1"),
         F.col("warehouse_name").alias("tie2"),
         user_credit_html(user_credits).alias("line"),

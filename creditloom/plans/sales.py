@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.operators.aggregates import by_name
-from creditloom.operators.numbering import global_row_number
+from creditloom.operators.numbering import global_row_number, numbered_as_sorted
 from creditloom.operators.ordering import directed, sort_spread
 
 ORDER_COLUMNS = ["cs_order_number", "cs_quantity", "cs_wholesale_cost", "cs_list_price"]
@@ -52,16 +54,25 @@ def _priced(sales: DataFrame) -> DataFrame:
     return sales.filter(F.col("cs_quantity").isNotNull() & F.col("cs_wholesale_cost").isNotNull())
 
 
-def by_quantity_then_cost(sales: DataFrame) -> DataFrame:
+# Rows equal in these and in the sort keys look the same in the results.
+TIES = ("cs_order_number", "cs_list_price")
+
+
+def by_quantity_then_cost(sales: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
     """Quantity up, cost down; the sort keys need not be among the result columns."""
-    order = [F.col("cs_quantity").asc(), F.col("cs_wholesale_cost").desc()]
-    return sort_spread(_priced(sales), *order).select(*ORDER_COLUMNS)
+    order = [F.col("cs_quantity").asc(), F.col("cs_wholesale_cost").desc(), *map(F.col, ties)]
+    return sort_spread(_priced(sales), *order, from_scan=True).select(*ORDER_COLUMNS)
 
 
-def by_quantity_and_cost(sales: DataFrame) -> DataFrame:
+def by_quantity_and_cost(sales: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
     """Both up: where a list of flags is given, it decides the directions."""
-    order = directed({"cs_quantity": 1, "cs_wholesale_cost": 1})
-    return sort_spread(_priced(sales), *order).select(*ORDER_COLUMNS)
+    order = [*directed({"cs_quantity": 1, "cs_wholesale_cost": 1}), *map(F.col, ties)]
+    return sort_spread(_priced(sales), *order, from_scan=True).select(*ORDER_COLUMNS)
+
+
+def with_place(ordered: DataFrame) -> DataFrame:
+    """A sorted frame with the place of each row in it."""
+    return numbered_as_sorted(ordered, "place")
 
 
 def quantity_totals(sales: DataFrame) -> DataFrame:
@@ -110,7 +121,8 @@ def numbered(sales: DataFrame) -> DataFrame:
         F.col("cs_list_price").asc(),
     ]
     needed = sales.select("cs_sold_date_sk", "cs_line_number", *ORDER_COLUMNS)
-    return global_row_number(needed, order, "rank").select("rank", *ORDER_COLUMNS)
+    found = global_row_number(needed, order, "rank", from_scan=True)
+    return found.select("rank", *ORDER_COLUMNS)
 
 
 def filled(sales: DataFrame, quantity: int = 111) -> DataFrame:

@@ -7,13 +7,12 @@ lost executor leaves no partial rows behind.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from creditloom.sources.shared import shared_folder
-
 # The sample rows of the log table.
 SAMPLE_ROWS = [
     (date(2022, 11, 8), "ETL_WH", 433),
@@ -25,16 +24,26 @@ SAMPLE_ROWS = [
 
 
 def create_log_table(spark: SparkSession, name: str | None = None) -> str:
-    """Create an empty log table in the shared folder and return its full name."""
+    """Create an empty log table, managed by the catalog, and return its full name."""
     name = name or f"spark_catalog.default.wh_logs_{uuid.uuid4().hex}"
     spark.sql(
         f"CREATE TABLE {name} (start_date DATE, warehouse_name VARCHAR(10000),"
         " credits_used_date_wh DECIMAL(38,0))"
-        f" USING parquet LOCATION '{shared_folder(spark, 'log')}'"
+        " USING parquet"
     )
     return name
 
 
+@contextmanager
+def passing_log_table(spark: SparkSession) -> Iterator[str]:
+    """A log table that is dropped, with its files, at the end of the block."""
+    name = create_log_table(spark)
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def append_query(name: str, rows: DataFrame) -> None:
     """Append ``rows``, matched by position as ``INSERT INTO .. SELECT *`` does."""
     rows.write.insertInto(name)

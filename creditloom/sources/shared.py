@@ -10,10 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """Path of a new folder under ``spark.checkpoint.dir``, or else under the warehouse.
 
-    Both are shared on a cluster. Whoever writes there owns the folder; what the package writes for
-    its own use it checkpoints or keeps in a table that it drops.
+    Whoever writes there owns the folder; what the package writes for its own use it checkpoints or
+    keeps in a table that it drops.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir", None)
+        local = spark.conf.get("spark.master", "").startswith("local[")
+        if not base or (base.startswith(("file:", "/")) and not local):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{base.rstrip('/')}/creditloom-{purpose}-{uuid.uuid4().hex}"
 
 

@@ -20,7 +20,7 @@ def duck_tables(folder: str) -> duckdb.DuckDBPyConnection:
 
 def plain(value):
     if isinstance(value, Decimal):
-        value = float(value)
+        return str(value)
     if isinstance(value, float):
         return None if math.isnan(value) else float(f"{value:.9g}") + 0.0
     if isinstance(value, datetime):

@@ -23,6 +23,12 @@ def test_collect_nowait(spark):
     assert [r["id"] for r in future.result(timeout=60)] == [0, 1, 2]
 
 
+def test_collect_nowait_is_bounded(spark):
+    assert len(collect_nowait(spark.range(3), "fits", at_most=3).result(timeout=60)) == 3
+    with pytest.raises(ValueError, match="more than 2 rows"):
+        collect_nowait(spark.range(3), "too many", at_most=2).result(timeout=60)
+
+
 def test_actions_overlap(spark):
     """Each waits for the other two, so they only end when all run at once."""
     barrier = threading.Barrier(3, timeout=60)

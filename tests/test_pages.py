@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from creditloom.functions import html as html_reader
-from creditloom.functions.html import read_nodes
+from creditloom.functions.html import read_page
 from creditloom.operators import page_nodes as P
 
 STATUS_PAGE = """<html><body>
@@ -23,6 +23,21 @@ STATUS_PAGE = """<html><body>
 <p class="col-status">after</p></body></html>"""
 
 
+class Found:
+    """A node with its text."""
+
+    def __init__(self, node, strings):
+        for name in ("pos", "parent_pos", "below", "tag", "attrs"):
+            setattr(self, name, getattr(node, name))
+        own = strings.get(node.kind, [])
+        self.text = "".join(own[node.start : node.start + node.count])
+
+
+def read_nodes(html, tags=None, with_text=True):
+    nodes, strings, _ = read_page(html, tags, with_text)
+    return [Found(node, strings) for node in nodes]
+
+
 def nodes_of(html, tags=None, with_text=True):
     wanted = None if tags is None else frozenset(tags)
     nodes = read_nodes(html, wanted, with_text)
@@ -128,8 +143,40 @@ def test_kept_tags_are_a_selection(html):
 def test_a_rejected_page_does_not_fail_the_others(spark):
     rows = [(1, "<p>&#" + "9" * 5000 + ";</p>"), (2, "<p>a</p>")]
     parsed = P.parse_pages(spark.createDataFrame(rows, "page_id int, html string"), tags=["p"])
-    sizes = {r["page_id"]: r["nodes"] and len(r["nodes"]) for r in parsed.collect()}
-    assert sizes == {1: None, 2: 1}
+    found = {r["page_id"]: (len(r["nodes"]), r["error"] is None) for r in parsed.collect()}
+    assert found == {1: (1, False), 2: (1, True)}
+
+
+def test_a_rejected_page_keeps_what_came_before(spark):
+    rows = [(1, "<p>a</p><b>b</b><![foo bar]><i>c</i>")]
+    parsed = P.parse_pages(spark.createDataFrame(rows, "page_id int, html string"))
+    tags = P.node_rows(parsed).where("tag != '#text'").select("tag", "text").collect()
+    assert [tuple(r) for r in tags] == [("p", "a"), ("b", "b")]
+    assert parsed.first()["error"]
+
+
+def test_deep_and_long_pages_take_linear_space(spark):
+    deep = "<div>some words here " * 15_000
+    long = "<p>" + "word " * 200_000
+    rows = [(1, deep), (2, long)]
+    parsed = P.parse_pages(spark.createDataFrame(rows, "page_id int, html string"))
+    held = parsed.select(
+        "page_id", F.size("nodes").alias("nodes"), F.length(F.array_join(F.col("strings")[""], "")).alias("chars")
+    ).collect()
+    assert {r["page_id"]: (r["nodes"], r["chars"]) for r in held} == {
+        1: (30_000, 15_000 * 16), 2: (2, 1_000_000),
+    }
+    first = P.node_text(P.first_node("nodes", P.where(tag="div")))
+    assert len(parsed.where("page_id = 1").select(first).first()[0]) == 15_000 * 16
+
+
+def test_only_strings_of_kept_nodes_are_passed_on(spark):
+    html = "<p>a<b>b</b><i>c</i></p>d<script>e</script><b>f<i>g</i></b>"
+    parsed = P.parse_pages(spark.createDataFrame([(1, html)], "page_id int, html string"), tags=["b", "i"])
+    row = parsed.first()
+    assert row["strings"] == {"": ["b", "c", "f", "g"], "script": []}
+    texts = P.node_rows(parsed).select("tag", "text").collect()
+    assert [tuple(r) for r in texts] == [("b", "b"), ("i", "c"), ("b", "fg"), ("i", "g")]
 
 
 TAGS = st.builds(
@@ -169,7 +216,8 @@ def test_first_by_tag_and_attributes(status):
     parsed = P.parse_pages(status)
     both = P.where(tag="div", attrs={"class": "status-green", "data-id": "a2"})
     first = P.first_node("nodes", both)
-    rows = parsed.select("page_id", first["text"], first["attrs"]["data-status"]).orderBy("page_id")
+    rows = parsed.select("page_id", P.node_text(first), first["attrs"]["data-status"])
+    rows = rows.orderBy("page_id")
     assert [tuple(r) for r in rows.collect()] == [
         (1, "East", "degraded"), (2, None, None), (3, None, None),
     ]
@@ -193,15 +241,16 @@ def test_class_is_a_list_of_names(status, value, count):
 
 def test_exact_string(status):
     first = P.first_node("nodes", P.where(string="East"))
-    row = P.parse_pages(status).select(first["text"], first["tag"]).first()
+    row = P.parse_pages(status).select(P.node_text(first), first["tag"]).first()
     assert tuple(row) == ("East", P.TEXT)
 
 
 def inside(pages, tags, outer, inner):
     found = P.first_inside("nodes", outer, inner)
-    rows = P.parse_pages(pages, tags=tags).select("page_id", F.inline(found)).collect()
-    ordered = sorted(rows, key=lambda r: (r["page_id"], r["node"]["pos"]))
-    return [r["found"] and r["found"]["text"].strip() for r in ordered]
+    rows = P.parse_pages(pages, tags=tags).select("page_id", "strings", F.inline(found))
+    text = P.stripped(P.node_text(F.col("found"))).alias("text")
+    ordered = rows.select("page_id", "node.pos", text).orderBy("page_id", "pos").collect()
+    return [r["text"] for r in ordered]
 
 
 def test_cell_of_the_row_that_names_a_region(status):
@@ -212,6 +261,27 @@ def test_cell_of_the_row_that_names_a_region(status):
     assert inside(status, ["tr", "td"], P.where(tag="tr", contains="West US"), cell) == ["Degraded"]
 
 
+@pytest.mark.parametrize("tags", [None, ["table", "tr", "td"]])
+def test_cells_of_the_rows_of_the_first_table(status, tags):
+    """First table of a class, all its rows, the cell of the row that names a region, stripped."""
+    table = P.where(tag="table", attrs={"class": "table-service-status"})
+    rows = P.all_inside("nodes", table, P.where(tag="tr"))
+    cells = P.first_inside(
+        "nodes", P.where(tag="tr", contains="East US 2"), P.where(tag="td", attrs={"class": "col-status"}),
+        among=rows,
+    )
+    found = P.parse_pages(status, tags=tags).select("page_id", "strings", F.inline_outer(cells))
+    text = P.stripped(P.node_text(F.col("found"))).alias("text")
+    assert {r["page_id"]: r["text"] for r in found.select("page_id", text).collect()} == {
+        1: "Operational", 2: None, 3: None,
+    }
+
+
+def test_stripped(spark):
+    df = spark.createDataFrame([("\u00a0\n a  b\x1f ",), ("",), (None,)], "t string")
+    assert [r[0] for r in df.select(P.stripped(F.col("t"))).collect()] == ["a  b", "", None]
+
+
 def test_inside_is_strictly_below(spark):
     html = "<ul><li>a<ul><li>b</li></ul></li></ul><li>c</li>"
     pages = spark.createDataFrame([(1, html)], "page_id int, html string")
@@ -255,7 +325,7 @@ def test_text_keys_and_null_pages(spark):
     ]
 
 
-def test_spread_only_what_is_small(spark):
-    small, large = spark.range(0, 10, 1, 2), spark.range(0, 10, 1, 64)
-    assert P.spread(small).rdd.getNumPartitions() == 8
-    assert P.spread(large) is large
+def test_pages_are_dealt_out_on_request(spark):
+    pages = spark.range(0, 40, 1, 1).select(F.col("id").alias("page_id"), F.lit("<p>").alias("html"))
+    assert P.parse_pages(pages).rdd.getNumPartitions() == 1
+    assert P.parse_pages(pages, splits=5).rdd.getNumPartitions() == 5

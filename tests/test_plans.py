@@ -11,7 +11,8 @@ from creditloom.plans import report_sql, reports
 from creditloom.plans import sales as S
 from creditloom.sources import views
 
-QUERIES = entry_module.queries()
+CORPUS = entry_module.llm.queries() if entry_module.llm else {}
+QUERIES = {name: plan for name, plan in entry_module.queries().items() if name not in CORPUS}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -59,14 +60,28 @@ def test_history_is_shuffled_once(spark, sf_dir, text):
     assert "ReusedExchange" in executed_plan(df)
 
 
-def test_user_rows_do_not_move_for_a_small_side(spark, sf_dir, conf):
-    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+def test_hot_hours_are_salted_unless_the_side_is_small(spark, sf_dir, conf):
     usage, metering = views.usage_history(spark, sf_dir), views.metering(spark, sf_dir)
     small = executed_plan(reports.user_shares(usage, metering, at("2024-02-10")))
-    assert "BroadcastHashJoin" in small and "_salt" not in small
-    large = executed_plan(reports.user_shares(usage, metering, at("2024-02-10"), broadcast_bytes=0))
+    assert re.search(r"BroadcastHashJoin \[.*_salt", small)
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    large = executed_plan(reports.user_shares(usage, metering, at("2024-02-10")))
     assert "Broadcast" not in large and "ReusedExchange" in large
-    assert re.search(r"ShuffledHashJoin(\(skew=true\))? \[.*_salt", large)
+    assert re.search(r"SortMergeJoin(\(skew=true\))? \[.*_salt", large)
+
+
+def test_no_job_before_the_action(spark, sf_dir):
+    """Only queries whose feature is a write, a count or a sorted place may run jobs at once."""
+    eager = {
+        "credit_matrix", "log_table_append", "csv_scan", "concurrent_counts", "sales_row_number",
+        "sales_sort", "sales_sort_override", "user_credits_sql", "sales_by_week",
+    }
+    tracker = spark.sparkContext.statusTracker()
+    for name in sorted(set(QUERIES) - eager):
+        spark.sparkContext.setJobGroup(f"plan {name}", name)
+        QUERIES[name](spark, sf_dir)
+        assert not tracker.getJobIdsForGroup(f"plan {name}"), name
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def skewed_sales(spark, sf_dir):

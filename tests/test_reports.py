@@ -1,5 +1,5 @@
 from collections import defaultdict
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal
 from random import Random
 
 import pandas as pd
@@ -26,7 +26,7 @@ def credits_of(spark, usage, metering, as_of="2024-02-10", **options):
         spark.createDataFrame(usage, USAGE), spark.createDataFrame(metering, METERING),
         at(as_of), **options,
     )
-    return {(r[0], r[1]): r[2] for r in shares.collect()}
+    return {(r[0], r[1]): float(r[2]) for r in shares.collect()}
 
 
 def test_hour_is_shared_by_time(spark):
@@ -68,8 +68,8 @@ def test_unknown_user_keeps_its_share(spark):
     assert credits_of(spark, usage, [meter_row()])[(None, "A_WH")] == 0.5
 
 
-@pytest.mark.parametrize("broadcast_bytes", [0, 64 << 20])
-def test_credits_against_brute_force(spark, broadcast_bytes):
+@pytest.mark.parametrize("salts", [1, 16])
+def test_credits_against_brute_force(spark, salts):
     """A third of the rows fall into one hour of one pool."""
     rng = Random(7)
     usage, metering = [], []
@@ -95,10 +95,45 @@ def test_credits_against_brute_force(spark, broadcast_bytes):
         if (pool, hour) in price:
             expected[user, pool] += time / per_hour[pool, hour] * price[pool, hour]
 
-    actual = credits_of(spark, usage, metering, broadcast_bytes=broadcast_bytes)
+    actual = credits_of(spark, usage, metering, salts=salts)
     assert actual == {key: pytest.approx(value, abs=0.0051) for key, value in expected.items()}
 
 
+def test_cents_are_exact_in_every_plan(spark, conf):
+    """Sums that end in half a cent, by the broadcast, the salted and the SQL plan."""
+    rng = Random(3)
+    usage, metering, expected = [], [], defaultdict(Decimal)
+    for hour in range(24):
+        for pool in "AB":
+            start = f"2024-01-20 {hour:02d}:00:00"
+            # 200 parts of an hour that costs one credit: each is half a cent.
+            metering.append(meter_row(f"{pool}_WH", start, "1"))
+            left = 200
+            for user in range(60):
+                parts = rng.randint(0, 5)
+                left -= parts
+                if parts:
+                    usage.append(usage_row(f"u{user}", f"{pool}_WH", start, parts))
+                    expected[f"u{user}", f"{pool}_WH"] += parts * Decimal("0.005")
+            usage.append(usage_row("rest", f"{pool}_WH", start, left))
+            expected["rest", f"{pool}_WH"] += left * Decimal("0.005")
+    # Thirds of an hour that costs 1.5 cents make half cents again.
+    for minute in range(3):
+        usage += [usage_row(f"third{i}", "C_WH", f"2024-01-20 0{minute}:30:00", 7) for i in range(3)]
+        metering.append(meter_row("C_WH", f"2024-01-20 0{minute}:00:00", "0.015"))
+    expected |= {(f"third{i}", "C_WH"): Decimal("0.015") for i in range(3)}
+    rounded = {key: value.quantize(Decimal("0.01"), ROUND_HALF_UP) for key, value in expected.items()}
+    assert sum(value != rounded[key] for key, value in expected.items()) > 20
+    frames = spark.createDataFrame(usage, USAGE), spark.createDataFrame(metering, METERING)
+    tables = dict(zip(("usage", "metering"), frames))
+    for threshold in ("-1", "10MB"):
+        conf(spark__sql__autoBroadcastJoinThreshold=threshold)
+        plans = [reports.user_shares(*frames, at("2024-02-10"), salts=s) for s in (1, 16)]
+        plans.append(report_sql.run_report(spark, report_sql.USER_CREDITS, at("2024-02-10"), tables))
+        for plan in plans:
+            assert {(r[0], r[1]): r[2] for r in plan.collect()} == rounded
+
+
 def test_user_credits_are_in_order(spark):
     usage = [usage_row("b"), usage_row("a"), usage_row("c", time=300)]
     frames = spark.createDataFrame(usage, USAGE), spark.createDataFrame([meter_row()], METERING)
@@ -179,7 +214,7 @@ def test_zoned_timestamps_work_too(spark):
     )
     usage = spark.createDataFrame([usage_row()], USAGE)
     assert reports.daily_credits(zoned, at("2024-02-10")).count() == 1
-    assert reports.user_shares(usage, zoned, at("2024-02-10")).collect()[0][2] == 1.0
+    assert reports.user_shares(usage, zoned, at("2024-02-10")).collect()[0][2] == 1
 
 
 def test_matrix_equals_pandas(spark):
@@ -229,7 +264,7 @@ def test_report_is_written_in_order(spark, tmp_path):
     reports.write_report(lines, str(tmp_path / "report"))
     parts = sorted((tmp_path / "report").glob("part-*"))
     text = [line for part in parts for line in part.read_text().splitlines()]
-    assert text[0] == "<html>" and text[-1] == "</html>"
+    assert text[0] == "<!DOCTYPE html>" and text[-1] == "</html>"
     users = [line for line in text if "<td>u" in line]
     assert len(users) == 40 and users[0].startswith("<tr><td>u39<") and "<td>u0<" in users[-1]
     assert text.index(users[-1]) < text.index("<tr><td>same</td><td>40</td><td>0.066667</td></tr>")

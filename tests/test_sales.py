@@ -70,7 +70,7 @@ def test_flags_decide(spark):
 def test_ties_keep_scan_order_and_are_spread(spark, conf):
     conf(spark__sql__adaptive__coalescePartitions__enabled="false")
     df = spark.range(0, 100_000, 1, 8).selectExpr("id", "1 AS same")
-    ordered = sort_spread(df, df["same"])
+    ordered = sort_spread(df, df["same"], from_scan=True)
     assert [r["id"] for r in ordered.collect()] == list(range(100_000))
     sizes = ordered.rdd.glom().map(len).collect()
     assert len([s for s in sizes if s]) > 1

@@ -1,12 +1,14 @@
 from datetime import date
 from decimal import Decimal
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creditloom.plans import sales as S
-from creditloom.sources import log_table, views
+from creditloom.sources import csv_text, log_table, views
 from creditloom.sources.shared import shared_folder, written
 
 NAMES = ("name", "url", "username", "code")
@@ -25,6 +27,22 @@ def test_csv_with_schema(spark, tmp_path):
     ]
 
 
+def test_csv_round_trip(spark):
+    """Nulls, empty and blank strings, commas, quotes, line breaks, white space at the ends."""
+    rows = [
+        ("a", "b,c", 'say "x"', "two\nlines"), (None, "", None, "x"), ("", None, " ", None),
+        (None, None, None, None), (" lead", "trail ", "\\", "\r\n"), ('"', ",", '""', "'"),
+    ]
+    df = spark.createDataFrame(rows, FIELDS)
+    lines = df.select(csv_text.csv_line(*[F.col(name) for name in NAMES]).alias("value"))
+    with csv_text.passing_text(lines) as folder:
+        found = [tuple(r) for r in csv_text.read_csv(spark, folder, FIELDS).collect()]
+        assert spark.read.text(folder).count() >= len(rows)
+    expected = [tuple(v and v.replace("\r\n", "\n") or None for v in row) for row in rows]
+    assert sorted(found, key=str) == sorted(expected, key=str)
+    assert not any("creditloom_text" in t.name for t in spark.catalog.listTables())
+
+
 def test_local_rows_infer_types(spark):
     df = spark.createDataFrame([(1, "one"), (2, "two")], schema=["col_1", "col_2"])
     assert df.schema.simpleString() == "struct<col_1:bigint,col_2:string>"
@@ -51,6 +69,14 @@ def test_log_table(spark):
     assert spark.table(name.removeprefix("spark_catalog.")).count() == 6
 
 
+def test_a_passing_log_table_leaves_nothing(spark):
+    with log_table.passing_log_table(spark) as name:
+        log_table.append_values(spark, name, log_table.SAMPLE_ROWS)
+        (file, *_) = spark.table(name).inputFiles()
+    assert not spark.catalog.tableExists(name)
+    assert not Path(urlparse(file).path).exists()
+
+
 def test_log_table_refuses(spark):
     name = log_table.create_log_table(spark)
     with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
@@ -88,7 +114,8 @@ class ClusterSession:
     class conf:
         @staticmethod
         def get(key, default=None):
-            return {"spark.master": "yarn"}.get(key, default)
+            settings = {"spark.master": "yarn", "spark.sql.warehouse.dir": "file:/x/warehouse"}
+            return settings.get(key, default)
 
 
 def test_no_local_folder_on_a_cluster():
