@@ -251,7 +251,12 @@ def accepted(docs: DataFrame, model: RuleModel, threshold: float = 0.3) -> DataF
     counted = docs.select(
         F.struct("*").alias("row"), *[c.alias(f"s_{name}") for name, c in statistics(text).items()]
     )
-    return counted.where(model.column() >= threshold).select("row.*")
+    # A place of its own keeps Spark from moving the condition below the statistics, where it would
+    # compute each of them anew for every rule that asks for it.
+    scores = counted.select(
+        "row", model.column().alias("score"), F.monotonically_increasing_id().alias("place")
+    )
+    return scores.where((F.col("score") >= threshold) & (F.col("place") >= 0)).select("row.*")
 
 
 def classified(
