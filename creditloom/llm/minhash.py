@@ -16,8 +16,8 @@
 4. Links make components; the document with the smallest id stays.
 
 Nulls and empty texts have an empty set and link with nothing. Documents without an id link with
-nothing and have no component; they are kept only if their text is not null. Rows that repeat a
-doc_id are read as further texts of that document and come back as rows of their own.
+nothing, have no component and are not kept. Rows that repeat a doc_id come back each; texts of one
+doc_id that are the smallest of their classes count as one document.
 """
 
 from __future__ import annotations
@@ -70,7 +70,7 @@ def sketch(place: np.ndarray, shingles: np.ndarray, n: int, size: int) -> np.nda
 
 
 def sketched(docs: DataFrame, k: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``(doc_id, n_shingles, set1, set2, bands, marks)`` per row.
+    """``(doc_id, carried, n_shingles, set1, set2, bands, marks)`` per row of ``(doc_id, carried, text)``.
 
     ``set1`` and ``set2`` name the set in 128 bits; ``marks`` is a byte per coordinate.
     """
@@ -78,9 +78,9 @@ def sketched(docs: DataFrame, k: int, bands: int = BANDS, rows: int = ROWS) -> D
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, end in words.parts(batch.column(1)):
+            for start, end in words.parts(batch.column(2)):
                 n = end - start
-                place, found = words.shingle_sets(batch.column(1)[start:end], k)
+                place, found = words.shingle_sets(batch.column(2)[start:end], k)
                 full = sketch(place, found, n, size)
                 sums = np.zeros((2, n), np.uint64)
                 for i in range(2):
@@ -93,6 +93,7 @@ def sketched(docs: DataFrame, k: int, bands: int = BANDS, rows: int = ROWS) -> D
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0)[start:end],
+                        batch.column(1)[start:end],
                         pa.array(np.bincount(place, minlength=n).astype(np.int64)),
                         pa.array(sums[0].view(np.int64)),
                         pa.array(sums[1].view(np.int64)),
@@ -102,16 +103,17 @@ def sketched(docs: DataFrame, k: int, bands: int = BANDS, rows: int = ROWS) -> D
                         ),
                         pa.array([row.tobytes() for row in marks], pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "set1", "set2", "bands", "marks"],
+                    ["doc_id", "carried", "n_shingles", "set1", "set2", "bands", "marks"],
                 )
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
+    return docs.select("doc_id", "carried", "text").mapInArrow(
         read,
-        "doc_id bigint, n_shingles bigint, set1 bigint, set2 bigint, bands array<bigint>,"
-        " marks binary",
+        "doc_id bigint, carried bigint, n_shingles bigint, set1 bigint, set2 bigint,"
+        " bands array<bigint>, marks binary",
     )
 
 
+
 def shingle_rows(docs: DataFrame, k: int) -> DataFrame:
     """``(doc_id, shingles)``: the full set of each row as hashes."""
 
@@ -127,9 +129,7 @@ def shingle_rows(docs: DataFrame, k: int) -> DataFrame:
                     [batch.column(0)[start:end], sets], ["doc_id", "shingles"]
                 )
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        read, "doc_id bigint, shingles array<bigint>"
-    )
+    return docs.select("doc_id", "text").mapInArrow(read, "doc_id bigint, shingles array<bigint>")
 
 
 def least_agreement(percent: int, size: int) -> int:
@@ -143,6 +143,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
     Documents are linked if 100 * shared shingles >= ``percent`` * all their shingles.
     """
+    doc_id = F.col("doc_id").cast("bigint").alias("doc_id")
+    rows = docs.select(doc_id, doc_id.alias("carried"), "text")
+    return grouped_rows(rows, k, percent).drop("carried")
+
+
+def grouped_rows(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """``near_duplicates`` of ``(doc_id, carried, text)``, with the ``carried`` number of each row."""
     all_rows = written(sketched(docs, k), "sketches")
     same_set = ["n_shingles", "set1", "set2"]
     classes = written(
@@ -163,9 +170,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     )
     empty = F.col("n_shingles") == 0
     key = [F.when(~empty & F.col("doc_id").isNotNull(), F.col(c)).alias(c) for c in same_set]
-    rows = all_rows.select("doc_id", F.col("n_shingles").alias("size"), *key)
+    rows = all_rows.select("doc_id", "carried", F.col("n_shingles").alias("size"), *key)
     found = rows.join(named, same_set, "left").select(
         "doc_id",
+        "carried",
         F.col("size").alias("n_shingles"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
     )
@@ -189,8 +197,7 @@ def class_links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> Da
     )
     # Full sets are read again only for texts with a candidate.
     asked = stars.select(F.col("a").alias("doc_id")).union(stars.select("b")).distinct()
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    sets = written(shingle_rows(texts.join(asked, "doc_id", "left_semi"), k), "sets")
+    sets = written(shingle_rows(docs.join(asked, "doc_id", "left_semi"), k), "sets")
     links = checkpointed(confirmed(stars, sets, percent))
     grouped = components(links, "a", "b")
     wide = banded.join(pivots.where("members > 2").select("band"), "band")
@@ -338,10 +345,30 @@ def linked(asked: DataFrame, percent: int) -> DataFrame:
 
 
 def without_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the one with the smallest id.
+    """The rows of ``docs`` that stay: one of each component, that with the smallest id.
 
-    Documents without words link with nothing and stay; so do rows without an id.
+    Here each text of a doc_id is a document of its own. Of several texts of that id in a component
+    the one with the smallest hash stays, and of equal rows one. Documents without words link with
+    nothing and stay, and so do rows without an id.
     """
-    found = near_duplicates(docs, k, percent)
-    gone = found.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    known = F.col("doc_id").isNotNull()
+    text_id = F.when(known, F.xxhash64("doc_id", "text")).alias("text_id")
+    rows = docs.select(
+        text_id.alias("doc_id"), F.col("doc_id").cast("bigint").alias("carried"), "text"
+    )
+    grouped = grouped_rows(rows, k, percent).where("doc_id IS NOT NULL AND n_shingles > 0")
+    texts = checkpointed(
+        grouped.groupBy(F.col("doc_id").alias("text_id"), "carried", "component_id").agg(
+            F.count("*").alias("rows")
+        )
+    )
+    first = F.min(F.struct("carried", "text_id"))["text_id"].alias("first")
+    stays = checkpointed(texts.groupBy("component_id").agg(first))
+    chosen = texts.join(stays, "component_id").withColumn("stays", F.col("text_id") == F.col("first"))
+    gone = chosen.where("NOT stays OR rows > 1").select("text_id")
+    # The row as a struct: its columns may have the names of those added here.
+    named = docs.select(text_id, F.struct("*").alias("row"))
+    single = named.join(gone, "text_id", "left_anti")
+    repeated = chosen.where("stays AND rows > 1").select("text_id")
+    once = named.join(repeated, "text_id", "left_semi").dropDuplicates(["text_id"])
+    return single.unionAll(once).select("row.*")

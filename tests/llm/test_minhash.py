@@ -81,6 +81,18 @@ def test_edges(spark):
     assert ids == [1, 3, 5, 6, 7, 8, None, None]
 
 
+def test_one_row_of_each_group_stays(spark):
+    rows = [
+        (1, "a b c"), (1, "a b c"), (2, "a b c"), (3, "d e f"), (3, "a b c"), (3, "g h i"), (4, "g h i"),
+        (5, ""), (5, ""), (None, "a b c"), (None, "a b c"),
+    ]
+    kept = minhash.without_copies(docs_of(spark, rows), 2, 80)
+    found = sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect())
+    assert found == [
+        (0, "a b c"), (0, "a b c"), (1, "a b c"), (3, "d e f"), (3, "g h i"), (5, ""), (5, ""),
+    ]
+
+
 def test_empty_table(spark):
     assert minhash.near_duplicates(docs_of(spark, []), 2, 80).count() == 0
     assert minhash.without_copies(docs_of(spark, [])).count() == 0
