@@ -155,6 +155,9 @@ def nearest(
     def search(group: pa.Table) -> pa.Table:
         is_query = group["asked"].to_numpy()
         ids, x = group["vec_id"].to_numpy(), matrix(group["embedding"])
+        # The same order, and so the same sample, whichever way the rows came.
+        order = np.lexsort((x[:, -1], x[:, 0], ids))
+        is_query, ids, x = is_query[order], ids[order], x[order]
         queries, rows = np.flatnonzero(is_query), np.flatnonzero(~is_query)
         found_query, found_id, found_score = [], [], []
         if len(queries) and len(rows):
