@@ -43,8 +43,8 @@ def parse_pages(
 ) -> DataFrame:
     """``(key, nodes, strings, error)``, one row per page, nodes in document order.
 
-    ``strings`` are the page's texts, of which ``node_text`` makes that of a node. ``tags`` names the
-    tags to keep (``TEXT`` for text nodes) and ``with_text=False`` leaves the texts out: both keep
+    ``strings`` are the page's texts, of which ``node_text`` makes that of a node. ``tags`` names
+    the tags to keep (``TEXT`` for text nodes) and ``with_text=False`` leaves the texts out: both keep
     what no later step reads out of the transfer from Python. A page that the tokenizer rejects
     keeps the nodes before that place and has an ``error``; a null page has null nodes. ``key`` need
     not be unique. ``splits`` deals the pages into that many partitions first, for tables of few
@@ -205,8 +205,8 @@ def first_inside(
 ) -> Column:
     """For every ``outer`` node of a page a ``(node, found)``, the first ``inner`` node inside it.
 
-    ``found`` is null when there is none. ``among`` looks for outer nodes in a part of the page only,
-    such as ``all_inside``.
+    ``found`` is null when there is none. ``among`` looks for outer nodes in a part of the page
+    only, such as ``all_inside``.
     """
     outer_nodes = F.filter(nodes if among is None else among, outer)
 

@@ -152,7 +152,8 @@ def shape_fragment(shapes: DataFrame) -> DataFrame:
 
 REPORT_HEAD = [
     "<!DOCTYPE html>", "<html>", "<head>", "<meta charset='utf-8'>",
-    "<style>td, th { padding: 0.3em; border-bottom: thin solid gray; }</style>", "</head>", "<body>",
+    "<style>td, th { padding: 0.3em; border-bottom: thin solid gray; }</style>",
+    "</head>", "<body>",
 ]
 # The headings and column titles of the two tables.
 USER_HEAD = [
