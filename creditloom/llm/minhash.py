@@ -70,7 +70,7 @@ def sketch(place: np.ndarray, shingles: np.ndarray, n: int, size: int) -> np.nda
 
 
 def sketched(docs: DataFrame, k: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``(doc_id, carried, n_shingles, set1, set2, bands, marks)`` per row of ``(doc_id, carried, text)``.
+    """``(doc_id, carried, n_shingles, set1, set2, bands, marks)`` per ``(doc_id, carried, text)``.
 
     ``set1`` and ``set2`` name the set in 128 bits; ``marks`` is a byte per coordinate.
     """
@@ -149,7 +149,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
 
 def grouped_rows(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """``near_duplicates`` of ``(doc_id, carried, text)``, with the ``carried`` number of each row."""
+    """``near_duplicates`` of ``(doc_id, carried, text)``, with what each row carries."""
     all_rows = written(sketched(docs, k), "sketches")
     same_set = ["n_shingles", "set1", "set2"]
     classes = written(
@@ -364,7 +364,8 @@ def without_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     )
     first = F.min(F.struct("carried", "text_id"))["text_id"].alias("first")
     stays = checkpointed(texts.groupBy("component_id").agg(first))
-    chosen = texts.join(stays, "component_id").withColumn("stays", F.col("text_id") == F.col("first"))
+    is_first = F.col("text_id") == F.col("first")
+    chosen = texts.join(stays, "component_id").withColumn("stays", is_first)
     gone = chosen.where("NOT stays OR rows > 1").select("text_id")
     # The row as a struct: its columns may have the names of those added here.
     named = docs.select(text_id, F.struct("*").alias("row"))

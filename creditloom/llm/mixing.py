@@ -105,7 +105,7 @@ def _sum_before(value: str, keys: list[str], order: list[str]) -> Column:
 
 
 def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join on ``keys``, nulls equal, that keeps the columns of ``left`` and adds the others."""
+    """Left join on ``keys``, nulls equal: the columns of ``left`` and the other ones of ``right``."""
     renamed = right.withColumnsRenamed({key: f"_r_{key}" for key in keys})
     on = [left[key].eqNullSafe(renamed[f"_r_{key}"]) for key in keys]
     condition = on[0]
@@ -178,7 +178,8 @@ def schedule(shares: DataFrame, total: int) -> DataFrame:
     bits, block = _bits(total), _block_words(total)
     everything = Window.orderBy(F.col("source").asc_nulls_last())
     high = F.sum("words").over(everything.rowsBetween(Window.unboundedPreceding, 0))
-    spans = shares.select("source", "words").withColumn("high", high).withColumn("low", F.col("high") - F.col("words"))
+    spans = shares.select("source", "words").withColumn("high", high)
+    spans = spans.withColumn("low", F.col("high") - F.col("words"))
     spans = spans.where("words > 0").withColumn("blocks", F.ceil(F.col("words") / block))
     cell = max(total, 1) / CELLS
     covered = F.sequence(F.floor(F.col("low") / cell), F.floor(F.col("high") / cell))

@@ -248,7 +248,8 @@ class PageReader:
 
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)"
-# Kinds of tokens: the page itself, a tag path, a text, what a page says in all, a path with text below.
+# Kinds of tokens: the page itself, a tag path, a text, what a page says in all, a path with text
+# below.
 PAGE, TAG, TEXT, SAID, BELOW = range(5)
 TOKENS = "host bigint, kind int, token bigint, mark bigint, chars bigint, depth int"
 

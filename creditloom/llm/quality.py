@@ -150,7 +150,9 @@ def grow(x: np.ndarray, residual: np.ndarray, rows: np.ndarray, path: Rule, dept
             yield from grow(x, residual, inside, (*path, condition), depth, leaf)
 
 
-def tree_rules(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, leaf: int = LEAF):
+def tree_rules(
+    x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, leaf: int = LEAF
+) -> list[Rule]:
     """The distinct rules of boosted trees, in the order found."""
     total = np.full(len(y), np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3)))
     found: dict[Rule, None] = {}

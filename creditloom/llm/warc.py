@@ -13,9 +13,10 @@ shuffled: grouped by origin, ordered by segment number, the numbers must be 1..n
 stated total. Then the chunked body is decoded and its digest compared with the header's. A record
 whose parts are missing or contradict the headers keeps its row, with an ``error`` and no payload.
 
-Nulls: a null html is an empty payload. A null url becomes an empty target. A null page_id is written
-without one and reads back as null; its payload is stored and never referred to. Pages that repeat a page_id are
-records of their own; if they repeat the payload as well, one is stored and the others refer to it.
+Nulls: a null html is an empty payload. A null url becomes an empty target. A null page_id is
+written without one and reads back as null; its payload is stored and never referred to. Pages that
+repeat a page_id are records of their own; if they repeat the payload as well, the one with the
+smallest url is stored and the others refer to it. Rows equal in all columns are stored each.
 """
 
 from __future__ import annotations
@@ -231,7 +232,9 @@ def read_archive(spark: SparkSession, folder: str, with_payload: bool = True) ->
             for name, kind in (field.split() for field in RECORDS.split(", "))
         ]
     )
-    parts_schema = "origin string, number int, total bigint, headers map<string,string>, block binary"
+    parts_schema = (
+        "origin string, number int, total bigint, headers map<string,string>, block binary"
+    )
 
     def is_part(headers: dict[str, str]) -> bool:
         return "warc-segment-number" in headers
