@@ -16,7 +16,8 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.conf.get("spark.sql.warehouse.dir", None)
-        local = spark.conf.get("spark.master", "").startswith("local[")
+        master = spark.conf.get("spark.master", "")
+        local = master.startswith("local") and not master.startswith("local-cluster")
         if not base or (base.startswith(("file:", "/")) and not local):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{base.rstrip('/')}/creditloom-{purpose}-{uuid.uuid4().hex}"

@@ -39,9 +39,23 @@ def test_metering_bounds_reach_the_scan(spark, sf_dir, tmp_path):
     assert "GreaterThanOrEqual(start_time,2024-01-11T00:00)" in executed_plan(
         reports.daily_credits(metering, at("2024-02-10"))
     )
-    plan = executed_plan(reports.user_credits(usage, metering, at("2024-02-10")))
-    pushed = [line for line in plan.splitlines() if "credits_used" in line and "FileScan" in line]
-    assert pushed and "GreaterThanOrEqual(start_time,2024-01-10T00:00" in pushed[0]
+    tables = {"usage": usage, "metering": metering}
+    for credits in (
+        reports.user_credits(usage, metering, at("2024-02-10")),
+        report_sql.run_report(spark, report_sql.USER_CREDITS, at("2024-02-10"), tables),
+    ):
+        lines = executed_plan(credits).splitlines()
+        pushed = [line for line in lines if "credits_used" in line and "FileScan" in line]
+        assert pushed and "GreaterThanOrEqual(start_time,2024-01-10T00:00" in pushed[0]
+    for shapes in (
+        reports.query_shapes(usage, at("2024-02-01")),
+        report_sql.run_report(
+            spark, report_sql.QUERY_SHAPES, at("2024-02-01"), tables, at_least=10, top=20
+        ),
+    ):
+        assert "GreaterThanOrEqual(ts,2024-01-02T00:00)" in executed_plan(shapes)
+    daily = report_sql.run_report(spark, report_sql.DAILY_CREDITS, at("2024-02-10"), tables)
+    assert "GreaterThanOrEqual(start_time,2024-01-11T00:00)" in executed_plan(daily)
 
 
 def test_top_k_is_not_a_sort(spark, sf_dir):
