@@ -59,7 +59,8 @@ DROPPED = frozenset(
     " video map".split()
 )
 NAMES = frozenset(
-    "ad ads advert adverts advertisement sponsor sponsored promo promotion banner sidebar menu nav"
+    "ad ads advert adverts advertisement advertisements advertising adsbygoogle sponsor sponsored"
+    " promo promotion banner sidebar menu nav"
     " navbar navigation breadcrumb breadcrumbs footer masthead comment comments reply replies"
     " disqus cookie cookies consent gdpr notice notices alert newsletter subscribe subscription"
     " signup share sharing social related recommended widget popup modal overlay login toolbar"
