@@ -40,7 +40,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LENGTH = 1024
 # Sequences per window.
-WINDOW = 64
+WINDOW = 128
 # Rows that leave Python at once.
 BATCH_PIECES = 20_000
 
