@@ -1,11 +1,12 @@
 """Near-duplicate vectors: cross-polytope hashing, multiprobe buckets, verified pairs.
 
 A hash is the axis, with its sign, nearest to the vector after three rounds of random signs and a
-fast Hadamard rotation. A table joins ``HASHES`` hashes to a bucket; a vector lives in its main
-bucket and also visits those in which any of the hashes takes the second nearest axis instead. Two
-vectors are candidates if one lives where the other lives or visits, and every candidate pair is
-verified by its cosine in double precision. At cosine 0.98 and 64 dimensions a pair misses one table
-with a probability of about 0.15, and all seven with 2e-6; closer pairs far less.
+fast Hadamard rotation. A table joins several hashes to a bucket; a vector lives in its main bucket
+and also visits those in which any of the hashes takes the second nearest axis instead. Two vectors
+are candidates if one lives where the other lives or visits, and every candidate pair is verified by
+its cosine in double precision. At cosine 0.98 and 64 dimensions a pair misses a table of three
+hashes with a probability of about 0.17, and all seven with 4e-6; closer pairs far less. The number
+of hashes grows with that of the vectors, so that buckets stay small, and the tables with it.
 
 Equal vectors are one class first, so copies cost nothing. The pairs of a bucket are computed in
 blocks and never emitted: a task returns, for each vector, its number of links and the smallest
@@ -20,6 +21,7 @@ repeat a vec_id count as vectors of their own.
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Iterable, Iterator
 
@@ -35,7 +37,11 @@ from creditloom.sources.shared import checkpointed
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-TABLES, HASHES = 7, 3
+# Hashes per table at least, and the chance that both of a pair at the threshold agree in one of
+# them, by the nearest axis of one and the two nearest of the other (64 dimensions, cosine 0.98).
+LEAST_HASHES, AGREE = 3, 0.94
+# The chance that such a pair meets in no table.
+MISS = 5e-6
 # Vectors of a bucket that meet in one task, squared; 4 MB at 64 dimensions.
 BLOCK = 8192
 # Rows of a block that are multiplied at a time.
@@ -131,9 +137,14 @@ def visits(classes: DataFrame, tables: int, hashes: int) -> DataFrame:
     )
 
 
-def near_duplicates(
-    vectors: DataFrame, least_cosine: float = 0.98, tables: int = TABLES, hashes: int = HASHES
-) -> DataFrame:
+def plan_tables(n: int, width: int) -> tuple[int, int]:
+    """``(tables, hashes)``: so many hashes that there are as many buckets as vectors, and as many
+    tables as then keep the chance of a miss."""
+    hashes = max(LEAST_HASHES, math.ceil(math.log(max(n, 1)) / math.log(2 * max(width, 2))))
+    return math.ceil(math.log(MISS) / math.log(1 - AGREE**hashes)), hashes
+
+
+def near_duplicates(vectors: DataFrame, least_cosine: float = 0.98) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)``, a row per row of ``vectors``."""
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "label", "embedding")
     good = usable("embedding") & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
@@ -142,6 +153,8 @@ def near_duplicates(
         .groupBy("label", "embedding")
         .agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     )
+    n, width = classes.agg(F.count("*"), F.coalesce(F.max(F.size("embedding")), F.lit(2))).first()
+    tables, hashes = plan_tables(n, width)
     light = visits(classes, tables, hashes)
     shared = checkpointed(
         light.groupBy("bucket")
@@ -192,8 +205,7 @@ def verified(met: DataFrame, least_cosine: float, tables: int, hashes: int) -> D
         group = group.sort_by("rep")
         rep, copies = group["rep"].to_numpy(), group["copies"].to_numpy()
         block, main = group["block"].to_numpy(), group["main"].to_numpy()
-        x = matrix(group["embedding"])
-        keys = buckets(x, seeds_of(group["label"].to_numpy(), x.shape[1]), tables, hashes)
+        x, labels = matrix(group["embedding"]), group["label"].to_numpy()
         unit = x / np.sqrt((x * x).sum(axis=1))[:, None]
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         links = np.zeros(len(rep), np.int64)
@@ -205,9 +217,13 @@ def verified(met: DataFrame, least_cosine: float, tables: int, hashes: int) -> D
             if i == j:
                 near &= strip[:, None] < right[None, :]
             a, b = np.nonzero(near)
-            a, b = strip[a], right[b]
+            if not len(a):
+                continue
+            # Only vectors of confirmed pairs are hashed again.
+            some, (a, b) = np.unique([strip[a], right[b]], return_inverse=True)
+            keys = buckets(x[some], seeds_of(labels[some], x.shape[1]), tables, hashes)
             first = first_meeting(keys, a, b) == bucket
-            a, b = a[first], b[first]
+            a, b = some[a[first]], some[b[first]]
             np.add.at(links, a, copies[b])
             np.add.at(links, b, copies[a])
             unite(root, a, b)

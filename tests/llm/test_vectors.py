@@ -142,3 +142,25 @@ def test_lengths_decide_with_inner_products(spark):
         got.setdefault(r["query_id"], set()).add(r["vec_id"])
     hits = sum(len(got[q] & {i for i, _ in best(rows, q, 10)}) for q in got)
     assert hits >= 0.9 * 200
+
+
+def test_tables_grow_with_the_vectors():
+    assert embed_dedup.plan_tables(50_000, 64) == (7, 3)
+    assert embed_dedup.plan_tables(0, 2)[1] == 3
+    tables, hashes = embed_dedup.plan_tables(10**9, 64)
+    assert hashes == 5 and (1 - embed_dedup.AGREE**hashes) ** tables <= embed_dedup.MISS
+
+
+def test_chance_of_a_table():
+    """Pairs at the threshold meet in a table as often as the plan takes for granted."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(4000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    z = rng.normal(size=x.shape)
+    z -= (z * x).sum(axis=1)[:, None] * x
+    z /= np.linalg.norm(z, axis=1)[:, None]
+    y = 0.98 * x + math.sqrt(1 - 0.98**2) * z
+    seeds = np.zeros(len(x), np.uint64)
+    one, two = (embed_dedup.buckets(v, seeds, 4, 3) for v in (x, y))
+    met = (one[:, :, :1] == two).any(axis=2) | (two[:, :, :1] == one).any(axis=2)
+    assert met.mean() > 0.98 * embed_dedup.AGREE**3
