@@ -4,10 +4,11 @@
 2. Per host the tokens are grouped by their occurrence vectors, which page holds them how often. A
    vector is kept as a hash that adds up in any order, so this is one aggregate with partial sums
    and no host is gathered in one place.
-3. Tokens of one vector are an equivalence class. A class of at least ``LEAST_CLASS`` tokens on at
-   least half of the host's pages belongs to the template. The class of what each page holds exactly
-   once is its skeleton; the other classes nest in it by their paths. Texts of the skeleton are
-   template text, if the pages differ otherwise.
+3. Tokens of one vector are an equivalence class. The class of what each page holds exactly once is
+   the skeleton, the root of the template. Another class of at least ``LEAST_CLASS`` tokens on at
+   least half of the host's pages is valid if it nests: the elements around its tokens are its own
+   or of one other class, its parent. Texts of the skeleton are template text, if the pages differ
+   otherwise.
 4. What is left are slots. The main slot is the article; where a page has none, the deepest path that
    holds half of the text that varies on its host, and without such a path the body. Slots that are
    boilerplate by their element or its names (menus, headers, footers, sidebars, notices, adverts,
@@ -141,6 +142,7 @@ class PageReader:
         self.open_tags: Counter = Counter()
         self.blocks: list[Block] = []
         self.paths: Counter = Counter()
+        self.parents: dict[int, int] = {}
         self.below: dict[tuple[int, int], int] = {}
         self.pending: list[str] = []
         self.holder = self.stack[0]
@@ -213,7 +215,7 @@ class PageReader:
         if tag == "br":
             self.add(" ")
         if tag in RAW:
-            self.paths[number(self.stack[-1].path, tag)] += 1
+            self.count(number(self.stack[-1].path, tag))
             return
         if tag in BLOCKS:
             self.flush()
@@ -224,11 +226,15 @@ class PageReader:
         if tag in SELF_CLOSING and self.stack[-1].tag == tag:
             self.pop_to(len(self.stack) - 1)
         element = self.opened(tag, attrs)
-        self.paths[element.path] += 1
+        self.count(element.path)
         if tag not in VOID and not attrs.endswith("/"):
             self.stack.append(element)
             self.open_tags[tag] += 1
 
+    def count(self, path: int) -> None:
+        self.paths[path] += 1
+        self.parents[path] = self.stack[-1].path
+
     def opened(self, tag: str, attrs: str) -> Open:
         parent = self.stack[-1]
         words, kind, role = name_parts(attrs) if attrs.strip() else (frozenset(), "", "")
@@ -252,26 +258,30 @@ HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)"
 # Kinds of tokens: the page itself, a tag path, a text, what a page says in all, a path with text
 # below.
 PAGE, TAG, TEXT, SAID, BELOW = range(5)
-TOKENS = "host bigint, kind int, token bigint, mark bigint, chars bigint, depth int"
+TOKENS = "host bigint, kind int, token bigint, parent bigint, mark bigint, chars bigint, depth int"
+
 
+def page_tokens(page: str | None, key: int) -> Iterator[tuple[int, int, int, int, int, int]]:
+    """``(kind, token, parent, mark, chars, depth)``.
 
-def page_tokens(page: str | None, key: int) -> Iterator[tuple[int, int, int, int, int]]:
-    """``(kind, token, mark, chars, depth)``; the mark is the token's place in its vector."""
+    The parent is the path of the element around a token, 0 for none; the mark is the token's place
+    in its vector.
+    """
     found = PageReader().read(page or "")
-    yield PAGE, 0, number(key, 1), 0, 0
+    yield PAGE, 0, 0, number(key, 1), 0, 0
     for path, count in found.paths.items():
-        yield TAG, path, number(key, count), 0, 0
+        yield TAG, path, found.parents[path], number(key, count), 0, 0
     texts = Counter((block.path, block.text) for block in found.blocks)
     for (path, text), count in texts.items():
-        yield TEXT, number(path, text), number(key, count), 0, 0
-    yield SAID, number(*[block.text for block in found.blocks if not block.drop]), 0, 0, 0
+        yield TEXT, number(path, text), path, number(key, count), 0, 0
+    yield SAID, number(*[block.text for block in found.blocks if not block.drop]), 0, 0, 0, 0
     for (path, depth), chars in found.below.items():
-        yield BELOW, path, 0, chars, depth
+        yield BELOW, path, 0, 0, chars, depth
 
 
 def host_tokens(pages: DataFrame) -> DataFrame:
     """Columns ``TOKENS`` for ``pages (host, page, html)``."""
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+    kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 4, pa.int32()]
     names = [field.split()[0] for field in TOKENS.split(", ")]
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
@@ -294,11 +304,15 @@ def host_tokens(pages: DataFrame) -> DataFrame:
 
 
 def templates(tokens: DataFrame) -> DataFrame:
-    """``(host, pages, classes, texts, main)``: per host the number of its pages and valid classes,
-    its template texts, and the path of its main slot."""
+    """``(host, pages, classes, texts, main)`` per host with enough pages.
+
+    ``classes`` are the valid classes ``(class, parent, size)``, the parent null at the root;
+    ``texts`` the template texts; ``main`` the path of the main slot, null if there is none.
+    """
     counted = tokens.groupBy("host", "kind", "token").agg(
         F.count("*").alias("support"),
         F.bit_xor("mark").alias("vector"),
+        F.max("parent").alias("parent"),
         F.sum("chars").alias("chars"),
         F.max("depth").alias("depth"),
     )
@@ -312,21 +326,41 @@ def templates(tokens: DataFrame) -> DataFrame:
     hosts = hosts.where(F.col("pages") >= LEAST_PAGES)
     # What half of a host's pages hold is at most twice an average page.
     common = stats.join(hosts, "host").where(2 * F.col("support") >= F.col("pages"))
-    of_class = F.col("kind").isin(PAGE, TAG, TEXT)
-    classes = common.where(of_class).groupBy("host", "support", "vector", "pages", "once", "said")
+    classed = common.where(F.col("kind").isin(PAGE, TAG, TEXT)).withColumn(
+        "class", F.xxhash64("support", "vector")
+    )
+    around = classed.where(F.col("kind").isin(PAGE, TAG)).select(
+        F.col("host").alias("h"), F.col("token").alias("t"), F.col("class").alias("outer")
+    )
+    at = (F.col("host") == F.col("h")) & (F.col("parent") == F.col("t"))
+    nested = classed.join(around, at, "left")
+    other = F.when(F.col("outer") != F.col("class"), F.col("outer"))
     text_tokens = F.collect_list(F.when(F.col("kind") == TEXT, F.col("token")))
-    valid = classes.agg(F.count("*").alias("size"), text_tokens.alias("texts")).where(
-        F.col("size") >= LEAST_CLASS
+    valid = (
+        nested.groupBy("host", "class", "support", "vector", "pages", "once", "said")
+        .agg(
+            F.count("*").alias("size"),
+            F.min(other).alias("parent"),
+            F.max(other).alias("last_parent"),
+            F.count_if(F.col("outer").isNull()).alias("astray"),
+            text_tokens.alias("texts"),
+        )
+        .where(F.col("size") >= LEAST_CLASS)
     )
     skeleton = (F.col("vector") == F.col("once")) & (F.col("support") == F.col("pages"))
+    one_parent = (F.col("astray") == 0) & (F.col("parent") == F.col("last_parent"))
+    valid = valid.where(skeleton | one_parent)
+    parent = F.when(~skeleton, F.col("parent")).alias("parent")
     differ = 2 * F.col("said") >= F.col("pages")
-    nested = valid.groupBy("host", "pages").agg(
-        F.count("*").alias("classes"),
+    trees = valid.groupBy("host", "pages").agg(
+        F.collect_list(F.struct("class", parent, "size")).alias("classes"),
         F.flatten(F.collect_list(F.when(skeleton & differ, F.col("texts")))).alias("texts"),
     )
     half = common.where((F.col("kind") == BELOW) & (2 * F.col("chars") >= F.col("all_chars")))
     slots = half.groupBy("host").agg(F.max_by("token", F.struct("depth", "chars")).alias("main"))
-    return nested.join(slots, "host", "left")
+    return hosts.select("host", "pages").join(trees.drop("pages"), "host", "left").join(
+        slots, "host", "left"
+    )
 
 
 def main_text(page: str | None, main: int | None, texts: frozenset[int]) -> str:

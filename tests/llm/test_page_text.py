@@ -95,8 +95,12 @@ def test_templates_are_valid_classes(spark):
     rows = [(1, i, html) for i, _, html in host_pages("a", 10, body)]
     frame = spark.createDataFrame(rows, "host bigint, page bigint, html string")
     (found,) = page_text.templates(page_text.host_tokens(frame)).collect()
-    # What is once on each page, and the list items with what is in them.
-    assert found["pages"] == 10 and found["classes"] == 2 and len(found["texts"]) == 1
+    # What is once on each page, and in it the list items with what is in them.
+    assert found["pages"] == 10 and len(found["classes"]) == 2 and len(found["texts"]) == 1
+    skeleton, items = sorted(found["classes"], key=lambda c: c["parent"] is not None)
+    assert skeleton["parent"] is None and items["parent"] == skeleton["class"]
+    # The page, its body, both kinds of paragraphs, the list and the text; item, <i> and text.
+    assert skeleton["size"] == 6 and items["size"] == 3
 
 
 def test_edges(spark):
