@@ -229,7 +229,10 @@ def class_links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> Da
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose full sets are similar enough."""
+    """The pairs ``(a, b)`` whose full sets are similar enough.
+
+    Nothing follows the joins, so Spark may split a class that many others are compared with.
+    """
     first = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
     second = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
     shared = F.size(F.array_intersect("set_a", "set_b")).cast("bigint")
@@ -238,7 +241,6 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         pairs.select("a", "b").join(first, "a").join(second, "b")
         .where(100 * shared >= percent * union)
         .select("a", "b")
-        .distinct()
     )
 
 
