@@ -197,7 +197,10 @@ def class_links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> Da
     )
     # Full sets are read again only for texts with a candidate.
     asked = stars.select(F.col("a").alias("doc_id")).union(stars.select("b")).distinct()
-    sets = written(shingle_rows(docs.join(asked, "doc_id", "left_semi"), k), "sets")
+    texts = docs.join(asked, "doc_id", "left_semi")
+    # Rows that repeat are read once.
+    once = texts.groupBy("doc_id", F.xxhash64("text")).agg(F.first("text").alias("text"))
+    sets = written(shingle_rows(once, k), "sets")
     links = checkpointed(confirmed(stars, sets, percent))
     grouped = components(links, "a", "b")
     wide = banded.join(pivots.where("members > 2").select("band"), "band")
