@@ -9,8 +9,8 @@ hashes with a probability of about 0.17, and all seven with 4e-6; closer pairs f
 of hashes grows with that of the vectors, so that buckets stay small, and the tables with it.
 
 Equal vectors are one class first, so copies cost nothing. The pairs of a bucket are computed in
-blocks and never emitted: a task returns, for each vector, its number of links and the smallest
-vector it reaches there. A pair that meets in several buckets counts in the first only. So a bucket
+blocks and never emitted: a call returns, for each vector, its number of links and the smallest
+vector it reaches there. Small buckets share calls. A pair that meets in several buckets counts in the first only. So a bucket
 of m near copies costs m * m products but passes on m rows.
 
 Vectors link only within equal, non-null labels and equal lengths. Vectors that are null, zero or
@@ -44,8 +44,10 @@ LEAST_HASHES, AGREE = 3, 0.94
 MISS = 5e-6
 # Vectors of a bucket that meet in one task, squared; 4 MB at 64 dimensions.
 BLOCK = 8192
-# Rows of a block that are multiplied at a time.
-STRIP = 256
+# Rows of a block that are multiplied at a time, and confirmed pairs that are held before they count.
+STRIP, HELD = 256, 1 << 20
+# Buckets of at most so many members share a task's call, about so many rows in each.
+SMALL, PACK = 64, 4096
 
 
 def usable(vector: str | Column) -> Column:
@@ -163,7 +165,9 @@ def near_duplicates(vectors: DataFrame, least_cosine: float = 0.98) -> DataFrame
         .select("bucket", "members")
     )
     met = light.join(shared, "bucket").join(classes, "rep")
-    found = checkpointed(verified(met, least_cosine, tables, hashes))
+    rows_met = shared.agg(F.coalesce(F.sum("members"), F.lit(0))).first()[0]
+    packs = max(1, rows_met // PACK)
+    found = checkpointed(verified(met, packs, least_cosine, tables, hashes))
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     joined = components(found, "rep", "root").withColumnRenamed("node", "rep")
     known = checkpointed(
@@ -186,51 +190,83 @@ def near_duplicates(vectors: DataFrame, least_cosine: float = 0.98) -> DataFrame
     return result.withColumn("kept", kept)
 
 
-def verified(met: DataFrame, least_cosine: float, tables: int, hashes: int) -> DataFrame:
-    """``(rep, links, root)`` per bucket and block pair: confirmed links counted with their copies,
-    and the smallest class reached."""
+def verified(
+    met: DataFrame, packs: int, least_cosine: float, tables: int, hashes: int
+) -> DataFrame:
+    """``(rep, links, root)``: confirmed links counted with their copies, and the smallest class
+    reached, for each call. Small buckets are dealt into ``packs`` calls, large ones have a call per
+    pair of blocks."""
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("rep"), blocks).cast("int")
+    small = F.col("members") <= SMALL
+    call = F.when(small, F.pmod("bucket", F.lit(packs))).otherwise(F.col("bucket"))
     placed = met.withColumn("block", block).withColumn(
         "other", F.explode(F.sequence(F.lit(0), blocks - 1))
     )
     cut = placed.select(
-        "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        "block", "rep", "main", F.col("label").cast("bigint").alias("label"), "copies", "embedding",
+        small.alias("small"), call.alias("call"),
+        F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        "bucket", "block", "rep", "main", F.col("label").cast("bigint").alias("label"), "copies",
+        "embedding",
     )
 
     def compare(group: pa.Table) -> pa.Table:
         i, j = group["i"][0].as_py(), group["j"][0].as_py()
-        bucket = np.uint64(group["bucket"][0].as_py() % (1 << 64))
-        group = group.sort_by("rep")
-        rep, copies = group["rep"].to_numpy(), group["copies"].to_numpy()
-        block, main = group["block"].to_numpy(), group["main"].to_numpy()
-        x, labels = matrix(group["embedding"]), group["label"].to_numpy()
-        unit = x / np.sqrt((x * x).sum(axis=1))[:, None]
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        links = np.zeros(len(rep), np.int64)
-        root = np.arange(len(rep))
-        for start in range(0, len(left), STRIP):
-            strip = left[start : start + STRIP]
-            near = unit[strip] @ unit[right].T >= least_cosine
-            near &= main[strip][:, None] | main[right][None, :]
-            if i == j:
-                near &= strip[:, None] < right[None, :]
-            a, b = np.nonzero(near)
-            if not len(a):
-                continue
+        group = group.sort_by([("bucket", "ascending"), ("rep", "ascending")])
+        bucket = group["bucket"].to_numpy().view(np.uint64)
+        copies, main = group["copies"].to_numpy(), group["main"].to_numpy()
+        block, labels = group["block"].to_numpy(), group["label"].to_numpy()
+        widths = pa.compute.list_value_length(group["embedding"]).to_numpy()
+        # A class is in several buckets of a call.
+        rep, name = np.unique(group["rep"].to_numpy(), return_inverse=True)
+        links, root = np.zeros(len(rep), np.int64), np.arange(len(rep))
+        starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def count() -> None:
+            if not held:
+                return
+            a, b = (np.concatenate(side) for side in zip(*held))
+            held.clear()
             # Only vectors of confirmed pairs are hashed again.
-            some, (a, b) = np.unique([strip[a], right[b]], return_inverse=True)
-            keys = buckets(x[some], seeds_of(labels[some], x.shape[1]), tables, hashes)
-            first = first_meeting(keys, a, b) == bucket
-            a, b = some[a[first]], some[b[first]]
-            np.add.at(links, a, copies[b])
-            np.add.at(links, b, copies[a])
-            unite(root, a, b)
+            some, (x, y) = np.unique([a, b], return_inverse=True)
+            vectors = matrix(group["embedding"].take(pa.array(some)))
+            seeds = seeds_of(labels[some], vectors.shape[1])
+            first = first_meeting(buckets(vectors, seeds, tables, hashes), x, y) == bucket[a]
+            a, b = a[first], b[first]
+            np.add.at(links, name[a], copies[b])
+            np.add.at(links, name[b], copies[a])
+            unite(root, name[a], name[b])
+
+        for width in np.unique(widths[starts]):
+            own = np.flatnonzero(widths == width)
+            x = matrix(group["embedding"].take(pa.array(own)))
+            unit = np.zeros((len(widths), width))
+            unit[own] = x / np.sqrt((x * x).sum(axis=1))[:, None]
+            pairs = 0
+            for start, end in zip(starts, [*starts[1:], len(bucket)]):
+                if widths[start] != width:
+                    continue
+                inside = np.arange(start, end)
+                left, right = inside[block[inside] == i], inside[block[inside] == j]
+                for at in range(0, len(left), STRIP):
+                    strip = left[at : at + STRIP]
+                    near = unit[strip] @ unit[right].T >= least_cosine
+                    near &= main[strip][:, None] | main[right][None, :]
+                    if i == j:
+                        near &= strip[:, None] < right[None, :]
+                    a, b = np.nonzero(near)
+                    if len(a):
+                        held.append((strip[a], right[b]))
+                        pairs += len(a)
+                    if pairs > HELD:
+                        count()
+                        pairs = 0
+            count()
         some = np.flatnonzero(links > 0)
         return pa.table({"rep": rep[some], "links": links[some], "root": rep[root[some]]})
 
-    return cut.groupBy("bucket", "i", "j").applyInArrow(
+    return cut.groupBy("small", "call", "i", "j").applyInArrow(
         compare, "rep bigint, links bigint, root bigint"
     )
 

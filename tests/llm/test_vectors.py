@@ -41,9 +41,11 @@ def plain_links(rows, least):
     return links
 
 
-@pytest.mark.parametrize("block", [4, 8192])
-def test_links_equal_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, small, held", [(4, 0, 1), (8192, 64, 1 << 20), (8192, 5, 10)])
+def test_links_equal_brute_force(spark, monkeypatch, block, small, held):
     monkeypatch.setattr(embed_dedup, "BLOCK", block)
+    monkeypatch.setattr(embed_dedup, "SMALL", small)
+    monkeypatch.setattr(embed_dedup, "HELD", held)
     rng = np.random.default_rng(3)
     rows = near_groups(rng)
     rows += [(1000 + i, x, label) for i, x, label in rows[:10]]
