@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from creditloom.sources.shared import checkpointed
@@ -18,46 +18,47 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     Links with a null end or from a node to itself are ignored; repeated links are one. Without
     links the result is empty. A hub's links are aggregated on their far ends, which differ.
     """
-    kind = links.schema[a].dataType
+    kind = links.schema[a].dataType.simpleString()
     # The comparison drops null ends as well.
-    edges = checkpointed(
+    edges, n = _kept(
         links.where(F.col(a) != F.col(b))
         .select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"))
         .distinct()
     )
-    found = None
-    while edges.head(1):
+    found = links.sparkSession.createDataFrame([], f"node {kind}, component {kind}")
+    first = True
+    while n:
         hooks = _followed(edges.groupBy("hi").agg(F.min("lo").alias("to")))
         # Nodes hooked in this round now point to their ends; earlier ones are led on.
-        if found is None:
-            found = hooks.select(F.col("hi").alias("node"), F.col("to").alias("component"))
-        else:
-            led = found.join(hooks, found["component"] == hooks["hi"], "left")
-            found = led.select("node", F.coalesce("to", "component").alias("component")).unionAll(
-                hooks.select("hi", "to")
-            )
-        found = checkpointed(found)
+        new = hooks.select(F.col("hi").alias("node"), F.col("to").alias("component"))
+        led = found.join(hooks, found["component"] == hooks["hi"], "left")
+        led = led.select("node", F.coalesce("to", "component").alias("component"))
+        found = new if first else checkpointed(led.unionAll(new))
+        first = False
         # The larger end first: a hub's links all end there and need no second look.
         moved = edges.join(hooks, "hi").where("to != lo").select(F.col("to").alias("x"), "lo")
         other = moved.join(hooks, moved["lo"] == hooks["hi"], "left")
         other = other.select("x", F.coalesce("to", "lo").alias("y")).where("x != y")
-        edges = checkpointed(
-            other.select(F.greatest("x", "y").alias("hi"), F.least("x", "y").alias("lo")).distinct()
-        )
-    spark = links.sparkSession
-    if found is None:
-        name = kind.simpleString()
-        return spark.createDataFrame([], f"node {name}, component {name}")
+        ends = other.select(F.greatest("x", "y").alias("hi"), F.least("x", "y").alias("lo"))
+        edges, n = _kept(ends.distinct())
     roots = found.select(F.col("component").alias("node"), "component").distinct()
     return found.unionAll(roots)
 
 
 def _followed(hooks: DataFrame) -> DataFrame:
     """Every hook led on to the end of its chain; each step doubles the way."""
+    hooks = checkpointed(hooks)
     while True:
-        hooks = checkpointed(hooks)
         onward = hooks.select(F.col("hi").alias("at"), F.col("to").alias("next"))
         ahead = hooks.join(onward, hooks["to"] == onward["at"], "left")
-        if not ahead.where("next IS NOT NULL").head(1):
+        hooks, n = _kept(ahead.select("hi", F.coalesce("next", "to").alias("to"), "next"), "next")
+        hooks = hooks.select("hi", "to")
+        if not n:
             return hooks
-        hooks = ahead.select("hi", F.coalesce("next", "to").alias("to"))
+
+
+def _kept(df: DataFrame, column: str = "lo") -> tuple[DataFrame, int]:
+    """``df`` checkpointed, and how many rows have the column; both in one job."""
+    seen = Observation()
+    kept = checkpointed(df.observe(seen, F.count(column).alias("n")))
+    return kept, seen.get["n"]

@@ -225,9 +225,16 @@ def class_links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> Da
         .select("band", "blocks")
     )
     block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    placed = members.join(open_bands, "band").withColumn("block", block)
-    sketches = classes.select("rep", "marks", "bands")
-    asked = checkpointed(promising(placed.join(sketches, "rep"), percent))
+    # Few bands are open; only their members get their components and sketches.
+    placed = banded.join(open_bands, "band").withColumn("block", block)
+    described = placed.join(classes.select("rep", "n_shingles", "marks", "bands"), "rep").join(
+        grouped, F.col("rep") == F.col("node"), "left"
+    )
+    component = F.coalesce("component", "rep").alias("component")
+    described = described.select(
+        "band", "blocks", "block", "rep", "n_shingles", "marks", "bands", component
+    )
+    asked = checkpointed(promising(described, percent))
     return links.union(linked(asked.join(sets, F.col("rep") == F.col("doc_id")), percent))
 
 
