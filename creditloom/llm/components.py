@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from creditloom.sources.shared import checkpointed
 
+# Rows of two ids that a task keeps.
+ROWS = 200_000
+
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """``(node, component)`` for every node with a link; the component is its smallest node.
@@ -25,33 +28,36 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         .select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"))
         .distinct()
     )
+    # No later table has more rows than the first links; small ones go on in few tasks.
+    parts = max(1, -(-n // ROWS))
     found = links.sparkSession.createDataFrame([], f"node {kind}, component {kind}")
     first = True
     while n:
-        hooks = _followed(edges.groupBy("hi").agg(F.min("lo").alias("to")))
+        hooks = _followed(edges.groupBy("hi").agg(F.min("lo").alias("to")), parts)
         # Nodes hooked in this round now point to their ends; earlier ones are led on.
         new = hooks.select(F.col("hi").alias("node"), F.col("to").alias("component"))
         led = found.join(hooks, found["component"] == hooks["hi"], "left")
         led = led.select("node", F.coalesce("to", "component").alias("component"))
-        found = new if first else checkpointed(led.unionAll(new))
+        found = new if first else checkpointed(led.unionAll(new).coalesce(parts))
         first = False
         # The larger end first: a hub's links all end there and need no second look.
         moved = edges.join(hooks, "hi").where("to != lo").select(F.col("to").alias("x"), "lo")
         other = moved.join(hooks, moved["lo"] == hooks["hi"], "left")
         other = other.select("x", F.coalesce("to", "lo").alias("y")).where("x != y")
         ends = other.select(F.greatest("x", "y").alias("hi"), F.least("x", "y").alias("lo"))
-        edges, n = _kept(ends.distinct())
+        edges, n = _kept(ends.distinct().coalesce(parts))
     roots = found.select(F.col("component").alias("node"), "component").distinct()
     return found.unionAll(roots)
 
 
-def _followed(hooks: DataFrame) -> DataFrame:
+def _followed(hooks: DataFrame, parts: int) -> DataFrame:
     """Every hook led on to the end of its chain; each step doubles the way."""
-    hooks = checkpointed(hooks)
+    hooks = checkpointed(hooks.coalesce(parts))
     while True:
         onward = hooks.select(F.col("hi").alias("at"), F.col("to").alias("next"))
         ahead = hooks.join(onward, hooks["to"] == onward["at"], "left")
-        hooks, n = _kept(ahead.select("hi", F.coalesce("next", "to").alias("to"), "next"), "next")
+        led = ahead.select("hi", F.coalesce("next", "to").alias("to"), "next")
+        hooks, n = _kept(led.coalesce(parts), "next")
         hooks = hooks.select("hi", "to")
         if not n:
             return hooks
