@@ -1,18 +1,20 @@
 """The main text of web pages, by the template that pages of a host share.
 
 1. A page is read as a stream of tokens: its tags, each with the path above it, and its blocks of text.
-2. Per host the tokens are grouped by their occurrence vectors, which page holds them how often. A
-   vector is kept as a hash that adds up in any order, so this is one aggregate with partial sums
-   and no host is gathered in one place.
-3. Tokens of one vector are an equivalence class. The class of what each page holds exactly once is
-   the skeleton, the root of the template. Another class of at least ``LEAST_CLASS`` tokens on at
+2. Per host the tokens are grouped by their occurrence vectors, which page holds them how often.
+   Pages without tags and text are no evidence, and pages that say the same count once. A vector is
+   kept as a hash that adds up in any order, so these are two aggregates and no host is gathered in
+   one place.
+3. Tokens of one vector are an equivalence class. The classes of what most pages hold, and hold once,
+   are the skeleton, the root of the template. Another class of at least ``LEAST_CLASS`` tokens on at
    least half of the host's pages is valid if it nests: the elements around its tokens are its own
-   or of one other class, its parent. Texts of the skeleton are template text, if the pages differ
-   otherwise.
-4. What is left are slots. The main slot is the article; where a page has none, the deepest path that
-   holds half of the text that varies on its host, and without such a path the body. Slots that are
-   boilerplate by their element or its names (menus, headers, footers, sidebars, notices, adverts,
-   forms, comments) are left out.
+   or of one other valid class, its parent. Template texts are those of the skeleton, and those of
+   other valid classes whose element is of the same class. What half of the pages hold is at most
+   twice an average page, so a host's classes are found in one task.
+4. What is left are slots, the gaps between class tokens. The main slot is the article; where a page
+   has none, the deepest element of a valid class that holds half of the text that varies on its
+   host, and without such an element the body. Slots that are boilerplate by their element or its
+   names (menus, headers, footers, sidebars, notices, adverts, forms, comments) are left out.
 
 Hosts of fewer than ``LEAST_PAGES`` pages show no template; there, only elements and names tell.
 
@@ -41,6 +43,8 @@ from creditloom.sources.shared import written
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LEAST_CLASS, LEAST_PAGES = 3, 8
+# What so many of a host's pages hold once is of the skeleton.
+MOST = 3, 4
 # Characters of text that leave Python at once.
 BATCH_CHARS = 4 << 20
 
@@ -188,7 +192,7 @@ class PageReader:
             self.holder = top.block if top.block.drop == top.drop else top
         self.pending.append(text)
         if not top.drop:
-            top.chars += len(text)
+            top.chars += len(text.strip())
 
     def pop_to(self, size: int) -> None:
         while len(self.stack) > size:
@@ -255,33 +259,37 @@ class PageReader:
 
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)"
-# Kinds of tokens: the page itself, a tag path, a text, what a page says in all, a path with text
-# below.
-PAGE, TAG, TEXT, SAID, BELOW = range(5)
-TOKENS = "host bigint, kind int, token bigint, parent bigint, mark bigint, chars bigint, depth int"
+# Kinds of tokens: the page itself, a tag path, a text, a path with text below.
+PAGE, TAG, TEXT, BELOW = range(4)
+TOKENS = (
+    "host bigint, kind int, token bigint, parent bigint, said bigint, count bigint, chars bigint,"
+    " depth int"
+)
 
 
-def page_tokens(page: str | None, key: int) -> Iterator[tuple[int, int, int, int, int, int]]:
-    """``(kind, token, parent, mark, chars, depth)``.
+def page_tokens(page: str | None) -> Iterator[tuple[int, int, int, int, int, int, int]]:
+    """``(kind, token, parent, said, count, chars, depth)``, nothing for a page without tags and text.
 
-    The parent is the path of the element around a token, 0 for none; the mark is the token's place
-    in its vector.
+    The parent is the path of the element around a token, 0 for none; what the page says in all is
+    the page's name in a vector. Characters are those that are not left out.
     """
     found = PageReader().read(page or "")
-    yield PAGE, 0, 0, number(key, 1), 0, 0
+    if not found.paths and not found.blocks:
+        return
+    said = number(*[block.text for block in found.blocks if not block.drop])
+    yield PAGE, 0, 0, said, 1, found.stack[0].chars, 0
     for path, count in found.paths.items():
-        yield TAG, path, found.parents[path], number(key, count), 0, 0
-    texts = Counter((block.path, block.text) for block in found.blocks)
-    for (path, text), count in texts.items():
-        yield TEXT, number(path, text), path, number(key, count), 0, 0
-    yield SAID, number(*[block.text for block in found.blocks if not block.drop]), 0, 0, 0, 0
+        yield TAG, path, found.parents[path], said, count, 0, 0
+    texts = Counter((block.path, block.text, block.drop) for block in found.blocks)
+    for (path, text, drop), count in texts.items():
+        yield TEXT, number(path, text), path, said, count, 0 if drop else count * len(text), 0
     for (path, depth), chars in found.below.items():
-        yield BELOW, path, 0, 0, chars, depth
+        yield BELOW, path, 0, said, 0, chars, depth
 
 
 def host_tokens(pages: DataFrame) -> DataFrame:
-    """Columns ``TOKENS`` for ``pages (host, page, html)``."""
-    kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 4, pa.int32()]
+    """Columns ``TOKENS`` for ``pages (host, html)``."""
+    kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 5, pa.int32()]
     names = [field.split()[0] for field in TOKENS.split(", ")]
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
@@ -292,75 +300,139 @@ def host_tokens(pages: DataFrame) -> DataFrame:
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            ids = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2))
-            for host, key, page in ids:
-                rows.extend((host, *token) for token in page_tokens(page.as_py(), key))
+            for host, page in zip(batch.column(0).to_pylist(), batch.column(1)):
+                rows.extend((host, *token) for token in page_tokens(page.as_py()))
                 if len(rows) > 50_000:
                     yield batch_of(rows)
                     rows = []
             yield batch_of(rows)
 
-    return pages.select("host", "page", "html").mapInArrow(read, TOKENS)
+    return pages.select("host", "html").mapInArrow(read, TOKENS)
+
+
+def template_of(pages: int, tokens: list[dict]) -> dict:
+    """The template of one host from its tokens on at least half of its pages: ``classes``,
+    ``texts``, ``parts`` and ``main``, see ``templates``."""
+    members: dict[tuple[int, int], list[dict]] = {}
+    paths: dict[int, dict] = {}
+    for token in tokens:
+        if token["kind"] != BELOW:
+            token["class"] = (token["support"], token["vector"])
+            members.setdefault(token["class"], []).append(token)
+            if token["kind"] != TEXT:
+                paths[token["token"]] = token
+
+    def most(token: dict) -> bool:
+        return token["most"] == 1 and MOST[1] * token["support"] >= MOST[0] * pages
+
+    def in_skeleton(token: dict) -> bool:
+        if token["kind"] != TEXT or token["support"] == pages:
+            return True
+        alike = members[token["class"]]
+        around = paths.get(token["parent"])
+        own_tags = len(alike) >= LEAST_CLASS and any(other["kind"] == TAG for other in alike)
+        return own_tags or (around is not None and most(around))
+
+    page = paths[0]
+    skeleton = [
+        token for alike in members.values() for token in alike if most(token) and in_skeleton(token)
+    ]
+    for token in skeleton:
+        token["class"] = page["class"]
+    valid = {page["class"]: skeleton}
+    outer: dict[tuple[int, int], tuple[int, int]] = {}
+    for name, alike in members.items():
+        alike = [token for token in alike if token["class"] == name]
+        if name in valid or len(alike) < LEAST_CLASS:
+            continue
+        around = {paths[t["parent"]]["class"] if t["parent"] in paths else None for t in alike}
+        others = around - {name}
+        if len(others) == 1 and None not in others:
+            valid[name], (outer[name],) = alike, others
+    # A class without a valid parent is none, nor are those in it.
+    while lost := [name for name, around in outer.items() if around not in valid]:
+        for name in lost:
+            del valid[name], outer[name]
+
+    root = skeleton if len(skeleton) >= LEAST_CLASS else []
+    texts = [token for token in root if token["kind"] == TEXT]
+    parts = [
+        token
+        for name in outer
+        for token in valid[name]
+        if token["kind"] == TEXT and paths[token["parent"]]["class"] == name
+    ]
+    # Text that varies below each path: all text but the template's.
+    same: Counter = Counter()
+    for token in texts + parts:
+        at = token["parent"]
+        while at in paths and at:
+            same[at] += token["chars"]
+            at = paths[at]["parent"]
+        same[0] += token["chars"]
+    whole = page["chars"] - same[0]
+    slots = [
+        (below["depth"], below["chars"] - same[below["token"]], below["token"])
+        for below in tokens
+        if below["kind"] == BELOW and paths.get(below["token"], {}).get("class") in valid
+    ]
+    slots = [slot for slot in slots if slot[1] > 0 and 2 * slot[1] >= whole]
+    return {
+        "classes": [
+            {"class": number(*name), "parent": number(*outer[name]) if name in outer else None,
+             "size": len(alike)}
+            for name, alike in valid.items()
+        ],
+        "texts": [token["token"] for token in texts],
+        "parts": [token["token"] for token in parts],
+        "main": max(slots)[2] if slots else None,
+    }
+
+
+TEMPLATE = (
+    "host bigint, pages bigint, classes array<struct<class: bigint, parent: bigint, size: bigint>>,"
+    " texts array<bigint>, parts array<bigint>, main bigint"
+)
 
 
 def templates(tokens: DataFrame) -> DataFrame:
-    """``(host, pages, classes, texts, main)`` per host with enough pages.
+    """``(host, pages, classes, texts, parts, main)`` per host with enough pages.
 
-    ``classes`` are the valid classes ``(class, parent, size)``, the parent null at the root;
-    ``texts`` the template texts; ``main`` the path of the main slot, null if there is none.
+    ``pages`` counts what says something of its own; ``classes`` are the valid classes ``(class,
+    parent, size)``, the parent null at the root; ``texts`` the texts of the skeleton, ``parts``
+    those of the other classes; ``main`` the path of the main slot, null if there is none.
     """
-    counted = tokens.groupBy("host", "kind", "token").agg(
+    once = tokens.groupBy("host", "kind", "token", "said").agg(
+        F.max("count").alias("count"), F.max("parent").alias("parent"),
+        F.max("chars").alias("chars"), F.max("depth").alias("depth"),
+    )
+    counted = once.groupBy("host", "kind", "token").agg(
         F.count("*").alias("support"),
-        F.bit_xor("mark").alias("vector"),
+        F.bit_xor(F.xxhash64("said", "count")).alias("vector"),
+        F.max("count").alias("most"),
         F.max("parent").alias("parent"),
         F.sum("chars").alias("chars"),
         F.max("depth").alias("depth"),
     )
-    stats = written(counted.where("support > 1 OR kind IN (0, 3)"), "tokens")
-    hosts = stats.groupBy("host").agg(
-        F.max(F.when(F.col("kind") == PAGE, F.col("support"))).alias("pages"),
-        F.max(F.when(F.col("kind") == PAGE, F.col("vector"))).alias("once"),
-        F.count_if(F.col("kind") == SAID).alias("said"),
-        F.max(F.when(F.col("kind") == BELOW, F.col("chars"))).alias("all_chars"),
-    )
+    stats = written(counted.where("support > 1 OR kind = 0"), "tokens")
+    hosts = stats.where(F.col("kind") == PAGE).select("host", F.col("support").alias("pages"))
     hosts = hosts.where(F.col("pages") >= LEAST_PAGES)
-    # What half of a host's pages hold is at most twice an average page.
     common = stats.join(hosts, "host").where(2 * F.col("support") >= F.col("pages"))
-    classed = common.where(F.col("kind").isin(PAGE, TAG, TEXT)).withColumn(
-        "class", F.xxhash64("support", "vector")
-    )
-    around = classed.where(F.col("kind").isin(PAGE, TAG)).select(
-        F.col("host").alias("h"), F.col("token").alias("t"), F.col("class").alias("outer")
-    )
-    at = (F.col("host") == F.col("h")) & (F.col("parent") == F.col("t"))
-    nested = classed.join(around, at, "left")
-    other = F.when(F.col("outer") != F.col("class"), F.col("outer"))
-    text_tokens = F.collect_list(F.when(F.col("kind") == TEXT, F.col("token")))
-    valid = (
-        nested.groupBy("host", "class", "support", "vector", "pages", "once", "said")
-        .agg(
-            F.count("*").alias("size"),
-            F.min(other).alias("parent"),
-            F.max(other).alias("last_parent"),
-            F.count_if(F.col("outer").isNull()).alias("astray"),
-            text_tokens.alias("texts"),
-        )
-        .where(F.col("size") >= LEAST_CLASS)
-    )
-    skeleton = (F.col("vector") == F.col("once")) & (F.col("support") == F.col("pages"))
-    one_parent = (F.col("astray") == 0) & (F.col("parent") == F.col("last_parent"))
-    valid = valid.where(skeleton | one_parent)
-    parent = F.when(~skeleton, F.col("parent")).alias("parent")
-    differ = 2 * F.col("said") >= F.col("pages")
-    trees = valid.groupBy("host", "pages").agg(
-        F.collect_list(F.struct("class", parent, "size")).alias("classes"),
-        F.flatten(F.collect_list(F.when(skeleton & differ, F.col("texts")))).alias("texts"),
-    )
-    half = common.where((F.col("kind") == BELOW) & (2 * F.col("chars") >= F.col("all_chars")))
-    slots = half.groupBy("host").agg(F.max_by("token", F.struct("depth", "chars")).alias("main"))
-    return hosts.select("host", "pages").join(trees.drop("pages"), "host", "left").join(
-        slots, "host", "left"
-    )
+    kinds = pa.schema(
+        [
+            ("host", pa.int64()), ("pages", pa.int64()),
+            ("classes", pa.list_(pa.struct([(c, pa.int64()) for c in ("class", "parent", "size")]))),
+            ("texts", pa.list_(pa.int64())), ("parts", pa.list_(pa.int64())), ("main", pa.int64()),
+        ]
+    )
+
+    def of_host(rows: pa.Table) -> pa.Table:
+        tokens = rows.to_pylist()
+        host, pages = tokens[0]["host"], tokens[0]["pages"]
+        found = {"host": host, "pages": pages} | template_of(pages, tokens)
+        return pa.Table.from_pylist([found], kinds)
+
+    return common.groupBy("host").applyInArrow(of_host, TEMPLATE)
 
 
 def main_text(page: str | None, main: int | None, texts: frozenset[int]) -> str:
@@ -378,12 +450,13 @@ def extract(pages: DataFrame) -> DataFrame:
     host = F.lower(F.regexp_extract("url", HOST, 1))
     rows = pages.select(
         F.col("page_id").cast("bigint").alias("page_id"), "url", "html",
-        F.xxhash64(host).alias("host"), F.xxhash64("page_id", "url").alias("page"),
+        F.xxhash64(host).alias("host"),
     )
     known = written(templates(host_tokens(rows)), "templates")
     # As a written table its size is known: Spark broadcasts it while small, and splits a host with
     # many pages otherwise.
-    joined = rows.join(known.select("host", "main", "texts"), "host", "left").select(
+    known_texts = F.concat("texts", "parts").alias("texts")
+    joined = rows.join(known.select("host", "main", known_texts), "host", "left").select(
         "page_id", "url", "html", "main", "texts"
     )
 
@@ -393,8 +466,8 @@ def extract(pages: DataFrame) -> DataFrame:
             for at, (page, main, texts) in enumerate(
                 zip(batch.column(2), batch.column(3), batch.column(4))
             ):
-                known_texts = frozenset(texts.as_py() or ())
-                found.append(main_text(page.as_py(), main.as_py(), known_texts))
+                of_template = frozenset(texts.as_py() or ())
+                found.append(main_text(page.as_py(), main.as_py(), of_template))
                 held += len(found[-1])
                 if held > BATCH_CHARS:
                     yield of(batch, start, found)

@@ -1,6 +1,7 @@
 import html as entities
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from creditloom.llm import page_text
@@ -118,3 +119,57 @@ def test_edges(spark):
         (5, "r", 1),
     ]
     assert page_text.extract(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def odd_host(spark, host, odd, n=14):
+    """Pages without an article; a footer on two thirds of them; ``odd`` pages besides."""
+
+    def body(i):
+        foot = "<div class='x3'><p><i>Partly here</i></p></div>" if i % 3 else ""
+        return (
+            "<html><body><div class='x1'><p>Our site</p></div><div class='x2'>"
+            f"<p>Story {i} tells {i * 7} things.</p></div><div class='x4'><p>All rights</p></div>"
+            f"{foot}</body></html>"
+        )
+
+    rows = host_pages(host, n, body) + [(100 + i, f"http://{host}/o{i}", o) for i, o in enumerate(odd)]
+    found = page_text.extract(spark.createDataFrame(rows, SCHEMA)).collect()
+    return {r["page_id"]: r["text"] for r in found}
+
+
+@pytest.mark.parametrize(
+    "odd",
+    [
+        [],
+        [None, ""],
+        ["<html><body><div class='x1'><p>Our site</p></div><div class='x2'><p>Cut"],
+        ["<html><body><h1>Home</h1><ul><li>First</li><li>Second</li></ul></body></html>", None],
+    ],
+)
+def test_template_in_spite_of_odd_pages(spark, odd):
+    text = odd_host(spark, "odd.org", odd)
+    for i in range(14):
+        assert text[i] == f"Story {i} tells {i * 7} things."
+    if odd and odd[0]:
+        assert text[100] in ("Cut", "Home First Second")
+
+
+def test_copies_are_no_classes(spark):
+    """A page that fills half of its host's rows, with a layout of its own, keeps its text."""
+    copy = "<html><body><div class='c'><h2>Copied</h2><p><i>Word</i></p><b>for word</b></div></body></html>"
+    text = odd_host(spark, "copies.org", [copy] * 16)
+    assert {text[100 + i] for i in range(16)} == {"Copied Word for word"}
+    assert text[3] == "Story 3 tells 21 things."
+
+
+def test_main_slot_is_a_gap_of_the_template(spark):
+    """The slot has less text than the template around it; the loose paragraphs are not in it."""
+
+    def body(i):
+        return (
+            f"<html><body><p>{i} visits</p><div class='a'><div class='b'><p>{'Same ' * 90}</p></div>"
+            f"</div><div class='m'><p>{f'Own {i} ' * 9}</p></div></body></html>"
+        )
+
+    found = page_text.extract(spark.createDataFrame(host_pages("g.org", 9, body), SCHEMA)).collect()
+    assert {r["page_id"]: r["text"] for r in found} == {i: (f"Own {i} " * 9).strip() for i in range(9)}
