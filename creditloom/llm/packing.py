@@ -45,13 +45,30 @@ WINDOW = 128
 BATCH_PIECES = 20_000
 
 
-def load_vocabulary(ranks_path: str, pattern: str):
-    """An encoder over a file of byte-pair ranks; it gives the ids of the matching tokenizer file."""
+def load_vocabulary(ranks_path: str, pattern: str, tokenizer_path: str):
+    """An encoder over a file of byte-pair ranks; it gives the ids of the matching tokenizer file.
+
+    Added tokens of the tokenizer file, ``<|endoftext|>`` say, are found in texts as it finds them.
+    """
+    import json
+
     import tiktoken
 
     with open(ranks_path, "rb") as file:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
-    return tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    with open(tokenizer_path, encoding="utf-8") as file:
+        listed = json.load(file).get("added_tokens") or []
+    for token in listed:
+        if token.get("lstrip") or token.get("rstrip") or token.get("single_word"):
+            raise ValueError(f"added token {token['content']!r} takes more than its own text")
+    added = {token["content"]: token["id"] for token in listed}
+    return tiktoken.Encoding(
+        "vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added
+    )
+
+
+def token_ids(encoder, text: str) -> np.ndarray:
+    return encoder.encode_to_numpy(text, allowed_special="all")
 
 
 def cuts(tokens: int, length: int) -> Iterator[tuple[int, int]]:
@@ -73,7 +90,12 @@ PIECES = (
 
 
 def token_pieces(
-    docs: DataFrame, ranks_path: str, pattern: str, end_id: int = 0, length: int = LENGTH
+    docs: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    tokenizer_path: str,
+    end_id: int = 0,
+    length: int = LENGTH,
 ) -> DataFrame:
     """Columns ``PIECES``, a row per piece; checksums are over little-endian 32-bit ids."""
     names = [field.split()[0] for field in PIECES.split(", ")]
@@ -85,12 +107,12 @@ def token_pieces(
         )
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = load_vocabulary(ranks_path, pattern)
+        encoder = load_vocabulary(ranks_path, pattern, tokenizer_path)
         columns: list[list] = [[] for _ in names]
         for batch in batches:
             rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2))
             for doc_id, source, text in rows:
-                found = encoder.encode_to_numpy(text.as_py() or "", disallowed_special=())
+                found = token_ids(encoder, text.as_py() or "")
                 ids = np.append(found, end_id).astype("<u4")
                 data = memoryview(ids.tobytes())
                 for start, size in cuts(len(ids), length):
@@ -163,9 +185,11 @@ def pack(
     docs: DataFrame,
     ranks_path: str,
     pattern: str,
+    tokenizer_path: str,
     end_id: int = 0,
     length: int = LENGTH,
     window: int = WINDOW,
 ) -> DataFrame:
     """All documents, packed: ``PIECES`` and ``(window, sequence_id, offset)``."""
-    return packed(token_pieces(docs, ranks_path, pattern, end_id, length), length, window)
+    pieces = token_pieces(docs, ranks_path, pattern, tokenizer_path, end_id, length)
+    return packed(pieces, length, window)

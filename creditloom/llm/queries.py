@@ -80,12 +80,13 @@ def quality_classifier(spark, sf):
 
 
 def vocabulary() -> dict[str, str]:
-    """The file of ranks and the splitting pattern of the 50k byte vocabulary."""
+    """The files and the splitting pattern of the 50k byte vocabulary."""
     import public_tokenizers
 
     return {
         "ranks_path": str(public_tokenizers.path("byte_bpe_50k.tiktoken")),
         "pattern": public_tokenizers.PATTERN,
+        "tokenizer_path": str(public_tokenizers.path("byte_bpe_50k.json")),
     }
 
 

@@ -89,6 +89,19 @@ def test_same_ids_as_the_tokenizer_file():
         assert encoder.encode_to_numpy(text, disallowed_special=()).tolist() == ids[:-1].tolist()
 
 
+def test_added_tokens_as_the_tokenizer_file(spark):
+    texts = [
+        "hello <|endoftext|> there", "<|endoftext|>", "a<|endoftext|><|endoftext|>\n b <|endoftext|",
+        "<|ENDOFTEXT|> <|endoftext|>é", "  <|endoftext|>  ",
+    ]
+    encoder = packing.load_vocabulary(**vocabulary())
+    for text, ids in zip(texts, ids_of(texts)):
+        assert packing.token_ids(encoder, text).tolist() == ids[:-1].tolist()
+    assert 50256 in ids_of(texts)[0]
+    docs = docs_of(spark, [(i, text, "a") for i, text in enumerate(texts)])
+    check(packing.pack(docs, **vocabulary()).collect(), list(enumerate(texts)))
+
+
 @pytest.mark.parametrize("tokens", [1, 2, 3, 1023, 1024, 1025, 5000])
 def test_cuts(tokens):
     parts = list(packing.cuts(tokens, 1024))
