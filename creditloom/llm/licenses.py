@@ -5,9 +5,10 @@ spelled in several ways, and runs of anything but letters and digits as one spac
 form finds a text however it was wrapped, quoted or punctuated, and a hash join with the known digests
 names the licence; nothing is compared text by text.
 
-The known texts are licences given in full, and notices, one line that names a licence, built by rule
-from openings and names. Both are canonicalised by the same expression. Their number is fixed by this
-file, which bounds the side that is broadcast.
+The known texts are licences given in full, long ones by their digests, headers that files carry, and
+notices, one line that names a licence, built by rule from openings, names and endings. All are
+canonicalised by the same expression. Their number is fixed by this file, which bounds the side that is
+broadcast. A caller adds texts or digests of their own as a table.
 
 Per row of the documents: ``digest`` of the canonical text, ``license_id`` if the whole text is a known
 licence or notice, and ``notices``, the licences named by its lines, distinct, sorted, joined by a
@@ -125,6 +126,89 @@ OPENINGS = tuple(
     for article in ("", "the ", "a ", "the terms of the ")
 ) + ("SPDX-License-Identifier: ", "License: ")
 
+ENDINGS = ("", ' (the "License")')
+# Headers of files, whole.
+HEADERS = {
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this
+file except in compliance with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is
+distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and limitations under the License.""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a
+copy of the MPL was not distributed with this file, You can obtain one at
+http://mozilla.org/MPL/2.0/.""",
+}
+GNU_HEADER = """{what} is free software{stop} you can redistribute it and/or modify it under the terms of
+the GNU {kind}General Public License as published by the Free Software Foundation{stop} either version
+{number} of the License, or (at your option) any later version.
+
+{what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
+implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind}General Public
+License for more details."""
+GNU_HEADERS = {
+    "GPL-2.0": ("", "2"), "GPL-3.0": ("", "3"), "LGPL-2.1": ("Lesser ", "2.1"),
+    "LGPL-3.0": ("Lesser ", "3"), "AGPL-3.0": ("Affero ", "3"),
+}
+GNU_ADDRESS = """
+
+You should have received a copy of the GNU {kind}General Public License along with {what}. If not, see
+<http://www.gnu.org/licenses/>."""
+# Digests of the canonical forms of long licences, as published and with each paragraph on
+# one line, and both without what follows the terms.
+LONG_LICENCES = {
+    "Apache-2.0": (
+        "0be25ae8b112b6c47bf696a745855eebba678079747ad8bbf877d928555027f1",
+        "020bb6034c74005fcbcdddb55a837907403eb8f107e058836cb40262f547ed4a",
+        "9446b99128ec9c3946adbb681853599f3a5f01a69d6c0762a9d0ab699868d801",
+        "c348fad4100086120c9a4f71602579f6f49d5ca97ae96d36cf377b10e6e79871",
+        "c46dfd45ed4a19fe4a99eaed08590a0c093e3a0b73c293ece466f468b902aff3",
+        "c936c3be4c0e23ce771b851922c44c2c6bbb0fb8c42f59ae99cf57ebd223697c",
+    ),
+    "CC0-1.0": (
+        "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f",
+        "cccf7894e1b9f4ba9f97728bf0c5baf9e07bc2ac93da7a51556451b1fb2b868e",
+    ),
+    "GPL-2.0": (
+        "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821",
+        "b7f81dc9aaaa645304fde476859dc46db4e23b83ec1c50bd8462652ff46110c9",
+        "e1270b653c300290e7c039142bccb8776f9b5d14e8a05bc4e87dc7d1614a3b34",
+        "19329ee16e4a9fb2e74ce40708e49f5c315b4f0ac4653c556ca42027ba79f9f5",
+        "6d332dc4c3c5293a73c6c9da402f9bbc970b3bb1eb472f577e00580573469808",
+        "c928252f428993b646c70c671425ec87aab1bc5abf42e7a179685a96469bd918",
+    ),
+    "GPL-3.0": (
+        "eaab5d82fdcca441d83a1913bbf07e4de3a739e190578c0bffde24f84e93bb2a",
+        "bd0a51b1879c5ef290541425f811ff5c57e53784e866a9d70a635e8fbcaade54",
+        "ac6b52d57c0104e687039148f7b8e370e04c9bb5705bb786f8ef814eb65e8636",
+        "7300741b7882c4cee1198306545302285397b5dbcfa263d41588b8b85e01aefd",
+        "092a7f3b82e6c22949b46388bca99e725b6e756f1c2b1e3f575447fbd44b6191",
+        "3129d737330c12f3281f0f8fcd4799ddbc6f254181868ae29d6ca65827f0682b",
+    ),
+    "LGPL-2.1": (
+        "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891",
+        "6d05f602d7a9f9950f9537100bd504a7fdab92cfe89f4f94b0d15721ee014b1f",
+        "48d2010e70a815a564f914b0c7c1e80d7a6843793348fed3684c957112fe0aa4",
+        "9c8aea52ac2706a35452528904b5cef7c0aa4140e5ec04d54ba60f53c4a5c78b",
+        "bf2f0c6bf1c47b3b1e3cbedeefecddd1e7db21d1919858d45c2f918efaf426df",
+        "98ee2ec068a51049ed400919bcc9b031bd9fcb4141726f51e23b5f0196a2d37a",
+    ),
+    "LGPL-3.0": (
+        "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be",
+        "11a7eabf884f5575b70a6cff6628e05126a0a629a3b4fb202a995d21f65452b8",
+    ),
+    "MPL-1.1": (
+        "312d60d6637eaa5485742576ef2bf899e0513899a4e98cc9a1a6c688423c3ca6",
+        "0e4f80e6af4e71fd0d41889a3c59354acccb89aecfc69c76917309f064c3fd50",
+    ),
+    "MPL-2.0": (
+        "92e88af3b436afcb6eef8128c9d1a7b2c6312377163ae31dfbacec094f33ab64",
+        "57325f13a970758eaa81afc9a526e7494076ef5835e859bebf2334be6f9c9e27",
+    ),
+}
+
 # Spellings that count as equal, as patterns over canonical words.
 SPELLINGS = (
     (r"licenc(e|es|ed|ing|ee|or)\b", "licens$1"),
@@ -169,19 +253,53 @@ def known_texts(spark: SparkSession) -> DataFrame:
         for text in (body, f"{title}\n\n{body}")
     ]
     rows += [
-        (name, opening + written_name)
+        (name, opening + written_name + ending)
         for name, names in LICENCE_NAMES.items()
         for written_name in names
         for opening in OPENINGS
+        for ending in ENDINGS
     ]
+    rows += list(HEADERS.items())
+    for name, (kind, number) in GNU_HEADERS.items():
+        for what in ("This program", "This library", "This file"):
+            given = {"what": what, "kind": kind, "number": number}
+            header, address = GNU_HEADER.format(stop=";", **given), GNU_ADDRESS.format(**given)
+            rows += [(name, header), (name, header + address)]
+            rows += [(name, header + address.replace("with {what}".format(**given), f"with {what.lower()}"))]
     known = spark.createDataFrame(rows, "license_id string, text string")
     form = one_line(canonical_lines(F.col("text"))).alias("form")
     first = F.min("license_id").alias("license_id")
     return known.select("license_id", form).groupBy("form").agg(first)
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """``(doc_id, digest, license_id, notices)``, a row per row of ``docs``."""
+def known_digests(spark: SparkSession, known: DataFrame | None = None) -> DataFrame:
+    """``(license_id, digest, line)``, a row per digest: the texts and digests of this file, and those of
+    ``known (license_id, text, digest)``, where the text or the digest is null. The line is null where
+    only the digest is known. An empty text names nothing."""
+    long = [(name, digest) for name, digests in LONG_LICENCES.items() for digest in digests]
+    digests = spark.createDataFrame(long, "license_id string, digest string")
+    forms = known_texts(spark)
+    if known is not None:
+        given = known.where("text IS NOT NULL")
+        form = one_line(canonical_lines(F.col("text"))).alias("form")
+        forms = forms.unionByName(given.select("license_id", form))
+        digests = digests.unionByName(
+            known.where("text IS NULL AND digest IS NOT NULL").select("license_id", F.lower("digest").alias("digest"))
+        )
+    texts = forms.where("form <> ''").select(
+        "license_id",
+        F.sha2(F.col("form").cast("binary"), 256).alias("digest"),
+        F.xxhash64("form").alias("line"),
+    )
+    both = texts.unionByName(digests.withColumn("line", F.lit(None).cast("bigint")))
+    return both.groupBy("digest").agg(F.min("license_id").alias("license_id"), F.max("line").alias("line"))
+
+
+def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """``(doc_id, digest, license_id, notices)``, a row per row of ``docs``.
+
+    ``known (license_id, text, digest)`` are further licences, see ``known_digests``.
+    """
     spark = docs.sparkSession
     form = canonical_lines(F.coalesce(F.col("text"), F.lit("")))
     forms = docs.select("doc_id", form.alias("form"))
@@ -194,12 +312,12 @@ def scan(docs: DataFrame) -> DataFrame:
         ),
         "canonical",
     )
-    # A fixed number of rows, see above.
-    known = known_texts(spark)
-    by_digest = F.broadcast(
-        known.select(F.sha2(F.col("form").cast("binary"), 256).alias("digest"), "license_id")
-    )
-    by_line = F.broadcast(known.select(F.xxhash64("form").alias("line"), "license_id"))
+    digests = known_digests(spark, known)
+    by_digest = digests.select("digest", "license_id")
+    by_line = digests.where("line IS NOT NULL").select("line", "license_id")
+    if known is None:
+        # A fixed number of rows, see above.
+        by_digest, by_line = F.broadcast(by_digest), F.broadcast(by_line)
     named = (
         rows.select("doc_id", "digest", F.explode("lines").alias("line"))
         .join(by_line, "line")

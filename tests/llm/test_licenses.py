@@ -1,3 +1,5 @@
+import os
+import re
 import textwrap
 
 import pytest
@@ -76,3 +78,47 @@ def test_edges(spark):
         (4, "MIT", "MIT"), (5, None, "CC-BY-4.0,MIT"),
     ]
     assert licenses.scan(docs.limit(0)).count() == 0
+
+
+PUBLISHED = "/usr/share/common-licenses"
+FILES = {
+    "Apache-2.0": "Apache-2.0", "CC0-1.0": "CC0-1.0", "GPL-2.0": "GPL-2", "GPL-3.0": "GPL-3",
+    "LGPL-2.1": "LGPL-2.1", "LGPL-3.0": "LGPL-3", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0",
+}
+
+
+@pytest.mark.skipif(not os.path.isdir(PUBLISHED), reason="no published texts here")
+def test_long_licences(spark):
+    texts = []
+    for name in FILES:
+        with open(f"{PUBLISHED}/{FILES[name]}", encoding="utf-8") as file:
+            text = file.read()
+        flat = "\n\n".join(" ".join(part.split()) for part in re.split(r"\n\s*\n", text))
+        texts += [text, flat.upper(), text + " x"]
+    found = scanned(spark, list(enumerate(texts)))
+    for at, name in enumerate(FILES):
+        ids = [found[3 * at + i]["license_id"] for i in range(3)]
+        assert ids == [name, name, None]
+
+
+def test_headers(spark):
+    # textwrap would cut the address, which is longer than a line.
+    apache = licenses.HEADERS["Apache-2.0"].upper().replace("\n", "\n * ").replace("LICENSE,", "LICENCE,")
+    gnu = licenses.GNU_HEADER.format(what="This program", kind="", number="3", stop=";")
+    line = '# Licensed under the Apache License, Version 2.0 (the "License");\n# you may not use it'
+    found = scanned(spark, [(1, apache), (2, gnu), (3, line), (4, "x\n" + " ".join(gnu.split()))])
+    assert found[1]["license_id"] == "Apache-2.0" and found[2]["license_id"] == "GPL-3.0"
+    assert found[3]["notices"] == "Apache-2.0" and found[3]["license_id"] is None
+    assert found[4]["notices"] == "GPL-3.0"
+
+
+def test_known_texts_of_the_caller(spark):
+    (digest,) = [r["digest"] for r in scanned(spark, [(1, "Our other terms.")]).values()]
+    known = spark.createDataFrame(
+        [("Own-1", "Own Licence, version 1", None), ("Own-2", None, digest.upper()), ("No", "", None)],
+        "license_id string, text string, digest string",
+    )
+    rows = [(1, "own license - VERSION 1"), (2, "our other terms"), (3, "x\nOwn License version 1"), (4, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    found = {r["doc_id"]: (r["license_id"], r["notices"]) for r in licenses.scan(docs, known).collect()}
+    assert found == {1: ("Own-1", "Own-1"), 2: ("Own-2", None), 3: (None, "Own-1"), 4: (None, None)}
