@@ -76,6 +76,14 @@ ROLES = frozenset(
     " note".split()
 )
 OF_READERS = frozenset("comment comments reply replies disqus".split())
+# Words that also name ordinary parts of an article, and words that may stand beside a name there.
+OF_ARTICLES = frozenset("notice notices alert menu banner consent popup overlay".split())
+BESIDE = frozenset(
+    "box block container wrapper wrap area list links link buttons button bar section widgets icons"
+    " icon top bottom left right inner outer item items unit slot form posts articles stories x".split()
+)
+SITE = frozenset("header site page top main global masthead".split()) | BESIDE
+TITLED = frozenset("entry post article story content title".split())
 MAIN = ("article", "main")
 
 TOKEN = re.compile(
@@ -113,9 +121,9 @@ class Block:
         self.text = text
 
 
-def name_parts(attrs: str) -> tuple[frozenset[str], str, str]:
-    """The words of class and id, the class itself, and the role."""
-    words, kind, role = set(), "", ""
+def name_parts(attrs: str) -> tuple[list[frozenset[str]], str, str]:
+    """The words of each name in class and id, the class itself, and the role."""
+    names, kind, role = [], "", ""
     for name, *values in NAMED.findall(attrs):
         value = entities.unescape("".join(values))
         if name.lower() == "role":
@@ -123,8 +131,18 @@ def name_parts(attrs: str) -> tuple[frozenset[str], str, str]:
             continue
         if name.lower() == "class":
             kind = ".".join(value.split())
-        words.update(part.lower() for part in NAME_PART.findall(value))
-    return frozenset(words), kind, role
+        for whole in value.split():
+            names.append(frozenset(part.lower() for part in NAME_PART.findall(whole)))
+    return names, kind, role
+
+
+def furniture(names: list[frozenset[str]]) -> bool:
+    """Whether a whole name, not a part of it, is one of ``NAMES``."""
+    return any(
+        words & NAMES - OF_ARTICLES
+        and all(word in NAMES or word in BESIDE or word.isdigit() for word in words)
+        for words in names
+    )
 
 
 def number(*parts: object) -> int:
@@ -241,7 +259,9 @@ class PageReader:
 
     def opened(self, tag: str, attrs: str) -> Open:
         parent = self.stack[-1]
-        words, kind, role = name_parts(attrs) if attrs.strip() else (frozenset(), "", "")
+        names, kind, role = name_parts(attrs) if attrs.strip() else ([], "", "")
+        words = frozenset().union(*names)
+        inside = parent.main or parent.in_slot
         path = number(parent.path, tag, kind)
         in_slot = parent.in_slot or path == self.slot
         readers, main = parent.readers or bool(words & OF_READERS), parent.main
@@ -249,12 +269,15 @@ class PageReader:
             readers, drop = parent.readers, parent.drop
         elif tag in MAIN or role == "main":
             # A wrapper's name says nothing about the article inside, unless readers wrote it.
-            named = tag == "article" and bool(words & NAMES)
+            named = tag == "article" and furniture(names)
             drop, main = readers or named or (parent.main and parent.drop), True
         else:
             # The head of an article has its title; the head of a page is a banner.
-            banner = not parent.main and (tag == "header" or "header" in words)
-            drop = parent.drop or banner or tag in DROPPED or role in ROLES or bool(words & NAMES)
+            title = any("header" in whole and whole & TITLED for whole in names)
+            headed = any("header" in whole and whole <= SITE for whole in names)
+            banner = not inside and ((tag == "header" and not title) or headed)
+            called = furniture(names) if inside else bool(words & NAMES)
+            drop = parent.drop or banner or tag in DROPPED or role in ROLES or called
         return Open(tag, path, parent.depth + 1, drop, readers, main, in_slot, parent.block)
 
 

@@ -173,3 +173,23 @@ def test_main_slot_is_a_gap_of_the_template(spark):
 
     found = page_text.extract(spark.createDataFrame(host_pages("g.org", 9, body), SCHEMA)).collect()
     assert {r["page_id"]: r["text"] for r in found} == {i: (f"Own {i} " * 9).strip() for i in range(9)}
+
+
+def test_names_inside_an_article():
+    kept = (
+        "<section id='related-work'>a</section><div class='social-sciences'>b</div><p id='share-price'>c"
+        "<p class='notice'>d</p><h2 class='menu-costs'>e</h2>"
+    )
+    left_out = (
+        "<div class='related-posts'>f</div><div class='share-buttons'>g</div><p class='ad-1'>h</p>"
+        "<ul class='post-list comments'><li>i</ul><div class='cookie-notice'>j</div>"
+    )
+    assert text_of(f"<article>{kept}{left_out}</article>") == "a b c d e"
+    assert text_of(f"<div role='main'>{kept}{left_out}</div>") == "a b c d e"
+    slot = page_text.PageReader().opened("div", "class='m'").path
+    assert main_text(f"<div class='m'>{kept}{left_out}</div>", slot, frozenset()) == "a b c d e"
+
+
+def test_heads_outside_an_article():
+    page = "<div class='site-header'>s</div><header>t</header><div class='entry-header'><h1>Title</h1></div>"
+    assert text_of(page + "<header class='entry-header'>By</header><p>x") == "Title By x"
