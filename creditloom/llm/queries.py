@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from creditloom.llm import (
     chat,
+    conversation_trie,
     embed_dedup,
     licenses,
     minhash,
@@ -16,7 +17,9 @@ from creditloom.llm import (
     neighbours,
     packing,
     page_text,
+    phrases,
     quality,
+    token_counts,
     warc,
 )
 from creditloom.sources.shared import shared_folder
@@ -98,6 +101,20 @@ def minhash_dedup(spark, sf):
     return minhash.near_duplicates(table(spark, sf, "documents"), k=2, percent=80)
 
 
+def phrase_collocations(spark, sf):
+    return phrases.collocations(table(spark, sf, "documents"), least=10, share=50, top=2000)
+
+
+def conversation_prefix_trie(spark, sf):
+    return conversation_trie.prefix_trie(table(spark, sf, "conversations"))
+
+
+def document_token_counts(spark, sf):
+    return token_counts.token_counts(
+        table(spark, sf, "documents"), vocabulary()["tokenizer_path"], limit=512
+    )
+
+
 # The notices that the tables hold, in canonical form; none of the tables' documents is a licence.
 LICENSE_SQL = r"""
 WITH known AS (
@@ -241,6 +258,109 @@ SELECT page_id, payload_bytes, payload_digest,
        CAST(NULL AS VARCHAR) AS error
 FROM first"""
 
+# Every phrase is counted; the lists are cut with offsets, so a long piece costs no more per word.
+PHRASE_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+phrases AS (
+  SELECT lang, 1 AS size, unnest(w) AS phrase FROM lists
+  UNION ALL
+  SELECT lang, 2, a || ' ' || b
+  FROM (SELECT lang, unnest(w[1:-2]) AS a, unnest(w[2:]) AS b FROM lists WHERE len(w) > 1)
+  UNION ALL
+  SELECT lang, 3, a || ' ' || b || ' ' || c
+  FROM (SELECT lang, unnest(w[1:-3]) AS a, unnest(w[2:-2]) AS b, unnest(w[3:]) AS c
+        FROM lists WHERE len(w) > 2)),
+counted AS MATERIALIZED (SELECT lang, size, phrase, count(*) AS f FROM phrases GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counted WHERE size = 1 GROUP BY lang),
+candidates AS (
+  SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w
+  FROM counted WHERE size > 1 AND f >= 10),
+cuts AS (
+  SELECT *, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates)),
+firsts AS MATERIALIZED (
+  SELECT c.*, x.f AS l FROM cuts c JOIN counted x ON x.lang = c.lang AND x.phrase = c.first),
+scored AS MATERIALIZED (
+  SELECT c.*, y.f AS r, CAST((1000000::HUGEINT * a * a) // (l::HUGEINT * y.f) AS BIGINT) AS score
+  FROM firsts c JOIN counted y ON y.lang = c.lang AND y.phrase = c.rest),
+lowest AS (
+  SELECT * FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+within AS (
+  SELECT lang, array_to_string(w[1:2], ' ') AS phrase, a FROM candidates WHERE size = 3
+  UNION ALL
+  SELECT lang, array_to_string(w[2:3], ' '), a FROM candidates WHERE size = 3),
+longest AS (SELECT lang, phrase, max(a) AS a FROM within GROUP BY lang, phrase),
+ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, s.a DESC, s.phrase) AS rank
+  FROM lowest s LEFT JOIN longest g ON s.size = 2 AND g.lang = s.lang AND g.phrase = s.phrase
+  WHERE g.a IS NULL OR 100 * g.a < 50 * s.a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+# Nodes are named by a digest of their turns; every pair of a node and one below it is listed. The CRC
+# is taken bit by bit.
+TRIE_SQL = r"""
+WITH ordered AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id
+                            ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+openings AS (
+  SELECT conv_id,
+         xor(list_reduce(
+           list_concat([4294967295::BIGINT], flatten(list_transform(
+             string_split(CAST(conv_id AS VARCHAR), ''),
+             lambda c: [CAST(unicode(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+           lambda crc, b: CASE WHEN b >= 0 THEN xor(crc, b)
+                               ELSE xor(crc >> 1, 3988292384::BIGINT * (crc & 1)) END),
+           4294967295::BIGINT) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM ordered) AS ids),
+parts AS (
+  SELECT c.conv_id, 0 AS part, place, role, text
+  FROM openings c JOIN ordered o ON o.conv_id = c.conv_id - c.conv_id % 20 AND o.place <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, place, role, text
+  FROM openings c JOIN ordered o ON o.conv_id = c.conv_id AND o.place > c.h),
+turns AS (
+  SELECT conv_id, row_number() OVER w AS depth,
+         len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+         sha256(string_agg(sha256(len(role) || ':' || role || text), '') OVER w) AS node
+  FROM parts
+  WINDOW w AS (PARTITION BY conv_id ORDER BY part, place
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+members AS (
+  SELECT conv_id, 0 AS depth, 0 AS words, 'root' AS node FROM openings
+  UNION ALL SELECT * FROM turns),
+placed AS (
+  SELECT *, lag(node) OVER (PARTITION BY conv_id ORDER BY depth) AS parent,
+         lead(node) OVER (PARTITION BY conv_id ORDER BY depth) IS NULL AS ends
+  FROM members),
+nodes AS (
+  SELECT node, min(conv_id) AS conv_id, any_value(depth) AS depth, any_value(parent) AS parent,
+         count(*) AS n_convs, (count(*) - 1) * any_value(words) AS saved,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+                         FILTER (WHERE ends), '')) AS ends_sha256
+  FROM placed GROUP BY node),
+children AS (SELECT parent, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+pairs AS (
+  SELECT DISTINCT a.node AS top, b.node
+  FROM members a JOIN members b ON a.conv_id = b.conv_id AND a.depth <= b.depth),
+sums AS (
+  SELECT top, sum(saved) AS saved, count(*) FILTER (WHERE c.n IS NULL) AS leaves
+  FROM pairs JOIN nodes USING (node) LEFT JOIN children c ON c.parent = pairs.node
+  GROUP BY top)
+SELECT t.conv_id, t.depth, p.conv_id AS parent_conv_id, t.n_convs,
+       coalesce(c.n, 0) AS n_children, s.leaves AS n_leaves,
+       CAST(s.saved AS BIGINT) AS saved_tokens, t.ends_sha256
+FROM nodes t JOIN sums s ON s.top = t.node
+LEFT JOIN nodes p ON p.node = t.parent LEFT JOIN children c ON c.parent = t.node"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # The pipeline stands at the top of the repository and itself reads this module.
@@ -258,6 +378,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixture_packing": mixture_packing,
         "op9_minhash_near_dedup": minhash_dedup,
         "op10_warc_round_trip": warc_round_trip,
+        "op11_phrase_collocations": phrase_collocations,
+        "op12_conversation_trie": conversation_prefix_trie,
+        "op13_token_counts": document_token_counts,
     }
 
 
@@ -268,4 +391,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_source_mixing": MIXING_SQL,
         "op6_chat_formatting": CHAT_SQL,
         "op10_warc_round_trip": WARC_SQL,
+        "op11_phrase_collocations": PHRASE_SQL,
+        "op12_conversation_trie": TRIE_SQL,
     }
