@@ -363,11 +363,7 @@ LEFT JOIN nodes p ON p.node = t.parent LEFT JOIN children c ON c.parent = t.node
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    # The pipeline stands at the top of the repository and itself reads this module.
-    import corpus_pipeline
-
     return {
-        "pipeline": corpus_pipeline.run,
         "op1_license_scan": license_scan,
         "op2_embedding_near_dedup": embedding_near_dedup,
         "op3_html_extraction": html_extraction,
