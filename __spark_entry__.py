@@ -24,6 +24,8 @@ from creditloom.sources.shared import checkpointed  # noqa: E402
 # The operators for training data are a part that can be taken away.
 LLM_MODULES = {"corpus_pipeline", "creditloom.llm", "creditloom.llm.queries"}
 try:
+    import corpus_pipeline  # noqa: E402
+
     from creditloom.llm import queries as llm  # noqa: E402
 except ModuleNotFoundError as missing:
     if missing.name not in LLM_MODULES:
@@ -182,14 +184,9 @@ def csv_scan(spark, sf):
 # --- pages ----------------------------------------------------------------------------------------
 
 
-# The test tables are a file each, so one split.
-PAGE_SPLITS = 8
-
-
 def parsed(spark, sf, tags=None, with_text=True):
     pages = views.read_table(spark, sf, "pages")
-    return P.parse_pages(pages, tags=tags, with_text=with_text, splits=PAGE_SPLITS)
-
+    return P.parse_pages(pages, tags=tags, with_text=with_text, spread=True)
 
 
 def page_elements_by_tag_attr(spark, sf):
@@ -358,7 +355,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
         return run
 
-    return {name: in_utc(plan) for name, plan in found.items()} | (llm.queries() if llm else {})
+    corpus = {"pipeline": corpus_pipeline.run, **llm.queries()} if llm else {}
+    return {name: in_utc(plan) for name, plan in found.items()} | corpus
 
 
 SALES = """sales AS (

@@ -39,7 +39,7 @@ def parse_pages(
     html: str = "html",
     tags: Collection[str] | None = None,
     with_text: bool = True,
-    splits: int | None = None,
+    spread: bool = False,
 ) -> DataFrame:
     """``(key, nodes, strings, error)``, one row per page, nodes in document order.
 
@@ -47,13 +47,12 @@ def parse_pages(
     the tags to keep (``TEXT`` for text nodes) and ``with_text=False`` leaves the texts out: both keep
     what no later step reads out of the transfer from Python. A page that the tokenizer rejects
     keeps the nodes before that place and has an ``error``; a null page has null nodes. ``key`` need
-    not be unique. ``splits`` deals the pages into that many partitions first, for tables of few
-    files: parsing is work for many cores, and a small file is one split.
+    not be unique. ``spread`` is for a scan of a table, see ``for_all_cores``.
     """
     wanted = None if tags is None else frozenset(tags)
     source = pages.select(key, html)
-    if splits is not None:
-        source = source.repartition(splits)
+    if spread:
+        source = for_all_cores(source)
 
     def parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -75,6 +74,19 @@ def parse_pages(
     )
 
 
+def for_all_cores(scan: DataFrame) -> DataFrame:
+    """``scan`` with a split for every core at least.
+
+    A table whose files make that many splits is read as it is, and no page moves. Only one of fewer
+    splits, which is no more than a split's bytes a core, is dealt out: reading pages is work for many
+    cores, and a small file is one split. ``scan`` is a plain scan of files, so that counting its splits
+    runs no job.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    splits = scan._jdf.queryExecution().toRdd().getNumPartitions()
+    return scan if splits >= cores else scan.repartition(cores)
+
+
 def _to_batch(key: str, keys: pa.Array, found: list) -> pa.RecordBatch:
     nodes, places, ends = [], [], [0]
     for page in found:

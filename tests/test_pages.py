@@ -1,9 +1,13 @@
 import re
+import sys
+import time
+from html.parser import HTMLParser
 from unittest import mock
 
+import duckdb
 import pytest
 from conftest import failing_once
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -202,6 +206,89 @@ def test_plain_tags_read_the_same(html):
         assert read() == plain
 
 
+class StandardReader(HTMLParser):
+    """The same nodes by way of the standard library's tokenizer."""
+
+    def __init__(self, reader):
+        super().__init__(convert_charrefs=True)
+        self.reader = reader
+        self.handle_starttag, self.handle_endtag = reader.on_start, reader.on_end
+        self.handle_data, self.unknown_decl = reader.on_data, reader.on_section
+        self.handle_comment = self.handle_decl = self.handle_pi = lambda data: reader.on_apart()
+
+    def scan(self, html):
+        self.feed(html)
+        self.close()
+
+
+def by_standard_library(html):
+    reader = html_reader.PageReader(None, True)
+    reader.scan = StandardReader(reader).scan
+    return reader, reader.read(html)
+
+
+def same_as_standard(html):
+    expected, expected_error = by_standard_library(html)
+    nodes, strings, error = read_page(html, None, True)
+    key = [(n.pos, n.parent_pos, n.below, n.tag, n.attrs, n.kind, n.start, n.count) for n in nodes]
+    assert key == [
+        (n.pos, n.parent_pos, n.below, n.tag, n.attrs, n.kind, n.start, n.count)
+        for n in expected.nodes
+    ]
+    assert strings == expected.strings and error == expected_error
+
+
+# Later versions of the library read comments, raw text and scraps in another way.
+as_in_library = pytest.mark.skipif(
+    not (3, 12) <= sys.version_info < (3, 13, 4), reason="another version of the tokenizer"
+)
+SCRAPS = [
+    "<", ">", "<a", "<a ", "</", "</a", "</a >", "</ a>", "</1>", "</>", "<!", "<!-", "<!--", "--", "-->",
+    "<?", "?>", "<![", "<![CDATA[", "]]>", "<![if x", "]>", "<!doctype x", "=", "\"", "'", "/", "/>", " ",
+    "\n", "\x00", "\u00a0", "b", "b=", "c='", 'd="', "e=f", "&", "&amp", "&#65;", "&lt;", "x y",
+    "<script>", "</script>", "<style ", "</STYLE >", "<p>", "<br/>", "<i/ >", "é", "<é>", "<b\x00",
+]
+
+
+@as_in_library
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.sampled_from(SCRAPS), max_size=25).map("".join))
+def test_scraps_read_as_by_the_standard_library(html):
+    same_as_standard(html)
+
+
+@as_in_library
+@settings(max_examples=300, deadline=None)
+@given(st.lists(TAGS | st.sampled_from(SCRAPS), max_size=12).map("".join))
+def test_tags_read_as_by_the_standard_library(html):
+    same_as_standard(html)
+
+
+@as_in_library
+def test_all_pages_read_as_by_the_standard_library(sf_dir):
+    pages = duckdb.sql(f"SELECT html FROM '{sf_dir}/pages.parquet' WHERE html IS NOT NULL").fetchall()
+    for (html,) in pages:
+        same_as_standard(html)
+
+
+MEGABYTE = 1 << 20
+
+
+@pytest.mark.parametrize(
+    "part",
+    ["<a ", '<a b="', "<a b='", "<!--", "<!-- >", "<a", "</a", "</", "<?", "<!x", "<![cdata[", "<![if x ",
+     "<![cdata[ >", "<a b=\"> '", "<a b='\">", "<a b=c ", "<a/", "<", "&", "<a b=\">'<a c='>\"", "]] ", "<a\t\n",
+     "<script>", "<p>", "<a =", "<a b=\"'<c d='\">"],
+)
+def test_time_grows_with_length(part):
+    """A megabyte of any scrap, also with a closing sign at its very end."""
+    for end in ("", ">", '">', "'\">"):
+        html = part * (MEGABYTE // len(part)) + end
+        start = time.process_time()
+        read_page(html, frozenset("a"), True)
+        assert time.process_time() - start < 6
+
+
 def test_deep_nesting():
     assert len(read_nodes("<i>" * 20_000 + "x", None, False)) == 20_001
 
@@ -325,7 +412,27 @@ def test_text_keys_and_null_pages(spark):
     ]
 
 
-def test_pages_are_dealt_out_on_request(spark):
-    pages = spark.range(0, 40, 1, 1).select(F.col("id").alias("page_id"), F.lit("<p>").alias("html"))
-    assert P.parse_pages(pages).rdd.getNumPartitions() == 1
-    assert P.parse_pages(pages, splits=5).rdd.getNumPartitions() == 5
+def test_a_table_of_few_splits_is_dealt_out(spark, tmp_path):
+    pages = spark.range(0, 400, 1, 1).select(F.col("id").alias("page_id"), F.lit("<p>").alias("html"))
+    pages.write.parquet(f"{tmp_path}/one")
+    pages.repartition(40).write.option("maxRecordsPerFile", 5).parquet(f"{tmp_path}/many")
+    one, many = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("one", "many"))
+    cores = spark.sparkContext.defaultParallelism
+    assert P.parse_pages(one).rdd.getNumPartitions() == 1
+    assert P.parse_pages(one, spread=True).rdd.getNumPartitions() == cores
+    sizes = P.parse_pages(one, spread=True).rdd.glom().map(len).collect()
+    assert min(sizes) > 0 and sum(sizes) == 400
+    splits = many.rdd.getNumPartitions()
+    assert splits >= cores
+    read = P.parse_pages(many, spread=True)
+    assert read.rdd.getNumPartitions() == splits
+    assert "Exchange" not in read._jdf.queryExecution().executedPlan().toString()
+
+
+def test_two_hundred_splits_stay(spark, tmp_path, conf):
+    pages = spark.range(0, 400, 1, 200).select(F.col("id").alias("page_id"), F.lit("<p>").alias("html"))
+    pages.write.parquet(str(tmp_path / "pages"))
+    # Every file a split of its own.
+    conf(spark__sql__files__openCostInBytes=str(128 << 20))
+    read = P.parse_pages(spark.read.parquet(str(tmp_path / "pages")), spread=True)
+    assert read.rdd.getNumPartitions() == 200
