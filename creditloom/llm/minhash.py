@@ -162,11 +162,10 @@ def grouped_rows(docs: DataFrame, k: int, percent: int) -> DataFrame:
         ),
         "classes",
     )
-    links = class_links(docs, classes, k, percent)
-    joined = components(links, "a", "b").withColumnRenamed("node", "rep")
-    named = classes.select(*same_set, "rep").join(joined, "rep", "left")
     named = checkpointed(
-        named.select(*same_set, F.coalesce("component", "rep").alias("component_id"))
+        class_components(docs, classes, k, percent).select(
+            *same_set, F.col("component").alias("component_id")
+        )
     )
     empty = F.col("n_shingles") == 0
     key = [F.when(~empty & F.col("doc_id").isNotNull(), F.col(c)).alias(c) for c in same_set]
@@ -182,8 +181,8 @@ def grouped_rows(docs: DataFrame, k: int, percent: int) -> DataFrame:
     )
 
 
-def class_links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """Confirmed links ``(a, b)`` between class representatives, enough for their components."""
+def class_components(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """The classes' names and ``component``, the smallest representative reachable by links."""
     banded = classes.select("rep", F.explode("bands").alias("band"))
     pivots = checkpointed(
         banded.groupBy("band")
@@ -198,15 +197,15 @@ def class_links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> Da
     # Full sets are read again only for texts with a candidate.
     asked = stars.select(F.col("a").alias("doc_id")).union(stars.select("b")).distinct()
     sets = written(shingle_rows(docs.join(asked, "doc_id", "left_semi"), k), "sets")
-    links = checkpointed(confirmed(stars, sets, percent))
-    grouped = components(links, "a", "b")
-    wide = banded.join(pivots.where("members > 2").select("band"), "band")
-    members = wide.join(classes.select("rep", "n_shingles"), "rep").join(
-        grouped, F.col("rep") == F.col("node"), "left"
-    )
-    members = members.select(
-        "band", "rep", "n_shingles", F.coalesce("component", "rep").alias("component")
+    grouped = components(confirmed(stars, sets, percent), "a", "b")
+    names = ["rep", "n_shingles", "set1", "set2"]
+    first = checkpointed(
+        classes.select(*names)
+        .join(grouped, F.col("rep") == F.col("node"), "left")
+        .select(*names, F.coalesce("component", "rep").alias("component"))
     )
+    wide = banded.join(pivots.where("members > 2").select("band"), "band")
+    members = wide.join(first.select("rep", "n_shingles", "component"), "rep")
     blocks = F.greatest(
         F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)
     )
@@ -225,21 +224,26 @@ def class_links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> Da
     placed = members.join(open_bands, "band").withColumn("block", block)
     sketches = classes.select("rep", "marks", "bands")
     asked = checkpointed(promising(placed.join(sketches, "rep"), percent))
-    return links.union(linked(asked.join(sets, F.col("rep") == F.col("doc_id")), percent))
+    # What is found now links components of the first labelling, which is carried on.
+    more = linked(asked.join(sets, F.col("rep") == F.col("doc_id")), percent)
+    again = components(more, "a", "b").withColumnsRenamed({"component": "final"})
+    return first.join(again, F.col("component") == F.col("node"), "left").select(
+        *names, F.coalesce("final", "component").alias("component")
+    )
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose full sets are similar enough."""
+    """The pairs ``(a, b)`` whose full sets are similar enough.
+
+    Nothing that needs rows of one key together follows the joins, so that Spark can split the rows of a
+    ``b`` that many pairs name.
+    """
     first = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
     second = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
     shared = F.size(F.array_intersect("set_a", "set_b")).cast("bigint")
     union = F.size("set_a") + F.size("set_b") - shared
-    return (
-        pairs.select("a", "b").join(first, "a").join(second, "b")
-        .where(100 * shared >= percent * union)
-        .select("a", "b")
-        .distinct()
-    )
+    met = pairs.select("a", "b").join(first, "a").join(second, "b")
+    return checkpointed(met.where(100 * shared >= percent * union).select("a", "b"))
 
 
 def promising(members: DataFrame, percent: int) -> DataFrame:
@@ -292,7 +296,7 @@ def promising(members: DataFrame, percent: int) -> DataFrame:
 
 
 def linked(asked: DataFrame, percent: int) -> DataFrame:
-    """Links ``(a, b)`` confirmed on the full sets of ``asked``; per task a forest of them.
+    """Links ``(a, b)`` of components, confirmed on the full sets of ``asked``; per task a forest.
 
     The members' shingles are numbered; each set in turn is marked in a table, and the marks under
     the sets of another component are counted.
@@ -335,8 +339,8 @@ def linked(asked: DataFrame, percent: int) -> DataFrame:
             # One link per tree is enough.
             _, one = np.unique(root[hit], return_index=True)
             for y in hit[one]:
-                found_a.append(max(rep[x], rep[y]))
-                found_b.append(min(rep[x], rep[y]))
+                found_a.append(component[x])
+                found_b.append(component[y])
                 low, high = sorted((root[x], root[y]))
                 root[root == high] = low
         return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})

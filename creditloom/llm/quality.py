@@ -169,22 +169,37 @@ def tree_rules(
 
 
 def lasso_logistic(z: np.ndarray, y: np.ndarray, penalty: float = PENALTY, steps: int = STEPS):
-    """(intercept, weights) by accelerated proximal gradient steps; the intercept is free."""
-    n = len(y)
-    mean = z.mean(axis=0)
-    centred = z - mean
+    """(intercept, weights) by accelerated proximal gradient steps; the intercept is free.
+
+    ``z`` tells per row and rule whether it holds. Rows for which the same rules hold are one with a count, so the
+    matrix of numbers has as many rows as there are such patterns.
+    """
+    z = z.astype(bool)
+    n, rules = z.shape
+    packed = np.packbits(z, axis=1)
+    _, first, of_row = np.unique(
+        packed.view(f"V{packed.shape[1]}").ravel(), return_index=True, return_inverse=True
+    )
+    count = np.bincount(of_row).astype(float)
+    good = np.bincount(of_row, weights=y)
+    centred = z[first].astype(float)
+    mean = count @ centred / n
+    centred -= mean
     p0 = y.mean()
-    least_all_zero = np.abs(centred.T @ (y - p0)).max() / n
+    least_all_zero = np.abs(centred.T @ (good - p0 * count)).max() / n
     strength = penalty * least_all_zero
-    size = np.linalg.norm(centred, 2) ** 2 / (4 * n) + 0.25
-    weights = ahead = np.zeros(z.shape[1])
+    # The largest eigenvalue of the rules' small product matrix bounds the curvature.
+    product = centred.T @ (centred * count[:, None])
+    size = float(np.linalg.eigvalsh(product)[-1]) / (4 * n) + 0.25
+    weights = ahead = np.zeros(rules)
     intercept = ahead_intercept = float(np.log(p0 / (1 - p0)))
     momentum = 1.0
     for _ in range(steps):
         p = 1 / (1 + np.exp(-(ahead_intercept + centred @ ahead)))
-        moved = ahead - centred.T @ (p - y) / n / size
+        surplus = count * p - good
+        moved = ahead - centred.T @ surplus / n / size
         new = np.sign(moved) * np.maximum(np.abs(moved) - strength / size, 0)
-        new_intercept = ahead_intercept - (p - y).mean() / size
+        new_intercept = ahead_intercept - surplus.sum() / n / size
         next_momentum = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
         onward = (momentum - 1) / next_momentum
         ahead = new + onward * (new - weights)
@@ -201,11 +216,14 @@ def fit(x: np.ndarray, y: np.ndarray, **growth) -> RuleModel:
     rules = tree_rules(x, y, **growth)
     if not rules:
         return RuleModel(float(np.log(y.mean() / (1 - y.mean()))), ())
-    z = np.stack([np.all([c.holds(x) for c in rule], axis=0) for rule in rules], axis=1)
-    # Rules that hold for the same rows are one.
-    _, first = np.unique(z, axis=1, return_index=True)
-    first = np.sort(first)
-    z, rules = z[:, first].astype(float), [rules[i] for i in first]
+    # Rules that hold for the same rows are one, the first found.
+    distinct: dict[bytes, tuple[Rule, np.ndarray]] = {}
+    for rule in rules:
+        holds = np.all([c.holds(x) for c in rule], axis=0)
+        distinct.setdefault(np.packbits(holds).tobytes(), (rule, holds))
+    rules = [rule for rule, _ in distinct.values()]
+    z = np.stack([holds for _, holds in distinct.values()], axis=1)
+    distinct.clear()
     intercept, weights = lasso_logistic(z, y)
     kept = [(rule, float(w)) for rule, w in zip(rules, weights) if abs(w) > 1e-6]
     return RuleModel(float(intercept), tuple(kept))
@@ -229,15 +247,15 @@ def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> RuleMod
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     # At most ``sample`` rows of two numbers.
     labelled = with_statistics(texts.join(F.broadcast(known), "doc_id"), "doc_id", "quality")
-    values = F.array(*[F.col(f"s_{name}") for name in NAMES])
+    values = [F.col(f"s_{name}") for name in NAMES]
     rows = (
         labelled.groupBy("doc_id")
-        .agg(F.min(F.struct("quality", values.alias("x"))).alias("row"))
+        .agg(F.min(F.struct("quality", *values)).alias("row"))
         .select("doc_id", "row.*")
-        .toPandas()
-        .sort_values("doc_id")
+        .toArrow()
+        .sort_by("doc_id")
     )
-    x = np.array(rows["x"].tolist(), float).reshape(len(rows), len(NAMES))
+    x = np.stack([rows[f"s_{name}"].to_numpy() for name in NAMES], axis=1)
     return fit(x, (rows["quality"].to_numpy() > 0).astype(float))
 
 
