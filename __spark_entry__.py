@@ -163,8 +163,8 @@ def local_rows(spark, sf):
     return named.select("col_1", "col_2", "n")
 
 
-def csv_scan(spark, sf):
-    """Parts written as text, some rows short, long or with empty fields, and read as CSV."""
+def csv_lines(spark, sf):
+    """Parts as CSV text, some rows short, long or with empty fields."""
     kind = F.col("p_partkey") % 4
     name, url, user, size = (F.col(c) for c in ("p_name", "p_brand", "p_type", "p_size"))
     null = F.lit(None).cast("string")
@@ -174,11 +174,25 @@ def csv_scan(spark, sf):
         .when(kind == 3, csv_text.csv_line(name, null, user, null))
         .otherwise(csv_text.csv_line(name, url, user, size))
     )
-    lines = views.read_table(spark, sf, "part").select(line.alias("value"))
-    fields = ["name", "url", "username", "password"]
-    schema = T.StructType([T.StructField(field, T.StringType()) for field in fields])
-    with csv_text.passing_text(lines) as folder:
-        return checkpointed(csv_text.read_csv(spark, folder, schema))
+    return views.read_table(spark, sf, "part").select(line.alias("value"))
+
+
+CSV_FIELDS = T.StructType(
+    [T.StructField(field, T.StringType()) for field in ("name", "url", "username", "password")]
+)
+
+
+def csv_scan(spark, sf):
+    with csv_text.passing_text(csv_lines(spark, sf)) as folder:
+        return checkpointed(csv_text.read_csv(spark, folder, CSV_FIELDS))
+
+
+def csv_malformed(spark, sf):
+    """How many records have the declared number of fields, and how many another."""
+    with csv_text.passing_text(csv_lines(spark, sf)) as folder:
+        rows = csv_text.read_csv(spark, folder, CSV_FIELDS, corrupt="bad")
+        state = F.when(F.col("bad").isNull(), "whole").otherwise("malformed")
+        return checkpointed(rows.groupBy(state.alias("state")).agg(F.count("*").alias("n")))
 
 
 # --- pages ----------------------------------------------------------------------------------------
@@ -329,6 +343,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sales_by_week": sales_by_week,
         "local_rows": local_rows,
         "csv_scan": csv_scan,
+        "csv_malformed": csv_malformed,
         "page_elements_by_tag_attr": page_elements_by_tag_attr,
         "page_attr": page_attr,
         "page_first_tag_text": page_first_tag_text,
@@ -618,6 +633,10 @@ def oracle_sql() -> dict[str, str]:
               CASE WHEN p_partkey % 4 IN (1, 3) THEN NULL
                    ELSE CAST(p_size AS VARCHAR) END AS password
             FROM part""",
+        "csv_malformed": """
+            SELECT CASE WHEN p_partkey % 4 IN (1, 2) THEN 'malformed' ELSE 'whole' END AS state,
+                   count(*) AS n
+            FROM part GROUP BY 1""",
         "page_elements_by_tag_attr": f"""
             SELECT page_id,
                    CAST(len(regexp_extract_all(html, '<div class="ad">')) AS INTEGER) AS ads,

@@ -1,3 +1,5 @@
+import random
+from collections import Counter
 from datetime import date
 from decimal import Decimal
 from pathlib import Path
@@ -43,6 +45,89 @@ def test_csv_round_trip(spark):
     assert not any("creditloom_text" in t.name for t in spark.catalog.listTables())
 
 
+def by_multi_line_reader(spark, folder):
+    rows = spark.read.schema(FIELDS).csv(folder, multiLine=True, escape='"')
+    return Counter(tuple(r) for r in rows.collect())
+
+
+def split_small(conf, size):
+    """Splits of about ``size`` bytes."""
+    conf(spark__sql__files__maxPartitionBytes=str(size), spark__sql__files__openCostInBytes="0")
+
+
+
+@pytest.mark.parametrize("size", [7, 40, 1000])
+def test_csv_splits_read_as_by_the_multi_line_reader(spark, conf, tmp_path, size):
+    """Quoted line breaks anywhere, records across many splits, quotes in the middle of fields."""
+    some = random.Random(size)
+    for number in range(3):
+        records = []
+        for _ in range(120):
+            fields = []
+            for _ in range(some.choice([1, 3, 4, 4, 4, 6])):
+                text = "".join(some.choice(["a", "é", "\n", ",", '"', " b", "line\n"]) for _ in range(some.choice([0, 1, 5, 30])))
+                plain = "".join(c for c in text if c not in ',\n"') + some.choice(["", 'x"y', 'x""'])
+                fields.append(some.choice(['"' + text.replace('"', '""') + '"', plain, "z"]))
+            records.append(",".join(fields))
+        (tmp_path / f"{number}.csv").write_text("\n".join(records) + some.choice(["", "\n"]))
+    expected = by_multi_line_reader(spark, str(tmp_path))
+    split_small(conf, size)
+    found = csv_text.read_csv(spark, str(tmp_path), FIELDS)
+    assert Counter(tuple(r) for r in found.collect()) == expected
+
+
+def test_one_csv_file_is_read_by_many_tasks(spark, conf, tmp_path):
+    lines = spark.range(20_000).select(F.concat(F.lit('a,"b\nc",'), "id").alias("value"))
+    lines.coalesce(1).write.text(str(tmp_path / "one"))
+    split_small(conf, 20_000)
+    rows = csv_text.read_csv(spark, str(tmp_path / "one"), FIELDS)
+    sizes = csv_text.csv_records(spark, str(tmp_path / "one")).rdd.glom().map(len).collect()
+    assert sum(size > 0 for size in sizes) > 8
+    assert rows.where("url = 'b\nc'").count() == rows.count() == 20_000
+
+
+def test_csv_without_line_breaks_in_fields_needs_no_shuffle(spark, conf, tmp_path):
+    (tmp_path / "in.csv").write_text('a,"b",c,d\n' * 500)
+    split_small(conf, 100)
+    rows = csv_text.read_csv(spark, str(tmp_path), FIELDS)
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert rows.distinct().count() == 1 and rows.count() == 500
+
+
+def test_malformed_csv_records_are_kept_apart(spark, tmp_path):
+    (tmp_path / "in.csv").write_text('a,1\nb,x\n\nc\nd,2,more\n"e\ne",3')
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("n", T.IntegerType())])
+    rows = csv_text.read_csv(spark, str(tmp_path), schema, corrupt="bad").collect()
+    assert sorted(map(tuple, rows), key=str) == sorted(
+        [("a", 1, None), ("b", None, "b,x"), ("c", None, "c"), ("d", 2, "d,2,more"),
+         ("e\ne", 3, None)], key=str,
+    )
+
+
+def test_an_open_quote_takes_the_rest_of_its_file_only(spark, conf, tmp_path):
+    (tmp_path / "a.csv").write_text("1,2,3,4\n" * 20 + 'x,"y\n' + "1,2,3,4\n" * 20)
+    (tmp_path / "b.csv").write_text("5,6,7,8\n" * 20)
+    split_small(conf, 30)
+    found = Counter(tuple(r) for r in csv_text.read_csv(spark, str(tmp_path), FIELDS).collect())
+    assert found[("1", "2", "3", "4")] == 20 and found[("5", "6", "7", "8")] == 20
+    assert len(found) == 3 and found.total() == 41
+
+
+def test_empty_csv(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("")
+    assert csv_text.read_csv(spark, str(tmp_path), FIELDS).collect() == []
+
+
+@pytest.mark.parametrize(
+    ("line", "outside", "inside"),
+    [("", False, True), ("a,b", False, True), ('"', True, False), ('a,"b', True, False), ('""', False, True),
+     ('a"b', False, False), ('",', True, False), ('","', False, True), ('x""', False, True), ('a",b', False, False)],
+)
+def test_ends_inside(line, outside, inside):
+    assert csv_text.ends_inside(line, False) == outside
+    assert csv_text.ends_inside(line, True) == inside
+
+
 def test_local_rows_infer_types(spark):
     df = spark.createDataFrame([(1, "one"), (2, "two")], schema=["col_1", "col_2"])
     assert df.schema.simpleString() == "struct<col_1:bigint,col_2:string>"
