@@ -44,7 +44,7 @@ from creditloom.sources.shared import written
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Texts of about this size are counted together.
-PART_BYTES = 16 << 20
+PART_BYTES = 8 << 20
 # Bits of the tables of hashes that reach the least count: 2 MB and 16 MB.
 WORD_BITS, PHRASE_BITS = 24, 27
 # Candidates of a trie, and the tries of one reading of the texts.
@@ -103,18 +103,22 @@ def words_of(lang: str, texts: pa.Array) -> Words | None:
     kinds = kind[lower]
     inside = kinds == 0
     # A text begins a new piece, and so a new word.
-    begins = np.zeros(size, bool)
-    begins[(ends[:-1] - ends[0])[np.diff(ends) > 0]] = True
-    first = inside & begins
-    first[1:] |= inside[1:] & ~inside[:-1]
+    begins = (ends[:-1] - ends[0])[np.diff(ends) > 0]
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    first[begins] = inside[begins]
+    last[begins[1:] - 1] = inside[begins[1:] - 1]
     starts = np.flatnonzero(first)
     if not len(starts):
         return None
-    piece = np.cumsum((kinds == 2) | begins, dtype=np.int32)[starts]
+    marks = np.sort(np.concatenate([np.flatnonzero(kinds == 2), begins]))
+    piece = np.searchsorted(marks, starts, side="right")
     # Without what lies between them words are one string after the other.
-    kept = np.cumsum(inside, dtype=np.int64)
-    offsets = np.append(kept[starts] - 1, kept[-1])
+    offsets = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(np.flatnonzero(last) + 1 - starts, out=offsets[1:])
     data = [pa.py_buffer(offsets), pa.py_buffer(lower[inside])]
+    del kinds, inside, first, last, lower
     encoded = pa.LargeStringArray.from_buffers(len(starts), *data)
     encoded = encoded.dictionary_encode()
     codes = encoded.indices.to_numpy().astype(np.int64)
