@@ -1,9 +1,9 @@
 """Licence scan: whole texts and whole lines against the digests of known licences.
 
-Texts are brought to a canonical form: lower case, no copyright lines, one spelling for words that are
-spelled in several ways, and runs of anything but letters and digits as one space. A digest of that
-form finds a text however it was wrapped, quoted or punctuated, and a hash join with the known digests
-names the licence; nothing is compared text by text.
+Texts are brought to a canonical form: lower case, no copyright notices (paragraphs of their own, or at
+the beginning), runs of anything but letters and digits as one space, and then one spelling for words that
+are spelled in several ways. A digest of that form finds a text however it was wrapped, quoted or
+punctuated, and a hash join with the known digests names the licence; nothing is compared text by text.
 
 The known texts are licences given in full, long ones by their digests, headers that files carry, and
 notices, one line that names a licence, built by rule from openings, names and endings. All are
@@ -13,7 +13,8 @@ broadcast. A caller adds texts or digests of their own as a table.
 Per row of the documents: ``digest`` of the canonical text, ``license_id`` if the whole text is a known
 licence or notice, and ``notices``, the licences named by its lines, distinct, sorted, joined by a
 comma, or null. A null text is empty; an empty text has the digest of the empty form and no licence.
-Rows that repeat come back each.
+Rows that repeat come back each; an empty table gives an empty result. A very long text is one value of
+one row and is read whole. Columns other than doc_id and text, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -156,56 +157,36 @@ GNU_ADDRESS = """
 
 You should have received a copy of the GNU {kind}General Public License along with {what}. If not, see
 <http://www.gnu.org/licenses/>."""
-# Digests of the canonical forms of long licences, as published and with each paragraph on
-# one line, and both without what follows the terms.
+# Digests of the canonical forms of long licences as published, and without the appendix
+# that follows the terms where there is one.
 LONG_LICENCES = {
     "Apache-2.0": (
-        "0be25ae8b112b6c47bf696a745855eebba678079747ad8bbf877d928555027f1",
-        "020bb6034c74005fcbcdddb55a837907403eb8f107e058836cb40262f547ed4a",
-        "9446b99128ec9c3946adbb681853599f3a5f01a69d6c0762a9d0ab699868d801",
-        "c348fad4100086120c9a4f71602579f6f49d5ca97ae96d36cf377b10e6e79871",
-        "c46dfd45ed4a19fe4a99eaed08590a0c093e3a0b73c293ece466f468b902aff3",
-        "c936c3be4c0e23ce771b851922c44c2c6bbb0fb8c42f59ae99cf57ebd223697c",
+        "ef36af97727268b60fb709836c24580bed9887f649dba6f0fd9ef4b18232fd25",
+        "119e2da0e9ec849d113a40405b338c1bbbd2ef9194c22bf2740fa4e195411c40",
     ),
     "CC0-1.0": (
-        "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f",
         "cccf7894e1b9f4ba9f97728bf0c5baf9e07bc2ac93da7a51556451b1fb2b868e",
     ),
     "GPL-2.0": (
-        "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821",
-        "b7f81dc9aaaa645304fde476859dc46db4e23b83ec1c50bd8462652ff46110c9",
-        "e1270b653c300290e7c039142bccb8776f9b5d14e8a05bc4e87dc7d1614a3b34",
-        "19329ee16e4a9fb2e74ce40708e49f5c315b4f0ac4653c556ca42027ba79f9f5",
-        "6d332dc4c3c5293a73c6c9da402f9bbc970b3bb1eb472f577e00580573469808",
-        "c928252f428993b646c70c671425ec87aab1bc5abf42e7a179685a96469bd918",
+        "0bfb659bf7eeb9921df1446a6a93beba70e0dc947eec10a42d26bb310dccd498",
+        "8607b1cff63e9a9dc468bf76327bdd0bb2d2abe09d6e8076427fd49236f46f29",
     ),
     "GPL-3.0": (
-        "eaab5d82fdcca441d83a1913bbf07e4de3a739e190578c0bffde24f84e93bb2a",
-        "bd0a51b1879c5ef290541425f811ff5c57e53784e866a9d70a635e8fbcaade54",
-        "ac6b52d57c0104e687039148f7b8e370e04c9bb5705bb786f8ef814eb65e8636",
-        "7300741b7882c4cee1198306545302285397b5dbcfa263d41588b8b85e01aefd",
-        "092a7f3b82e6c22949b46388bca99e725b6e756f1c2b1e3f575447fbd44b6191",
-        "3129d737330c12f3281f0f8fcd4799ddbc6f254181868ae29d6ca65827f0682b",
+        "0472008b2e64866eb1db6471e76fc0cc3cf742180a15ea30a01655e5d9952441",
+        "4daf25711475345bba3326eb65ac074ad13b96798bf4bd295a284f56837f3ac0",
     ),
     "LGPL-2.1": (
-        "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891",
-        "6d05f602d7a9f9950f9537100bd504a7fdab92cfe89f4f94b0d15721ee014b1f",
-        "48d2010e70a815a564f914b0c7c1e80d7a6843793348fed3684c957112fe0aa4",
-        "9c8aea52ac2706a35452528904b5cef7c0aa4140e5ec04d54ba60f53c4a5c78b",
-        "bf2f0c6bf1c47b3b1e3cbedeefecddd1e7db21d1919858d45c2f918efaf426df",
-        "98ee2ec068a51049ed400919bcc9b031bd9fcb4141726f51e23b5f0196a2d37a",
+        "a9cc8dda4023821e198a2e1bee36afc3e68fce90828780c7bac37ffe33565e15",
+        "f13ce8aa4b0cc0de7c3b73a95e705f217972ef8710e7c0a463342682e2e523de",
     ),
     "LGPL-3.0": (
-        "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be",
-        "11a7eabf884f5575b70a6cff6628e05126a0a629a3b4fb202a995d21f65452b8",
+        "ab1202917a49a52eb4671fc091c00933076c119053fff6e8b5849ca93d6b53b3",
     ),
     "MPL-1.1": (
-        "312d60d6637eaa5485742576ef2bf899e0513899a4e98cc9a1a6c688423c3ca6",
-        "0e4f80e6af4e71fd0d41889a3c59354acccb89aecfc69c76917309f064c3fd50",
+        "b4fb601cd1d708fd4d48958cfaecb8bb919d60af95b4704afb85d1a886f8b303",
     ),
     "MPL-2.0": (
-        "92e88af3b436afcb6eef8128c9d1a7b2c6312377163ae31dfbacec094f33ab64",
-        "57325f13a970758eaa81afc9a526e7494076ef5835e859bebf2334be6f9c9e27",
+        "12274540925f246f7614a52b7ebddfbe0463ff1ab194088c554c73552c45582d",
     ),
 }
 
@@ -223,16 +204,14 @@ SPELLINGS = (
     (r"\bcopyright owner", "copyright holder"),
     (r"\bhttps\b", "http"),
 )
-COPYRIGHT_LINE = (
-    r"(?m)^[^\p{L}\p{N}\n©(]*"
-    r"(?:copyright\W*(?:\(c\)|©|[0-9])|\(c\)|©|all rights reserved)[^\n]*$"
-)
+# How a copyright notice begins, and how many words it has at most.
+NOTICE_SIGN = r"(?:copyright|\(c\)|©)"
+NOTICE = rf"^[^\p{{L}}\p{{N}}©(]*{NOTICE_SIGN}(?:[ \t,:]*{NOTICE_SIGN})*[ \t,:]*(?:19|20)[0-9]{{2}}"
+RESERVED = r"^[^\p{L}\p{N}]*all rights reserved[^\p{L}\p{N}]*$"
+NOTICE_WORDS = 20
 
 
-def canonical_lines(text: Column) -> Column:
-    """The canonical form with its line ends kept."""
-    form = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "")
-    form = F.regexp_replace(form, r"[^\p{L}\p{N}\n]+", " ")
+def _spelled(form: Column) -> Column:
     respelled = form
     for pattern, spelling in SPELLINGS:
         respelled = F.regexp_replace(respelled, pattern, spelling)
@@ -241,10 +220,49 @@ def canonical_lines(text: Column) -> Column:
     return F.when(form.rlike(any_of), respelled).otherwise(form)
 
 
+def canonical_lines(text: Column) -> Column:
+    """The canonical form of each line, with the line ends kept."""
+    return _spelled(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\n]+", " "))
+
+
+def _is_notice(line: Column) -> Column:
+    few = F.size(F.regexp_extract_all(line, F.lit(r"[\p{L}\p{N}]+"), F.lit(0))) <= NOTICE_WORDS
+    return (line.rlike(NOTICE) & few) | line.rlike(RESERVED)
+
+
+def without_notices(lower: Column) -> Column:
+    """A lower-case text without paragraphs of copyright notices, and without those it begins with.
+
+    A notice is a line of few words that begins with the sign or word and a year. Lines of running text
+    stay whatever they begin with, so how a text is wrapped makes no difference.
+    """
+    broken = F.regexp_replace(lower, r"(?m)^[^\p{L}\p{N}\n]+$", "")
+    paragraphs = F.filter(
+        F.split(broken, r"\n{2,}"),
+        lambda part: ~F.forall(F.split(F.trim(part, F.lit("\n")), "\n"), _is_notice),
+    )
+    first = F.split(F.trim(F.get(paragraphs, 0), F.lit("\n")), "\n")
+    begin = F.array_position(F.transform(first, _is_notice), False).cast("int")
+    head = F.array_join(F.slice(first, begin, F.size(first)), "\n")
+    rest = F.slice(paragraphs, 2, F.greatest(F.size(paragraphs) - 1, F.lit(0)))
+    kept = F.when(F.size(paragraphs) > 0, F.array_join(F.concat(F.array(head), rest), "\n\n"))
+    some = lower.rlike(rf"{NOTICE_SIGN}[^\n]*[0-9]|all rights reserved")
+    return F.when(some, F.coalesce(kept, F.lit(""))).otherwise(lower)
+
+
 def one_line(form: Column) -> Column:
     return F.trim(F.regexp_replace(form, r"[ \n]+", " "))
 
 
+def canonical(text: Column) -> Column:
+    """The canonical form of a whole text: its words, one spelling each, joined by single spaces.
+
+    Lines are joined before words are respelled, so that a term that a line end cuts is found.
+    """
+    words = F.regexp_replace(without_notices(F.lower(text)), r"[^\p{L}\p{N}]+", " ")
+    return _spelled(F.trim(words))
+
+
 def known_texts(spark: SparkSession) -> DataFrame:
     """``(license_id, form)``: every known text in canonical form."""
     rows = [
@@ -267,7 +285,7 @@ def known_texts(spark: SparkSession) -> DataFrame:
             rows += [(name, header), (name, header + address)]
             rows += [(name, header + address.replace("with {what}".format(**given), f"with {what.lower()}"))]
     known = spark.createDataFrame(rows, "license_id string, text string")
-    form = one_line(canonical_lines(F.col("text"))).alias("form")
+    form = canonical(F.col("text")).alias("form")
     first = F.min("license_id").alias("license_id")
     return known.select("license_id", form).groupBy("form").agg(first)
 
@@ -281,7 +299,7 @@ def known_digests(spark: SparkSession, known: DataFrame | None = None) -> DataFr
     forms = known_texts(spark)
     if known is not None:
         given = known.where("text IS NOT NULL")
-        form = one_line(canonical_lines(F.col("text"))).alias("form")
+        form = canonical(F.col("text")).alias("form")
         forms = forms.unionByName(given.select("license_id", form))
         digests = digests.unionByName(
             known.where("text IS NULL AND digest IS NOT NULL").select("license_id", F.lower("digest").alias("digest"))
@@ -301,13 +319,14 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     ``known (license_id, text, digest)`` are further licences, see ``known_digests``.
     """
     spark = docs.sparkSession
-    form = canonical_lines(F.coalesce(F.col("text"), F.lit("")))
-    forms = docs.select("doc_id", form.alias("form"))
-    lines = F.transform(F.split("form", "\n"), lambda line: F.xxhash64(F.trim(line)))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    # Each form is a column of its own first: what is read of it more than once is computed once.
+    forms = docs.select("doc_id", canonical(text).alias("form"), canonical_lines(text).alias("by_line"))
+    lines = F.transform(F.split("by_line", "\n"), lambda line: F.xxhash64(F.trim(line)))
     rows = written(
         forms.select(
             "doc_id",
-            F.sha2(one_line(F.col("form")).cast("binary"), 256).alias("digest"),
+            F.sha2(F.col("form").cast("binary"), 256).alias("digest"),
             F.array_distinct(lines).alias("lines"),
         ),
         "canonical",

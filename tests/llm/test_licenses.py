@@ -87,18 +87,68 @@ FILES = {
 }
 
 
-@pytest.mark.skipif(not os.path.isdir(PUBLISHED), reason="no published texts here")
-def test_long_licences(spark):
-    texts = []
-    for name in FILES:
-        with open(f"{PUBLISHED}/{FILES[name]}", encoding="utf-8") as file:
-            text = file.read()
-        flat = "\n\n".join(" ".join(part.split()) for part in re.split(r"\n\s*\n", text))
-        texts += [text, flat.upper(), text + " x"]
+def published(name):
+    with open(f"{PUBLISHED}/{FILES[name]}", encoding="utf-8") as file:
+        return file.read()
+
+
+def rewrapped(text, width, leader=""):
+    """Every paragraph wrapped anew; without a width a paragraph a line."""
+    parts = [" ".join(part.split()) for part in re.split(r"\n\s*\n", text)]
+    if width:
+        parts = ["\n".join(textwrap.wrap(part, width)) for part in parts]
+    return "".join(f"{leader} {line}".strip() + "\n" for line in "\n\n".join(parts).split("\n"))
+
+
+has_texts = pytest.mark.skipif(not os.path.isdir(PUBLISHED), reason="no published texts here")
+
+
+@has_texts
+def test_long_licences_at_any_width(spark):
+    forms = [
+        lambda t: t, lambda t: rewrapped(t, 50), lambda t: rewrapped(t, 65), lambda t: rewrapped(t, 72),
+        lambda t: rewrapped(t, 100), lambda t: rewrapped(t, None), lambda t: " ".join(t.split()),
+        lambda t: rewrapped(t, 60, "#"), lambda t: rewrapped(t, 60, "//"), lambda t: rewrapped(t, 60, " *"),
+        lambda t: "Copyright (c) 2020 Someone Else. All rights reserved.\n\n" + t.upper(),
+        lambda t: t + " x",
+    ]
+    texts = [form(published(name)) for name in FILES for form in forms]
     found = scanned(spark, list(enumerate(texts)))
     for at, name in enumerate(FILES):
-        ids = [found[3 * at + i]["license_id"] for i in range(3)]
-        assert ids == [name, name, None]
+        ids = [found[len(forms) * at + i]["license_id"] for i in range(len(forms))]
+        assert ids == [name] * (len(forms) - 1) + [None], name
+
+
+@has_texts
+def test_a_changed_clause_is_no_licence(spark):
+    apache = published("Apache-2.0")
+    clause = re.search(r"\(c\) You must retain.*?Derivative Works; and", apache, re.S)[0]
+    changed = apache.replace(clause, "(c) You may remove every notice and sue anyone you like; and")
+    holder = apache.replace("Copyright [yyyy]", "Copyright 2020")
+    found = scanned(spark, [(1, changed), (2, apache.replace("may not", "may")), (3, apache), (4, holder)])
+    assert [found[i]["license_id"] for i in (1, 2, 3)] == [None, None, "Apache-2.0"]
+
+
+def test_notices_of_copyright_only(spark):
+    body = licenses.MIT
+    same = [
+        body, f"Copyright (c) 2020 Someone\n{body}", f"MIT License\n\nCopyright 1999, 2000 A B\nall rights reserved\n\n{body}",
+        f"© 2021 A\n(c) 2022 B\n\n{body}", f"/*\n * Copyright: 2020 C\n *\n * {body}\n */", f"{body}\n\n(C) 2020",
+    ]
+    other = [
+        f"(c) you owe us\n\n{body}", f"copyright someone\n\n{body}", f"2020 Someone\n\n{body}",
+        "Copyright 2020 " + "we keep every right to this and " * 4 + f"\n\n{body}",
+    ]
+    found = scanned(spark, list(enumerate(same + other)))
+    ids = [found[i]["license_id"] for i in range(len(same + other))]
+    assert ids == ["MIT"] * len(same) + [None] * len(other)
+    empty = scanned(spark, [(1, "Copyright (c) 2020 Someone"), (2, "")])
+    assert empty[1]["digest"] == empty[2]["digest"]
+
+
+def test_a_digest_per_licence():
+    for name, digests in licenses.LONG_LICENCES.items():
+        assert 1 <= len(digests) <= 2, name
 
 
 def test_headers(spark):
