@@ -11,17 +11,20 @@
    or of one other valid class, its parent. Template texts are those of the skeleton, and those of
    other valid classes whose element is of the same class. What half of the pages hold is at most
    twice an average page, so a host's classes are found in one task.
-4. What is left are slots, the gaps between class tokens. The main slot is the article; where a page
-   has none, the deepest element of a valid class that holds half of the text that varies on its
-   host, and without such an element the body. Slots that are boilerplate by their element or its
-   names (menus, headers, footers, sidebars, notices, adverts, forms, comments) are left out.
+4. What is left are slots, the gaps between class tokens. The main slot is the deepest element of a
+   valid class that holds half of the text that varies on its host, with the article it is in or that is
+   in it. Where a page has no such element it is the article, and without one the body. Slots that are
+   boilerplate by their element or its whole names (menus, headers, footers, sidebars, notices, adverts,
+   forms, comments) are left out; a name that only has such a word in it says nothing.
 
 Hosts of fewer than ``LEAST_PAGES`` pages show no template; there, only elements and names tell.
 
 Per page the result is the texts of the blocks left, character references decoded, white space of a
 block turned into single spaces, joined by single spaces. A null html is an empty page; a page that
 breaks off, has unclosed or crossed tags or no article gives what was found. A null url is a host of
-its own. Rows that repeat come back each.
+its own. Rows that repeat come back each and are evidence once; an empty table gives an empty result.
+A very long page is read in time that grows with its length and is one value of its task. Columns other
+than page_id, url and html, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -87,13 +90,15 @@ TITLED = frozenset("entry post article story content title".split())
 MAIN = ("article", "main")
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)"
+    r"<!--.*?(?:-->|(?P<open>\Z))"
+    r"|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|(?P<open2>\Z))"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>"
-    r"|<[!?/][^>]*(?:>|\Z)",
+    r"|<[!?/][^>]*>",
     re.S,
 )
+# What begins where no tag can end and is no text, or is text to the end.
+TAIL = re.compile(r"<!--|<!\[CDATA\[|<[!?/]")
 NAMED = re.compile(r"(?:\s|^)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
@@ -140,7 +145,7 @@ def furniture(names: list[frozenset[str]]) -> bool:
     """Whether a whole name, not a part of it, is one of ``NAMES``."""
     return any(
         words & NAMES - OF_ARTICLES
-        and all(word in NAMES or word in BESIDE or word.isdigit() for word in words)
+        and all(word in NAMES or word in BESIDE or word in SITE or word.isdigit() for word in words)
         for words in names
     )
 
@@ -171,13 +176,21 @@ class PageReader:
 
     def read(self, page: str) -> PageReader:
         at, size = 0, len(page)
+        # No tag ends after the last closing sign, so none is looked for there: a start that leads nowhere
+        # would otherwise be followed to the end of the page each time.
+        last = page.rfind(">") + 1
         while at < size:
-            found = TOKEN.search(page, at)
-            end = found.start() if found else size
-            if end > at:
-                self.add(entities.unescape(page[at:end]))
-            if not found:
+            found = TOKEN.search(page, at, last)
+            if found is None or found["open"] is not None or found["open2"] is not None:
+                # From here on, or from an open comment or section on, there are no tags.
+                begin = found.start() if found else at
+                rest = TAIL.search(page, begin)
+                self.add(entities.unescape(page[at : rest.start() if rest else size]))
+                if rest and rest[0] == "<![CDATA[":
+                    self.add(page[rest.end() :])
                 break
+            if found.start() > at:
+                self.add(entities.unescape(page[at : found.start()]))
             at = found.end()
             tag = found["tag"] or found["tag2"]
             if found["cdata"] is not None:
@@ -276,8 +289,7 @@ class PageReader:
             title = any("header" in whole and whole & TITLED for whole in names)
             headed = any("header" in whole and whole <= SITE for whole in names)
             banner = not inside and ((tag == "header" and not title) or headed)
-            called = furniture(names) if inside else bool(words & NAMES)
-            drop = parent.drop or banner or tag in DROPPED or role in ROLES or called
+            drop = parent.drop or banner or tag in DROPPED or role in ROLES or furniture(names)
         return Open(tag, path, parent.depth + 1, drop, readers, main, in_slot, parent.block)
 
 
@@ -459,10 +471,18 @@ def templates(tokens: DataFrame) -> DataFrame:
 
 
 def main_text(page: str | None, main: int | None, texts: frozenset[int]) -> str:
-    """The text of the main slot, without template texts."""
+    """The text of the main slot, without template texts.
+
+    The host's template decides where the slot is. An article that shares text with it is it, with its
+    title; articles elsewhere are teasers. Without a template, or on a page that does not have its slot,
+    the article is the slot, and without one the page.
+    """
     free = [block for block in PageReader(main).read(page or "").blocks if not block.drop]
-    chosen = [block for block in free if block.main]
-    chosen = chosen or [block for block in free if block.in_slot] or free
+    articles = [block for block in free if block.main]
+    slot = [block for block in free if block.in_slot]
+    chosen = articles or free
+    if slot and not any(block.main for block in slot):
+        chosen = slot
     if texts:
         chosen = [block for block in chosen if number(block.path, block.text) not in texts]
     return " ".join(block.text for block in chosen)

@@ -193,3 +193,81 @@ def test_names_inside_an_article():
 def test_heads_outside_an_article():
     page = "<div class='site-header'>s</div><header>t</header><div class='entry-header'><h1>Title</h1></div>"
     assert text_of(page + "<header class='entry-header'>By</header><p>x") == "Title By x"
+
+
+NAMELESS = [
+    (r"<(/?)(?:article|main|nav|header|footer|aside|section)\b", r"<\1div"),
+    (r' (?:class|id|role)="[^"]*"', ""),
+]
+
+
+def test_the_template_alone_finds_the_article(spark, sf_dir):
+    """All pages of the table, their elements without telling names: the host's template tells."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").collect()
+    by_host = {}
+    for r in pages:
+        by_host.setdefault(r["url"].split("/")[2], []).append(r)
+    rows, expected = [], {}
+    for own in by_host.values():
+        for r in own:
+            nameless = r["html"]
+            for pattern, plain in NAMELESS:
+                nameless = re.sub(pattern, plain, nameless)
+            rows.append((r["page_id"], r["url"], nameless))
+            if len(own) >= page_text.LEAST_PAGES:
+                expected[r["page_id"]] = text_of(r["html"])
+    found = page_text.extract(spark.createDataFrame(rows, SCHEMA)).collect()
+    got = {r["page_id"]: r["text"] for r in found}
+    if expected:
+        same = sum(got[i] == text for i, text in expected.items())
+        assert same == len(expected)
+        # Without the template what belongs to the host would stay.
+        assert all(text_of(html) != expected[i] for i, _, html in rows if i in expected)
+
+
+def test_articles_elsewhere_are_teasers(spark):
+    def body(i):
+        return (
+            f"<body><div class='x'><article>Read this as well {i}</article></div>"
+            f"<div class='story'><h1>Title {i}</h1>{f'<p>word{i} and more</p>' * (5 + i)}</div></body>"
+        )
+
+    pages = spark.createDataFrame(host_pages("a.org", 12, body), SCHEMA)
+    found = {r["page_id"]: r["text"] for r in page_text.extract(pages).collect()}
+    assert found[3] == "Title 3" + " word3 and more" * 8
+
+
+def test_the_title_of_an_article_stays(spark):
+    def body(i):
+        return (
+            f"<body><article><h1>Title {i}</h1><div class='text'><p>{f'word{i} ' * 40}</p></div>"
+            "</article><div>Bottom</div></body>"
+        )
+
+    pages = spark.createDataFrame(host_pages("a.org", 12, body), SCHEMA)
+    found = {r["page_id"]: r["text"] for r in page_text.extract(pages).collect()}
+    assert found[3] == "Title 3 " + ("word3 " * 40).strip()
+
+
+def test_names_that_only_hold_a_word_of_furniture():
+    page = "<body><p class='share-price'>a</p><div id='related-work'>b</div><div class='share'>c</div></body>"
+    assert text_of(page) == "a b"
+
+
+@pytest.mark.parametrize("part", ["<a ", '<a b="', "<!--", "<a", "</", "<?", "<![CDATA[", "<", "<a b='\">"])
+def test_time_grows_with_length(part):
+    import time
+
+    for end in ("", ">"):
+        start = time.process_time()
+        text_of(part * ((1 << 20) // len(part)) + end)
+        assert time.process_time() - start < 8
+
+
+def test_pages_that_end_within_markup():
+    assert text_of("<p>a</p>b <i") == "a b <i"
+    assert text_of("<p>a</p>b <!-- c") == "a b"
+    assert text_of("<p>a</p>b <!-- c > d") == "a b"
+    assert text_of("<p>a</p><![CDATA[b > c") == "a b > c"
+    assert text_of("<p>a</p>b </p") == "a b"
+    assert text_of("a <!-- x --> b <!-- > -->c &amp; <") == "a b c & <"
