@@ -18,8 +18,13 @@ Running sums over a source are taken in two levels of 256 parts by hash, so that
 whole source; the per-source and per-part tables come from aggregates. Windows over all sources
 hold a row per source.
 
+What a source gives in all follows from its target; the schedule says when. ``mixed_documents``, which
+returns whole documents, has no use for the slots within one.
+
 Documents of no words take part with nothing; a null text is empty; a null source is a source and
-comes last; rows that repeat a doc_id are documents of their own, and null ids too.
+comes last; rows that repeat a doc_id are documents of their own, and null ids too. A very long text is
+cut into as many pieces as it fills slots. An empty table gives an empty result. Columns other than
+doc_id, source and text, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -225,16 +230,20 @@ def mix(docs: DataFrame, more: Sequence[Column] = (), **options) -> DataFrame:
 
 
 def taken_words(docs: DataFrame, **options) -> DataFrame:
-    """``(doc_id, size, source_size, target, taken)``, a row per document."""
+    """``(doc_id, size, source_size, target, taken, first_slot)``, a row per document.
+
+    ``first_slot`` is the slot of the schedule that takes the document's first word, null if none does.
+    """
     row = ["doc_id", "source", "size", "source_size", "target", "line"]
     # Equal documents without words share a place in the line; each is counted once per pass.
     first = (F.col("pass") == 0) & (F.coalesce("start", F.lit(0)) == 0)
     taken = F.sum(F.when(F.col("slot").isNotNull(), F.col("taken")))
+    begins = F.min(F.when(first, F.col("slot"))).alias("first_slot")
     summed = mix(docs, **options).groupBy(*row).agg(
-        F.coalesce(taken, F.lit(0)).alias("taken"), F.count_if(first).alias("rows")
+        F.coalesce(taken, F.lit(0)).alias("taken"), F.count_if(first).alias("rows"), begins
     )
     each = summed.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
-    return each.select("doc_id", "size", "source_size", "target", "taken")
+    return each.select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:

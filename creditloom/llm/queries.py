@@ -115,21 +115,78 @@ def document_token_counts(spark, sf):
     )
 
 
-# The notices that the tables hold, in canonical form; none of the tables' documents is a licence.
+# All notices in canonical form, from lists of their own; licences in full are left to tests, as none of
+# the tables' documents is one.
 LICENSE_SQL = r"""
-WITH known AS (
-  SELECT * FROM (VALUES
-    ('licensed under cc by nc 4 0', 'CC-BY-NC-4.0'),
-    ('this work is licensed under the gnu general public license version 3', 'GPL-3.0'),
-    ('licensed under the apache license version 2 0', 'Apache-2.0'),
-    ('released under the mit license', 'MIT')) AS v(form, license_id)),
-plain AS (
-  SELECT doc_id, regexp_replace(regexp_replace(lower(coalesce(text, '')),
-           '(?m)^[^\p{L}\p{N}\n©(]*(copyright\W*(\(c\)|©|[0-9])|\(c\)|©|all rights reserved)[^\n]*$',
-           '', 'g'), '[^\p{L}\p{N}\n]+', ' ', 'g') AS form
-  FROM documents),
+WITH subjects(subject) AS (VALUES
+  (''), ('this work is '), ('this file is '), ('this software is '), ('this document is ')),
+verbs(verb) AS (VALUES
+  ('licensed'), ('released'), ('distributed'), ('made available'), ('published')),
+articles(article) AS (VALUES (''), ('the '), ('a '), ('the terms of the ')),
+openings AS (
+  SELECT subject || verb || ' under ' || article AS opening FROM subjects, verbs, articles
+  UNION ALL
+  SELECT opening FROM (VALUES ('spdx license identifier '), ('license ')) AS v(opening)),
+names(name, license_id) AS (VALUES
+  ('mit license', 'MIT'), ('mit', 'MIT'), ('isc license', 'ISC'), ('isc', 'ISC'),
+  ('bsd 2 clause license', 'BSD-2-Clause'), ('bsd 2 clause', 'BSD-2-Clause'),
+  ('simplified bsd license', 'BSD-2-Clause'),
+  ('bsd 3 clause license', 'BSD-3-Clause'), ('bsd 3 clause', 'BSD-3-Clause'),
+  ('new bsd license', 'BSD-3-Clause'),
+  ('apache license version 2 0', 'Apache-2.0'), ('apache license 2 0', 'Apache-2.0'),
+  ('apache 2 0 license', 'Apache-2.0'), ('apache 2 0', 'Apache-2.0'),
+  ('mozilla public license version 2 0', 'MPL-2.0'), ('mozilla public license 2 0', 'MPL-2.0'),
+  ('mpl 2 0', 'MPL-2.0'),
+  ('gnu general public license version 2', 'GPL-2.0'), ('gnu gpl v2', 'GPL-2.0'),
+  ('gplv2', 'GPL-2.0'), ('gpl 2 0', 'GPL-2.0'),
+  ('gnu general public license version 3', 'GPL-3.0'), ('gnu gpl v3', 'GPL-3.0'),
+  ('gplv3', 'GPL-3.0'), ('gpl 3 0', 'GPL-3.0'),
+  ('gnu lesser general public license version 3', 'LGPL-3.0'), ('lgplv3', 'LGPL-3.0'),
+  ('lgpl 3 0', 'LGPL-3.0'),
+  ('gnu affero general public license version 3', 'AGPL-3.0'), ('agplv3', 'AGPL-3.0'),
+  ('agpl 3 0', 'AGPL-3.0'),
+  ('cc0 1 0', 'CC0-1.0'), ('creative commons zero v1 0 universal', 'CC0-1.0'),
+  ('cc by 4 0', 'CC-BY-4.0'),
+  ('creative commons attribution 4 0 international license', 'CC-BY-4.0'),
+  ('cc by sa 4 0', 'CC-BY-SA-4.0'),
+  ('creative commons attribution sharealike 4 0 international license', 'CC-BY-SA-4.0'),
+  ('cc by nc 4 0', 'CC-BY-NC-4.0'),
+  ('creative commons attribution noncommercial 4 0 international license', 'CC-BY-NC-4.0'),
+  ('cc by nd 4 0', 'CC-BY-ND-4.0'),
+  ('creative commons attribution noderivatives 4 0 international license', 'CC-BY-ND-4.0')),
+known AS (
+  SELECT opening || name || ending AS form, min(license_id) AS license_id
+  FROM openings, names, (VALUES (''), (' the license')) AS v(ending) GROUP BY 1),
+lowered AS (SELECT doc_id, lower(coalesce(text, '')) AS text FROM documents),
+paragraphs AS (
+  SELECT doc_id, text,
+         list_filter(
+           list_transform(
+             string_split_regex(
+               regexp_replace(text, '(?m)^[^\p{L}\p{N}\n]+$', '', 'g'), '\n{2,}'),
+             lambda p: list_transform(string_split(trim(p, chr(10)), chr(10)), lambda l: struct_pack(
+               l := l,
+               notice := (regexp_matches(l,
+                   '^[^\p{L}\p{N}©(]*(copyright|\(c\)|©)([ \t,:]*(copyright|\(c\)|©))*[ \t,:]*(19|20)[0-9]{2}')
+                 AND len(regexp_extract_all(l, '[\p{L}\p{N}]+')) <= 20)
+                 OR regexp_matches(l, '^[^\p{L}\p{N}]*all rights reserved[^\p{L}\p{N}]*$')))),
+           lambda lines: list_contains(list_transform(lines, lambda x: x.notice), false)) AS parts
+  FROM lowered),
+bodies AS (
+  SELECT doc_id, text,
+         array_to_string(list_transform(
+           list_concat(
+             list_slice(parts[1], list_position(list_transform(parts[1], lambda x: x.notice), false), NULL),
+             flatten(parts[2:])),
+           lambda x: x.l), ' ') AS body
+  FROM paragraphs),
+forms AS (
+  SELECT doc_id, f.line, f.form
+  FROM bodies, unnest([
+    struct_pack(line := false, form := trim(regexp_replace(body, '[^\p{L}\p{N}]+', ' ', 'g'))),
+    struct_pack(line := true, form := regexp_replace(text, '[^\p{L}\p{N}\n]+', ' ', 'g'))]) AS u(f)),
 spelled AS (
-  SELECT doc_id,
+  SELECT doc_id, line,
          regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
          regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
          regexp_replace(form,
@@ -145,15 +202,14 @@ spelled AS (
            '\bwhilst\b', 'while', 'g'),
            '\bcopyright owner', 'copyright holder', 'g'),
            '\bhttps\b', 'http', 'g') AS form
-  FROM plain),
-whole AS (
-  SELECT doc_id, trim(regexp_replace(form, '[ \n]+', ' ', 'g')) AS one, form FROM spelled)
-SELECT doc_id, sha256(one) AS digest,
-       (SELECT license_id FROM known k WHERE k.form = one) AS license_id,
-       (SELECT string_agg(DISTINCT license_id, ',' ORDER BY license_id) FROM known k
-        WHERE list_contains(list_transform(string_split(whole.form, chr(10)), lambda l: trim(l)),
-                            k.form)) AS notices
-FROM whole"""
+  FROM forms),
+named AS (
+  SELECT s.doc_id, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS notices
+  FROM (SELECT doc_id, trim(unnest(string_split(form, chr(10)))) AS form FROM spelled WHERE line) AS s
+  JOIN known k ON k.form = s.form GROUP BY s.doc_id)
+SELECT s.doc_id, sha256(s.form) AS digest, k.license_id, n.notices
+FROM spelled s LEFT JOIN known k ON k.form = s.form LEFT JOIN named n ON n.doc_id = s.doc_id
+WHERE NOT s.line"""
 
 # Every pair of a label is compared; the smallest id spreads along the links until none changes.
 EMBEDDING_SQL = """
@@ -210,12 +266,38 @@ lined AS (
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS line
   FROM sized),
 placed AS (
-  SELECT doc_id, size, line, source_size, target, CAST(floor(target + 1e-6) AS BIGINT) AS words
-  FROM lined l JOIN shares s ON l.source IS NOT DISTINCT FROM s.source)
+  SELECT doc_id, l.source, size, line, source_size, target,
+         CAST(floor(target + 1e-6) AS BIGINT) AS words
+  FROM lined l JOIN shares s ON l.source IS NOT DISTINCT FROM s.source),
+spans AS (
+  SELECT *, high - words AS low
+  FROM (SELECT source, CAST(floor(target + 1e-6) AS BIGINT) AS words,
+               CAST(sum(CAST(floor(target + 1e-6) AS BIGINT)) OVER (ORDER BY source NULLS LAST)
+                    AS BIGINT) AS high
+        FROM shares)),
+slots AS (
+  SELECT total, bits, CAST(greatest(1, ceil(total / (1 << bits)::DOUBLE)) AS BIGINT) AS block
+  FROM (SELECT coalesce(sum(words), 0) AS total,
+               greatest(12, len(bin(greatest(coalesce(sum(words), 0), 1) // 512))
+                            - CASE WHEN coalesce(sum(words), 0) < 512 THEN 1 ELSE 0 END) AS bits
+        FROM spans)),
+points AS (
+  SELECT slot, list_sum(list_transform(range(bits), lambda k: ((slot >> k) & 1) << (bits - 1 - k)))
+                 / (1 << bits)::DOUBLE * total AS point
+  FROM slots, unnest(range(1 << bits)) AS u(slot)),
+ranked AS (
+  SELECT source, slot, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS block
+  FROM points JOIN spans ON point >= low AND point < high),
+counts AS (SELECT source, count(*) AS n FROM ranked GROUP BY source)
 SELECT doc_id, size, source_size, target,
        CAST(greatest(0, least(size, words - line))
-            + greatest(0, least(size, words - source_size - line)) AS BIGINT) AS taken
-FROM placed"""
+            + greatest(0, least(size, words - source_size - line)) AS BIGINT) AS taken,
+       CASE WHEN size > 0 AND line < words THEN
+         coalesce(r.slot, CAST(line // s.block - coalesce(n, 0) + (1 << s.bits) AS BIGINT))
+       END AS first_slot
+FROM placed p CROSS JOIN slots s
+LEFT JOIN ranked r ON r.source IS NOT DISTINCT FROM p.source AND r.block = line // s.block
+LEFT JOIN counts c ON c.source IS NOT DISTINCT FROM p.source"""
 
 # The length of a formatted turn: its text, a sign more per escaped character, and the marks.
 CHAT_SQL = r"""

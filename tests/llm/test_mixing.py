@@ -139,3 +139,32 @@ def test_mixed_documents_repeat_and_cut(spark):
         counted[r["doc_id"]] += len(r["text"].split())
         assert texts[r["doc_id"]].startswith(r["text"]) and r["n_chars"] == len(r["text"])
     assert dict(counted) == {i: n for i, n in expected.items() if n}
+
+
+def test_the_first_slots_hold_every_source_at_its_rate(spark, sf_dir):
+    """Any first part of the schedule mixes the sources as the whole does; a line of sources would not."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = mixing.mix(docs, weights=(3, 1, 2), scale=1.5, most=2).where("slot IS NOT NULL")
+    taken = rows.groupBy("slot", "source").agg(F.sum("taken").alias("taken")).collect()
+    whole, last = defaultdict(int), max(r["slot"] for r in taken)
+    for r in taken:
+        whole[r["source"]] += r["taken"]
+    total = sum(whole.values())
+    for part in (8, 16, 64, 256):
+        first = defaultdict(int)
+        for r in taken:
+            if r["slot"] <= last // part:
+                first[r["source"]] += r["taken"]
+        words = sum(first.values())
+        assert words > 0
+        for source, all_words in whole.items():
+            assert abs(first[source] / words - all_words / total) < 0.02 + part / last * 4
+
+
+def test_the_first_slot_of_a_document(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = mixing.taken_words(docs).collect()
+    taken = {r["doc_id"]: r["first_slot"] for r in found if r["first_slot"] is not None}
+    assert all((r["first_slot"] is not None) == (min(r["size"], r["taken"]) > 0) for r in found)
+    pieces = mixing.mix(docs).where("slot IS NOT NULL AND pass = 0 AND start = 0").collect()
+    assert {r["doc_id"]: r["slot"] for r in pieces} == taken
