@@ -4,20 +4,28 @@ Tokens. A document is the ids of its text and one closing id. It is cut where it
 sequences, and its rest into pieces whose sizes are powers of two. So a piece and its checksum are
 known before it is known where it goes, and ids are computed once and never stored or shuffled.
 
-Windows. Each source is a queue, its documents in hashed order. In every window source s earns a
-credit of its share of all tokens; it gives pieces as long as its credit lasts, the last one may
-overdraw it, and what is overdrawn or left is carried into the next window (deficit round robin).
-All windows together earn exactly the source's tokens, so the carried sum at any window follows from
-the tokens before a piece alone: a piece goes to the window in which its first token is earned. That
-needs running sums per source, in two levels of hashed parts, and no state that is handed from
-window to window or partition to partition.
+Windows. Each source is a queue, its documents in hashed order. In every window the sources that still
+have pieces earn its tokens in proportion to their weights; a source gives pieces as long as its credit
+lasts, the last one may overdraw it, and what is overdrawn or left is carried into the next window
+(deficit round robin). When a queue runs out, even within a window, what it would have earned goes to the
+others by weight, so every window is filled and the last source ends with the last token. Without weights
+a source's weight is its stock, and all queues run out together.
+
+What a source has earned when it has given x tokens, x / weight, is a clock that all sources share: at
+clock v, source s has given min(stock, weight * v). So the tokens that all have given when a piece's first
+token is earned, and by them its window, follow from the tokens before it in its own queue and the stocks
+and weights alone. That needs running sums per source, in two levels of hashed parts, and no state that is
+handed from window to window or partition to partition. A source's row holds the clock times at which
+sources ran out before it, so the sources, not the rows, have to be few.
 
 Sequences. A window's pieces are laid in a line by falling size. Their sizes being powers of two, no
 piece crosses a multiple of the sequence length. What is left after the last full sequence is cut
 into sequences whose lengths are powers of two, which fit as exactly: nothing is padded at all.
 
 Null texts are empty, and an empty document is its closing id alone. A null source is a source. Null
-and repeated doc_ids are documents of their own.
+and repeated doc_ids are documents of their own; pieces equal in all columns may change places. A very
+long text is cut into many pieces and encoded as one value of its task. An empty table gives no pieces.
+Columns other than doc_id, source and text, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -25,7 +33,7 @@ from __future__ import annotations
 import base64
 import sys
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -130,10 +138,45 @@ def token_pieces(
     )
 
 
-def packed(pieces: DataFrame, length: int = LENGTH, window: int = WINDOW) -> DataFrame:
+def clocks(stock: DataFrame, weights: Mapping[str | None, float] | None) -> DataFrame:
+    """``(_source, weight, phases)`` per source: what all have given at a clock time.
+
+    ``phases`` are ``(until, base, rate)`` in order: up to clock ``until`` the sources have given
+    ``base + rate * clock`` tokens. They end when the source itself runs out. A source that ``weights``
+    does not name has weight 1.
+    """
+    weight = F.col("stock").cast("double")
+    if weights is not None:
+        if not all(0 < value < float("inf") for value in weights.values()):
+            raise ValueError("weights are positive numbers")
+        weight = F.lit(1.0)
+        for name, value in weights.items():
+            weight = F.when(F.col("source").eqNullSafe(F.lit(name)), float(value)).otherwise(weight)
+    timed = stock.withColumn("weight", weight).withColumn("until", F.col("stock") / F.col("weight"))
+    by_end = Window.orderBy("until", F.asc_nulls_last("source"))
+    before = F.sum("stock").over(by_end.rowsBetween(Window.unboundedPreceding, -1))
+    phase = timed.withColumns(
+        {
+            "base": F.coalesce(before, F.lit(0)).cast("double"),
+            "rate": F.sum("weight").over(by_end.rowsBetween(0, Window.unboundedFollowing)),
+        }
+    )
+    own = F.collect_list(F.struct("until", "base", "rate")).over(
+        by_end.rowsBetween(Window.unboundedPreceding, 0)
+    )
+    return phase.select(F.col("source").alias("_source"), "weight", own.alias("phases"))
+
+
+def packed(
+    pieces: DataFrame,
+    length: int = LENGTH,
+    window: int = WINDOW,
+    weights: Mapping[str | None, float] | None = None,
+) -> DataFrame:
     """``pieces`` with ``(window, sequence_id, offset)``; ``length`` is a power of two.
 
     ``sequence_id`` tells the window in its upper half and the sequence within it in the lower.
+    ``weights`` are the sources' target proportions, see above; by default those of their stocks.
     """
     text_id = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     spread = F.conv(F.substring(text_id, 1, 15), 16, 10).cast("bigint")
@@ -143,12 +186,18 @@ def packed(pieces: DataFrame, length: int = LENGTH, window: int = WINDOW) -> Dat
     stock = rows.groupBy("source").agg(F.sum("length").alias("stock"))
     total = stock.agg(F.coalesce(F.sum("stock"), F.lit(0))).first()[0]
     windows = max(1, -(-total // (window * length)))
-    # What the source has earned after w windows is w / windows of its stock.
     queue = placed.join(
-        stock.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))
+        clocks(stock, weights), F.col("source").eqNullSafe(F.col("_source"))
     ).drop("_source")
-    earned = F.floor(F.col("line").cast("double") / F.col("stock") * windows).cast("bigint")
-    queue = queue.withColumn("window", F.least(earned, F.lit(windows - 1)))
+    clock = F.col("line") / F.col("weight")
+    now = F.get(F.filter("phases", lambda phase: phase["until"] >= F.col("clock")), 0)
+    given = F.col("now.base") + F.col("now.rate") * F.col("clock")
+    queue = queue.withColumn("clock", clock).withColumn("now", now)
+    # All windows hold equally many tokens.
+    filled = F.floor(given * (windows / max(total, 1))).cast("bigint")
+    queue = queue.withColumn("window", F.least(filled, F.lit(windows - 1))).drop(
+        "clock", "now", "phases", "weight"
+    )
 
     line = Window.partitionBy("window").orderBy(F.desc("length"), "spread", *order)
     before = F.sum("length").over(line.rowsBetween(Window.unboundedPreceding, -1))
@@ -189,7 +238,8 @@ def pack(
     end_id: int = 0,
     length: int = LENGTH,
     window: int = WINDOW,
+    weights: Mapping[str | None, float] | None = None,
 ) -> DataFrame:
     """All documents, packed: ``PIECES`` and ``(window, sequence_id, offset)``."""
     pieces = token_pieces(docs, ranks_path, pattern, tokenizer_path, end_id, length)
-    return packed(pieces, length, window)
+    return packed(pieces, length, window, weights)
