@@ -16,7 +16,8 @@ of m near copies costs m * m products but passes on m rows.
 Vectors link only within equal, non-null labels and equal lengths. Vectors that are null, zero or
 hold null or non-finite components link with nothing and are components of their own, as are rows
 with a null label. A null vec_id links with nothing, has no component and is not kept. Rows that
-repeat a vec_id count as vectors of their own.
+repeat a vec_id count as vectors of their own. An empty table gives an empty result. A very long vector is
+one value of its task. Columns other than vec_id, label and embedding, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -37,11 +38,12 @@ from creditloom.sources.shared import checkpointed
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Hashes per table at least, and the chance that both of a pair at the threshold agree in one of
-# them, by the nearest axis of one and the two nearest of the other (64 dimensions, cosine 0.98).
-LEAST_HASHES, AGREE = 3, 0.94
-# The chance that such a pair meets in no table.
-MISS = 5e-6
+# Hashes per table at least, and the chance that a pair at the threshold meets in no table.
+LEAST_HASHES, MISS = 3, 5e-6
+# A threshold that takes more tables than this is refused.
+MOST_TABLES = 400
+# Random pairs by which it is measured how often one hash agrees.
+PAIRS = 100_000
 # Vectors of a bucket that meet in one task, squared; 4 MB at 64 dimensions.
 BLOCK = 8192
 # Rows of a block that are multiplied at a time, and confirmed pairs that are held before they count.
@@ -139,11 +141,49 @@ def visits(classes: DataFrame, tables: int, hashes: int) -> DataFrame:
     )
 
 
-def plan_tables(n: int, width: int) -> tuple[int, int]:
+def agreement(cosine: float, width: int) -> tuple[float, float]:
+    """How often, for a pair of that cosine and one hash, the nearest axis of the first is one of the two
+    nearest of the second, and how often that holds both ways.
+
+    Rotations being random, it is measured on random pairs, always the same ones.
+    """
+    size, random = max(2, 1 << (max(width, 1) - 1).bit_length()), np.random.default_rng(7)
+    step = max(1, (1 << 20) // size)
+    one = both = seen = 0
+    while seen < PAIRS:
+        x, y = random.standard_normal((2, step, size))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        y -= (x * y).sum(axis=1, keepdims=True) * x
+        y /= np.linalg.norm(y, axis=1, keepdims=True)
+        y = cosine * x + math.sqrt(max(0.0, 1 - cosine * cosine)) * y
+        first, second = _visits_home(x, y), _visits_home(y, x)
+        one += int(first.sum()) + int(second.sum())
+        both, seen = both + int((first & second).sum()), seen + step
+    return one / (2 * seen), both / seen
+
+
+def _visits_home(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether the nearest axis of each x is one of the two nearest of its y."""
+    axis, rows = np.abs(x).argmax(axis=1), np.arange(len(x))
+    nearer = (np.abs(y) > np.abs(y[rows, axis])[:, None]).sum(axis=1)
+    return (nearer < 2) & ((x[rows, axis] > 0) == (y[rows, axis] > 0))
+
+
+def meets(cosine: float, width: int, hashes: int) -> float:
+    """The chance that such a pair meets in a table: all hashes agree one way or the other."""
+    one, both = agreement(cosine, width)
+    return 2 * one**hashes - both**hashes
+
+
+def plan_tables(n: int, width: int, least_cosine: float) -> tuple[int, int]:
     """``(tables, hashes)``: so many hashes that there are as many buckets as vectors, and as many
-    tables as then keep the chance of a miss."""
+    tables as then keep the chance of a miss at the threshold."""
     hashes = max(LEAST_HASHES, math.ceil(math.log(max(n, 1)) / math.log(2 * max(width, 2))))
-    return math.ceil(math.log(MISS) / math.log(1 - AGREE**hashes)), hashes
+    chance = min(meets(least_cosine, width, hashes), 1 - MISS)
+    tables = math.ceil(math.log(MISS) / math.log1p(-chance)) if chance > 0 else MOST_TABLES + 1
+    if tables > MOST_TABLES:
+        raise ValueError(f"cosine {least_cosine} takes more than {MOST_TABLES} tables of {hashes} hashes")
+    return tables, hashes
 
 
 def near_duplicates(vectors: DataFrame, least_cosine: float = 0.98) -> DataFrame:
@@ -156,7 +196,7 @@ def near_duplicates(vectors: DataFrame, least_cosine: float = 0.98) -> DataFrame
         .agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     )
     n, width = classes.agg(F.count("*"), F.coalesce(F.max(F.size("embedding")), F.lit(2))).first()
-    tables, hashes = plan_tables(n, width)
+    tables, hashes = plan_tables(n, width, least_cosine)
     light = visits(classes, tables, hashes)
     shared = checkpointed(
         light.groupBy("bucket")

@@ -147,10 +147,14 @@ def test_lengths_decide_with_inner_products(spark):
 
 
 def test_tables_grow_with_the_vectors():
-    assert embed_dedup.plan_tables(50_000, 64) == (7, 3)
-    assert embed_dedup.plan_tables(0, 2)[1] == 3
-    tables, hashes = embed_dedup.plan_tables(10**9, 64)
-    assert hashes == 5 and (1 - embed_dedup.AGREE**hashes) ** tables <= embed_dedup.MISS
+    assert embed_dedup.meets(0.98, 64, 3) == pytest.approx(0.83, abs=0.01)
+    assert embed_dedup.plan_tables(50_000, 64, 0.98) == (7, 3)
+    assert embed_dedup.plan_tables(0, 2, 0.98)[1] == 3
+    tables, hashes = embed_dedup.plan_tables(10**9, 64, 0.98)
+    assert hashes == 5 and (1 - embed_dedup.meets(0.98, 64, 5)) ** tables <= embed_dedup.MISS
+    assert embed_dedup.plan_tables(10**4, 64, 0.8)[0] > 50
+    with pytest.raises(ValueError, match="tables"):
+        embed_dedup.plan_tables(10**6, 64, 0.2)
 
 
 def test_chance_of_a_table():
@@ -165,4 +169,4 @@ def test_chance_of_a_table():
     seeds = np.zeros(len(x), np.uint64)
     one, two = (embed_dedup.buckets(v, seeds, 4, 3) for v in (x, y))
     met = (one[:, :, :1] == two).any(axis=2) | (two[:, :, :1] == one).any(axis=2)
-    assert met.mean() > 0.98 * embed_dedup.AGREE**3
+    assert met.mean() > 0.98 * embed_dedup.meets(0.98, 64, 3)
