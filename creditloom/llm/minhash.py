@@ -1,7 +1,7 @@
 """Near-duplicate documents: fast similarity sketches, banding, exact verification.
 
-1. Every text becomes its set of word shingles and a sketch of ``BANDS * ROWS`` coordinates. In
-   round i of the sketch each shingle is thrown into a hashed bin with the value (i, hash); a
+1. Every text becomes its set of word shingles and a sketch of some hundred coordinates, the rows of
+   bands that the threshold asks for (``plan_bands``). In round i of the sketch each shingle is thrown into a hashed bin with the value (i, hash); a
    coordinate keeps the smallest value its bin got. After as many rounds as there are coordinates,
    each further round fills one given bin, so all get filled. Equal coordinates of two sketches
    estimate the Jaccard similarity with the concentration of independent samples.
@@ -17,11 +17,14 @@
 
 Nulls and empty texts have an empty set and link with nothing. Documents without an id link with
 nothing, have no component and are not kept. Rows that repeat a doc_id come back each; texts of one
-doc_id that are the smallest of their classes count as one document.
+doc_id that are the smallest of their classes count as one document. A very long text is read whole and is
+one set of its task. An empty table gives an empty result. Columns other than doc_id and text, whatever
+their names, are not read, and ``without_copies`` returns them as they are.
 """
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Iterable, Iterator
 
@@ -37,8 +40,8 @@ from creditloom.sources.shared import checkpointed, written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# 25 bands of 5: two texts of similarity 0.8 miss each other with a probability of 5e-5.
-BANDS, ROWS = 25, 5
+# The chance that two texts at the threshold agree in no band, and the coordinates of a sketch.
+MISS, SIZE = 5e-5, 125
 # What a block of a band holds on average: classes, and shingles of all of them together.
 BLOCK, BLOCK_SHINGLES = 2048, 1 << 20
 # Rows of a block that are compared at a time.
@@ -69,7 +72,23 @@ def sketch(place: np.ndarray, shingles: np.ndarray, n: int, size: int) -> np.nda
     return filled.reshape(n, size)
 
 
-def sketched(docs: DataFrame, k: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def plan_bands(percent: int) -> tuple[int, int]:
+    """``(bands, rows)`` for texts of that similarity: as many rows a band as ``SIZE`` coordinates allow.
+
+    25 bands of 5 at 80 percent. Below some 8 percent a band of one row is not enough and more
+    coordinates are taken.
+    """
+    if not 0 < percent <= 100:
+        raise ValueError("the similarity is between 0 and 100 percent")
+    p, found = min(percent, 99) / 100, None
+    for rows in range(1, SIZE + 1):
+        bands = math.ceil(math.log(MISS) / math.log1p(-(p**rows)))
+        if found is None or bands * rows <= SIZE:
+            found = (bands, rows)
+    return found
+
+
+def sketched(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
     """``(doc_id, carried, n_shingles, set1, set2, bands, marks)`` per ``(doc_id, carried, text)``.
 
     ``set1`` and ``set2`` name the set in 128 bits; ``marks`` is a byte per coordinate.
@@ -150,7 +169,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
 def grouped_rows(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """``near_duplicates`` of ``(doc_id, carried, text)``, with what each row carries."""
-    all_rows = written(sketched(docs, k), "sketches")
+    bands, rows = plan_bands(percent)
+    all_rows = written(sketched(docs, k, bands, rows), "sketches")
     same_set = ["n_shingles", "set1", "set2"]
     classes = written(
         all_rows.where("doc_id IS NOT NULL AND n_shingles > 0")
@@ -257,7 +277,7 @@ def promising(members: DataFrame, percent: int) -> DataFrame:
         "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         "block", "rep", "component", "n_shingles", "marks", "bands",
     )
-    least = least_agreement(percent, BANDS * ROWS)
+    least = least_agreement(percent, math.prod(plan_bands(percent)))
 
     def sift(group: pa.Table) -> pa.Table:
         i, j, band = (group[name][0].as_py() for name in ("i", "j", "band"))

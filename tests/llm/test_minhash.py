@@ -100,7 +100,7 @@ def test_empty_table(spark):
 
 def test_sketches_estimate_and_are_full():
     rng = np.random.default_rng(1)
-    size = minhash.BANDS * minhash.ROWS
+    size = 125
     for n in (1, 3, 40, 4000):
         elements = rng.integers(0, 2**63, n).astype(np.uint64)
         part = elements[: max(1, (3 * n) // 4)]
@@ -121,3 +121,29 @@ def test_components(spark, seed):
     ends = {i for a, b in links if a != b for i in (a, b)}
     expected = plain_components(ends, [link for link in links if link[0] != link[1]])
     assert found == expected
+
+
+def test_bands_by_threshold():
+    assert minhash.plan_bands(80) == (25, 5)
+    for percent in range(5, 101):
+        bands, rows = minhash.plan_bands(percent)
+        p = min(percent, 99) / 100
+        assert (1 - p**rows) ** bands <= minhash.MISS * 1.0001
+        assert bands * rows <= minhash.SIZE or rows == 1
+    for bad in (0, 101, -5):
+        with pytest.raises(ValueError):
+            minhash.plan_bands(bad)
+
+
+@pytest.mark.parametrize("percent", [50, 65, 92])
+def test_other_thresholds_lose_no_link(spark, percent):
+    some = random.Random(percent)
+    texts = {}
+    for group in range(60):
+        words = [f"g{group}w{i}" for i in range(40)]
+        for copy in range(4):
+            changed = [w if some.random() > 0.18 else f"x{some.randint(0, 9**9)}" for w in words]
+            texts[group * 4 + copy] = " ".join(changed if copy else words)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    found = found_components(minhash.near_duplicates(frame, k=1, percent=percent))
+    assert found == plain_near_duplicates(texts, 1, percent)
