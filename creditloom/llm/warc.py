@@ -7,11 +7,17 @@ is the response with segment number 1, the rest are ``continuation`` records tha
 id and, on the last, the total length. Spark's text writer saves the records as gzip files, each
 record a row and its closing two line ends the separator, so a lost task leaves no partial archive.
 
-Reading. ``binaryFile`` gives whole files, which the writer keeps small; a file is walked record by
-record by the lengths in the headers. Records of one segment are decoded at once. Only cut ones are
-shuffled: grouped by origin, ordered by segment number, the numbers must be 1..n and the length the
-stated total. Then the chunked body is decoded and its digest compared with the header's. A record
-whose parts are missing or contradict the headers keeps its row, with an ``error`` and no payload.
+Reading. ``binaryFile`` gives whole files, which the writer keeps small, and a file has to fit into a
+task as it lies on disk; it is inflated by windows and walked record by record by the lengths in the
+headers, so that no more than a record and a window of it are held as text. Records of one segment are
+decoded at once. Only cut ones are shuffled: grouped by origin, ordered by segment number, the numbers
+must be 1..n and the length the stated total. Then the chunked body is decoded and its digest compared
+with the header's. A record whose parts are missing, contradict the headers or have headers that are no
+numbers keeps its row, with an ``error`` and no payload. Where a file breaks off, is damaged or holds
+something else, a row with an ``error`` ends it; the records before stay.
+
+An empty table gives an empty archive. Long payloads are cut into segments. Columns other than page_id,
+url and html, whatever their names, are not read.
 
 Nulls: a null html is an empty payload. A null url becomes an empty target. A null page_id is
 written without one and reads back as null; its payload is stored and never referred to. Pages that
@@ -21,9 +27,10 @@ smallest url is stored and the others refer to it. Rows equal in all columns are
 
 from __future__ import annotations
 
-import gzip
 import hashlib
+import re
 import sys
+import zlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -36,6 +43,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LEAST_REVISIT = 100
 # Characters per chunk of a body and per segment of a record block.
 CHUNK_CHARS, SEGMENT_CHARS = 4096, 32768
+# Bytes of a file that are inflated at a time.
+WINDOW = 1 << 20
 # Rows per archive file.
 FILE_RECORDS = 2000
 # Ways into which the copies of one payload are dealt while they look up their first page.
@@ -155,28 +164,99 @@ def write_archive(pages: DataFrame, folder: str) -> None:
     ).text(folder)
 
 
+def inflated(content: bytes, window: int = WINDOW) -> Iterator[bytes]:
+    """The content in pieces of at most ``window`` bytes, gzip members one after the other.
+
+    EOFError where a member breaks off, zlib.error where it is damaged.
+    """
+    view, at = memoryview(content), 0
+    if content[:2] != b"\x1f\x8b":
+        for at in range(0, len(view), window):
+            yield bytes(view[at : at + window])
+        return
+    while at < len(view):
+        member = zlib.decompressobj(31)
+        while not member.eof:
+            # What the last piece left, before more is taken.
+            piece = member.unconsumed_tail or bytes(view[at : at + window])
+            if not member.unconsumed_tail:
+                at += len(piece)
+            found = member.decompress(piece, window)
+            if found:
+                yield found
+            elif not piece and not member.eof:
+                raise EOFError
+        at -= len(member.unused_data)
+        # Padding.
+        while at < len(view) and view[at] == 0:
+            at += 1
+
+
 def file_records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers, with names in lower case, and block of every record of a file."""
-    data = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
-    at = 0
-    while at < len(data):
-        if data[at : at + 2] == b"\r\n":
-            at += 2
-            continue
-        end = data.find(b"\r\n\r\n", at)
-        if end < 0 or data[at : at + 5] != b"WARC/":
+    """Headers, with names in lower case, and block of every record of a file.
+
+    Held are one record and a window. What cannot be read ends the file with headers that have an
+    ``error``; all records before it are given.
+    """
+    pieces, held, broken = inflated(content), bytearray(), ""
+
+    def more() -> bool:
+        nonlocal broken
+        try:
+            held.extend(next(pieces))
+            return True
+        except StopIteration:
+            return False
+        except EOFError:
+            broken = "cut off"
+        except zlib.error:
+            broken = "damaged"
+        return False
+
+    while True:
+        while held[:2] == b"\r\n" or (len(held) < 2 and more()):
+            if held[:2] == b"\r\n":
+                del held[:2]
+        searched = 0
+        while (end := held.find(b"\r\n\r\n", searched)) < 0:
+            searched = max(0, len(held) - 3)
+            if not more():
+                if held or broken:
+                    yield {"error": broken or "unreadable"}, b""
+                return
+        if held[:5] != b"WARC/":
             yield {"error": "unreadable"}, b""
             return
         headers = {}
-        for line in data[at:end].decode("utf-8", "replace").split("\r\n")[1:]:
+        for line in held[:end].decode("utf-8", "replace").split("\r\n")[1:]:
             name, _, value = line.partition(":")
             headers[name.strip().lower()] = value.strip()
-        length = headers.get("content-length", "")
-        if not length.isdigit() or end + 4 + int(length) > len(data):
+        # Only this reader says what is wrong with a record.
+        headers.pop("error", None)
+        length = number_in(headers, "content-length")
+        if length is None or length < 0:
             yield headers | {"error": "bad length"}, b""
             return
-        at = end + 4 + int(length)
-        yield headers, data[end + 4 : at]
+        stop = end + 4 + length
+        while len(held) < stop:
+            if not more():
+                yield headers | {"error": broken or "bad length"}, b""
+                return
+        yield headers, bytes(held[end + 4 : stop])
+        del held[:stop]
+
+
+NUMBER = re.compile(r"-?[0-9]{1,19}", re.A)
+
+
+def number_in(headers: dict[str, str], name: str) -> int | None:
+    """The whole number of a header; None if there is none or it does not fit."""
+    value = headers.get(name, "")
+    found = int(value) if NUMBER.fullmatch(value) else None
+    return found if found is not None and -(1 << 63) <= found < 1 << 63 else None
+
+
+CHUNK_SIZE = re.compile(rb"[0-9a-fA-F]{1,15}")
 
 
 def unchunked(body: bytes) -> bytes:
@@ -186,7 +266,10 @@ def unchunked(body: bytes) -> bytes:
         end = body.find(b"\r\n", at)
         if end < 0:
             raise ValueError("no chunk size")
-        size = int(body[at:end].split(b";")[0], 16)
+        stated = body[at:end].split(b";")[0].strip()
+        if not CHUNK_SIZE.fullmatch(stated):
+            raise ValueError("bad chunk size")
+        size = int(stated, 16)
         if size == 0:
             return b"".join(found)
         at = end + 2 + size
@@ -196,17 +279,20 @@ def unchunked(body: bytes) -> bytes:
         at += 2
 
 
+NUMBERS = ("x-page-id", "x-refers-to-page", "x-payload-length", "warc-segment-total-length")
+
+
 def decoded(headers: dict[str, str], block: bytes) -> dict:
     """A row of ``RECORDS`` from the headers and the whole block of a record."""
-    page, refers = headers.get("x-page-id"), headers.get("x-refers-to-page")
     digest = headers.get("warc-payload-digest", "").removeprefix("sha256:")
-    size, kind = headers.get("x-payload-length"), headers.get("warc-type")
+    kind = headers.get("warc-type")
+    bad = [name for name in NUMBERS if headers.get(name) and number_in(headers, name) is None]
     row = {
         "record_id": headers.get("warc-record-id"), "type": kind,
-        "page_id": int(page) if page else None, "url": headers.get("warc-target-uri"),
-        "refers_to": int(refers) if refers else None, "digest": digest or None,
-        "payload_bytes": int(size) if size else None, "payload": None,
-        "error": headers.get("error"),
+        "page_id": number_in(headers, "x-page-id"), "url": headers.get("warc-target-uri"),
+        "refers_to": number_in(headers, "x-refers-to-page"), "digest": digest or None,
+        "payload_bytes": number_in(headers, "x-payload-length"), "payload": None,
+        "error": headers.get("error") or (f"bad {bad[0]}" if bad else None),
     }
     if kind == "response" and not row["error"]:
         head, _, body = block.partition(b"\r\n\r\n")
@@ -236,8 +322,16 @@ def read_archive(spark: SparkSession, folder: str, with_payload: bool = True) ->
         "origin string, number int, total bigint, headers map<string,string>, block binary"
     )
 
-    def is_part(headers: dict[str, str]) -> bool:
-        return "warc-segment-number" in headers
+    def origin_of(headers: dict[str, str]) -> str | None:
+        """The record that a segment belongs to; None of a record that is whole or unfit to be joined."""
+        if "warc-segment-number" not in headers or "error" in headers:
+            return None
+        number, own = number_in(headers, "warc-segment-number"), headers.get("warc-record-id")
+        origin = headers.get("warc-segment-origin-id", own)
+        if number is None or not 1 <= number < 1 << 31 or not origin:
+            headers["error"] = "bad warc-segment-number" if origin else "no record id"
+            return None
+        return origin
 
     def row_of(headers, block):
         row = decoded(headers, block)
@@ -248,7 +342,7 @@ def read_archive(spark: SparkSession, folder: str, with_payload: bool = True) ->
             for content in batch.column(0):
                 rows, held = [], 0
                 for headers, block in file_records(content.as_py()):
-                    if is_part(headers):
+                    if origin_of(headers):
                         continue
                     rows.append(row_of(headers, block))
                     held += len(rows[-1]["payload"] or b"")
@@ -268,13 +362,12 @@ def read_archive(spark: SparkSession, folder: str, with_payload: bool = True) ->
         for batch in batches:
             for content in batch.column(0):
                 for headers, block in file_records(content.as_py()):
-                    if not is_part(headers):
+                    origin = origin_of(headers)
+                    if not origin:
                         continue
-                    origin = headers.get("warc-segment-origin-id", headers.get("warc-record-id"))
-                    total = headers.get("warc-segment-total-length")
                     row = {
-                        "origin": origin, "number": int(headers["warc-segment-number"]),
-                        "total": int(total) if total else None,
+                        "origin": origin, "number": number_in(headers, "warc-segment-number"),
+                        "total": number_in(headers, "warc-segment-total-length"),
                         "headers": list(headers.items()), "block": block,
                     }
                     yield pa.RecordBatch.from_pylist([row], part_type)
