@@ -15,10 +15,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from creditloom.functions.versions import register_versions  # noqa: E402
 from creditloom.operators import page_nodes as P  # noqa: E402
-from creditloom.operators.concurrent import start_all  # noqa: E402
+from creditloom.operators.concurrent import run_all  # noqa: E402
 from creditloom.plans import report_sql, reports  # noqa: E402
 from creditloom.plans import sales as S  # noqa: E402
-from creditloom.sources import csv_text, log_table, views  # noqa: E402
+from creditloom.sources import csv_text, log_table, rollup, views  # noqa: E402
 from creditloom.sources.shared import checkpointed  # noqa: E402
 
 # The operators for training data are a part that can be taken away.
@@ -61,6 +61,19 @@ def user_credits_sql(spark, sf):
     return S.with_place(report)
 
 
+def user_credits_rollup(spark, sf):
+    """The report from an hourly rollup, whose last days are refreshed a second time."""
+    usage, metering = views.usage_history(spark, sf), views.metering(spark, sf)
+    first, last = CREDITS_AS_OF.date() - timedelta(days=31), CREDITS_AS_OF.date()
+    # The test history goes on after the day of the report, and the report takes all of it.
+    end = usage.agg(F.to_date(F.max("start_time"))).first()[0] or last
+    with rollup.passing_rollup(spark) as name:
+        rollup.refresh(name, usage, first, end)
+        rollup.refresh(name, usage, last, end)
+        hours = rollup.hours_since(spark.table(name), CREDITS_AS_OF)
+        return checkpointed(reports.shares_of_hours(hours, metering, CREDITS_AS_OF))
+
+
 def daily_credits(spark, sf):
     return reports.daily_credits(views.metering(spark, sf), CREDITS_AS_OF)
 
@@ -100,6 +113,18 @@ def log_table_append(spark, sf):
         return checkpointed(spark.table(name))
 
 
+def log_table_rerun(spark, sf):
+    """The report of a run that went wrong, logged again: what the second run says stays, once."""
+    with log_table.passing_log_table(spark, by_day=True) as name:
+        log_table.append_values(spark, name, log_table.SAMPLE_ROWS)
+        daily = daily_credits(spark, sf)
+        wrong = (F.col("credits_used_date_wh") * 3).cast("decimal(38,0)")
+        log_table.log_days(name, daily.withColumn("credits_used_date_wh", wrong))
+        for _ in range(2):
+            log_table.log_days(name, daily)
+        return checkpointed(spark.table(name))
+
+
 def credit_html_rows(spark, sf):
     daily = daily_credits(spark, sf)
     return daily.select(reports.daily_credit_html(daily).alias("html"))
@@ -299,28 +324,25 @@ def concurrent_counts(spark, sf):
         "without pool": usage.filter(F.col("warehouse_name").isNull()),
         "working": usage.filter(F.col("execution_time") > 0),
     }
-    started = start_all(spark, {label: rows.count for label, rows in counted.items()})
-    counts = [(label, future.result()) for label, future in started.items()]
-    return spark.createDataFrame(counts, "label string, n bigint")
+    counts = run_all(spark, {label: rows.count for label, rows in counted.items()})
+    return spark.createDataFrame(list(counts.items()), "label string, n bigint")
 
 
 # --- the driver's dictionaries --------------------------------------------------------------------
 
 
-def _rounded(name: str, digits: int, plan):
-    return lambda spark, sf: plan(spark, sf).withColumn(name, F.round(name, digits))
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         "user_credits": user_credits,
         "user_credits_sql": user_credits_sql,
+        "user_credits_rollup": user_credits_rollup,
         "daily_credits": daily_credits,
         "daily_credits_sql": daily_credits_sql,
         "query_shapes": query_shapes,
         "query_shapes_sql": query_shapes_sql,
         "credit_matrix": credit_matrix,
         "log_table_append": log_table_append,
+        "log_table_rerun": log_table_rerun,
         "credit_html_rows": credit_html_rows,
         "user_html_rows": user_html_rows,
         "report_fragment": report_fragment,
@@ -333,10 +355,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sales_join_logs": sales_join_logs,
         "sales_sort": on_sales(lambda s: S.with_place(S.by_quantity_then_cost(s, S.TIES))),
         "sales_sort_override": on_sales(lambda s: S.with_place(S.by_quantity_and_cost(s, S.TIES))),
-        "sales_totals": _rounded("qty_stddev", 6, on_sales(S.quantity_totals)),
+        "sales_totals": on_sales(S.quantity_totals),
         "sales_minmax": on_sales(S.extremes),
         "sales_minmax_dict": on_sales(S.extremes_by_dict),
-        "sales_by_date": _rounded("std_dev", 4, on_sales(S.by_date)),
+        "sales_by_date": on_sales(S.by_date),
         "sales_row_number": on_sales(S.numbered),
         "sales_fill_null": on_sales(S.filled),
         "sales_limit_count": sales_limit_count,
@@ -370,8 +392,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
         return run
 
-    corpus = {"pipeline": corpus_pipeline.run, **llm.queries()} if llm else {}
-    return {name: in_utc(plan) for name, plan in found.items()} | corpus
+    return {name: in_utc(plan) for name, plan in found.items()} | corpus_queries()
+
+
+def corpus_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Those of the operators for training data, none without that part."""
+    return {"pipeline": corpus_pipeline.run, **llm.queries()} if llm else {}
 
 
 SALES = """sales AS (
@@ -507,6 +533,15 @@ def _fixed_lines() -> str:
     return ", ".join(rows)
 
 
+def _stddev(whole: str, unit: float) -> str:
+    """The sample standard deviation by whole numbers: of values in their smallest unit."""
+    whole = f"CAST({whole} AS HUGEINT)"
+    spread = f"count({whole}) * sum({whole} * {whole}) - sum({whole}) * sum({whole})"
+    n = f"CAST(count({whole}) AS DOUBLE)"
+    return f"""CASE WHEN count({whole}) > 1
+      THEN sqrt(CAST({spread} AS DOUBLE) / ({n} * ({n} - 1))) / CAST({unit} AS DOUBLE) END"""
+
+
 def _decoded(text: str) -> str:
     """Character references in titles, items and links; the last ``;`` may be missing."""
     return f"""regexp_replace(replace({text}, '&quot;', '"'), '&amp;?', '&', 'g')"""
@@ -520,6 +555,12 @@ def oracle_sql() -> dict[str, str]:
     )
     daily_credits_sql = f"WITH {DAILY_CREDITS} SELECT {daily_columns} FROM daily"
     query_shapes_sql = f"WITH {QUERY_SHAPES} SELECT * FROM shapes"
+    logged_sql = f"""WITH {DAILY_CREDITS}
+            SELECT {daily_columns} FROM daily
+            UNION ALL
+            SELECT DATE '2022-11-08', name, CAST(credits AS DECIMAL(38,0))
+            FROM (VALUES ('ETL_WH', 433), ('ML_LOAD_WH', 1398), ('ADHOC_WH', 466),
+                         ('USER_WH', 245), ('ANALYTICS_WH', 683)) AS v(name, credits)"""
     # The log holds each day once as it is and once at three times the amount.
     matrix = ", ".join(
         f"avg(CAST(credits AS DOUBLE)) FILTER (WHERE start_date = DATE '{day}') AS \"{day}\""
@@ -531,6 +572,7 @@ def oracle_sql() -> dict[str, str]:
         CAST(max(cs_wholesale_cost) AS DECIMAL(12,2)) AS max_cs_wholesale_cost FROM sales"""
     return corpus_sql | {
         "user_credits": user_credits_sql,
+        "user_credits_rollup": user_credits_sql,
         "user_credits_sql": f"""WITH {USER_CREDITS}
             SELECT *, row_number() OVER (ORDER BY approximate_credits_used DESC,
                                          user_name NULLS FIRST, warehouse_name) AS place
@@ -544,12 +586,8 @@ def oracle_sql() -> dict[str, str]:
                     UNION ALL
                     SELECT start_date, warehouse_name, credits_used_date_wh * 3 FROM daily)
             SELECT warehouse_name, {matrix} FROM log GROUP BY warehouse_name""",
-        "log_table_append": f"""WITH {DAILY_CREDITS}
-            SELECT {daily_columns} FROM daily
-            UNION ALL
-            SELECT DATE '2022-11-08', name, CAST(credits AS DECIMAL(38,0))
-            FROM (VALUES ('ETL_WH', 433), ('ML_LOAD_WH', 1398), ('ADHOC_WH', 466),
-                         ('USER_WH', 245), ('ANALYTICS_WH', 683)) AS v(name, credits)""",
+        "log_table_append": logged_sql,
+        "log_table_rerun": logged_sql,
         "credit_html_rows": f"""WITH {DAILY_CREDITS}
             SELECT concat('<tr><td>', start_date, '</td><td>', warehouse_name, '</td><td>',
                           CAST(credits_used_date_wh AS BIGINT), '</td></tr>') AS html
@@ -592,13 +630,13 @@ def oracle_sql() -> dict[str, str]:
             FROM sales WHERE {priced}""",
         "sales_totals": f"""WITH {SALES}
             SELECT CAST(sum(cs_quantity) AS BIGINT) AS qty_sum,
-                   round(stddev_samp(cs_quantity), 6) AS qty_stddev,
+                   {_stddev("cs_quantity", 1)} AS qty_stddev,
                    count(cs_quantity) AS qty_count FROM sales""",
         "sales_minmax": minmax,
         "sales_minmax_dict": minmax,
         "sales_by_date": f"""WITH {SALES}
             SELECT cs_sold_date_sk, CAST(sum(cs_quantity) AS BIGINT) AS qty_sum,
-                   round(stddev_samp(CAST(cs_wholesale_cost AS DOUBLE)), 4) AS std_dev
+                   {_stddev("cs_wholesale_cost * 100", 100)} AS std_dev
             FROM sales GROUP BY cs_sold_date_sk""",
         "sales_row_number": f"""WITH {SALES}, numbered AS (
               SELECT *, row_number() OVER (

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from creditloom.functions.dates import moment, month_before
 from creditloom.functions.text import float_text, html_row
 from creditloom.operators.aggregates import pivot_mean
-from creditloom.operators.joins import SALTS, join_hot_keys
+from creditloom.operators.joins import PART_ROWS, join_hot_keys
 
 
 def daily_credits(metering: DataFrame, as_of: datetime) -> DataFrame:
@@ -55,38 +55,54 @@ def cents(total: Column) -> Column:
     return F.round(F.round(total, 9), 2).cast("decimal(18,2)")
 
 
-def user_shares(
-    usage: DataFrame, metering: DataFrame, as_of: datetime, salts: int = SALTS
-) -> DataFrame:
-    """``user_credits`` without its order.
+POOL_HOUR = ["warehouse_name", "start_hour"]
 
-    The first aggregate shrinks the history to (user, pool, hour) before anything else moves. The
-    hour totals meet the credits first, both with one row per pool and hour, and then the user rows,
-    where a busy hour with a large part of them is salted by user.
-    """
-    since = month_before(as_of, usage, "start_time")
-    pool_hour = ["warehouse_name", "start_hour"]
+
+def user_hours(usage: DataFrame) -> DataFrame:
+    """``(user_name, warehouse_name, start_hour, user_time)``: the time that counts, by hour."""
     hour = F.date_trunc("hour", "start_time").alias("start_hour")
-    user_hour = (
-        usage.filter(F.col("warehouse_name").isNotNull())
-        .filter((F.col("execution_time") > 0) & (F.col("start_time") > since))
+    return (
+        usage.filter(F.col("warehouse_name").isNotNull() & (F.col("execution_time") > 0))
         .groupBy("user_name", "warehouse_name", hour)
         .agg(F.sum("execution_time").alias("user_time"))
         .filter(F.col("start_hour").isNotNull())
     )
+
+
+def user_shares(
+    usage: DataFrame, metering: DataFrame, as_of: datetime, part_rows: int = PART_ROWS
+) -> DataFrame:
+    """``user_credits`` without its order.
+
+    The first aggregate shrinks the history to (user, pool, hour) before anything else moves; see
+    ``shares_of_hours`` for the rest.
+    """
+    since = month_before(as_of, usage, "start_time")
+    user_hour = user_hours(usage.filter(F.col("start_time") > since))
+    return shares_of_hours(user_hour, metering, as_of, part_rows)
+
+
+def shares_of_hours(
+    user_hour: DataFrame, metering: DataFrame, as_of: datetime, part_rows: int = PART_ROWS
+) -> DataFrame:
+    """``user_credits`` without its order, from ``user_hours`` of the period.
+
+    The hour totals meet the credits first, both with one row per pool and hour, and then the user rows,
+    where a busy hour with very many of them is cut by user. The totals carry the number of users, so the
+    busy hours need no count of their own.
+    """
     # No query of the period starts in an earlier hour; this bound also spares reading old credits.
     first_hour = F.date_trunc("hour", month_before(as_of, metering, "start_time"))
     credits = metering.filter(F.col("start_time") >= first_hour).select(
         "warehouse_name", F.col("start_time").alias("start_hour"), "credits_used"
     )
-    hours = (
-        user_hour.groupBy(*pool_hour)
-        .agg(F.sum("user_time").alias("hour_time"))
-        .join(credits, pool_hour)
+    totals = user_hour.groupBy(*POOL_HOUR).agg(
+        F.sum("user_time").alias("hour_time"), F.count("*").alias("key_rows")
     )
+    hours = totals.join(credits, POOL_HOUR).drop("key_rows")
     used = share_of(F.col("user_time"), F.col("hour_time"), F.col("credits_used"))
     return (
-        join_hot_keys(user_hour, hours, pool_hour, ["user_name"], salts)
+        join_hot_keys(user_hour, hours, POOL_HOUR, ["user_name"], part_rows, totals)
         .groupBy("user_name", "warehouse_name")
         .agg(cents(F.sum(used)).alias("approximate_credits_used"))
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.operators.aggregates import by_name
+from creditloom.operators.aggregates import by_name, exact_stddev
 from creditloom.operators.numbering import global_row_number, numbered_as_sorted
 from creditloom.operators.ordering import directed, sort_spread
 
@@ -79,7 +79,7 @@ def quantity_totals(sales: DataFrame) -> DataFrame:
     quantity = F.col("cs_quantity")
     return sales.agg(
         F.sum(quantity).alias("qty_sum"),
-        F.stddev(quantity).alias("qty_stddev"),
+        exact_stddev(sales, "cs_quantity").alias("qty_stddev"),
         F.count(quantity).alias("qty_count"),
     )
 
@@ -102,7 +102,8 @@ def extremes_by_dict(sales: DataFrame) -> DataFrame:
 
 def by_date(sales: DataFrame) -> DataFrame:
     return sales.groupBy("cs_sold_date_sk").agg(
-        F.sum("cs_quantity").alias("qty_sum"), F.stddev("cs_wholesale_cost").alias("std_dev")
+        F.sum("cs_quantity").alias("qty_sum"),
+        exact_stddev(sales, "cs_wholesale_cost").alias("std_dev"),
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from creditloom.functions.versions import register_versions
-from creditloom.operators.concurrent import collect_nowait, start_all
+from creditloom.operators.concurrent import collect_nowait, run_all, start_all, stream_nowait
 
 
 def test_function_from_sql(spark):
@@ -76,3 +76,64 @@ def test_lazy_until_an_action(spark):
     df = spark.range(3).select((F.lit(1) / (F.col("id") - 1)).alias("x"))
     with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
         df.collect()
+
+
+def slow_count(spark, seconds=120):
+    """A job that takes that long, unless it is interrupted."""
+
+    def wait(batches):
+        for batch in batches:
+            time.sleep(seconds)
+            yield batch
+
+    return lambda: spark.range(4, numPartitions=2).mapInArrow(wait, "id bigint").count()
+
+
+def test_run_all(spark):
+    found = run_all(spark, {"a": spark.range(3).count, "b": lambda: spark.range(5).first()[0]})
+    assert found == {"a": 3, "b": 0}
+    assert run_all(spark, {}) == {}
+
+
+def test_the_first_failure_stops_the_others(spark):
+    def bad():
+        time.sleep(2)
+        return spark.sql("select * from no_such_table").collect()
+
+    start = time.monotonic()
+    with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
+        run_all(spark, {"slow": slow_count(spark), "bad": bad})
+    assert time.monotonic() - start < 60
+    assert spark.range(7).count() == 7
+
+
+def test_stream_gives_all_rows_in_order(spark):
+    rows = spark.range(0, 5000, 1, 7)
+    with stream_nowait(rows, "all", ahead=10) as stream:
+        assert [r["id"] for r in stream] == list(range(5000))
+    assert list(stream) == []
+    assert list(stream_nowait(spark.range(0), "none")) == []
+
+
+def test_stream_starts_before_the_last_partition_is_done(spark):
+    def wait(batches):
+        from pyspark import TaskContext
+
+        for batch in batches:
+            time.sleep(0 if TaskContext.get().partitionId() < 2 else 120)
+            yield batch
+
+    start = time.monotonic()
+    with stream_nowait(spark.range(0, 400, 1, 4).mapInArrow(wait, "id bigint"), "slow end") as stream:
+        assert [next(stream)["id"] for _ in range(100)] == list(range(100))
+    # Left early: what is still running is interrupted.
+    stream.future.result(timeout=60)
+    assert time.monotonic() - start < 60
+
+
+def test_stream_raises_the_error_of_its_query(spark):
+    rows = spark.range(0, 100, 1, 4).select((F.lit(1) / (F.col("id") - 60)).alias("x"))
+    stream = stream_nowait(rows, "bad row")
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        list(stream)
+    assert list(stream) == []

@@ -8,7 +8,7 @@ from creditloom.sources.views import TABLES
 import __spark_entry__ as entry_module
 
 ORACLE = entry_module.oracle_sql()
-CORPUS = entry_module.llm.queries() if entry_module.llm else {}
+CORPUS = entry_module.corpus_queries()
 QUERIES = {name: plan for name, plan in entry_module.queries().items() if name not in CORPUS}
 
 

@@ -1,14 +1,17 @@
+import re
 from collections import defaultdict
 from decimal import ROUND_HALF_UP, Decimal
 from random import Random
 
 import pandas as pd
 import pytest
-from conftest import METERING, USAGE, at
+from conftest import METERING, USAGE, at, executed_plan
 from pyspark.sql import functions as F
 
 from creditloom.functions.text import float_text, html_row
+from creditloom.operators.joins import join_hot_keys, key_counts
 from creditloom.plans import report_sql, reports
+from creditloom.sources import rollup
 
 
 def usage_row(
@@ -68,8 +71,8 @@ def test_unknown_user_keeps_its_share(spark):
     assert credits_of(spark, usage, [meter_row()])[(None, "A_WH")] == 0.5
 
 
-@pytest.mark.parametrize("salts", [1, 16])
-def test_credits_against_brute_force(spark, salts):
+@pytest.mark.parametrize("part_rows", [3, 10**6])
+def test_credits_against_brute_force(spark, part_rows):
     """A third of the rows fall into one hour of one pool."""
     rng = Random(7)
     usage, metering = [], []
@@ -95,7 +98,7 @@ def test_credits_against_brute_force(spark, salts):
         if (pool, hour) in price:
             expected[user, pool] += time / per_hour[pool, hour] * price[pool, hour]
 
-    actual = credits_of(spark, usage, metering, salts=salts)
+    actual = credits_of(spark, usage, metering, part_rows=part_rows)
     assert actual == {key: pytest.approx(value, abs=0.0051) for key, value in expected.items()}
 
 
@@ -128,7 +131,7 @@ def test_cents_are_exact_in_every_plan(spark, conf):
     tables = dict(zip(("usage", "metering"), frames))
     for threshold in ("-1", "10MB"):
         conf(spark__sql__autoBroadcastJoinThreshold=threshold)
-        plans = [reports.user_shares(*frames, at("2024-02-10"), salts=s) for s in (1, 16)]
+        plans = [reports.user_shares(*frames, at("2024-02-10"), part_rows=n) for n in (5, 10**6)]
         plans.append(report_sql.run_report(spark, report_sql.USER_CREDITS, at("2024-02-10"), tables))
         for plan in plans:
             assert {(r[0], r[1]): r[2] for r in plan.collect()} == rounded
@@ -281,3 +284,95 @@ def test_fragment_keeps_the_order(spark):
         "<tr><td>a</td><td>5</td><td>0.5</td></tr>"
         "<tr><td>b</td><td>5</td><td>1.0</td></tr>"
     )
+
+
+# --- hot keys
+
+
+def hot_rows(spark, n=9000):
+    """A third of the rows have one key, some none."""
+    key = F.when(F.col("id") % 3 == 0, -1).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 100)
+    return spark.range(0, n, 1, 8).select(key.alias("k"), F.col("id").alias("x"))
+
+
+def key_side(spark):
+    return spark.createDataFrame([(-1, "hot"), (None, "none"), *[(i, f"s{i}") for i in range(0, 100, 2)]], "k bigint, s string")
+
+
+def test_a_hot_key_is_spread_and_no_other_is(spark, conf):
+    conf(spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="16",
+         spark__sql__autoBroadcastJoinThreshold="-1")
+    rows, side = hot_rows(spark), key_side(spark)
+    joined = join_hot_keys(rows, side, ["k"], ["x"], part_rows=100)
+    assert sorted(joined.collect()) == sorted(rows.join(side, "k").collect())
+    placed = joined.withColumn("task", F.spark_partition_id())
+    where = placed.groupBy("k").agg(F.countDistinct("task").alias("tasks"), F.count("*").alias("n"))
+    tasks = {r["k"]: (r["tasks"], r["n"]) for r in where.collect()}
+    assert tasks.pop(-1)[0] >= 12
+    # The other keys have some sixty rows and stay in one place each.
+    assert all(found == 1 for found, _ in tasks.values())
+
+
+def test_counts_of_the_caller_are_used(spark):
+    rows, side = hot_rows(spark), key_side(spark)
+    counts = key_counts(rows, ["k"]).withColumn("key_rows", F.lit(10**9))
+    plain = sorted(rows.join(side, "k").collect())
+    assert sorted(join_hot_keys(rows, side, ["k"], ["x"], 10**8, counts).collect()) == plain
+
+
+# --- rollup
+
+
+def rolled(spark, usage, metering, as_of, *days):
+    frames = spark.createDataFrame(usage, USAGE), spark.createDataFrame(metering, METERING)
+    with rollup.passing_rollup(spark) as name:
+        for first, last in days:
+            rollup.refresh(name, frames[0], at(first).date(), at(last).date())
+        hours = rollup.hours_since(spark.table(name), at(as_of))
+        shares = reports.shares_of_hours(hours, frames[1], at(as_of))
+        return {(r[0], r[1]): float(r[2]) for r in shares.collect()}
+
+
+def test_rollup_gives_the_same_report(spark):
+    rng = Random(5)
+    usage, metering = [], []
+    for day in (9, 10, 11, 12):
+        for hour in range(24):
+            metering.append(meter_row(start=f"2024-01-{day:02d} {hour:02d}:00:00", credits=str(rng.randint(1, 9))))
+            for _ in range(4):
+                minute = rng.choice(["00:00", "00:00", "00:01", "30:00"])
+                usage.append(
+                    usage_row(f"u{rng.randrange(5)}", rng.choice(["A_WH", None]),
+                              f"2024-01-{day:02d} {hour:02d}:{minute}", rng.choice([0, 7, 30]))
+                )
+    span = ("2024-01-09", "2024-01-12")
+    for as_of in ("2024-02-10", "2024-02-10 05:00:00", "2024-02-11 23:00:00"):
+        expected = credits_of(spark, usage, metering, as_of)
+        assert expected and rolled(spark, usage, metering, as_of, span) == expected
+        # Days written twice, and one by one, are the same.
+        assert rolled(spark, usage, metering, as_of, span, ("2024-01-11", "2024-01-12")) == expected
+    with pytest.raises(ValueError, match="full hours"):
+        rolled(spark, usage, metering, "2024-02-10 05:30:00", span)
+
+
+def test_a_corrected_day_replaces_the_old_one(spark):
+    first = spark.createDataFrame([usage_row("a", time=5), usage_row("b", start="2024-01-16 10:00:00")], USAGE)
+    second = spark.createDataFrame([usage_row("a", time=9)], USAGE)
+    with rollup.passing_rollup(spark) as name:
+        rollup.refresh(name, first, at("2024-01-15").date(), at("2024-01-16").date())
+        rollup.refresh(name, second, at("2024-01-15").date(), at("2024-01-15").date())
+        found = {(r["user_name"], r["user_time"]) for r in spark.table(name).collect()}
+        assert found == {("a", 9), ("b", 100)}
+        rollup.drop_days(spark, name, at("2024-01-16").date())
+        assert spark.table(name).count() == 1
+
+
+def test_the_report_reads_the_rollup_and_only_its_days(spark):
+    usage = [usage_row(start=f"2024-01-{day:02d} 10:30:00") for day in range(1, 30)]
+    with rollup.passing_rollup(spark) as name:
+        rollup.refresh(name, spark.createDataFrame(usage, USAGE), at("2024-01-01").date(), at("2024-01-30").date())
+        hours = rollup.hours_since(spark.table(name), at("2024-02-20"))
+        plan = executed_plan(hours)
+        assert plan.count("FileScan") == 1 and "usage_hours_" in plan
+        assert re.search(r"PartitionFilters: \[[^]]*day[^]]*>= 2024-01-20", plan)
+        assert hours.count() == 10

@@ -1,8 +1,11 @@
+import statistics
 from decimal import Decimal
+from random import Random
 
 import pytest
+from pyspark.sql import functions as F
 
-from creditloom.operators.aggregates import by_name
+from creditloom.operators.aggregates import by_name, exact_stddev
 from creditloom.operators.ordering import directed, sort_spread
 from creditloom.plans import sales as S
 from creditloom.sources import views
@@ -107,3 +110,36 @@ def test_fill_leaves_other_columns(spark):
 def test_fill_keeps_the_type(spark):
     df = S.filled(frame(spark, sale(quantity=None, cost=None)), 7.9)
     assert df.first()["cs_quantity"] == 7
+
+
+def deviations(df):
+    return df.agg(*[exact_stddev(df, name).alias(name) for name in df.columns]).first()
+
+
+def test_deviation_is_the_same_for_any_partitions(spark):
+    some = Random(4)
+    rows = [
+        (some.choice([None, some.randint(-9, 10**6)]), Decimal(some.randint(-(10**9), 10**9)).scaleb(-2), 5)
+        for _ in range(3000)
+    ]
+    df = spark.createDataFrame(rows, "a int, b decimal(12,2), c bigint")
+    found = {tuple(deviations(df.repartition(n))) for n in (1, 7, 200)}
+    found |= {tuple(deviations(df.orderBy(F.rand(n)))) for n in (1, 2)}
+    ((a, b, c),) = found
+    assert a == pytest.approx(statistics.stdev(r[0] for r in rows if r[0] is not None), rel=1e-12)
+    assert b == pytest.approx(statistics.stdev(float(r[1]) for r in rows), rel=1e-12)
+    assert c == 0
+
+
+def test_deviation_of_few_and_large_values(spark):
+    schema = "a bigint, b decimal(12,2)"
+    one = spark.createDataFrame([(1, Decimal("2.50")), (None, None)], schema)
+    assert tuple(deviations(one)) == (None, None)
+    assert tuple(deviations(one.limit(0))) == (None, None)
+    two = spark.createDataFrame([(10**9, Decimal("9999999999.99")), (10**9 + 2, Decimal("9999999999.97"))], schema)
+    assert deviations(two)["a"] == pytest.approx(2**0.5, rel=1e-15)
+    assert deviations(two)["b"] == pytest.approx(0.02 / 2**0.5, rel=1e-12)
+    # Products beyond 38 digits: still a result, still the same for any order.
+    huge = spark.createDataFrame([(4 * 10**17 - i * 10**16, Decimal(i)) for i in range(40)], schema)
+    assert deviations(huge)["a"] == pytest.approx(statistics.stdev(i * 1e16 for i in range(40)), rel=1e-6)
+    assert len({deviations(huge.repartition(n))["a"] for n in (1, 3, 11)}) == 1

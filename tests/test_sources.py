@@ -154,6 +154,65 @@ def test_log_table(spark):
     assert spark.table(name.removeprefix("spark_catalog.")).count() == 6
 
 
+def day_rows(spark, *rows):
+    schema = "warehouse_name string, start_date date, credits_used_date_wh decimal(38,0)"
+    return spark.createDataFrame([(pool, date(2024, 1, day), Decimal(n)) for pool, day, n in rows], schema)
+
+
+def logged(spark, name):
+    return sorted(
+        (r["start_date"].day, r["warehouse_name"], int(r["credits_used_date_wh"]))
+        for r in spark.table(name).collect()
+    )
+
+
+def test_a_repeated_run_logs_once(spark):
+    with log_table.passing_log_table(spark, by_day=True) as name:
+        first = day_rows(spark, ("A", 1, 5), ("B", 1, 6), ("A", 2, 7))
+        for _ in range(2):
+            log_table.log_days(name, first)
+        assert logged(spark, name) == [(1, "A", 5), (1, "B", 6), (2, "A", 7)]
+        # Another run has one of the days, with a pool less, and a new one.
+        log_table.log_days(name, day_rows(spark, ("A", 2, 8), ("A", 3, 9)))
+        assert logged(spark, name) == [(1, "A", 5), (1, "B", 6), (2, "A", 8), (3, "A", 9)]
+        log_table.append_values(spark, name, [(date(2024, 1, 3), "B", 1)])
+        assert logged(spark, name)[-2:] == [(3, "A", 9), (3, "B", 1)]
+        log_table.log_days(name, first.limit(0))
+        assert len(logged(spark, name)) == 5
+
+
+def test_a_failed_run_leaves_the_log_as_it_was(spark):
+    with log_table.passing_log_table(spark, by_day=True) as name:
+        log_table.log_days(name, day_rows(spark, ("A", 1, 5)))
+        bad = day_rows(spark, ("A", 1, 6), ("B", 2, 0)).withColumn(
+            "credits_used_date_wh", (F.lit(1) / F.col("credits_used_date_wh")).cast("decimal(38,0)")
+        )
+        with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+            log_table.log_days(name, bad)
+        assert logged(spark, name) == [(1, "A", 5)]
+
+
+def test_a_lost_column_is_named(spark, sf_dir, tmp_path):
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    part.withColumnRenamed("p_type", "p_kind").write.parquet(f"{tmp_path}/part.parquet")
+    with pytest.raises(ValueError, match="has no column p_type; it has p_partkey.*p_kind"):
+        views.sales_logs(spark, str(tmp_path))
+
+
+def test_further_columns_and_other_case_are_fine(spark, sf_dir, tmp_path):
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").withColumnRenamed("p_type", "P_TYPE")
+    part.withColumn("more", F.lit(1)).write.parquet(f"{tmp_path}/part.parquet")
+    expected = views.sales_logs(spark, sf_dir).collect()
+    assert sorted(views.sales_logs(spark, str(tmp_path)).collect()) == sorted(expected)
+
+
+def test_columns_are_compared_once_per_table(spark, sf_dir, tmp_path):
+    path = f"{tmp_path}/part.parquet"
+    spark.read.parquet(f"{sf_dir}/part.parquet").write.parquet(path)
+    views.require_columns(spark, path, ["p_name"])
+    views.require_columns(spark, path, ["is not asked again"])
+
+
 def test_a_passing_log_table_leaves_nothing(spark):
     with log_table.passing_log_table(spark) as name:
         log_table.append_values(spark, name, log_table.SAMPLE_ROWS)
