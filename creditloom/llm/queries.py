@@ -176,7 +176,7 @@ bodies AS (
   SELECT doc_id, text,
          array_to_string(list_transform(
            list_concat(
-             list_slice(parts[1], list_position(list_transform(parts[1], lambda x: x.notice), false), NULL),
+             parts[1][list_position(list_transform(parts[1], lambda x: x.notice), false):],
              flatten(parts[2:])),
            lambda x: x.l), ' ') AS body
   FROM paragraphs),
