@@ -5,8 +5,9 @@
    shorter passed, and the hashes summed over all texts. A hash that reaches ``least`` sets a bit in a
    table of fixed size. Hashes and bits that coincide let a phrase too many through, never one too few.
 2. The phrases whose bit is set are the candidates. They are dealt by hash into tries of about ``TRIE``
-   candidates. A trie is a double array: state s goes with word w to ``base[s] + w`` if ``check`` there
-   names s. Each is built in a task of its own.
+   candidates. A trie is a double array: state s goes with digit d to ``base[s] + d`` if ``check`` there
+   names s. A word is a number of two digits, so that the children of a state lie close together however
+   many words there are. Each trie is built in a task of its own.
 3. ``TRIES_AT_ONCE`` tries are broadcast, and every task counts in its texts: the states of all word
    positions advance together, a level of the trie at a time, and the accepting states are counted by
    ``bincount``. The counts of all tasks are summed. With more candidates the texts are read again for
@@ -26,8 +27,10 @@ result is empty. Other columns, whatever their names, are not read.
 
 from __future__ import annotations
 
+import math
 import pickle
 import sys
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -260,7 +263,10 @@ def candidates(docs: DataFrame, word_bits, pair_bits, triple_bits) -> DataFrame:
 
 
 class DoubleArray:
-    """Transitions of a trie: from ``state`` with ``symbol`` to ``base[state] + symbol``."""
+    """Transitions of a trie: from ``state`` with ``symbol`` to ``base[state] + symbol``.
+
+    A state gets all its transitions at once. ``symbols`` is how many different ones there are.
+    """
 
     def __init__(self, symbols: int):
         self.symbols = symbols
@@ -328,21 +334,28 @@ class DoubleArray:
 
 @dataclass
 class Trie:
-    """A double array over the numbers of ``keys`` (lang, line feed, word); ``accepts`` numbers phrases."""
+    """A double array over the numbers of ``keys`` (word, lang, line feed), written in two digits of base
+    ``radix``; ``accepts`` numbers phrases."""
 
     keys: pa.Array
     base: np.ndarray
     check: np.ndarray
     accepts: np.ndarray
     size: int
+    radix: int
 
-    def step(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-        """The next states, -1 where there is none; states and symbols below 0 have none."""
-        to = self.base[states] + symbols
-        ok = (states >= 0) & (symbols >= 0) & (to >= 0) & (to < len(self.check))
+    def move(self, states: np.ndarray, digits: np.ndarray) -> np.ndarray:
+        """The next states, -1 where there is none; states and digits below 0 have none."""
+        to = self.base[states] + digits
+        ok = (states >= 0) & (digits >= 0) & (to >= 0) & (to < len(self.check))
         to = np.where(ok, to, 0)
         return np.where(ok & (self.check[to] == states), to, -1)
 
+    def step(self, states: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """The states after a whole word; numbers below 0 are words that no phrase has."""
+        high, low = words // self.radix, words % self.radix
+        return self.move(self.move(states, high), np.where(words < 0, -1, low))
+
     def counts(self, found: Words) -> np.ndarray:
         """How often each phrase occurs."""
         keys = pc.binary_join_element_wise(
@@ -351,16 +364,23 @@ class Trie:
         numbers = pc.fill_null(pc.index_in(keys, value_set=self.keys), -1).to_numpy()
         symbols = numbers.astype(np.int64)[found.codes]
         total = np.zeros(self.size, np.int64)
-        at = np.flatnonzero(symbols >= 0)
-        states = self.step(np.zeros(len(at), np.int64), symbols[at])
-        for _ in range(2):
-            on = (states >= 0) & (at + 1 < len(symbols))
-            at, states = at[on], states[on]
-            on = found.joined[at]
-            at, states = at[on] + 1, states[on]
-            states = self.step(states, symbols[at])
-            accepted = self.accepts[states[states >= 0]]
+        # The first level is the same for every place of a word.
+        numbers = np.arange(len(self.keys))
+        firsts = np.append(self.step(np.zeros(len(numbers), np.int64), numbers), -1)
+        states = firsts[symbols]
+        # Places whose next word is in the same piece and in some phrase.
+        on = found.joined & (symbols[1:] >= 0)
+        at = np.flatnonzero(on & (states[:-1] >= 0))
+        states = states[at]
+        for level in range(2):
+            states = self.step(states, symbols[at + 1])
+            reached = states >= 0
+            accepted = self.accepts[states[reached]]
             total += np.bincount(accepted[accepted >= 0], minlength=self.size)
+            if level == 0:
+                at, states = at[reached] + 1, states[reached]
+                more = (at < len(on)) & on[np.minimum(at, len(on) - 1)]
+                at, states = at[more], states[more]
         return total
 
 
@@ -379,20 +399,33 @@ def build_trie(columns: list[pa.Array], lang: pa.Array) -> Trie:
     w1, w2, w3 = (
         pc.fill_null(pc.index_in(c, value_set=keys), -1).to_numpy().astype(np.int64) for c in keyed
     )
-    size = np.int64(len(keys) + 1)
-    array = DoubleArray(len(keys))
-    first, of_first = np.unique(w1, return_inverse=True)
-    first_states = array.add(np.zeros(len(first), np.int64), first)[of_first]
-    pairs, pair_at, of_pair = np.unique(first_states * size + w2, return_index=True, return_inverse=True)
-    pair_states = array.add(first_states[pair_at], w2[pair_at])[of_pair]
-    long = np.flatnonzero(w3 >= 0)
-    ordered = long[np.lexsort((w3[long], pair_states[long]))]
-    triple_states = array.add(pair_states[ordered], w3[ordered])
+    radix = math.isqrt(len(keys)) + 1
+    array = DoubleArray(radix)
+
+    def add_words(states: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """The state after each word, which may come any number of times after a state."""
+        for digits in (words // radix, words % radix):
+            edges, of_edge = np.unique(states * radix + digits, return_inverse=True)
+            states = array.add(edges // radix, edges % radix)[of_edge]
+        return states
+
+    pair_states = add_words(add_words(np.zeros(len(w1), np.int64), w1), w2)
+    long, short = np.flatnonzero(w3 >= 0), np.flatnonzero(w3 < 0)
+    triple_states = add_words(pair_states[long], w3[long])
     accepts = np.full(array.end, -1, np.int32)
-    short = np.flatnonzero(w3 < 0)
-    accepts[pair_states[short]] = short
-    accepts[triple_states] = ordered
-    return Trie(keys, array.base[: array.end], array.check[: array.end], accepts, len(w1))
+    accepts[pair_states[short]], accepts[triple_states] = short, long
+    base, check = array.base[: array.end].astype(np.int32), array.check[: array.end]
+    return Trie(keys, base, check, accepts, len(w1), radix)
+
+
+def packed(trie: Trie) -> bytes:
+    """The trie as compressed bytes, of its parts: tasks know this module by value, so that its classes
+    have no name to be found by."""
+    return zlib.compress(pickle.dumps(tuple(vars(trie).values())), 1)
+
+
+def unpacked(data: bytes) -> Trie:
+    return Trie(*pickle.loads(zlib.decompress(data)))
 
 
 def tries(found: DataFrame, n: int) -> DataFrame:
@@ -401,9 +434,7 @@ def tries(found: DataFrame, n: int) -> DataFrame:
     def build(group: pa.Table) -> pa.Table:
         group = group.sort_by([(name, "ascending") for name in ("w1", "w2", "w3", "lang")])
         columns = [group[name].combine_chunks() for name in ("w1", "w2", "w3")]
-        # As its parts: tasks know this module by value, so classes have no name to be found by.
-        trie = build_trie(columns, group["lang"].combine_chunks())
-        trie = pickle.dumps((trie.keys, trie.base, trie.check, trie.accepts, trie.size))
+        trie = packed(build_trie(columns, group["lang"].combine_chunks()))
         rows = group.append_column("place", pa.array(range(group.num_rows), pa.int32()))
         rows = rows.append_column("trie", pa.nulls(group.num_rows, pa.binary()))
         whole = {name: None for name in rows.column_names}
@@ -433,8 +464,9 @@ def counted_phrases(docs: DataFrame, found: DataFrame) -> DataFrame:
             .collect()
         )
         shipped = spark.sparkContext.broadcast([(row["shard"], bytes(row["trie"])) for row in rows])
+        del rows
         part = written(_sums(docs, shipped), "counts")
-        shipped.unpersist()
+        shipped.destroy()
         counts = part if counts is None else counts.unionAll(part)
     phrases = built.where("place >= 0").drop("trie")
     return phrases.join(counts, ["shard", "place"]).select(
@@ -446,7 +478,7 @@ def _sums(docs: DataFrame, shipped) -> DataFrame:
     """``(shard, place, n)``: what the tries of a broadcast count in all texts."""
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [(shard, Trie(*pickle.loads(trie))) for shard, trie in shipped.value]
+        held = [(shard, unpacked(trie)) for shard, trie in shipped.value]
         totals = [np.zeros(trie.size, np.int64) for _, trie in held]
         for found in read_words(batches):
             for total, (_, trie) in zip(totals, held):
@@ -518,7 +550,8 @@ def collocations(docs: DataFrame, least: int = 10, share: int = 50, top: int = 2
     triple_bits = context.broadcast(frequent_bits(docs, least, word_bits, pair_bits))
     found = written(candidates(docs, word_bits, pair_bits, triple_bits), "candidates")
     for shipped in (word_bits, pair_bits, triple_bits):
-        shipped.unpersist()
+        shipped.destroy()
+    del word_bits, pair_bits, triple_bits, shipped
     phrases = written(counted_phrases(docs, found).where(F.col("n") >= least), "phrases")
 
     longer = phrases.where("w3 IS NOT NULL")

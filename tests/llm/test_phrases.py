@@ -119,7 +119,22 @@ def test_double_array():
     edges = sorted((state_of[a], b) for a, b in pairs)
     reached = array.add(np.array([s for s, _ in edges]), np.array([b for _, b in edges]))
     assert len(set(reached.tolist()) | set(states.tolist()) | {0}) == len(reached) + len(states) + 1
-    trie = P.Trie(pa.array([], pa.large_string()), array.base, array.check, np.zeros(0), 0)
+    trie = P.Trie(pa.array([], pa.large_string()), array.base, array.check, np.zeros(0), 0, 200)
     for s in sorted(set(states.tolist())):
-        to = trie.step(np.full(200, s), np.arange(200))
+        to = trie.move(np.full(200, s), np.arange(200))
         assert {b for b in range(200) if to[b] >= 0} == {b for t, b in edges if t == s}
+
+
+def test_a_trie_takes_memory_by_its_phrases():
+    """Hot first words with thousands of followers, and a long tail of rare words."""
+    some = random.Random(2)
+    tail = [f"word{i}" for i in range(20_000)]
+    pairs = {(some.choice(["the", "of", "in"]), some.choice(tail)) for _ in range(15_000)}
+    pairs |= {(some.choice(tail), some.choice(tail)) for _ in range(30_000)}
+    pairs |= {(some.choice(tail), "the") for _ in range(10_000)}
+    w1, w2 = (pa.array(words) for words in zip(*sorted(pairs)))
+    trie = P.build_trie([w1, w2, pa.nulls(len(w1), pa.string())], pa.array(["en"] * len(w1)))
+    assert len(trie.base) < 24 * len(w1)
+    text = " . ".join(f"{a} {b}" for a, b in zip(w1.to_pylist(), w2.to_pylist()))
+    assert (trie.counts(P.words_of("en", pa.array([text]))) == 1).all()
+    assert not trie.counts(P.words_of("fr", pa.array([text]))).any()
