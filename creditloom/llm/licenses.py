@@ -211,18 +211,10 @@ RESERVED = r"^[^\p{L}\p{N}]*all rights reserved[^\p{L}\p{N}]*$"
 NOTICE_WORDS = 20
 
 
-def _spelled(form: Column) -> Column:
-    respelled = form
+def _respelled(form: Column) -> Column:
     for pattern, spelling in SPELLINGS:
-        respelled = F.regexp_replace(respelled, pattern, spelling)
-    # Few texts hold any such word; the others are looked at once.
-    any_of = "|".join(pattern for pattern, _ in SPELLINGS)
-    return F.when(form.rlike(any_of), respelled).otherwise(form)
-
-
-def canonical_lines(text: Column) -> Column:
-    """The canonical form of each line, with the line ends kept."""
-    return _spelled(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\n]+", " "))
+        form = F.regexp_replace(form, pattern, spelling)
+    return form
 
 
 def _is_notice(line: Column) -> Column:
@@ -246,21 +238,35 @@ def without_notices(lower: Column) -> Column:
     head = F.array_join(F.slice(first, begin, F.size(first)), "\n")
     rest = F.slice(paragraphs, 2, F.greatest(F.size(paragraphs) - 1, F.lit(0)))
     kept = F.when(F.size(paragraphs) > 0, F.array_join(F.concat(F.array(head), rest), "\n\n"))
-    some = lower.rlike(rf"{NOTICE_SIGN}[^\n]*[0-9]|all rights reserved")
-    return F.when(some, F.coalesce(kept, F.lit(""))).otherwise(lower)
+    return F.coalesce(kept, F.lit(""))
 
 
-def one_line(form: Column) -> Column:
-    return F.trim(F.regexp_replace(form, r"[ \n]+", " "))
+def canonical_forms(rows: DataFrame, text: Column, *names: str) -> DataFrame:
+    """``(*names, form, by_line)``: the canonical form of the whole text, and that of each line with the
+    line ends kept.
 
+    The form are the words of the text, one spelling each, joined by single spaces. Lines are joined before
+    words are respelled, so that a term that a line end cuts is found. What is read more than once is a
+    column of its own before it is read, so it is computed once.
+    """
+    lower = rows.select(*names, F.lower(text).alias("_lower"))
+    plain = lower.select(
+        *names, "_lower", F.regexp_replace("_lower", r"[^\p{L}\p{N}\n]+", " ").alias("_lines")
+    )
+    # Most texts hold no sign of a notice.
+    signs = [F.contains("_lower", F.lit(s)) for s in ("copyright", "(c)", "©", "all rights reserved")]
+    some = signs[0] | signs[1] | signs[2] | signs[3]
+    kept = F.regexp_replace(without_notices(F.col("_lower")), r"[^\p{L}\p{N}]+", " ")
+    words = F.when(some, kept).otherwise(F.regexp_replace("_lines", r"[ \n]+", " "))
+    joined = plain.select(*names, "_lines", F.trim(words).alias("_words"))
+    # Few texts hold a word to respell.
+    any_of = "|".join(pattern for pattern, _ in SPELLINGS)
+    odd = joined.select("*", F.col("_words").rlike(any_of).alias("_odd"))
 
-def canonical(text: Column) -> Column:
-    """The canonical form of a whole text: its words, one spelling each, joined by single spaces.
+    def spelled(form: str) -> Column:
+        return F.when(F.col("_odd"), _respelled(F.col(form))).otherwise(F.col(form))
 
-    Lines are joined before words are respelled, so that a term that a line end cuts is found.
-    """
-    words = F.regexp_replace(without_notices(F.lower(text)), r"[^\p{L}\p{N}]+", " ")
-    return _spelled(F.trim(words))
+    return odd.select(*names, spelled("_words").alias("form"), spelled("_lines").alias("by_line"))
 
 
 def known_texts(spark: SparkSession) -> DataFrame:
@@ -285,9 +291,8 @@ def known_texts(spark: SparkSession) -> DataFrame:
             rows += [(name, header), (name, header + address)]
             rows += [(name, header + address.replace("with {what}".format(**given), f"with {what.lower()}"))]
     known = spark.createDataFrame(rows, "license_id string, text string")
-    form = canonical(F.col("text")).alias("form")
     first = F.min("license_id").alias("license_id")
-    return known.select("license_id", form).groupBy("form").agg(first)
+    return canonical_forms(known, F.col("text"), "license_id").groupBy("form").agg(first)
 
 
 def known_digests(spark: SparkSession, known: DataFrame | None = None) -> DataFrame:
@@ -299,8 +304,8 @@ def known_digests(spark: SparkSession, known: DataFrame | None = None) -> DataFr
     forms = known_texts(spark)
     if known is not None:
         given = known.where("text IS NOT NULL")
-        form = canonical(F.col("text")).alias("form")
-        forms = forms.unionByName(given.select("license_id", form))
+        own = canonical_forms(given, F.col("text"), "license_id")
+        forms = forms.unionByName(own.select("license_id", "form"))
         digests = digests.unionByName(
             known.where("text IS NULL AND digest IS NOT NULL").select("license_id", F.lower("digest").alias("digest"))
         )
@@ -320,8 +325,7 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
-    # Each form is a column of its own first: what is read of it more than once is computed once.
-    forms = docs.select("doc_id", canonical(text).alias("form"), canonical_lines(text).alias("by_line"))
+    forms = canonical_forms(docs, text, "doc_id")
     lines = F.transform(F.split("by_line", "\n"), lambda line: F.xxhash64(F.trim(line)))
     rows = written(
         forms.select(
