@@ -50,6 +50,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 PART_BYTES = 8 << 20
 # Bits of the tables of hashes that reach the least count: 2 MB and 16 MB.
 WORD_BITS, PHRASE_BITS = 24, 27
+# Bits of a hash that are summed by; the tables take the upper ones of these.
+SENT_BITS = 40
 # Candidates of a trie, and the tries of one reading of the texts.
 TRIE, TRIES_AT_ONCE = 1 << 18, 4
 # Places tried for the children of a state before they go to the end of the array.
@@ -161,9 +163,15 @@ def has_bit(table: bytes, hashes: np.ndarray) -> np.ndarray:
     return (byte >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
+def upper(hashes: np.ndarray) -> pa.Array:
+    """The upper ``SENT_BITS`` bits of hashes, which is what is shuffled of them."""
+    return pa.array((hashes >> np.uint64(64 - SENT_BITS)).astype(np.int64))
+
+
 def bits_of(hashes: DataFrame, bits: int) -> bytes:
-    """The table of 2**``bits`` bits of a column ``hash``; its size is fixed, whatever the rows."""
-    place = F.shiftrightunsigned("hash", 64 - bits) + 1
+    """The table of 2**``bits`` bits of a column ``hash`` made by ``upper``; its size is fixed, whatever the
+    rows."""
+    place = F.shiftright("hash", SENT_BITS - bits) + 1
     runs = (
         hashes.select(F.bitmap_bucket_number(place).alias("run"), place.alias("place"))
         .groupBy("run")
@@ -176,19 +184,29 @@ def bits_of(hashes: DataFrame, bits: int) -> bytes:
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """``(lang, word, hash, n)``."""
+    """``(lang, word, n)``."""
 
     def rows(found: Words) -> dict[str, pa.Array]:
         n = len(found.distinct)
         return {
             "lang": pa.array([found.lang] * n, pa.string()),
             "word": found.distinct.cast(pa.string()),
-            "hash": pa.array(found.hashes().view(np.int64)),
             "n": pa.array(np.bincount(found.codes, minlength=n).astype(np.int64)),
         }
 
-    counted = over_words(docs, rows, "lang string, word string, hash bigint, n bigint")
-    return counted.groupBy("lang", "word", "hash").agg(F.sum("n").alias("n"))
+    counted = over_words(docs, rows, "lang string, word string, n bigint")
+    return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
+
+
+def word_hashes(counted: DataFrame) -> DataFrame:
+    """``(hash)``: those of ``(lang, word)``, as ``Words.hashes`` has them."""
+
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mixed = string_hashes(batch.column(1)) ^ string_hashes(batch.column(0))
+            yield pa.RecordBatch.from_pydict({"hash": upper(words.mix(mixed))})
+
+    return counted.select("lang", "word").mapInArrow(read, "hash bigint")
 
 
 @dataclass
@@ -230,7 +248,7 @@ def frequent_bits(docs: DataFrame, least: int, word_bits, pair_bits=None) -> byt
 
     def rows(found: Words) -> dict[str, pa.Array]:
         *_, longest = phrases_of(found, word_bits.value, pair_bits and pair_bits.value)
-        return {"hash": pa.array(longest.hashes.view(np.int64)), "n": pa.array(longest.n)}
+        return {"hash": upper(longest.hashes), "n": pa.array(longest.n)}
 
     summed = over_words(docs, rows, "hash bigint, n bigint").groupBy("hash").agg(
         F.sum("n").alias("n")
@@ -545,7 +563,7 @@ def collocations(docs: DataFrame, least: int = 10, share: int = 50, top: int = 2
     every = written(word_counts(docs), "words")
     single = every.where(F.col("n") >= least)
     totals = every.groupBy("lang").agg(F.sum("n").alias("total"))
-    word_bits = context.broadcast(bits_of(single, WORD_BITS))
+    word_bits = context.broadcast(bits_of(word_hashes(single), WORD_BITS))
     pair_bits = context.broadcast(frequent_bits(docs, least, word_bits))
     triple_bits = context.broadcast(frequent_bits(docs, least, word_bits, pair_bits))
     found = written(candidates(docs, word_bits, pair_bits, triple_bits), "candidates")
