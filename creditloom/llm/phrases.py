@@ -4,6 +4,9 @@
    phrases, that do: so level by level the phrases of two and of three words are hashed where everything
    shorter passed, and the hashes summed over all texts. A hash that reaches ``least`` sets a bit in a
    table of fixed size. Hashes and bits that coincide let a phrase too many through, never one too few.
+   A task sends its hashes in blocks, one a bucket of hashes: sorted, as steps from one to the next, whose
+   upper bytes are nearly all zero, with counts that stop at ``least``. There are as many buckets as the
+   number of words calls for.
 2. The phrases whose bit is set are the candidates. They are dealt by hash into tries of about ``TRIE``
    candidates. A trie is a double array: state s goes with digit d to ``base[s] + d`` if ``check`` there
    names s. A word is a number of two digits, so that the children of a state lie close together however
@@ -50,8 +53,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 PART_BYTES = 8 << 20
 # Bits of the tables of hashes that reach the least count: 2 MB and 16 MB.
 WORD_BITS, PHRASE_BITS = 24, 27
-# Bits of a hash that are summed by; the tables take the upper ones of these.
+# Bits of a hash that are summed by, in whole bytes; the tables take the upper ones of these.
 SENT_BITS = 40
+# Hashes that a task holds before it sends them, and the words of the table for each bucket of hashes.
+HELD, BUCKET_WORDS = 1 << 20, 1 << 19
 # Candidates of a trie, and the tries of one reading of the texts.
 TRIE, TRIES_AT_ONCE = 1 << 18, 4
 # Places tried for the children of a state before they go to the end of the array.
@@ -243,17 +248,71 @@ def phrases_of(found: Words, word_bits: bytes, pair_bits: bytes | None) -> Itera
     yield Phrases([first[pair], second[pair], third], value, n)
 
 
-def frequent_bits(docs: DataFrame, least: int, word_bits, pair_bits=None) -> bytes:
-    """The bits of the hashes of pairs, or with ``pair_bits`` triples, that sum up to ``least``."""
+def summed(hashes: np.ndarray, n: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes, sorted, and the sums of their counts, none of them above ``least``."""
+    order = np.argsort(hashes)
+    hashes = hashes[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = hashes[1:] != hashes[:-1]
+    first = np.flatnonzero(new)
+    sums = np.add.reduceat(n[order], first, dtype=np.int64) if len(first) else np.zeros(0, np.int64)
+    return hashes[first], np.minimum(sums, least).astype(np.min_scalar_type(least))
+
+
+BLOCK = "bucket bigint, steps binary, n binary"
+
+
+def blocks(hashes: np.ndarray, n: np.ndarray, bits: int) -> pa.RecordBatch:
+    """Columns ``BLOCK`` of sorted hashes; the upper ``bits`` of ``SENT_BITS`` name the bucket."""
+    buckets, starts = np.unique(hashes >> np.uint64(SENT_BITS - bits), return_index=True)
+    steps = np.diff(hashes, prepend=np.uint64(0))
+    steps[starts] = hashes[starts]
+    places = steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : SENT_BITS // 8]
+    spans = list(zip(starts, [*starts[1:], len(hashes)]))
+    return pa.RecordBatch.from_pydict(
+        {
+            "bucket": pa.array(buckets.astype(np.int64)),
+            # All lowest bytes first, the highest last.
+            "steps": pa.array([places[i:j].T.tobytes() for i, j in spans], pa.binary()),
+            "n": pa.array([n[i:j].tobytes() for i, j in spans], pa.binary()),
+        }
+    )
 
-    def rows(found: Words) -> dict[str, pa.Array]:
-        *_, longest = phrases_of(found, word_bits.value, pair_bits and pair_bits.value)
-        return {"hash": upper(longest.hashes), "n": pa.array(longest.n)}
 
-    summed = over_words(docs, rows, "hash bigint, n bigint").groupBy("hash").agg(
-        F.sum("n").alias("n")
-    )
-    return bits_of(summed.where(F.col("n") >= least), PHRASE_BITS)
+def hashes_of(steps: bytes) -> np.ndarray:
+    """The hashes of a block."""
+    places = np.frombuffer(steps, np.uint8).reshape(SENT_BITS // 8, -1)
+    whole = np.zeros((places.shape[1], 8), np.uint8)
+    whole[:, : SENT_BITS // 8] = places.T
+    return np.cumsum(whole.view("<u8").ravel(), dtype=np.uint64)
+
+
+def frequent_bits(docs: DataFrame, least: int, n_words: int, word_bits, pair_bits=None) -> bytes:
+    """The bits of the hashes of pairs, or with ``pair_bits`` triples, that sum up to ``least``."""
+    bits = min((n_words // BUCKET_WORDS).bit_length(), SENT_BITS)
+    kind = np.min_scalar_type(least)
+
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, n = np.zeros(0, np.uint64), np.zeros(0, kind)
+        for found in read_words(batches):
+            *_, longest = phrases_of(found, word_bits.value, pair_bits and pair_bits.value)
+            sent = longest.hashes >> np.uint64(64 - SENT_BITS)
+            counts = np.minimum(longest.n, least).astype(kind)
+            del found, longest
+            hashes, n = summed(np.append(hashes, sent), np.append(n, counts), least)
+            if len(hashes) >= HELD:
+                yield blocks(hashes, n, bits)
+                hashes, n = hashes[:0], n[:0]
+        yield blocks(hashes, n, bits)
+
+    def frequent(group: pa.Table) -> pa.Table:
+        hashes = np.concatenate([hashes_of(steps) for steps in group["steps"].to_pylist()])
+        n = np.concatenate([np.frombuffer(counts, kind) for counts in group["n"].to_pylist()])
+        hashes, n = summed(hashes, n, least)
+        return pa.table({"hash": pa.array(hashes[n >= least].astype(np.int64))})
+
+    sent = docs.select("lang", "text").mapInArrow(read, BLOCK)
+    return bits_of(sent.groupBy("bucket").applyInArrow(frequent, "hash bigint"), PHRASE_BITS)
 
 
 CANDIDATE = "lang string, w1 string, w2 string, w3 string"
@@ -563,9 +622,10 @@ def collocations(docs: DataFrame, least: int = 10, share: int = 50, top: int = 2
     every = written(word_counts(docs), "words")
     single = every.where(F.col("n") >= least)
     totals = every.groupBy("lang").agg(F.sum("n").alias("total"))
+    n_words = totals.agg(F.sum("total")).first()[0] or 0
     word_bits = context.broadcast(bits_of(word_hashes(single), WORD_BITS))
-    pair_bits = context.broadcast(frequent_bits(docs, least, word_bits))
-    triple_bits = context.broadcast(frequent_bits(docs, least, word_bits, pair_bits))
+    pair_bits = context.broadcast(frequent_bits(docs, least, n_words, word_bits))
+    triple_bits = context.broadcast(frequent_bits(docs, least, n_words, word_bits, pair_bits))
     found = written(candidates(docs, word_bits, pair_bits, triple_bits), "candidates")
     for shipped in (word_bits, pair_bits, triple_bits):
         shipped.destroy()

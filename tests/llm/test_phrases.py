@@ -1,6 +1,7 @@
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -138,3 +139,39 @@ def test_a_trie_takes_memory_by_its_phrases():
     text = " . ".join(f"{a} {b}" for a, b in zip(w1.to_pylist(), w2.to_pylist()))
     assert (trie.counts(P.words_of("en", pa.array([text]))) == 1).all()
     assert not trie.counts(P.words_of("fr", pa.array([text]))).any()
+
+
+def shuffled_bytes(spark):
+    """Bytes of all shuffles that this session's disk holds."""
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    folders = list(manager.localDirsString())
+    return sum(f.stat().st_size for folder in folders for f in Path(folder).rglob("shuffle_*.data"))
+
+
+def test_hashes_take_few_bytes_of_a_shuffle(spark):
+    """Pairs of random words, nearly all different, take less than five bytes each."""
+    some = random.Random(3)
+    rows = [(i, " ".join(f"w{some.randrange(30_000)}" for _ in range(3000)), "en") for i in range(200)]
+    docs = spark.createDataFrame(rows, SCHEMA).coalesce(2)
+    every = spark.sparkContext.broadcast(b"\xff" * (1 << 12))
+    pairs = len({pair for _, text, _ in rows for pair in zip(text.split(), text.split()[1:])})
+    before = shuffled_bytes(spark)
+    assert any(P.frequent_bits(docs, 2, 600_000, every))
+    assert 0 < shuffled_bytes(spark) - before < 5 * pairs
+
+
+@pytest.mark.parametrize("least", [2, 10, 300])
+def test_blocks_of_hashes(spark, monkeypatch, least):
+    """Many buckets, and a task that sends its hashes bit by bit."""
+    for name, value in (("HELD", 5), ("BUCKET_WORDS", 3), ("PART_BYTES", 300)):
+        monkeypatch.setattr(P, name, value)
+    rows = random_rows(9) + [(i, "of the d " * 4, "en") for i in range(100)]
+    assert found(spark.createDataFrame(rows, SCHEMA), least=least) == plain(rows, least)
+    some = np.random.default_rng(4)
+    hashes = np.append(some.integers(0, 1 << 40, 5000, np.uint64), np.uint64((1 << 40) - 1))
+    hashes, n = P.summed(np.append(hashes, hashes[:9]), np.full(5010, least - 1), least)
+    sent = P.blocks(hashes, n, 7).to_pydict()
+    assert sent["bucket"] == list(range(128))
+    assert (np.concatenate([P.hashes_of(steps) for steps in sent["steps"]]) == hashes).all()
+    counts = np.frombuffer(b"".join(sent["n"]), np.min_scalar_type(least))
+    assert (counts == least).sum() == 9 and (counts >= least - 1).all()
