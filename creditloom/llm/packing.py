@@ -139,7 +139,7 @@ def token_pieces(
 
 
 def clocks(stock: DataFrame, weights: Mapping[str | None, float] | None) -> DataFrame:
-    """``(_source, weight, phases)`` per source: what all have given at a clock time.
+    """``(_source, stock, weight, phases)`` per source: what all have given at a clock time.
 
     ``phases`` are ``(until, base, rate)`` in order: up to clock ``until`` the sources have given
     ``base + rate * clock`` tokens. They end when the source itself runs out. A source that ``weights``
@@ -164,7 +164,7 @@ def clocks(stock: DataFrame, weights: Mapping[str | None, float] | None) -> Data
     own = F.collect_list(F.struct("until", "base", "rate")).over(
         by_end.rowsBetween(Window.unboundedPreceding, 0)
     )
-    return phase.select(F.col("source").alias("_source"), "weight", own.alias("phases"))
+    return phase.select(F.col("source").alias("_source"), "stock", "weight", own.alias("phases"))
 
 
 def packed(
@@ -195,8 +195,14 @@ def packed(
     queue = queue.withColumn("clock", clock).withColumn("now", now)
     # All windows hold equally many tokens.
     filled = F.floor(given * (windows / max(total, 1))).cast("bigint")
+    if weights is None:
+        # So does each source's share of them, in whole numbers: no rounding at a window's end.
+        whole = "decimal(18,0)"
+        filled = F.call_function(
+            "div", F.col("line").cast(whole) * F.lit(windows).cast(whole), F.col("stock").cast(whole)
+        )
     queue = queue.withColumn("window", F.least(filled, F.lit(windows - 1))).drop(
-        "clock", "now", "phases", "weight"
+        "clock", "now", "phases", "weight", "stock"
     )
 
     line = Window.partitionBy("window").orderBy(F.desc("length"), "spread", *order)
