@@ -11,16 +11,20 @@
    candidates. A trie is a double array: state s goes with digit d to ``base[s] + d`` if ``check`` there
    names s. A word is a number of two digits, so that the children of a state lie close together however
    many words there are. Each trie is built in a task of its own.
-3. ``TRIES_AT_ONCE`` tries are broadcast, and every task counts in its texts: the states of all word
+3. Up to ``TRIES_AT_ONCE`` tries are broadcast, and every task counts in its texts: the states of all word
    positions advance together, a level of the trie at a time, and the accepting states are counted by
-   ``bincount``. The counts of all tasks are summed. With more candidates the texts are read again for
-   the next tries, so what is broadcast never grows.
-4. Counts of candidates and of words give the scores in exact decimals, the cut with the lowest score,
+   ``bincount``. The counts of all tasks are summed.
+4. With more candidates than that, the phrases go to the tries and not the tries to the texts, so that
+   the texts are read once however many candidates there are. A task sends the candidates of each part
+   with their counts, a line each, to the bucket that their hash names; there is one for every
+   ``DEALT_WORDS`` words of the table. A bucket adds up a table of hashes of its own, finer than the
+   bits, builds the trie of what reaches ``least`` in it, and that trie counts the lines.
+5. Counts of candidates and of words give the scores in exact decimals, the cut with the lowest score,
    and which candidates lie within a longer one.
 
 Texts never move: shuffled are words, hashes and candidates, summed per part of a task first. A frequent
-word or a common phrase is one row a part. The bits (``WORD_BITS``, ``PHRASE_BITS``) and ``TRIES_AT_ONCE``
-tries are all that goes through the driver.
+word or a common phrase is one row, or one line, a part. The bits (``WORD_BITS``, ``PHRASE_BITS``) and
+``TRIES_AT_ONCE`` tries are all that goes through the driver.
 
 A null text is empty, a null lang ``und``, and both together count with ``und``. Rows that repeat count
 again; ids are not read. Equal scores go by count and then by the phrase, so ranks are the same in every
@@ -57,8 +61,10 @@ WORD_BITS, PHRASE_BITS = 24, 27
 SENT_BITS = 40
 # Hashes that a task holds before it sends them, and the words of the table for each bucket of hashes.
 HELD, BUCKET_WORDS = 1 << 20, 1 << 19
-# Candidates of a trie, and the tries of one reading of the texts.
+# Candidates of a trie, and the tries that are broadcast at once.
 TRIE, TRIES_AT_ONCE = 1 << 18, 4
+# Beyond these, the words of the table for each bucket of phrases, and the places of a bucket's own table.
+DEALT_WORDS, PLACES = 1 << 20, 1 << 21
 # Places tried for the children of a state before they go to the end of the array.
 TRIALS, TRIED = 6, 128
 # What ends a piece, and what ends a word within one.
@@ -223,6 +229,14 @@ class Phrases:
     n: np.ndarray
 
 
+def pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return words.mix(first * np.uint64(words.BASE) + second, 1)
+
+
+def triple_hashes(pair: np.ndarray, third: np.ndarray) -> np.ndarray:
+    return words.mix(pair * np.uint64(words.BASE) + third, 2)
+
+
 def phrases_of(found: Words, word_bits: bytes, pair_bits: bytes | None) -> Iterator[Phrases]:
     """Pairs of frequent words, and with ``pair_bits`` triples both of whose pairs have their bit."""
     hashes, codes = found.hashes(), found.codes
@@ -233,7 +247,7 @@ def phrases_of(found: Words, word_bits: bytes, pair_bits: bytes | None) -> Itera
         codes[at] * size + codes[at + 1], return_inverse=True, return_counts=True
     )
     first, second = pairs // size, pairs % size
-    pair_hash = words.mix(hashes[first] * np.uint64(words.BASE) + hashes[second], 1)
+    pair_hash = pair_hashes(hashes[first], hashes[second])
     yield Phrases([first, second], pair_hash, n)
     if pair_bits is None:
         return
@@ -244,7 +258,7 @@ def phrases_of(found: Words, word_bits: bytes, pair_bits: bytes | None) -> Itera
     start = np.flatnonzero((pair_at[:-1] >= 0) & (pair_at[1:] >= 0))
     triples, n = np.unique(pair_at[start] * size + codes[start + 2], return_counts=True)
     pair, third = triples // size, triples % size
-    value = words.mix(pair_hash[pair] * np.uint64(words.BASE) + hashes[third], 2)
+    value = triple_hashes(pair_hash[pair], hashes[third])
     yield Phrases([first[pair], second[pair], third], value, n)
 
 
@@ -339,6 +353,75 @@ def candidates(docs: DataFrame, word_bits, pair_bits, triple_bits) -> DataFrame:
     return over_words(docs, rows, CANDIDATE).distinct()
 
 
+LINES = "bucket bigint, lang string, phrases string, n binary"
+
+
+def lines_of(found: Words, kept: list[Phrases], buckets: int) -> pa.RecordBatch:
+    """Columns ``LINES`` of phrases of a part: per bucket a line each, and how often it occurs there."""
+    # Pairs have no third word.
+    thirds = [p.codes[2] if len(p.codes) == 3 else np.full(len(p.n), -1) for p in kept]
+    codes = [np.concatenate(part) for part in zip(*[p.codes[:2] for p in kept])] + [np.concatenate(thirds)]
+    # Other bits of the hash than those that the tables take.
+    lower = np.concatenate([p.hashes for p in kept]) & np.uint64(0xFFFFFFFF)
+    bucket = (lower * np.uint64(buckets) >> np.uint64(32)).astype(np.min_scalar_type(buckets))
+    order = np.argsort(bucket, kind="stable")
+    buckets_of, starts = np.unique(bucket[order], return_index=True)
+    ends = np.append(starts, len(order))
+    columns = [found.distinct.take(pa.array(c, mask=c < 0)) for c in (part[order] for part in codes)]
+    space, line_feed = (pa.scalar(mark, pa.large_string()) for mark in " \n")
+    joined = pc.binary_join_element_wise(*columns, space, null_handling="skip")
+    lines = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), joined), line_feed)
+    n = np.concatenate([p.n for p in kept])[order]
+    return pa.RecordBatch.from_pydict(
+        {
+            "bucket": pa.array(buckets_of.astype(np.int64)),
+            "lang": pa.array([found.lang] * len(starts), pa.string()),
+            "phrases": lines.cast(pa.string()),
+            "n": pa.array([planes(n[i:j]) for i, j in zip(ends, ends[1:])], pa.binary()),
+        }
+    )
+
+
+def planes(n: np.ndarray) -> bytes:
+    """Counts within a part as all lowest bytes first, the highest last."""
+    return n.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def counts_of(n: bytes) -> np.ndarray:
+    return np.frombuffer(n, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+
+
+@dataclass
+class Lines:
+    """Phrases of one lang, one a line: codes of their words, -1 for a third that is not, and counts."""
+
+    words: Words
+    codes: list[np.ndarray]
+    n: np.ndarray
+
+    def hashes(self) -> np.ndarray:
+        own = self.words.hashes()
+        first, second, third = self.codes
+        value = pair_hashes(own[first], own[second])
+        long = np.flatnonzero(third >= 0)
+        value[long] = triple_hashes(value[long], own[third[long]])
+        return value
+
+    def only(self, keep: np.ndarray) -> Lines:
+        return Lines(self.words, [codes[keep] for codes in self.codes], self.n[keep])
+
+
+def read_lines(lang: str, group: pa.Table) -> Lines:
+    """The lines of rows ``LINES`` of one lang."""
+    found = words_of(lang, group["phrases"].combine_chunks())
+    n = np.concatenate([counts_of(n) for n in group["n"].to_pylist()]).astype(np.int64)
+    first = np.flatnonzero(np.append(True, ~found.joined))
+    size = np.diff(np.append(first, len(found.codes)))
+    third = np.full(len(first), -1)
+    third[size == 3] = found.codes[first[size == 3] + 2]
+    return Lines(found, [found.codes[first], found.codes[first + 1], third], n)
+
+
 class DoubleArray:
     """Transitions of a trie: from ``state`` with ``symbol`` to ``base[state] + symbol``.
 
@@ -433,18 +516,23 @@ class Trie:
         high, low = words // self.radix, words % self.radix
         return self.move(self.move(states, high), np.where(words < 0, -1, low))
 
-    def counts(self, found: Words) -> np.ndarray:
-        """How often each phrase occurs."""
+    def numbers(self, found: Words) -> np.ndarray:
+        """The numbers of the distinct words."""
         keys = pc.binary_join_element_wise(
             pa.scalar(found.lang, pa.large_string()), found.distinct, pa.scalar("\n", pa.large_string())
         )
-        numbers = pc.fill_null(pc.index_in(keys, value_set=self.keys), -1).to_numpy()
-        symbols = numbers.astype(np.int64)[found.codes]
-        total = np.zeros(self.size, np.int64)
-        # The first level is the same for every place of a word.
+        return pc.fill_null(pc.index_in(keys, value_set=self.keys), -1).to_numpy().astype(np.int64)
+
+    def firsts(self) -> np.ndarray:
+        """The state after each word at the root, which is the same for every place of a word; last, -1."""
         numbers = np.arange(len(self.keys))
-        firsts = np.append(self.step(np.zeros(len(numbers), np.int64), numbers), -1)
-        states = firsts[symbols]
+        return np.append(self.step(np.zeros(len(numbers), np.int64), numbers), -1)
+
+    def counts(self, found: Words) -> np.ndarray:
+        """How often each phrase occurs."""
+        symbols = self.numbers(found)[found.codes]
+        total = np.zeros(self.size, np.int64)
+        states = self.firsts()[symbols]
         # Places whose next word is in the same piece and in some phrase.
         on = found.joined & (symbols[1:] >= 0)
         at = np.flatnonzero(on & (states[:-1] >= 0))
@@ -460,6 +548,18 @@ class Trie:
                 at, states = at[more], states[more]
         return total
 
+    def line_counts(self, lines: Lines) -> np.ndarray:
+        """How often each phrase occurs in lines that are one phrase each, by the counts of the lines."""
+        total = np.zeros(self.size, np.int64)
+        w1, w2, w3 = (np.append(self.numbers(lines.words), -1)[codes] for codes in lines.codes)
+        states = self.step(self.firsts()[w1], w2)
+        # Lines of two words end here.
+        long = np.flatnonzero(lines.codes[2] >= 0)
+        states[long] = self.step(states[long], w3[long])
+        accepted = np.where(states >= 0, self.accepts[states], -1)
+        np.add.at(total, accepted[accepted >= 0], lines.n[accepted >= 0])
+        return total
+
 
 def build_trie(columns: list[pa.Array], lang: pa.Array) -> Trie:
     """The trie of phrases, which its accepting states number in the order given."""
@@ -495,6 +595,25 @@ def build_trie(columns: list[pa.Array], lang: pa.Array) -> Trie:
     return Trie(keys, base, check, accepts, len(w1), radix)
 
 
+def line_trie(lines: list[Lines]) -> tuple[Trie, pa.Table]:
+    """The trie of the distinct phrases of lines, and these as columns ``CANDIDATE``."""
+    tables = []
+    for own in lines:
+        first, second, third = own.codes
+        pairs, of_line = np.unique(first * len(own.words.distinct) + second, return_inverse=True)
+        # A pair goes before the triples that begin with it.
+        size = len(own.words.distinct) + 1
+        found = np.unique(of_line * size + third + 1)
+        pair, third = pairs[found // size], found % size - 1
+        codes = [pair // len(own.words.distinct), pair % len(own.words.distinct), third]
+        columns = [own.words.distinct.take(pa.array(c, mask=c < 0)).cast(pa.string()) for c in codes]
+        lang = pa.array([own.words.lang] * len(found), pa.string())
+        tables.append(pa.table([lang, *columns], names=["lang", "w1", "w2", "w3"]))
+    phrases = pa.concat_tables(tables).combine_chunks()
+    columns = [phrases[name].combine_chunks() for name in ("w1", "w2", "w3")]
+    return build_trie(columns, phrases["lang"].combine_chunks()), phrases
+
+
 def packed(trie: Trie) -> bytes:
     """The trie as compressed bytes, of its parts: tasks know this module by value, so that its classes
     have no name to be found by."""
@@ -526,25 +645,17 @@ def tries(found: DataFrame, n: int) -> DataFrame:
     )
 
 
-def counted_phrases(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``(CANDIDATE, n)`` with the exact count of each of the candidates."""
+def counted_phrases(docs: DataFrame, found: DataFrame, n: int) -> DataFrame:
+    """``(CANDIDATE, n)`` with the exact count of each of the candidates, by ``n`` tries."""
     spark = docs.sparkSession
-    n = -(-found.count() // TRIE)
     if not n:
         return spark.createDataFrame([], f"{CANDIDATE}, n bigint")
     built = written(tries(found, n), "tries")
-    counts = None
-    for start in range(0, n, TRIES_AT_ONCE):
-        rows = (
-            built.where((F.col("place") == -1) & F.col("shard").between(start, start + TRIES_AT_ONCE - 1))
-            .select("shard", "trie")
-            .collect()
-        )
-        shipped = spark.sparkContext.broadcast([(row["shard"], bytes(row["trie"])) for row in rows])
-        del rows
-        part = written(_sums(docs, shipped), "counts")
-        shipped.destroy()
-        counts = part if counts is None else counts.unionAll(part)
+    rows = built.where("place = -1").select("shard", "trie").collect()
+    shipped = spark.sparkContext.broadcast([(row["shard"], bytes(row["trie"])) for row in rows])
+    del rows
+    counts = written(_sums(docs, shipped), "counts")
+    shipped.destroy()
     phrases = built.where("place >= 0").drop("trie")
     return phrases.join(counts, ["shard", "place"]).select(
         *[field.split()[0] for field in CANDIDATE.split(", ")], "n"
@@ -574,6 +685,48 @@ def _sums(docs: DataFrame, shipped) -> DataFrame:
     return counted.groupBy("shard", "place").agg(F.sum("n").alias("n"))
 
 
+def dealt_phrases(
+    docs: DataFrame, least: int, n_words: int, word_bits, pair_bits, triple_bits
+) -> DataFrame:
+    """``(CANDIDATE, n)`` with the exact count of each phrase that occurs ``least`` times."""
+    buckets = min(n_words // DEALT_WORDS + 1, 1 << 31)
+
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in read_words(batches):
+            kept = []
+            levels = zip(
+                phrases_of(found, word_bits.value, pair_bits.value),
+                (pair_bits.value, triple_bits.value),
+            )
+            for phrases, bits in levels:
+                keep = np.flatnonzero(has_bit(bits, phrases.hashes))
+                codes = [codes[keep] for codes in phrases.codes]
+                kept.append(Phrases(codes, phrases.hashes[keep], phrases.n[keep]))
+            if any(len(phrases.n) for phrases in kept):
+                yield lines_of(found, kept, buckets)
+
+    def counted(group: pa.Table) -> pa.Table:
+        lines = [
+            read_lines(lang, group.filter(pc.equal(group["lang"], lang)))
+            for lang in group["lang"].unique().to_pylist()
+        ]
+        # Hashes that coincide let a phrase too many through, never one too few.
+        places = [(words.mix(own.hashes(), 3) % np.uint64(PLACES)).astype(np.int64) for own in lines]
+        sums = np.zeros(PLACES, np.int64)
+        for own, place in zip(lines, places):
+            np.add.at(sums, place, own.n)
+        lines = [own.only(np.flatnonzero(sums[at] >= least)) for own, at in zip(lines, places)]
+        trie, phrases = line_trie(lines)
+        n = np.zeros(trie.size, np.int64)
+        for own in lines:
+            n += trie.line_counts(own)
+        enough = np.flatnonzero(n >= least)
+        return phrases.take(pa.array(enough)).append_column("n", pa.array(n[enough]))
+
+    sent = docs.select("lang", "text").mapInArrow(read, LINES)
+    return sent.groupBy("bucket").applyInArrow(counted, f"{CANDIDATE}, n bigint")
+
+
 def score_of(a: Column, first: Column, rest: Column) -> Column:
     """floor(1000000 * a * a / (first * rest)), in decimals that hold the products."""
     whole = "decimal(15,0)"
@@ -626,11 +779,21 @@ def collocations(docs: DataFrame, least: int = 10, share: int = 50, top: int = 2
     word_bits = context.broadcast(bits_of(word_hashes(single), WORD_BITS))
     pair_bits = context.broadcast(frequent_bits(docs, least, n_words, word_bits))
     triple_bits = context.broadcast(frequent_bits(docs, least, n_words, word_bits, pair_bits))
-    found = written(candidates(docs, word_bits, pair_bits, triple_bits), "candidates")
-    for shipped in (word_bits, pair_bits, triple_bits):
+    tables = (word_bits, pair_bits, triple_bits)
+    set_bits = sum(int.from_bytes(bits.value, "little").bit_count() for bits in tables[1:])
+    found, n_tries = None, math.inf
+    # Hashes that coincide set one bit, so the candidates themselves are counted as well.
+    if set_bits <= TRIES_AT_ONCE * TRIE:
+        found = written(candidates(docs, *tables), "candidates")
+        n_tries = -(-found.count() // TRIE)
+    phrases = None
+    if n_tries > TRIES_AT_ONCE:
+        phrases = written(dealt_phrases(docs, least, n_words, *tables), "phrases")
+    for shipped in tables:
         shipped.destroy()
-    del word_bits, pair_bits, triple_bits, shipped
-    phrases = written(counted_phrases(docs, found).where(F.col("n") >= least), "phrases")
+    del word_bits, pair_bits, triple_bits, tables, shipped
+    if phrases is None:
+        phrases = written(counted_phrases(docs, found, n_tries).where(F.col("n") >= least), "phrases")
 
     longer = phrases.where("w3 IS NOT NULL")
     within = longer.select("lang", F.col("w1").alias("w1"), F.col("w2").alias("w2"), "n").unionAll(

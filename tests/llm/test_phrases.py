@@ -175,3 +175,53 @@ def test_blocks_of_hashes(spark, monkeypatch, least):
     assert (np.concatenate([P.hashes_of(steps) for steps in sent["steps"]]) == hashes).all()
     counts = np.frombuffer(b"".join(sent["n"]), np.min_scalar_type(least))
     assert (counts == least).sum() == 9 and (counts >= least - 1).all()
+
+
+def test_many_candidates_need_no_further_reading_of_the_texts(spark, monkeypatch):
+    """However many tries the candidates fill, texts are read as often as with one."""
+
+    def readings(tries_at_once, seed):
+        monkeypatch.setattr(P, "TRIES_AT_ONCE", tries_at_once)
+        rows = random_rows(seed)
+        read = spark.sparkContext.accumulator(0)
+
+        def counted(batches):
+            for batch in batches:
+                read.add(batch.num_rows)
+                yield batch
+
+        docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+        assert found(docs.mapInArrow(counted, docs.schema), least=3) == plain(rows, 3)
+        return read.value / len(rows)
+
+    monkeypatch.setattr(P, "TRIE", 7)
+    # Words, pairs, triples, candidates and one reading for all that is counted.
+    assert readings(1, 11) <= 5
+    assert readings(1000, 11) == 5
+
+
+def test_dealt_phrases(spark, monkeypatch):
+    """Many buckets, of which some have no frequent phrase, several langs, and a task that is lost."""
+    for name, value in (("TRIES_AT_ONCE", 0), ("DEALT_WORDS", 40), ("PLACES", 64), ("PART_BYTES", 700)):
+        monkeypatch.setattr(P, name, value)
+    rows = random_rows(12) + [(i, "rare%d word. " % i * 2 + "hot word pair " * 300, "en") for i in range(50)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    assert found(failing_once(docs, 2)) == plain(rows)
+    assert found(docs, least=2, share=70) == plain(rows, 2, 70)
+    assert found(docs.limit(0)) == [] and found(docs, least=10**6) == []
+
+
+def test_lines_of_a_part():
+    part = P.words_of("en", pa.array(["the cat sat. the cat ran é x\x00 the cat", None, "日本 the cat"]))
+    every = b"\xff" * (1 << 12)
+    kept = list(P.phrases_of(part, every, every))
+    sent = pa.Table.from_batches([P.lines_of(part, kept, 3)])
+    assert 1 < sent.num_rows <= 3 and set(sent["lang"].to_pylist()) == {"en"}
+    lines = P.read_lines("en", sent)
+    words = lines.words.distinct.to_pylist()
+    counts = {tuple(words[c] for c in p if c >= 0): n for *p, n in zip(*lines.codes, lines.n.tolist())}
+    assert counts["the", "cat"] == 4 and counts["é", "x\x00", "the"] == 1 and ("sat", "the") not in counts
+    assert sum(counts.values()) == sum(int(p.n.sum()) for p in kept) and len(counts) == len(lines.n)
+    assert set(lines.hashes().tolist()) == {h for p in kept for h in p.hashes.tolist()}
+    large = np.array([1, 255, 256, 1 << 31])
+    assert (P.counts_of(P.planes(large)) == large).all()
